@@ -38,3 +38,15 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 def text_bytes(name: str = "text"):
     """The whole text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(name).cast("binary"), F.lit(b"").cast("binary"))
+
+
+#: Rows and bytes of an Arrow batch: whole texts are long, and two Python workers share an executor with its heap.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches stay small in this session, unless it asks for still smaller ones."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key, str(most)).rstrip("bB")
+        if not now.isdigit() or not 0 < int(now) <= most or now == str(most):
+            spark.conf.set(key, str(most))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, read_table, text_bytes
+from .common import materialise, read_table, small_batches, text_bytes
 from .components import connected_components
 from .gph import near_pairs
 
@@ -45,6 +45,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.fromiter((fingerprint(t, width) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("t")).mapInArrow(run, "doc_id long, fp long")
 
 
