@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .media import op4_media
+from .pii import op6_pii
 from .simhash import op5_simhash
 
-QUERIES = {f.__name__: f for f in (op5_simhash,)}
+QUERIES = {f.__name__: f for f in (op4_media, op5_simhash, op6_pii)}
 ORACLE_SQL: dict[str, str] = {}
