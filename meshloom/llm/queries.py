@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .langid import op7_langid
 from .media import op4_media
 from .pii import op6_pii
 from .simhash import op5_simhash
+from .urls import op9_urls, oracle as urls_oracle
 
-QUERIES = {f.__name__: f for f in (op4_media, op5_simhash, op6_pii)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op4_media, op5_simhash, op6_pii, op7_langid, op9_urls)}
+ORACLE_SQL: dict[str, str] = {"op9_urls": urls_oracle()}
