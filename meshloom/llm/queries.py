@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .html import op3_html
 from .langid import op7_langid
 from .media import op4_media
 from .mixing import op2_mixing, oracle as mixing_oracle
@@ -10,5 +11,5 @@ from .secrets import op8_secrets
 from .simhash import op5_simhash
 from .urls import op9_urls, oracle as urls_oracle
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op4_media, op5_simhash, op6_pii, op7_langid, op8_secrets, op9_urls)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_html, op4_media, op5_simhash, op6_pii, op7_langid, op8_secrets, op9_urls)}
 ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing_oracle(), "op9_urls": urls_oracle()}
