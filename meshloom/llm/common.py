@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +51,26 @@ def small_batches(spark: SparkSession) -> None:
         now = spark.conf.get(key, str(most)).rstrip("bB")
         if not now.isdigit() or not 0 < int(now) <= most or now == str(most):
             spark.conf.set(key, str(most))
+
+
+#: Bits of a filter that is broadcast: 2 MB, whatever the number of keys.
+FILTER_BITS = 1 << 24
+
+
+def bit_filter(keys: DataFrame, hash_col: str) -> np.ndarray:
+    """A one-hash Bloom filter of a long column as FILTER_BITS bits packed into words; at most FILTER_BITS / 64 rows reach the driver.
+
+    It only spares work: with very many keys it lets all through.
+    """
+    bit = F.col(hash_col).bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = keys.select(bit.alias("p")).select(F.expr("CAST(p DIV 64 AS INT)").alias("w"), F.expr("shiftleft(1L, CAST(p % 64 AS INT))").alias("b"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():
+        out[r.w] = r.b
+    return out
+
+
+def may_hold(filter_words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes (int64 or uint64) may be among the filter's keys."""
+    p = hashes.astype(np.uint64) & np.uint64(FILTER_BITS - 1)
+    return (filter_words.view(np.uint64)[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)

@@ -9,7 +9,8 @@ from .mixing import op2_mixing, oracle as mixing_oracle
 from .pii import op6_pii
 from .secrets import op8_secrets
 from .simhash import op5_simhash
+from .substrings import op10_substrings
 from .urls import op9_urls, oracle as urls_oracle
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_html, op4_media, op5_simhash, op6_pii, op7_langid, op8_secrets, op9_urls)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_html, op4_media, op5_simhash, op6_pii, op7_langid, op8_secrets, op9_urls, op10_substrings)}
 ORACLE_SQL: dict[str, str] = {"op2_mixing": mixing_oracle(), "op9_urls": urls_oracle()}
