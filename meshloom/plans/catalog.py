@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import mesh_queries
+
+QUERIES = dict(mesh_queries.QUERIES)
+ORACLE_SQL = dict(mesh_queries.ORACLE_SQL)
