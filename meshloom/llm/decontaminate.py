@@ -1,6 +1,6 @@
 """Benchmark decontamination by template windows, with a check that slots are filled consistently.
 
-Texts become streams of lower-cased words in which numbers, units after numbers and names (capitalised
+Texts become streams of lower-cased words (A-Z and Latin-1; runs of letters or of digits) in which numbers, units after numbers and names (capitalised
 words inside a sentence) are typed placeholders. Windows of WINDOW words are hashed as they stand and
 as templates and joined with those of the benchmark items. A document holds an item if along the
 diagonals of the match whose slots map one to one (each value of the item always to the same other
@@ -10,7 +10,8 @@ and one whose numbers or names don't fit together isn't.
 
 from __future__ import annotations
 
-import re
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,43 +30,105 @@ BROADCAST_ROWS = 500_000
 #: Units that make a slot after a number.
 UNITS = frozenset("km m cm mm mi mile miles ft feet foot in inch inches yd yards kg g mg lb lbs pound pounds oz ounces t tons l ml litre litres liter liters gal gallon gallons s sec seconds min minutes h hr hour hours day days week weeks month months year years mph kph kmh w kw kwh v hz khz mhz ghz kb mb gb tb usd eur gbp dollars dollar euros euro cents cent percent".split())
 
-_TOKEN = re.compile(r"[0-9]+(?:[.,:/][0-9]+)*|[^\W\d_]+|[.!?\n]+|[^\W_]")
-_WORD, _CAPITAL, _NUMBER, _MARK, _UNIT = range(5)
+_WORD, _CAPITAL, _NUMBER, _UNIT = range(4)
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64)) for k in range(64)]
-_KNOWN_MOST = 1 << 20
-
-
-def _kind(token: str) -> int:
-    if token[0].isdecimal() and token[0] in "0123456789":
-        return _NUMBER
-    if token[0] in ".!?\n":
-        return _MARK
-    if token.lower() in UNITS:
-        return _UNIT
-    return _CAPITAL if len(token) > 1 and token[0].isupper() and token[1:].islower() else _WORD
-
-
-class _Words:
-    """Hashes and kinds of the tokens seen so far in this worker."""
-
-    def __init__(self) -> None:
-        self.index: dict[str, int] = {}
-        self.rows: list[tuple[int, int]] = []
-        self.table: tuple[np.ndarray, np.ndarray] | None = None
-
-    def look_up(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.index) > _KNOWN_MOST:
-            self.__init__()
-        new = set(tokens).difference(self.index)
-        if new or self.table is None:
-            for token in new:
-                self.index[token] = len(self.rows)
-                self.rows.append((xxhash.xxh64_intdigest(token.lower().encode()), _kind(token)))
-            grown = self.rows if self.table is None else self.rows[len(self.table[0]) :]
-            fresh = np.array([r[0] for r in grown], np.uint64), np.array([r[1] for r in grown], np.int8)
-            self.table = fresh if self.table is None else tuple(np.concatenate(p) for p in zip(self.table, fresh, strict=True))
-        at = np.fromiter(map(self.index.__getitem__, tokens), np.int64, len(tokens))
-        return self.table[0][at], self.table[1][at]
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_GAP, _LETTER, _DIGIT = 0, 1, 2
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[*b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"]] = _LETTER
+_CLASS[0x80:] = _LETTER  # all letters beyond ASCII
+_CLASS[[*b"0123456789"]] = _DIGIT
+_MARKS = np.zeros(256, bool)
+_MARKS[[*b".!?\n"]] = True
+_INNER = np.zeros(256, bool)
+_INNER[[*b".,:/"]] = True
+#: Bytes of text in one pass, and of a word beyond which it is hashed by itself.
+_CHUNK, _LONG_WORD = 1 << 20, 64
+
+
+def _lowered(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes with A-Z and the capitals of Latin-1 in lower case, and which they were."""
+    upper = (b >= 65) & (b <= 90)
+    latin = np.zeros(len(b), bool)
+    latin[1:] = (b[:-1] == 0xC3) & (b[1:] >= 0x80) & (b[1:] <= 0x9E) & (b[1:] != 0x97)
+    upper |= latin
+    return np.where(upper, b + 32, b).astype(np.uint8), upper
+
+
+@dataclass
+class _Tokens:
+    """Words and numbers of a text: their bytes, hashes of the lower-cased form, kinds, and whether a sentence mark stands before."""
+
+    start: np.ndarray
+    end: np.ndarray
+    hash: np.ndarray
+    kind: np.ndarray
+    after_mark: np.ndarray
+
+
+def _tokens(data: bytes) -> _Tokens:
+    b = np.frombuffer(data, np.uint8)
+    if not len(b):
+        none = np.zeros(0, np.int64)
+        return _Tokens(none, none, none.astype(np.uint64), none.astype(np.int8), none.astype(bool))
+    low, upper = _lowered(b)
+    kind = _CLASS[b]
+    digit = kind == _DIGIT
+    inner = np.zeros(len(b), bool)
+    inner[1:-1] = _INNER[b[1:-1]] & digit[:-2] & digit[2:]
+    kind[inner] = _DIGIT
+    edge = np.flatnonzero(np.append(True, kind[1:] != kind[:-1]))
+    stop = np.append(edge[1:], len(b))
+    real = kind[edge] != _GAP
+    start, end = edge[real], stop[real]
+    size = end - start
+    h = size.astype(np.uint64) * _BASE
+    live = np.flatnonzero(size <= _LONG_WORD)
+    for k in range(_LONG_WORD):
+        live = live[size[live] > k]
+        if not len(live):
+            break
+        h[live] = h[live] * _BASE + (low[start[live] + k] + np.uint64(1))
+    h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    for k in np.flatnonzero(size > _LONG_WORD):
+        h[k] = xxhash.xxh64_intdigest(low[start[k] : end[k]].tobytes())
+    marks = np.concatenate([[0], np.cumsum(_MARKS[b] & ~inner)])
+    before = np.append(0, end[:-1])
+    capitals = np.concatenate([[0], np.cumsum(upper)])
+    first = upper[start] | (b[start] == 0xC3) & upper[np.minimum(start + 1, len(b) - 1)]
+    number = kind[start] == _DIGIT
+    name = first & (capitals[end] - capitals[start] == 1) & (size > 1 + (b[start] == 0xC3)) & ~number
+    what = np.where(number, _NUMBER, np.where(name, _CAPITAL, _WORD)).astype(np.int8)
+    follows = np.flatnonzero(number[:-1]) + 1
+    units = follows[np.isin(h[follows], _unit_hashes())]
+    what[units] = _UNIT
+    return _Tokens(start, end, h, what, (marks[start] > marks[before]) | (before == 0))
+
+
+@lru_cache(maxsize=1)
+def _unit_hashes() -> np.ndarray:
+    out = []
+    for unit in sorted(UNITS):
+        h = np.array([len(unit)], np.uint64) * _BASE
+        for c in unit.encode():
+            h = h * _BASE + np.uint64(c + 1)
+        out.append((h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9))
+    return np.concatenate(out)
+
+
+def _long_tokens(data: bytes) -> _Tokens:
+    """_tokens of a text of any length, in pieces cut before a space that follows a letter."""
+    parts, at = [], 0
+    while at < len(data):
+        end = min(len(data), at + _CHUNK)
+        while end < len(data) and not (data[end] == 32 and _CLASS[data[end - 1]] == _LETTER):
+            end += 1
+        t = _tokens(data[at:end])
+        if at and len(t.after_mark):
+            t.after_mark[0] = bool(_MARKS[np.frombuffer(data[at : at + int(t.start[0])], np.uint8)].any())
+        parts.append(_Tokens(t.start + at, t.end + at, t.hash, t.kind, t.after_mark))
+        at = end
+    return parts[0] if len(parts) == 1 else _Tokens(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("start", "end", "hash", "kind", "after_mark")))
 
 
 def _windows(stream: np.ndarray, width: int) -> np.ndarray:
@@ -77,36 +140,45 @@ def _windows(stream: np.ndarray, width: int) -> np.ndarray:
     return out ^ out >> np.uint64(32)
 
 
-_SLOTS = np.array([0x0123456789ABCDEF, 0x1123456789ABCDEF, 0x2123456789ABCDEF, 0x3123456789ABCDEF, 0x4123456789ABCDEF], np.uint64)
+_SLOTS = np.array([0x0123456789ABCDEF, 0x1123456789ABCDEF, 0x2123456789ABCDEF, 0x3123456789ABCDEF], np.uint64)
 
 
-def template_windows(text: str, words: _Words, width: int = WINDOW):
-    """(number of windows, [(hashes, positions)] for the plain and the template stream, function that spells the slots of a window).
+def template_windows(texts: list[bytes], width: int = WINDOW):
+    """For a few texts: (text, number of its windows, hashes, positions in it, slots or None for plain ones) of the plain and the template windows.
 
     A template window is listed only if it has slots and enough words besides; a text of fewer words
-    than a window is one window, one of fewer than LEAST_WORDS none.
+    than a window is one window, one of fewer than LEAST_WORDS none. Slots are spelled by a function
+    of the windows' places in the lists, so only those asked for are.
     """
-    tokens = _TOKEN.findall(text)
-    hashes, kinds = words.look_up(tokens)
-    marks = kinds == _MARK
-    starts = np.append(True, marks[:-1]) if len(marks) else marks
-    keep = np.flatnonzero(~marks)
-    hashes, kinds, starts = hashes[keep], kinds[keep], starts[keep]
-    if len(keep) < LEAST_WORDS:
-        return 0, [], None
-    width = min(width, len(keep))
-    after_number = np.append(False, kinds[:-1] == _NUMBER)
-    slot = (kinds == _NUMBER) | (kinds == _UNIT) & after_number | (kinds == _CAPITAL) & ~starts
-    plain, typed = hashes, np.where(slot, _SLOTS[kinds], hashes)
-    count = np.concatenate([[0], np.cumsum(slot)])
-    filled = count[width:] - count[:-width]
-    at = np.flatnonzero((filled > 0) & (width - filled >= LEAST_LITERAL))
-
-    def spell(position: int) -> str:
-        return "\x1f".join(tokens[keep[k]].lower() for k in range(position, position + width) if slot[k])
-
-    n = len(keep) - width + 1
-    return n, [(_windows(plain, width), np.arange(n)), (_windows(typed, width)[at], at)], spell
+    whole = b"\n\x00\n".join(texts)
+    t = _long_tokens(whole)
+    sizes = np.array([len(x) + 3 for x in texts], np.int64)
+    owner = np.searchsorted(np.cumsum(sizes), t.start, side="right")
+    count = np.bincount(owner, minlength=len(texts))
+    base = np.cumsum(count) - count
+    slot = (t.kind == _NUMBER) | (t.kind == _UNIT) | (t.kind == _CAPITAL) & ~t.after_mark
+    typed = np.where(slot, _SLOTS[t.kind], t.hash)
+    filled = np.concatenate([[0], np.cumsum(slot)])
+    out = []
+
+    def spell(at: int, n: int) -> str:
+        return "\x1f".join(_lowered(np.frombuffer(whole[t.start[k] : t.end[k]], np.uint8))[0].tobytes().decode("utf-8", "replace") for k in range(at, at + n) if slot[k])
+
+    if len(t.start) >= width:
+        plain, both = _windows(t.hash, width), _windows(typed, width)
+        inside = owner[: len(plain)] == owner[width - 1 :]
+        n = filled[width:] - filled[:-width]
+        out.append((np.flatnonzero(inside), plain, False, width))
+        out.append((np.flatnonzero(inside & (n > 0) & (width - n >= LEAST_LITERAL)), both, True, width))
+    for d in np.flatnonzero((count >= LEAST_WORDS) & (count < width)):
+        at, w = int(base[d]), int(count[d])
+        n = int(filled[at + w] - filled[at])
+        for stream, use, kind in ((t.hash, True, False), (typed, n > 0 and w - n >= LEAST_LITERAL, True)):
+            if use:
+                h = np.zeros(at + 1, np.uint64)
+                h[at] = _windows(stream[at : at + w], w)[0]
+                out.append((np.array([at]), h, kind, w))
+    return owner, base, np.where(count >= LEAST_WORDS, np.maximum(count - width + 1, 1), 0), out, spell
 
 
 _HIT = "h long, pos int, slots string"
@@ -115,28 +187,37 @@ _HIT = "h long, pos int, slots string"
 def _window_rows(table: DataFrame, allowed: np.ndarray | None, width: int) -> DataFrame:
     """table: (id long, text string) -> (id, t, n, h, pos, slots) of each window that the filter lets pass; slots is null for plain windows."""
 
+    def groups(ids: list, texts: list):
+        held, size = [], 0
+        for i, text in zip(ids, texts, strict=True):
+            if text:
+                held.append((i, text))
+                size += len(text)
+            if size > _CHUNK:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
+
     def run(batches):
-        words = _Words()
         for batch in batches:
             rows = []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not text:
-                    continue
-                n, streams, spell = template_windows(text, words, width)
-                t = None
-                for k, (hashes, at) in enumerate(streams):
+            for held in groups(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                owner, base, windows, found, spell = template_windows([x for _, x in held], width)
+                known: dict[int, int] = {}
+                for at, hashes, has_slots, w in found:
                     if allowed is not None:
-                        good = may_hold(allowed, hashes)
-                        hashes, at = hashes[good], at[good]
-                    if len(at) and t is None:
-                        t = xxhash.xxh64_intdigest(text.encode(), 42)
-                        t -= (t >> 63) << 64
-                    rows += [(i, t, n, h, p, spell(p) if k else None) for h, p in zip(hashes.view(np.int64).tolist(), at.tolist(), strict=True)]
+                        at = at[may_hold(allowed, hashes[at])]
+                    for k, h, d in zip(at.tolist(), hashes[at].view(np.int64).tolist(), owner[at].tolist(), strict=True):
+                        if d not in known:
+                            t = xxhash.xxh64_intdigest(held[d][1], 42)
+                            known[d] = t - (t >> 63 << 64)
+                        rows.append((held[d][0], known[d], int(windows[d]), h, k - int(base[d]), spell(k, w) if has_slots else None))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "t", "n", "h", "pos", "slots"])
 
-    return table.mapInArrow(run, "id long, t long, n long, " + _HIT)
+    return table.toDF("id", "text").select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "id long, t long, n long, " + _HIT)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW, contained: float = CONTAINED) -> DataFrame:
