@@ -189,9 +189,18 @@ def pseudonymise(text: str, key: bytes = DEFAULT_KEY) -> tuple[str, Counter]:
             found[kind] += 1
         return new
 
-    if "@" in text:
-        text = _EMAIL.sub(lambda m: put("email", m[0]) or m[0], text)
-    text = _IBAN.sub(lambda m: put("iban", m[0]) or m[0], text)
+    pieces, done = [], 0
+    marked = [("email", m) for m in _EMAIL.finditer(text)] if "@" in text else []
+    marked += [("iban", m) for m in _IBAN.finditer(text)]
+    for kind, m in sorted(marked, key=lambda x: x[1].start()):
+        if m.start() >= done and (new := put(kind, m[0])) is not None:
+            pieces += (_numbers(text[done : m.start()], put), new)
+            done = m.end()
+    return "".join((*pieces, _numbers(text[done:], put))), found
+
+
+def _numbers(text: str, put) -> str:
+    """The text, which holds no address or IBAN, with its numbers and dates replaced."""
     out, done, at = [], 0, 0
     while m := _NUMBERS.search(text, at):
         new = put(m.lastgroup, m[0])
@@ -204,7 +213,7 @@ def pseudonymise(text: str, key: bytes = DEFAULT_KEY) -> tuple[str, Counter]:
             continue
         out += (text[done : m.start()], new)
         done = at = m.end()
-    return "".join((*out, text[done:])), found
+    return "".join((*out, text[done:]))
 
 
 _PHONE = re.compile(r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![A-Za-z0-9_]|[.-][0-9])")
