@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mesh_queries
+from . import mesh_queries, record_queries
 
-QUERIES = dict(mesh_queries.QUERIES)
-ORACLE_SQL = dict(mesh_queries.ORACLE_SQL)
+QUERIES = mesh_queries.QUERIES | record_queries.QUERIES
+ORACLE_SQL = mesh_queries.ORACLE_SQL | record_queries.ORACLE_SQL
