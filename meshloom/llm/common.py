@@ -28,12 +28,21 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Cut the lineage: write df once as Parquet into the shared folder and read it again.
 
     Unlike checkpoint(), which runs its plan twice, this computes each partition once; the files
-    survive the loss of any executor.
+    survive the loss of any executor. release() deletes them.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables from materialise() that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._scratch_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_bytes(name: str = "text"):

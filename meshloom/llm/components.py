@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, release
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -35,6 +35,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .unionAll(low.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        stars = materialise(small, "edges")
+        before, stars = stars, materialise(small, "edges")
+        release(before)
     tips = stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return tips.unionAll(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
