@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bit_filter, materialise, may_hold, read_table, small_batches, text_bytes
+from .common import bit_filter, materialise, may_hold, read_table, release, small_batches, text_bytes
 from .runindex import repeated_starts
 
 WINDOW, GRAM = 400, 64
@@ -192,7 +192,9 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     some = _index_groups(parts.repartition("k").sortWithinPartitions("k"))
     whole = segs.select("doc_id", "t", "first", "end", "g", "k").join(kinds.where("n > 1").select("k", "g"), ["k", "g"], "left_semi").select("doc_id", "t", "first", "end")
     ranges = whole.unionAll(some).groupBy("doc_id", "t").agg(F.sort_array(F.collect_set(F.struct("first", "end"))).alias("ranges"))
-    return materialise(ranges, "ranges")
+    out = materialise(ranges, "ranges")
+    release(segs, kinds, asked)
+    return out
 
 
 def _kept(text: bytes, ranges: list[dict]) -> tuple[int, int, bytes]:
