@@ -8,6 +8,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .cut import cut
+
 #: Target sets of at most so many points are broadcast and searched in a kernel; larger ones go through grid cells.
 BROADCAST_POINTS = 200_000
 
@@ -35,10 +37,11 @@ def nearest(queries: DataFrame, targets: DataFrame, dims: list[str], by: list[st
             q = q.withColumn(f"c_{d}", F.explode(F.array(*[F.col(f"c_{d}") + k for k in (-1, 0, 1)])))
         met = q.join(t, [*by, *[f"c_{d}" for d in dims]]).withColumn("d2", squared_distance([F.col(d) for d in dims], [F.col(f"t_{d}") for d in dims]))
         best = met.groupBy(*by, "qid").agg(F.min(F.struct("d2", "tid")).alias("b")).where(F.col("b.d2") <= w * w).select(*by, "qid", F.col("b.tid").alias("tid"), F.sqrt("b.d2").alias("d"))
-        best = best.checkpoint() if step else best
+        best = cut(best)
         out = best if out is None else out.unionAll(best)
         left = left.join(best.select(*by, "qid"), [*by, "qid"], "left_anti")
-        if left.join(targets.select(*by).distinct() if by else targets.limit(1).select(F.lit(1).alias("_one")), by or None, "left_semi" if by else "cross").limit(1).count() == 0:
+        rest = left.join(targets.select(*by).distinct(), by, "left_semi") if by else left
+        if rest.isEmpty() or targets.isEmpty():
             break
     return out
 

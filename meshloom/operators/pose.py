@@ -167,7 +167,9 @@ def apply_pose(packed: DataFrame, poses: DataFrame) -> DataFrame:
     both = packed.join(poses.select("mesh_id", "rotation_matrix"), "mesh_id")
     m = F.col("rotation_matrix")
     turned = F.transform("vertices", lambda p: F.struct(*[(m[r][0] * p["x"] + m[r][1] * p["y"] + m[r][2] * p["z"]).alias(d) for r, d in enumerate("xyz")]))
-    out = both.withColumn("t", turned)
-    mid = {d: (F.array_min(F.transform("t", lambda p, d=d: p[d])) + F.array_max(F.transform("t", lambda p, d=d: p[d]))) / 2 for d in "xyz"}
-    out = out.withColumns({f"c{d}": mid[d] for d in "xyz"})
-    return out.select("mesh_id", F.transform("t", lambda p: F.struct(*[(p[d] - F.col(f"c{d}")).alias(d) for d in "xyz"])).alias("vertices"), "faces")
+    axis = lambda t, d: F.transform(t, lambda p: p[d])
+    middle = lambda t, d: (F.array_min(axis(t, d)) + F.array_max(axis(t, d))) / 2
+    # one-element arrays bind the turned vertices and their middle, so neither is worked out twice
+    centred_ = F.transform(F.array(turned), lambda t: F.struct(t.alias("t"), *[middle(t, d).alias(f"c{d}") for d in "xyz"]))
+    moved = F.transform(centred_, lambda b: F.transform(b["t"], lambda p: F.struct(*[(p[d] - b[f"c{d}"]).alias(d) for d in "xyz"])))
+    return both.select("mesh_id", F.get(moved, F.lit(0)).alias("vertices"), "faces")

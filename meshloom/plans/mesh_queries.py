@@ -81,7 +81,7 @@ def stage4_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Retention of the box corpus by part size under topology rules."""
+    """Retention of the box corpus by brand under topology rules."""
     v, f = _boxes(spark, sf_dir)
     part = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("mesh_id"), F.col("p_brand").alias("dataset"))
     verdict = topology.manifoldness(f).join(topology.surface(v, f), "mesh_id").join(part, "mesh_id")

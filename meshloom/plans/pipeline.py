@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import PipelineConfig
 from ..functions.rules import error_reason, geometry_reasons, merge_batch, merge_pipeline
 from ..operators import pose, rays, render, scorers, topology, voxels
+from ..operators.cut import cut
 from ..operators.packed import FACE, VERTEX
 from ..operators.rollups import pending
 from ..sources import files as listing
@@ -43,7 +44,7 @@ def geometry_metrics(packed: DataFrame, config: PipelineConfig = PipelineConfig(
 
 def model_verdicts(packed: DataFrame, config: PipelineConfig, factory: Callable | None, res: int = 256) -> DataFrame:
     """Stage 2: render, infer, parse, decide -> (mesh_id, verdict, rejection_reasons, accepted, error)."""
-    images = render.render_grids(packed, res)
+    images = cut(render.render_grids(packed, res))
     replies = scorers.infer(images, factory or scorers.StubImageScorer, batch_size=config.batch_size)
     return scorers.decide(replies, config.accept).join(images.select("mesh_id", F.col("error").alias("render_error")), "mesh_id").select("mesh_id", "verdict", "rejection_reasons", "accepted", F.coalesce("render_error", "error").alias("error"))
 
@@ -54,12 +55,12 @@ def clean_meshes(packed: DataFrame, config: PipelineConfig = PipelineConfig(), i
     if config.skip_watertight:
         first = packed.select("mesh_id", F.lit(True).alias("is_watertight"), F.lit(None).cast("double").alias("chamfer_to_input"), F.lit(None).cast("string").alias("error"))
     else:
-        closed = voxels.watertighten(packed, config.watertight)
+        closed = cut(voxels.watertighten(packed, config.watertight))
         whole, first = closed.where("error is null").select("mesh_id", F.col("vertices").cast(VERTEX).alias("vertices"), F.col("faces").cast(FACE).alias("faces")), closed.drop("vertices", "faces")
     method = pose.downgrade(config.pose_method, config.skip_model)
-    poses = pose.canonicalise(whole, "identity" if method == "identity" else "geom")
-    turned = pose.apply_pose(whole, poses)
-    metrics = geometry_metrics(turned, config, shape_scorer)
+    poses = cut(pose.canonicalise(whole, "identity" if method == "identity" else "geom"))
+    turned = cut(pose.apply_pose(whole, poses))
+    metrics = cut(geometry_metrics(turned, config, shape_scorer))
     judged = turned.join(metrics.where("is_valid").select("mesh_id"), "mesh_id", "left_semi") if config.short_circuit else turned
     null = F.lit(None)
     verdicts = model_verdicts(judged, config, image_scorer) if not config.skip_model else packed.select("mesh_id", null.cast("string").alias("verdict"), null.cast("array<string>").alias("rejection_reasons"), null.cast("boolean").alias("accepted"), null.cast("string").alias("error")).limit(0)
@@ -79,7 +80,7 @@ def clean_meshes(packed: DataFrame, config: PipelineConfig = PipelineConfig(), i
 def clean_directory(spark: SparkSession, root: str, config: PipelineConfig = PipelineConfig(), **scorers_: Callable) -> DataFrame:
     """All mesh files below a folder, keyed by content, so equal names don't overwrite each other; files that can't be read are rejected rows."""
     found = listing.with_hash(listing.list_meshes(spark, root, content=True))
-    decoded = decode_files(found)
+    decoded = cut(decode_files(found))
     keyed = decoded.join(found.select(F.col("path").alias("mesh_id"), "sha256"), "mesh_id")
     good = keyed.where("error is null").dropDuplicates(["sha256"]).select(F.col("sha256").alias("mesh_id"), "vertices", "faces")
     clean = clean_meshes(good, config, **scorers_)
@@ -92,7 +93,7 @@ def clean_directory(spark: SparkSession, root: str, config: PipelineConfig = Pip
 def filter_datasets(packed: DataFrame, config: PipelineConfig = PipelineConfig(failure_policy="closed"), done: DataFrame | None = None, image_scorer: Callable | None = None, shape_scorer: Callable | None = None) -> DataFrame:
     """Stages 2 and 4 on raw meshes (dataset, mesh_id, vertices, faces) that have no report yet -> (dataset, mesh_id, accepted, rejection_reasons, verdict, metrics, error); failures reject."""
     todo = pending(packed, done, "mesh_id") if done is not None else packed
-    metrics = geometry_metrics(todo, config, shape_scorer)
+    metrics = cut(geometry_metrics(todo, config, shape_scorer))
     verdicts = model_verdicts(todo, config, image_scorer)
     out = todo.select("dataset", "mesh_id").join(metrics.select("mesh_id", "metrics", "reasons", F.col("error").alias("e4")), "mesh_id", "left").join(verdicts.select("mesh_id", "verdict", F.col("rejection_reasons").alias("r2"), F.col("error").alias("e2")), "mesh_id", "left")
     failed = F.array_compact(F.array(F.when(F.col("e2").isNotNull(), error_reason(F.lit("vlm_batch_fail"), F.col("e2"))), F.when(F.col("e4").isNotNull(), error_reason(F.lit("stage4_fail"), F.col("e4")))))
