@@ -98,9 +98,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).where("id is not null and lang is not null")
-    common = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    common = sorted(sizes)
+    # hashes are even, so the least `most` of n lie below a threshold that lets about 4 x most pass: large languages aren't sorted whole
+    below = F.lit(None).cast("long")
+    for lang in common:
+        below = F.when(F.col("lang") == lang, min((1 << 63) - 1, -(1 << 63) + int((1 << 64) * min(1.0, 4 * most / sizes[lang])))).otherwise(below)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.where(F.col("lang").isin(common)).distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("id", "lang").collect()
+    low = rows.where(F.xxhash64("id") <= below).distinct()
+    chosen = low.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("id", "lang").collect()
     wanted = docs.sparkSession.createDataFrame(chosen, rows.schema) if chosen else rows.limit(0)
 
     def count(batches):
