@@ -19,7 +19,7 @@ LANGUAGES = 200
 DIM = 4096
 CENTROIDS = 4
 #: A document is rejected if its best cosine is below this share of its language's first percentile in training.
-REJECT_SHARE = 0.5
+REJECT_SHARE = 0.2
 UNDETERMINED = "und"
 _STEP = 1 << 20
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
