@@ -250,10 +250,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_leaked(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, with their columns, whose text holds no item. The flagged keys are broadcast only if they are few."""
-    keys = leaks.select(F.coalesce("doc_id", F.lit(-1)).alias("_d"), F.col("t").alias("_t")).distinct()
+    keys = leaks.select(F.coalesce("doc_id", F.lit(-1)).alias("_meshloom_d"), F.col("t").alias("_meshloom_t")).distinct()
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    return docs.join(keys, (F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) == F.col("_d")) & (F.xxhash64(F.col(text_col)) == F.col("_t")), "left_anti")
+    return docs.join(keys, (F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) == F.col("_meshloom_d")) & (F.xxhash64(F.col(text_col)) == F.col("_meshloom_t")), "left_anti")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

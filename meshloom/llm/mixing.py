@@ -88,7 +88,7 @@ def _small(leaves: DataFrame) -> DataFrame:
 
 
 def _key(seed: str) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(seed), F.col("full").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    return F.md5(F.concat_ws(":", F.lit(seed), F.col("_full").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
 
 
 def mixing_plan(slim: DataFrame, share: tuple[int, int] = SHARE, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
@@ -99,23 +99,23 @@ def mixing_plan(slim: DataFrame, share: tuple[int, int] = SHARE, epochs: int = E
     gathered by leaf, so no leaf is ever sorted in one task.
     """
     supply = slim.groupBy(*LEAF).agg(F.sum("n_tokens").alias("supply")).where("supply > 0")
-    leaves = materialise(leaf_budgets(supply, share, epochs).select(*LEAF, F.expr("part DIV supply").alias("full"), F.expr("part % supply").alias("rest")), "leaves")
-    keyed = slim.join(_small(leaves.where("rest > 0")), list(LEAF)).withColumn("bucket", F.substring(_key(seed), 1, 3))
-    sums = keyed.groupBy(*LEAF, "rest", "bucket").agg(F.sum("n_tokens").alias("n"))
-    upto = Window.partitionBy(*LEAF).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    last = sums.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where("before < rest").groupBy(*LEAF).agg(F.max("bucket").alias("last"), F.max("before").alias("before"))
+    leaves = materialise(leaf_budgets(supply, share, epochs).select(*LEAF, F.expr("part DIV supply").alias("_full"), F.expr("part % supply").alias("_rest")), "leaves")
+    keyed = slim.join(_small(leaves.where("_rest > 0")), list(LEAF)).withColumn("_bucket", F.substring(_key(seed), 1, 3))
+    sums = keyed.groupBy(*LEAF, "_rest", "_bucket").agg(F.sum("n_tokens").alias("n"))
+    upto = Window.partitionBy(*LEAF).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    last = sums.withColumn("_before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where("_before < _rest").groupBy(*LEAF).agg(F.max("_bucket").alias("_last"), F.max("_before").alias("_before"))
     return materialise(leaves.join(last, list(LEAF), "left"), "mixing")
 
 
 def select_mixed(docs: DataFrame, plan: DataFrame, seed: str = SEED) -> DataFrame:
     """The rows of docs (with doc_id, domain, lang, source, n_tokens) once for each epoch they are used in, with epoch and take_tokens."""
-    joined = docs.join(_small(plan), list(LEAF)).withColumn("key", _key(seed)).withColumn("bucket", F.substring("key", 1, 3))
+    joined = docs.join(_small(plan), list(LEAF)).withColumn("_key", _key(seed)).withColumn("_bucket", F.substring("_key", 1, 3))
     kept = [*docs.columns, "epoch", "take_tokens"]
-    whole = joined.where("full > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, full - 1)"))).withColumn("take_tokens", F.col("n_tokens"))
-    early = joined.where("rest > 0 AND bucket < last").withColumns({"epoch": F.col("full"), "take_tokens": F.col("n_tokens")})
-    order = Window.partitionBy(*LEAF).orderBy("key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    edge = joined.where("rest > 0 AND bucket = last").withColumn("had", F.col("before") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
-    edge = edge.withColumns({"epoch": F.col("full"), "take_tokens": F.least(F.col("n_tokens"), F.col("rest") - F.col("had"))})
+    whole = joined.where("_full > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, _full - 1)"))).withColumn("take_tokens", F.col("n_tokens"))
+    early = joined.where("_rest > 0 AND _bucket < _last").withColumns({"epoch": F.col("_full"), "take_tokens": F.col("n_tokens")})
+    order = Window.partitionBy(*LEAF).orderBy("_key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    edge = joined.where("_rest > 0 AND _bucket = _last").withColumn("_had", F.col("_before") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
+    edge = edge.withColumns({"epoch": F.col("_full"), "take_tokens": F.least(F.col("n_tokens"), F.col("_rest") - F.col("_had"))})
     return whole.select(*kept).unionAll(early.select(*kept)).unionAll(edge.select(*kept)).where("take_tokens > 0")
 
 
@@ -127,7 +127,7 @@ def mix(docs: DataFrame, share: tuple[int, int] = SHARE, epochs: int = EPOCHS, s
     Documents without tokens are never drawn, so null and empty texts go; null languages and sources
     form leaves of their own; a null doc_id is ordered as ''. Repeated rows count as separate
     documents. An empty table gives no rows. Columns called domain, n_tokens, epoch or take_tokens
-    are replaced.
+    are replaced; others keep their names, apart from _full, _rest, _last, _before, _key, _bucket and _had.
     """
     docs = with_leaf(docs.drop("domain", "n_tokens", "epoch", "take_tokens")).withColumn("n_tokens", count_tokens(F.col(text_col)))
     slim = materialise(docs.select("doc_id", *LEAF, "n_tokens"), "slim")

@@ -446,3 +446,40 @@ def test_sketch_estimates_similarity():
         exact = len(s[0] & s[1]) / len(s[0] | s[1])
         sk = [np.frombuffer(neardup.describe(" ".join(x).encode())[2], np.uint8)[None] for x in (a, b)]
         assert abs(neardup.similarity(*sk)[0] - exact) < 0.11
+
+
+# Clashing columns --------------------------------------------------------------------------------
+
+NAMES = ["t", "b", "k", "fp", "node", "component", "n", "h", "pos", "slots", "first", "end", "rest", "full", "key", "bucket", "last", "before", "had", "_d", "_t", "hub", "item_id", "media", "base", "tokens", "q1"]
+
+
+def test_columns_of_any_name_pass_through(docs, spark):
+    wide = docs.withColumns({c: docs.doc_id for c in NAMES})
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    keeps = {
+        "pii": pii.pseudonymise_documents(wide, counts=False), "near": neardup.drop_near_duplicates(wide), "mix": mixing.mix(wide), "language": langid.identify(wide, langid.fit(wide)),
+        "leaks": decontaminate.drop_leaked(wide, decontaminate.find_leaks(wide, items.withColumn("h", items.item_id))),
+    }
+    for name, out in keeps.items():
+        rows_ = got(out)
+        assert rows_ and all(r[c] == r["doc_id"] for r in rows_ for c in NAMES), name
+    for plain, clash in (
+        (simhash.simhash_components(docs), simhash.simhash_components(wide)), (substrings.drop_repeated(docs), substrings.drop_repeated(wide)),
+        (media.media_features(media.encode_media(docs)), media.media_features(media.encode_media(wide))), (secrets.scan_secrets(docs), secrets.scan_secrets(wide)),
+    ):
+        assert Counter(map(str, plain.collect())) == Counter(map(str, clash.collect()))
+
+
+def test_every_operator_on_rows_without_values(spark):
+    blank = spark.createDataFrame([(None,) * 5, (None,) * 5], DOCS)
+    items = spark.createDataFrame([(None, None)], "item_id long, text string")
+    sizes = [
+        simhash.simhash_components(blank), substrings.drop_repeated(blank), media.media_features(media.encode_media(blank)), secrets.scan_secrets(blank), pii.pseudonymise_documents(blank), langid.identify(blank, langid.fit(blank)),
+        decontaminate.drop_leaked(blank, decontaminate.find_leaks(blank, items)),
+    ]
+    assert [df.count() for df in sizes] == [2] * 7
+    assert neardup.drop_near_duplicates(blank).count() == 1 and mixing.mix(blank).count() == 0
+    pages = spark.createDataFrame([(None, None, None)], "page_id long, url string, html string")
+    assert got(html.extract_text(pages)) == [{"page_id": None, "url": None, "text": "", "n_chars": 0}]
+    r = got(urls.judge_urls(pages))[0]
+    assert (r["host"], r["path"], r["rule"]) == ("", "", None) and r["verdict"] in ("allow", "block")
