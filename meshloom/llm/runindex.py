@@ -65,8 +65,8 @@ def _suffix_order(keys: np.ndarray, rest: np.ndarray, longest: int) -> np.ndarra
     return order
 
 
-def _matches(keys: np.ndarray, text: np.ndarray, rest: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of the suffixes at a[i] and b[i]."""
+def _matches(keys: np.ndarray, text: np.ndarray, rest: np.ndarray, a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
+    """Length of the common prefix of the suffixes at a[i] and b[i]; one below `least` may come out up to _PACK - 1 short."""
     out, live, n = np.zeros(len(a), np.int64), np.arange(len(a)), len(keys)
     most = np.minimum(rest[a], rest[b])
     while len(live):
@@ -74,16 +74,16 @@ def _matches(keys: np.ndarray, text: np.ndarray, rest: np.ndarray, a: np.ndarray
         same = (keys[p] == keys[q]) & (out[live] + _PACK <= most[live])
         live = live[same]
         out[live] += _PACK
-    for _ in range(_PACK):
-        p, q = np.minimum(a + out, n - 1), np.minimum(b + out, n - 1)
-        more = (out < most) & (text[p] == text[q])
-        if not more.any():
-            break
-        out[more] += 1
+    live = np.flatnonzero(out + _PACK > least)
+    while len(live):
+        p, q = np.minimum(a[live] + out[live], n - 1), np.minimum(b[live] + out[live], n - 1)
+        live = live[(out[live] < most[live]) & (text[p] == text[q])]
+        out[live] += 1
     return out
 
 
-def build(strings: list[bytes]) -> RunIndex:
+def build(strings: list[bytes], least: int = 0) -> RunIndex:
+    """The index of the strings; matches below `least` are only bounded from below."""
     sizes = np.array([len(s) for s in strings], np.int64)
     n = int(sizes.sum()) + len(strings)
     text = np.zeros(n, np.uint16)
@@ -101,8 +101,8 @@ def build(strings: list[bytes]) -> RunIndex:
     end = np.flatnonzero(cut[1:])
     up, down = head[head > 0], end[end < n - 1]
     first, last = np.zeros(len(head), np.int64), np.zeros(len(end), np.int64)
-    first[head > 0] = _matches(keys, text, rest, order[up], order[up - 1])
-    last[end < n - 1] = _matches(keys, text, rest, order[down], order[down + 1])
+    first[head > 0] = _matches(keys, text, rest, order[up], order[up - 1], least)
+    last[end < n - 1] = _matches(keys, text, rest, order[down], order[down + 1], least)
     by_head, by_end = np.argsort(order[head]), np.argsort(order[end])
     return RunIndex(n, before[head].astype(np.uint8), np.diff(np.append(head, n)), order[head][by_head], first[by_head], order[end][by_end], last[by_end], starts)
 
@@ -122,6 +122,6 @@ def repeated_starts(strings: list[bytes], window: int) -> list[np.ndarray]:
     """For each string which of its windows also start somewhere else in the strings, itself included."""
     if not strings:
         return []
-    index = build(strings)
+    index = build(strings, window)
     long = matching_statistics(index) >= window
     return [long[s : s + max(0, len(t) - window + 1)] for s, t in zip(index.starts, strings, strict=True)]

@@ -23,7 +23,7 @@ from .runindex import repeated_starts
 WINDOW, GRAM = 400, 64
 SPAN = WINDOW - GRAM + 1
 #: Windows of a text handled at once, and bytes of segments in an index.
-_STEP, _INDEX = 1 << 20, 2 << 20
+_STEP, _INDEX = 1 << 20, 1 << 18
 #: A key with more bytes of different segments than this has its windows compared by 128-bit hash instead of in one index.
 CROWDED = 16 << 20
 _ODD = 0x9E3779B97F4A7C15
