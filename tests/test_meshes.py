@@ -267,3 +267,23 @@ def test_streaming_ingest(spark, tmp_path):
     (tmp_path / "in" / "c.obj").write_bytes(meshfile.encode_obj(box(2)))
     once()
     assert spark.read.parquet(reports).count() == 2
+
+
+def test_decoder_in_sql(spark):
+    from meshloom.functions import tables
+
+    tables.register(spark)
+    spark.createDataFrame([("a.obj", meshfile.encode_obj(box())), ("b.ply", b"x")], "path string, content binary").createOrReplaceTempView("mesh_files")
+    rows = {r.mesh_id: r for r in spark.sql("SELECT d.* FROM mesh_files, LATERAL decode_mesh(path, content) d").collect()}
+    assert len(rows["a.obj"].faces) == 12 and len(rows["a.obj"].vertices) == 8 and rows["b.ply"].error
+
+
+def test_orientation_of_shuffled_faces(spark):
+    rng = np.random.default_rng(4)
+    m = two_spheres()
+    turned = rng.random(len(m.faces)) < 0.5
+    f = np.where(turned[:, None], m.faces[:, [0, 2, 1]], m.faces)
+    out = topology.oriented_faces(m.vertices, f)
+    p = m.vertices[out]
+    assert voxels.manifold_flags(out)["is_winding_consistent"] and (p[:, 0] * np.cross(p[:, 1], p[:, 2])).sum() > 0
+    assert len(topology.oriented_faces(m.vertices, f[:0])) == 0

@@ -65,6 +65,9 @@ def test_kernels_on_boxes(spark, parts, name):
             assert math.prod(r[f"extent_{d}"] for d in "xyz") >= 0.999 * math.prod(size)
         elif name == "decimated_boxes":
             assert 0 < r.num_faces <= 12 * copies(k)
+        elif name == "oriented_boxes":
+            assert r.is_winding_consistent and r.is_watertight == (k % 7 > 0)
+            assert r.volume is None or r.volume == pytest.approx(copies(k) * parts[k].p_size * size[1] * size[2])
         elif name == "geometry_stage":
             assert r.num_components == copies(k) and 0 <= r.fraction_inside <= 1 and ("primitive_like" in r.reasons)
         elif name == "scored_views":
