@@ -48,8 +48,15 @@ def meshes(batch: pa.RecordBatch) -> Iterator[Mesh]:
         yield Mesh(v[vo[k] : vo[k + 1]], f[fo[k] : fo[k + 1]])
 
 
-def map_meshes(packed: DataFrame, kernel: Callable[[Mesh], dict], schema: str) -> DataFrame:
-    """One row of `schema` (without mesh_id) for each mesh; an exception becomes the row's error column 'Type:message' and the other fields null."""
+def map_meshes(packed: DataFrame, kernel: Callable[[Mesh], dict], schema: str, heavy: bool = False) -> DataFrame:
+    """One row of `schema` (without mesh_id) for each mesh; an exception becomes the row's error column 'Type:message' and the other fields null.
+
+    A heavy kernel's cost lies in its work, not in its bytes, so its meshes are dealt over more
+    partitions than their size asks for.
+    """
+    if heavy:
+        context = packed.sparkSession.sparkContext
+        packed = packed.repartition(max(4 * context.defaultParallelism, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "mesh_id")
     names = [x.split()[0] for x in _split(schema)]
     spark = packed.sparkSession
     key = packed.schema["mesh_id"].dataType.simpleString()

@@ -122,4 +122,4 @@ def render_grids(packed: DataFrame, res: int = 512, supersample: int = 2, six: b
         image = six_view_grid(mesh, res, supersample) if six else four_view_grid(render_views(mesh, FOUR, res, supersample))
         return {"width": image.shape[1], "height": image.shape[0], "png": png(image)}
 
-    return map_meshes(packed, kernel, "width int, height int, png binary")
+    return map_meshes(packed, kernel, "width int, height int, png binary", heavy=True)
