@@ -448,6 +448,36 @@ def test_sketch_estimates_similarity():
         assert abs(neardup.similarity(*sk)[0] - exact) < 0.11
 
 
+def edited(kind, least, r, n=300):
+    """A text of n words and its copy, edited until their similarity is next above least."""
+    a = [f"w{r.randrange(5000)}" for _ in range(n)]
+    last = b = a
+    for k in range(1, n):
+        fresh = [f"x{r.randrange(10**9)}" for _ in range(k)]
+        if kind == "scattered":
+            b = b[:]
+            b[r.randrange(n)] = fresh[0]
+        else:
+            b = a + fresh if kind == "appended" else a[: n // 2] + fresh + a[n // 2 :]
+        if jaccard(a, b) < least:
+            return a, last
+        last = b
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("kind", ["appended", "inserted", "scattered"])
+def test_near_duplicates_share_a_key_wherever_the_edits_are(kind):
+    r, met = random.Random(5), 0
+    for _ in range(100):
+        a, b = (neardup.describe(" ".join(x).encode())[0] for x in edited(kind, 0.8, r))
+        met += bool((a == b).any())
+    assert met >= 99
+
+
 # Clashing columns --------------------------------------------------------------------------------
 
 NAMES = ["t", "b", "k", "fp", "node", "component", "n", "h", "pos", "slots", "first", "end", "rest", "full", "key", "bucket", "last", "before", "had", "_d", "_t", "hub", "item_id", "media", "base", "tokens", "q1"]
