@@ -478,6 +478,43 @@ def test_near_duplicates_share_a_key_wherever_the_edits_are(kind):
     assert met >= 99
 
 
+def star(n, r, size=300):
+    """n - 1 copies of an original, edited each by itself, and the original: only links to it are of 0.8 or more."""
+    base, out = [f"w{r.randrange(5000)}" for _ in range(size)], []
+    for _ in range(n - 1):
+        w, at = base[:], r.randrange(5)
+        for k in r.sample(range(at, size - 5, 12), 6):
+            w[k] = f"x{r.randrange(10**9)}"
+        out.append(w)
+    return [*out, base]
+
+
+def chain(n, r, size=300, step=20):
+    """Texts each like the next only."""
+    whole = [f"w{r.randrange(5000)}" for _ in range(size + n * step)]
+    return [whole[k * step : k * step + size] for k in range(n)]
+
+
+def fully_paired(texts):
+    """The first text of each component of the pairs of similarity 0.8 or more."""
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    group = list(range(len(texts)))
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets[:a]):
+            if group[a] != group[b] and 5 * len(x & y) >= 4 * len(x | y):
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = [new if g == old else g for g in group]
+    return sorted(set(group))
+
+
+@pytest.mark.parametrize("shape, n", [(chain, 60), (chain, 300)])
+def test_near_duplicates_in_large_groups_equal_full_pairing(spark, shape, n):
+    texts = shape(n, random.Random(n))
+    assert shape is chain or sum(jaccard(texts[0], w) >= 0.8 for w in texts[1:]) == 1
+    out = got(neardup.drop_near_duplicates(spark.createDataFrame([(k, " ".join(w), "en", "s", 0) for k, w in enumerate(texts)], DOCS)))
+    assert sorted(r["doc_id"] for r in out) == fully_paired(texts) == [0]
+
+
 # Clashing columns --------------------------------------------------------------------------------
 
 NAMES = ["t", "b", "k", "fp", "node", "component", "n", "h", "pos", "slots", "first", "end", "rest", "full", "key", "bucket", "last", "before", "had", "_d", "_t", "hub", "item_id", "media", "base", "tokens", "q1"]
