@@ -507,7 +507,7 @@ def fully_paired(texts):
     return sorted(set(group))
 
 
-@pytest.mark.parametrize("shape, n", [(chain, 60), (chain, 300)])
+@pytest.mark.parametrize("shape, n", [(star, 100), (star, 400), (chain, 60), (chain, 300)])
 def test_near_duplicates_in_large_groups_equal_full_pairing(spark, shape, n):
     texts = shape(n, random.Random(n))
     assert shape is chain or sum(jaccard(texts[0], w) >= 0.8 for w in texts[1:]) == 1
@@ -515,6 +515,16 @@ def test_near_duplicates_in_large_groups_equal_full_pairing(spark, shape, n):
     assert sorted(r["doc_id"] for r in out) == fully_paired(texts) == [0]
 
 
+def test_near_duplicates_next_to_the_bound_are_decided_exactly(spark):
+    r, table, left = random.Random(9), [], []
+    for k in range(60):
+        a, b = edited("scattered", (0.76, 0.8)[k % 2], r)
+        table += [(2 * k, " ".join(a), "en", "s", 0), (2 * k + 1, " ".join(b), "en", "s", 0)]
+        left += [2 * k, 2 * k + 1][: 1 + (jaccard(a, b) < 0.8)]
+    assert 70 < len(left) < 110
+    assert sorted(x["doc_id"] for x in got(neardup.drop_near_duplicates(spark.createDataFrame(table, DOCS)))) == left
+
+
 # Clashing columns --------------------------------------------------------------------------------
 
 NAMES = ["t", "b", "k", "fp", "node", "component", "n", "h", "pos", "slots", "first", "end", "rest", "full", "key", "bucket", "last", "before", "had", "_d", "_t", "hub", "item_id", "media", "base", "tokens", "q1"]
