@@ -3,9 +3,10 @@
 Texts become streams of lower-cased words (A-Z and Latin-1; runs of letters or of digits) in which numbers, units after numbers and names (capitalised
 words inside a sentence) are typed placeholders. Windows of WINDOW words are hashed as they stand and
 as templates and joined with those of the benchmark items. A document holds an item if along the
-diagonals of the match whose slots map one to one (each value of the item always to the same other
-value) at least CONTAINED of the item's windows are found. So a copy with other numbers or names is found,
-and one whose numbers or names don't fit together isn't.
+diagonals of the match at least CONTAINED of the item's windows are found. Windows found word for word
+count in any case, those found as templates only if the slots of the diagonal are filled consistently
+(each value of the item always with the same other value). So a copy with other numbers or names is
+found, and one whose numbers or names don't fit together is only if enough of it is there word for word.
 """
 
 from __future__ import annotations
@@ -223,7 +224,7 @@ def _window_rows(table: DataFrame, allowed: np.ndarray | None, width: int) -> Da
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW, contained: float = CONTAINED) -> DataFrame:
     """One row (doc_id, item_id, kind, coverage, n_matched, n_windows, t) per document and item it holds.
 
-    kind is 'verbatim' if all slots of the match have the item's values, else 'reparameterised'; t is
+    kind is 'verbatim' if all slots of the windows counted have the item's values, else 'reparameterised'; t is
     the hash of the document's text. Null and empty texts and items, and items of fewer than
     LEAST_WORDS words, match nothing. Repeated rows (same doc_id and text) give one row; a null doc_id
     or item_id is kept as such. Either table may be empty. Documents' windows are reduced by a filter
@@ -237,12 +238,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     met = hits.withColumnRenamed("id", "doc_id").drop("n").join(items, "h").where(F.col("slots").isNull() == F.col("item_slots").isNull())
     pair = ["doc_id", "t", "item_id", "item_t", "n_windows"]
     lines = met.groupBy(*pair, (F.col("pos") - F.col("item_pos")).alias("line")).agg(
-        F.collect_set("item_pos").alias("at"), F.collect_set(F.when(F.col("slots").isNotNull(), F.struct("item_slots", "slots"))).alias("s")
-    )  # at most as many as the item has windows
+        F.collect_set(F.when(F.col("slots").isNull(), F.col("item_pos"))).alias("plain"),
+        F.collect_set(F.when(F.col("slots").isNotNull(), F.struct("item_pos", "item_slots", "slots"))).alias("s"),
+    )  # at most in proportion to the item's windows
     lines = lines.withColumn("m", F.array_distinct(F.flatten(F.transform("s", lambda x: F.zip_with(F.split(x["item_slots"], "\x1f"), F.split(x["slots"], "\x1f"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))))))
-    lines = lines.withColumns({"a": F.expr("m.a"), "b": F.expr("m.b")})
-    lines = lines.where("size(array_distinct(a)) = size(m) AND size(array_distinct(b)) = size(m)")
-    found = lines.groupBy(*pair).agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_matched"), F.every(F.col("a") == F.col("b")).alias("same"))
+    fits = F.expr("size(array_distinct(m.a)) = size(m)")
+    lines = lines.select(*pair, F.when(fits, F.array_union("plain", F.expr("s.item_pos"))).otherwise(F.col("plain")).alias("at"), (~fits | F.forall("m", lambda x: x["a"] == x["b"])).alias("same"))
+    lines = lines.where(F.size("at") > 0)
+    found = lines.groupBy(*pair).agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_matched"), F.every("same").alias("same"))
     found = found.where(F.col("n_matched") >= contained * F.col("n_windows")).withColumn("coverage", F.round(F.col("n_matched") / F.col("n_windows"), 6))
     best = found.groupBy("doc_id", "t", "item_id").agg(F.max(F.struct("coverage", "same", "n_matched", "n_windows")).alias("x"))
     return best.select("doc_id", "item_id", F.when(F.col("x.same"), "verbatim").otherwise("reparameterised").alias("kind"), "x.coverage", "x.n_matched", "x.n_windows", "t")

@@ -350,6 +350,17 @@ def test_leaks_by_template_and_slots(spark):
     assert decontaminate.find_leaks(d.limit(0), b).count() == 0 and decontaminate.find_leaks(d, b.limit(0)).count() == 0
 
 
+def test_leaks_word_for_word_whatever_a_slot_holds(spark):
+    words = prose(70, 8).split()
+    words[10] = words[35] = words[60] = "Maria"
+    item, altered = " ".join(words), " ".join([*words[:35], "Marta", *words[36:]])
+    half = " ".join("Marta" if k == 35 else w + "x" * (k % 9 == 0) for k, w in enumerate(words))
+    table = [(1, f"intro. {altered} end"), (2, half), (3, "we saw 5 red apples in the box and 5 green apples in the old bag on the table")]
+    items = [(1, item), (2, "we saw 3 red apples in the box and 4 green apples in the old bag on the table")]
+    leaks = decontaminate.find_leaks(spark.createDataFrame(table, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.kind, r.n_matched, r.n_windows) for r in leaks.collect()} == {(1, 1, "verbatim", 61, 66), (3, 2, "reparameterised", 15, 15)}
+
+
 def test_tokens_of_pieces_equal_those_of_the_whole(monkeypatch):
     text = (prose(3000, 1) + ". Then 3.5 km, Bob-said 7kg! " + "ß" * 200 + " É Ça " + prose(2000, 2)).encode()
     whole = decontaminate._tokens(text)
