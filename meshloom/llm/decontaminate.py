@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows, with a check that slots are filled consistently.
 
 Texts become streams of lower-cased words (A-Z and Latin-1; runs of letters or of digits) in which numbers, units after numbers and names (capitalised
-words inside a sentence) are typed placeholders. Windows of WINDOW words are hashed as they stand and
+words inside a sentence, and at its start also, beside the word itself) are typed placeholders. Windows of WINDOW words are hashed as they stand and
 as templates and joined with those of the benchmark items. A document holds an item if along the
 diagonals of the match at least CONTAINED of the item's windows are found. Windows found word for word
 count in any case, those found as templates only if the slots of the diagonal are filled consistently
@@ -132,11 +132,16 @@ def _long_tokens(data: bytes) -> _Tokens:
     return parts[0] if len(parts) == 1 else _Tokens(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("start", "end", "hash", "kind", "after_mark")))
 
 
-def _windows(stream: np.ndarray, width: int) -> np.ndarray:
-    out = np.zeros(len(stream) - width + 1, np.uint64)
+def _sums(stream: np.ndarray, at: np.ndarray | None, width: int) -> np.ndarray:
+    """Sums of the windows of a stream, of all or of those at some places; _mixed makes hashes of them."""
+    out = np.zeros(len(stream) - width + 1 if at is None else len(at), np.uint64)
     for k in range(width):
-        out += stream[k : k + len(out)] * _P[k]
-    out ^= out >> np.uint64(29)
+        out += (stream[k : k + len(out)] if at is None else stream[at + k]) * _P[k]
+    return out
+
+
+def _mixed(out: np.ndarray) -> np.ndarray:
+    out = out ^ out >> np.uint64(29)
     out *= np.uint64(0xBF58476D1CE4E5B9)
     return out ^ out >> np.uint64(32)
 
@@ -144,12 +149,30 @@ def _windows(stream: np.ndarray, width: int) -> np.ndarray:
 _SLOTS = np.array([0x0123456789ABCDEF, 0x1123456789ABCDEF, 0x2123456789ABCDEF, 0x3123456789ABCDEF], np.uint64)
 
 
-def template_windows(texts: list[bytes], width: int = WINDOW):
-    """For a few texts: (text, number of its windows, hashes, positions in it, slots or None for plain ones) of the plain and the template windows.
+#: Windows with more words at sentence starts than this are listed with none and with all of them as names.
+_STARTS = 5
+
 
-    A template window is listed only if it has slots and enough words besides; a text of fewer words
-    than a window is one window, one of fewer than LEAST_WORDS none. Slots are spelled by a function
-    of the windows' places in the lists, so only those asked for are.
+def _choices(bits: np.ndarray) -> list[int]:
+    """The sets of offsets, as bits, that can be names where a sentence starts."""
+    out = set()
+    for b in np.unique(bits).tolist():
+        part = b
+        while part:
+            out.add(part)
+            part = part - 1 & b if b.bit_count() <= _STARTS else 0
+    return sorted(out)
+
+
+def template_windows(texts: list[bytes], width: int = WINDOW):
+    """For a few texts: the text of each word, where texts start, their numbers of windows, and the plain and the template windows.
+
+    The windows are lists of (position, hash, first word, words, names): names is None for plain ones,
+    else which words at sentence starts are slots besides the others, as bits. A template window has
+    slots. One of fewer than LEAST_LITERAL words besides is widened to the left, and to the right, until
+    it has so many; it is left out only where the text, or len(_P) words, end before. A text of fewer
+    words than a window is one window, one of fewer than LEAST_WORDS none. Slots are spelled by a
+    function of first word, words and names, so only those asked for are.
     """
     whole = b"\n\x00\n".join(texts)
     t = _long_tokens(whole)
@@ -157,28 +180,55 @@ def template_windows(texts: list[bytes], width: int = WINDOW):
     owner = np.searchsorted(np.cumsum(sizes), t.start, side="right")
     count = np.bincount(owner, minlength=len(texts))
     base = np.cumsum(count) - count
-    slot = (t.kind == _NUMBER) | (t.kind == _UNIT) | (t.kind == _CAPITAL) & ~t.after_mark
-    typed = np.where(slot, _SLOTS[t.kind], t.hash)
-    filled = np.concatenate([[0], np.cumsum(slot)])
+    starts = (t.kind == _CAPITAL) & t.after_mark
+    slot = (t.kind != _WORD) & ~starts
     out = []
 
-    def spell(at: int, n: int) -> str:
-        return "\x1f".join(_lowered(np.frombuffer(whole[t.start[k] : t.end[k]], np.uint8))[0].tobytes().decode("utf-8", "replace") for k in range(at, at + n) if slot[k])
+    def spell(at: int, n: int, names: int) -> str:
+        return "\x1f".join(_lowered(np.frombuffer(whole[t.start[k] : t.end[k]], np.uint8))[0].tobytes().decode("utf-8", "replace") for k in range(at, at + n) if slot[k] or starts[k] and names >> k - at & 1)
 
+    streams = [(0, slot, np.where(slot, _SLOTS[t.kind], t.hash)), (-1, slot | starts, np.where(slot | starts, _SLOTS[t.kind], t.hash))]
     if len(t.start) >= width:
-        plain, both = _windows(t.hash, width), _windows(typed, width)
-        inside = owner[: len(plain)] == owner[width - 1 :]
+        inside = owner[: len(t.start) - width + 1] == owner[width - 1 :]
+        at = np.flatnonzero(inside)
+        out.append((at, _mixed(_sums(t.hash, None, width))[at], at, width, None))
+        filled = np.concatenate([[0], np.cumsum(slot)])
         n = filled[width:] - filled[:-width]
-        out.append((np.flatnonzero(inside), plain, False, width))
-        out.append((np.flatnonzero(inside & (n > 0) & (width - n >= LEAST_LITERAL)), both, True, width))
+        sums = _sums(streams[0][2], None, width)
+        at = np.flatnonzero(inside & (n > 0) & (width - n >= LEAST_LITERAL))
+        out.append((at, _mixed(sums[at]), at, width, 0))
+        bits = sum((starts[k : k + len(inside)].astype(np.uint64) << np.uint64(k) for k in range(width)), np.zeros(len(inside), np.uint64))
+        some = np.flatnonzero(inside & (bits > 0))
+        for names in _choices(bits[some]):
+            at = some[(bits[some] & np.uint64(names) == np.uint64(names)) & (width - n[some] - names.bit_count() >= LEAST_LITERAL)]
+            own = sums[at]
+            for k in range(width):
+                if names >> k & 1:
+                    own += (_SLOTS[_CAPITAL] - t.hash[at + k]) * _P[k]
+            out.append((at, _mixed(own), at, width, names))
+        for names, slots, typed in streams:
+            words = np.concatenate([[0], np.cumsum(~slots)])
+            begun = np.concatenate([[0], np.cumsum(starts)])
+            have = words[width:] - words[:-width]
+            at = np.flatnonzero(inside & (have < width) & (have < LEAST_LITERAL))
+            left = np.searchsorted(words, words[at + width] - LEAST_LITERAL, side="right") - 1
+            right = np.searchsorted(words, words[at] + LEAST_LITERAL)
+            low, high = base[owner[at]], base[owner[at]] + count[owner[at]]
+            for k, first, last in ((1, left, at + width), (2, at, right)):
+                good = (first >= low) & (last <= high) & (last - first <= len(_P))
+                if names:  # without such words the window is in the first stream
+                    good[good] = begun[last[good]] > begun[first[good]]
+                where, first, wide = at[good], first[good], (last - first)[good]
+                for w in np.unique(wide).tolist():
+                    of = wide == w
+                    out.append((where[of], _mixed(_sums(typed, first[of], w) + np.uint64(k)), first[of], w, names))
     for d in np.flatnonzero((count >= LEAST_WORDS) & (count < width)):
-        at, w = int(base[d]), int(count[d])
-        n = int(filled[at + w] - filled[at])
-        for stream, use, kind in ((t.hash, True, False), (typed, n > 0 and w - n >= LEAST_LITERAL, True)):
-            if use:
-                h = np.zeros(at + 1, np.uint64)
-                h[at] = _windows(stream[at : at + w], w)[0]
-                out.append((np.array([at]), h, kind, w))
+        at, w = np.array([base[d]]), int(count[d])
+        out.append((at, _mixed(_sums(t.hash, at, w)), at, w, None))
+        for names, slots, typed in streams:
+            n = int(slots[at[0] : at[0] + w].sum())
+            if n and w - n >= LEAST_LITERAL and (not names or starts[at[0] : at[0] + w].any()):
+                out.append((at, _mixed(_sums(typed, at, w)), at, w, names))
     return owner, base, np.where(count >= LEAST_WORDS, np.maximum(count - width + 1, 1), 0), out, spell
 
 
@@ -206,14 +256,15 @@ def _window_rows(table: DataFrame, allowed: np.ndarray | None, width: int) -> Da
             for held in groups(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 owner, base, windows, found, spell = template_windows([x for _, x in held], width)
                 known: dict[int, int] = {}
-                for at, hashes, has_slots, w in found:
+                for at, hashes, first, w, names in found:
                     if allowed is not None:
-                        at = at[may_hold(allowed, hashes[at])]
-                    for k, h, d in zip(at.tolist(), hashes[at].view(np.int64).tolist(), owner[at].tolist(), strict=True):
+                        live = may_hold(allowed, hashes)
+                        at, hashes, first = at[live], hashes[live], first[live]
+                    for k, h, f, d in zip(at.tolist(), hashes.view(np.int64).tolist(), first.tolist(), owner[at].tolist(), strict=True):
                         if d not in known:
                             t = xxhash.xxh64_intdigest(held[d][1], 42)
                             known[d] = t - (t >> 63 << 64)
-                        rows.append((held[d][0], known[d], int(windows[d]), h, k - int(base[d]), spell(k, w) if has_slots else None))
+                        rows.append((held[d][0], known[d], int(windows[d]), h, k - int(base[d]), None if names is None else spell(f, w, names)))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "t", "n", "h", "pos", "slots"])

@@ -361,6 +361,16 @@ def test_leaks_word_for_word_whatever_a_slot_holds(spark):
     assert {(r.doc_id, r.item_id, r.kind, r.n_matched, r.n_windows) for r in leaks.collect()} == {(1, 1, "verbatim", 61, 66), (3, 2, "reparameterised", 15, 15)}
 
 
+def test_leaks_dense_in_slots_or_with_names_at_sentence_starts(spark):
+    items = [(1, "What is 12 + 34 + 56 + 78?"), (2, "Alice has 5 red apples. Bob gives her 3 apples. How many apples does she have now?"), (3, "Add 7 8 9 10 11 12 13 and tell the sum")]
+    table = [
+        (1, "So. What is 91 + 17 + 26 + 45? Think."), (2, "Carla has 8 red apples. Dave gives her 2 apples. How many apples does she have now?"), (3, "Now add 1 2 3 4 5 6 17 and tell the sum of it"),
+        (4, "What was 91 + 17 + 26 + 45?"), (5, "1 2 3 4 5 6 7 8 9"), (6, "Carla has 8 red apples. Dave gives her 8 apples. How many pears has Emma got now?"),
+    ]
+    leaks = decontaminate.find_leaks(spark.createDataFrame(table, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.kind, r.coverage) for r in leaks.collect()} == {(k, k, "reparameterised", 1.0) for k in (1, 2, 3)}
+
+
 def test_tokens_of_pieces_equal_those_of_the_whole(monkeypatch):
     text = (prose(3000, 1) + ". Then 3.5 km, Bob-said 7kg! " + "ß" * 200 + " É Ça " + prose(2000, 2)).encode()
     whole = decontaminate._tokens(text)
