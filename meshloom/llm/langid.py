@@ -18,13 +18,23 @@ TRAIN_DOCS = 400
 LANGUAGES = 200
 DIM = 4096
 CENTROIDS = 4
-#: A document is rejected if its best cosine is below this share of its language's first percentile in training.
-REJECT_SHARE = 0.2
+#: A document is rejected if its best cosine is below this share of the median of its language's held-out texts of its length.
+REJECT_SHARE = 0.45
+#: Lengths in bytes of letters at which that median is taken; between them it is interpolated by the logarithm of the length.
+LENGTHS = (4, 8, 16, 32, 64, 128, 256, 512, 1024)
+#: Of each language one in so many training documents is held out for it, and a length needs so many texts.
+HELD_OUT, LEAST_HELD = 4, 4
 UNDETERMINED = "und"
 _STEP = 1 << 20
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
+def letters_of(text: str | None, most: int) -> str:
+    """The lower-cased letters that a text begins with, words set apart by spaces, at most so many bytes of them."""
+    letters = _NOT_LETTERS.sub(" ", text[: 8 * most].lower()).strip() if text else ""
+    return letters.encode()[:most].decode("utf-8", "ignore").strip()
+
+
 def ngram_counts(text: str | None) -> np.ndarray | None:
     """Counts of hashed byte 1- to 3-grams of the lower-cased letters of the whole text, words set apart by spaces; None without letters."""
     letters = _NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
@@ -47,12 +57,17 @@ class CentroidModel:
     owner: np.ndarray
     centroids: np.ndarray
     idf: np.ndarray
-    least: np.ndarray
+    least: np.ndarray  # by language and length
 
     def vector(self, counts: np.ndarray) -> np.ndarray:
         v = np.log1p(counts) * self.idf
         return v / max(float(np.sqrt(v @ v)), 1e-12)
 
+    def bound(self, lang: int, counts: np.ndarray) -> float:
+        """The least cosine of a text of this language, given its counts (each byte of letters and two of the margins start three grams)."""
+        size = max(int(counts.sum()) // 3 - 2, 1)
+        return float(np.interp(np.log(size), np.log(LENGTHS), self.least[lang]))
+
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score in 0..1 (best cosine), rejected."""
         counts = ngram_counts(text)
@@ -61,30 +76,56 @@ class CentroidModel:
         cosines = self.centroids @ self.vector(counts)
         best = int(np.argmax(cosines))
         lang = int(self.owner[best])
-        return self.languages[lang], float(min(1.0, max(0.0, cosines[best]))), bool(cosines[best] < self.least[lang])
+        return self.languages[lang], float(min(1.0, max(0.0, cosines[best]))), bool(cosines[best] < self.bound(lang, counts))
+
+
+def _k_means(x: np.ndarray, k: int) -> np.ndarray:
+    heads = [x.mean(axis=0)]
+    while len(heads) < min(k, len(x)):
+        heads.append(x[int(np.argmin(np.max(x @ np.array(heads).T, axis=1)))])
+    c = np.array(heads)
+    for _ in range(10):
+        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
+        near = np.argmax(x @ c.T, axis=1)
+        c = np.array([x[near == j].mean(axis=0) if (near == j).any() else c[j] for j in range(len(c))])
+    return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
-def train_centroids(labelled: list[tuple[str, np.ndarray]], k: int = CENTROIDS, reject_share: float = REJECT_SHARE) -> CentroidModel:
-    """Spherical k-means in each language, started from the vectors farthest apart; no labelled vectors give a model that leaves all undetermined."""
-    languages = tuple(sorted({lang for lang, _ in labelled}))
+def _medians(heads: list[str], idf: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The median cosine with the centroids c of the beginnings of texts, by length; lengths of too few texts take that of the next one."""
+    out = np.full(len(LENGTHS), np.nan)
+    for at, size in enumerate(LENGTHS):
+        cut = [t for h in heads if len(h.encode()) >= size and (t := letters_of(h, size))]
+        if len(cut) >= min(LEAST_HELD, len(heads)):
+            v = np.array([np.log1p(ngram_counts(t)) * idf for t in cut])
+            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+            out[at] = np.median(np.max(v @ c.T, axis=1))
+    known = np.flatnonzero(~np.isnan(out))
+    return np.interp(np.arange(len(out)), known, out[known]) if len(known) else np.zeros(len(out))
+
+
+def train_centroids(labelled: list[tuple[str, np.ndarray, str]], k: int = CENTROIDS, reject_share: float = REJECT_SHARE) -> CentroidModel:
+    """Spherical k-means in each language, started from the vectors farthest apart; no labelled vectors give a model that leaves all undetermined.
+
+    labelled: (language, counts, the letters the text begins with). The bounds of rejection come from
+    texts that the centroids they are compared with weren't trained on, if a language has enough.
+    """
+    languages = tuple(sorted({lang for lang, *_ in labelled}))
     if not languages:
-        return CentroidModel((), np.zeros(0, int), np.zeros((0, DIM)), np.ones(DIM), np.zeros(0))
-    seen = sum((c > 0).astype(np.int64) for _, c in labelled)
+        return CentroidModel((), np.zeros(0, int), np.zeros((0, DIM)), np.ones(DIM), np.zeros((0, len(LENGTHS))))
+    seen = sum((c > 0).astype(np.int64) for _, c, _ in labelled)
     idf = np.log((1 + len(labelled)) / (1 + seen)) + 1
     owner, centroids, least = [], [], []
     for at, lang in enumerate(languages):
-        x = np.array([np.log1p(c) * idf for name, c in labelled if name == lang])
+        own = [(c, head) for name, c, head in labelled if name == lang]
+        x = np.array([np.log1p(c) * idf for c, _ in own])
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-        heads = [x.mean(axis=0)]
-        while len(heads) < min(k, len(x)):
-            heads.append(x[int(np.argmin(np.max(x @ np.array(heads).T, axis=1)))])
-        c = np.array(heads)
-        for _ in range(10):
-            c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-            near = np.argmax(x @ c.T, axis=1)
-            c = np.array([x[near == j].mean(axis=0) if (near == j).any() else c[j] for j in range(len(c))])
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-        least.append(reject_share * float(np.quantile(np.max(x @ c.T, axis=1), 0.01)))
+        c = _k_means(x, k)
+        held = np.arange(len(x)) % HELD_OUT == 0
+        if held.sum() >= LEAST_HELD:
+            least.append(reject_share * _medians([h for (_, h), out in zip(own, held, strict=True) if out], idf, _k_means(x[~held], k)))
+        else:
+            least.append(reject_share * _medians([h for _, h in own], idf, c))
         owner += [at] * len(c)
         centroids.append(c)
     return CentroidModel(languages, np.array(owner), np.vstack(centroids), idf, np.array(least))
@@ -94,7 +135,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Train on a bounded sample of labelled rows: of each language the `most` documents least in a hash of the identifier.
 
     Rows without identifier, language or letters don't take part. The sample is drawn on narrow columns
-    with a limit before the shuffle; only counts of fixed length reach the driver.
+    with a limit before the shuffle; only counts of fixed length and the beginnings of texts reach the driver.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).where("id is not null and lang is not null")
@@ -111,15 +152,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def count(batches):
         for batch in batches:
-            found = [(i, lang, c) for i, lang, text in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True) if (c := ngram_counts(text)) is not None]
+            found = [(i, lang, c, letters_of(text, LENGTHS[-1])) for i, lang, text in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True) if (c := ngram_counts(text)) is not None]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string()), pa.array([np.minimum(x[2], 2**31 - 1).astype(np.int32).tobytes() for x in found], pa.binary())],
-                ["id", "lang", "counts"],
+                [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string()), pa.array([np.minimum(x[2], 2**31 - 1).astype(np.int32).tobytes() for x in found], pa.binary()), pa.array([x[3] for x in found], pa.string())],
+                ["id", "lang", "counts", "head"],
             )
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(wanted), ["id", "lang"], "left_semi")  # at most LANGUAGES x most pairs
-    got = picked.select(F.col("id").cast("string"), "lang", "text").mapInArrow(count, "id string, lang string, counts binary").limit(2 * most * max(1, len(common))).collect()
-    return train_centroids([(r.lang, np.frombuffer(r.counts, np.int32)) for r in sorted(got, key=lambda r: (r.lang, r.id, bytes(r.counts)))])
+    got = picked.select(F.col("id").cast("string"), "lang", "text").mapInArrow(count, "id string, lang string, counts binary, head string").limit(2 * most * max(1, len(common))).collect()
+    return train_centroids([(r.lang, np.frombuffer(r.counts, np.int32), r.head) for r in sorted(got, key=lambda r: (r.lang, r.id, bytes(r.counts)))])
 
 
 def identify(docs: DataFrame, model: CentroidModel, text_col: str = "text") -> DataFrame:

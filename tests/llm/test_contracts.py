@@ -331,6 +331,23 @@ def test_language_accuracy_and_rejection(spark, none):
     assert {r["lang_pred"] for r in got(langid.identify(odd, blank))} == {"und"}
 
 
+POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa"
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan Heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä"
+
+
+def test_unlearned_latin_languages_and_noise_are_rejected_and_short_clean_texts_stay(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model, r = langid.fit(table.where("doc_id % 4 <> 2")), random.Random(4)
+    noise = lambda n: " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 9))) for _ in range(n))
+    assert all(model.predict(t)[2] for t in [POLISH, FINNISH, *(noise(n) for n in (20, 200, 2000) for _ in range(20))])
+    clean = [x.text for x in table.where("doc_id % 4 = 2").collect()]
+    for words in (3, 6, 20, None):
+        kept = [not model.predict(" ".join(t.split()[:words]))[2] for t in clean]
+        assert sum(kept) >= 0.98 * len(kept), words
+    rest = langid.fit(table.where("lang <> 'es'"))
+    assert sum(rest.predict(x.text)[2] for x in table.where("lang = 'es' and n_chars > 300").collect()) >= 0.95 * table.where("lang = 'es' and n_chars > 300").count()
+
+
 # op1 ---------------------------------------------------------------------------------------------
 
 
