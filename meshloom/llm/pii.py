@@ -23,14 +23,20 @@ _ROUNDS = 10
 
 _EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,62})\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])", re.A)
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", re.A)
+#: National numbers: with a leading zero in pairs (French) or after an area code (German, British), or of nine digits (Spanish).
+_NATIONAL = (
+    r"(?:0[1-9](?:[ .-][0-9]{2}){4}|\(?0[1-9][0-9]{1,4}\)?(?: ?[/-] ?|[ .])[0-9]{3,8}(?:[ -][0-9]{2,8}){0,2}"
+    r"|[679][0-9]{2}(?:(?:[ -][0-9]{3}){2}|(?:[ -][0-9]{2}){3})|[89][0-9][ -][0-9]{3}(?:[ -][0-9]{2}){2})(?![A-Za-z0-9_]|[.-][0-9])"
+)
 #: One pass for all that starts with a digit, a plus or a bracket; the first alternative that matches and validates wins.
 _NUMBERS = re.compile(
     r"(?<![A-Za-z0-9_@])(?<![0-9][.\-/])(?=[0-9+(])(?:"
     r"(?P<ip>[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![A-Za-z0-9_]|\.[0-9]))"
-    r"|(?P<date>(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![A-Za-z0-9_]|[./-][0-9]))"
+    r"|(?P<date>(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?:(?=[Tt][0-9]{2}(?::?[0-9]{2}|Z|z))|(?![A-Za-z0-9_]|[./-][0-9])))"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_]|-[0-9]))"
     r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9_]|[-][0-9]))"
-    r"|(?P<phone>(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![A-Za-z0-9_]|[.-][0-9])|\+[0-9]{8,15}(?![A-Za-z0-9_]))"
+    rf"|(?P<phone>{_NATIONAL}|"
+    r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![A-Za-z0-9_]|[.-][0-9])|\+[0-9]{8,15}(?![A-Za-z0-9_]))"
     r")"
 )
 _SOME = re.compile(r"[0-9@]")
@@ -124,6 +130,11 @@ def _phone(value: str, key: bytes) -> str | None:
     if value.count("(") != value.count(")"):
         return None
     digits = _digits(value)
+    spanish = len(digits) == 9 and digits[0] in "6789" and "." not in value
+    if value[0] != "+" and (9 <= len(digits) <= 12 and digits[0] == "0" != digits[1] or spanish):
+        keep = 1 if spanish else 2
+        rest = digits[keep:]
+        return _respelled(value, digits[:keep] + f"{permute(int(rest), 10 ** len(rest), key, f'national{digits[:keep]}{len(rest)}'):0{len(rest)}d}")
     if value[0] == "+" and not 8 <= len(digits) <= 15 or value[0] != "+" and len(digits) != 10:
         return None
     country = digits[:-10] if len(digits) > 10 else ""
@@ -216,7 +227,7 @@ def _numbers(text: str, put) -> str:
     return "".join((*out, text[done:]))
 
 
-_PHONE = re.compile(r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![A-Za-z0-9_]|[.-][0-9])")
+_PHONE = re.compile(_NATIONAL + r"|(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![A-Za-z0-9_]|[.-][0-9])")
 _RUN = re.compile(r"[+(]?[0-9]*")
 
 
@@ -224,7 +235,7 @@ def pseudonymise_documents(docs: DataFrame, text_col: str = "text", key: bytes =
     """The same rows and columns with the values in text_col replaced; with counts, columns n_email ... n_date follow (any of those names in docs are replaced).
 
     E-mail addresses keep their domain and the classes of their characters, cards and IBANs stay valid,
-    dates stay dates in the same spelling, telephone numbers keep country code and punctuation. Equal
+    dates stay dates in the same spelling, telephone numbers keep country code or trunk digits and punctuation. Equal
     values give equal pseudonyms in every document and run under one key. A null text stays null with
     counts of zero, an empty one empty; invalid look-alikes stay as they are. Row by row, no shuffle.
     """

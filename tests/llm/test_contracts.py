@@ -309,6 +309,20 @@ def test_pii_documents(docs, none):
     assert got(pii.pseudonymise_documents(none)) == []
 
 
+@pytest.mark.parametrize("value", ["030 1234 5678", "01 23 45 67 89", "(017) 555-7713", "0176 12345678", "089/1234567", "020 7946 0958", "612 345 678", "612 34 56 78", "91 123 45 67"])
+def test_national_phones(value):
+    new, found = pii.pseudonymise(f"call {value}, or {value}.")
+    first, second = re.fullmatch(r"call (.+), or (.+)\.", new).groups()
+    assert found == {"phone": 2} and first == second != value and re.sub(r"\d", "0", first) == re.sub(r"\d", "0", value)
+
+
+def test_dates_of_timestamps():
+    for stamp in ("2021-03-04T10:00", "2021-03-04T10:00:00Z", "2021-03-04T1000"):
+        new, found = pii.pseudonymise(f"at {stamp}, done")
+        assert found == {"date": 1} and "2021-03-04" not in new and new.endswith(stamp[10:] + ", done")
+    assert pii.pseudonymise("part 2021-03-04Tx and 12 345 678 and 1.234.567.890 and 678.123.456")[1] == {}
+
+
 # op7 ---------------------------------------------------------------------------------------------
 
 
