@@ -2,9 +2,15 @@
 
 Every window of `WINDOW` bytes has a key, the least hash of its grams of GRAM bytes; equal windows
 have equal keys. A document's consecutive windows with one key form a segment (at most SPAN windows).
-Segments whose bytes occur twice are repeated throughout, which a count by hash tells. A window of any
-other segment can only recur in a segment with the same key, so only these segments travel, one of each
-content, and a run-length index per group of keys tells which of their windows recur.
+A window can only recur in a segment with the same key, so the segments that may hold one travel, each
+content once, and a run-length index per group of keys tells which of their windows recur; a content
+that occurs more than once stands in the index twice, whatever the number of its copies.
+
+A key with more than CROWDED bytes of different contents (a short passage in very many surroundings)
+would make one index too large. Its segments are cut again where the distance from a window to its least
+gram leaves a range of a fixed grid; all windows of a piece share a string of WINDOW bytes less the
+range, whose hash is the piece's key. Equal windows have equal distances, so they still meet. Ranges
+shrink by LEVELS until no key is crowded; pieces of one window have one content a key.
 """
 
 from __future__ import annotations
@@ -24,8 +30,10 @@ WINDOW, GRAM = 400, 64
 SPAN = WINDOW - GRAM + 1
 #: Windows of a text handled at once, and bytes of segments in an index.
 _STEP, _INDEX = 1 << 20, 1 << 18
-#: A key with more bytes of different segments than this has its windows compared by 128-bit hash instead of in one index.
-CROWDED = 16 << 20
+#: A key with more bytes of different contents than this is divided; an index holds at most so many more than _INDEX.
+CROWDED = 1 << 20
+#: Distances in a piece, level by level.
+LEVELS = (48, 7, 1)
 _ODD = 0x9E3779B97F4A7C15
 _M = (1 << 64) - 1
 
@@ -103,97 +111,138 @@ def _spans(flags: np.ndarray) -> np.ndarray:
     return np.stack([at[new], at[np.append(new[1:], True)] + WINDOW], axis=1)
 
 
-def _repeated_by_hash(strings: list[bytes]) -> list[np.ndarray]:
-    """As repeated_starts, by 128-bit hashes of all windows."""
-    sizes = [max(0, len(s) - WINDOW + 1) for s in strings]
-    both = np.empty(sum(sizes), dtype=[("a", np.uint64), ("b", np.uint64)])
-    at = 0
-    for s, n in zip(strings, sizes, strict=True):
-        b = np.frombuffer(s, np.uint8)
-        both["a"][at : at + n], both["b"][at : at + n] = _rolling(b, WINDOW, _ODD), _mixed(_rolling(b, WINDOW, 0xC2B2AE3D27D4EB4F))
-        at += n
-    order = np.lexsort((both["b"], both["a"]))
-    same = both[order[1:]] == both[order[:-1]]
-    flags = np.zeros(len(both), bool)
-    flags[order[1:][same]] = True
-    flags[order[:-1][same]] = True
-    return np.split(flags, np.cumsum(sizes)[:-1])
+def pieces(segment: bytes, key: int, width: int) -> list[tuple[int, int, int, bytes]]:
+    """(first byte, end of bytes, key, 128-bit hash of the bytes) of a segment's pieces of at most `width` distances to the least gram."""
+    grams = _mixed(_rolling(np.frombuffer(segment, np.uint8), GRAM, _ODD))
+    spots = np.flatnonzero(grams == np.uint64(key & _M))
+    n = len(segment) - WINDOW + 1
+    anchor = spots[np.searchsorted(spots, np.arange(n))]
+    away = (anchor - np.arange(n)) // width
+    heads = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (away[1:] != away[:-1])))
+    out = []
+    for f, e in zip(heads.tolist(), [*heads[1:].tolist(), n], strict=True):
+        at, low = int(anchor[f]), int(away[f]) * width
+        shared = segment[at - low : at + WINDOW - min(low + width, SPAN) + 1]
+        k = xxhash.xxh64_intdigest(shared, (key ^ low * _ODD) & _M)
+        out.append((f, e + WINDOW - 1, k - (k >> 63 << 64), xxhash.xxh3_128_digest(segment[f : e + WINDOW - 1])))
+    return out
+
+
+_SEGMENT = "doc_id long, t long, first long, end long, k long, g binary, twice boolean, n long"
+_KINDS = (*[pa.int64()] * 5, pa.binary(), pa.bool_(), pa.int64())
 
 
-_SEGMENT = "doc_id long, t long, first long, end long, k long, g binary, twice boolean"
+def _batch(rows: list, kinds: tuple, names: list[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
 
 
 def _segment_table(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            rows = [(i, t, *s) for i, t, b in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True) for s in segments(b)]
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            kinds = (*[pa.int64()] * 5, pa.binary(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "t", "first", "end", "k", "g", "twice"])
+            rows = [(i, t, *s, 1) for i, t, b in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True) for s in segments(b)]
+            yield _batch(rows, _KINDS, _names(_SEGMENT))
 
     return docs.mapInArrow(run, _SEGMENT)
 
 
+def _with_lists(docs: DataFrame, asked: DataFrame, *columns: str) -> DataFrame:
+    """(doc_id, t, b, s) of the documents that rows of asked (doc_id, t, ...) are about, s the array of their columns. Only these documents are shuffled."""
+    wanted = bit_filter(asked, "t")
+
+    def may(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(wanted, batch.column(1).to_numpy(zero_copy_only=False))))
+
+    lists = asked.groupBy(F.col("doc_id").alias("_d"), F.col("t").alias("_t")).agg(F.collect_list(F.struct(*columns)).alias("s"))  # at most as many as the text has windows
+    held = docs.mapInArrow(may, "doc_id long, t long, b binary").join(lists, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t")))
+    return held.select("doc_id", "t", "b", "s")
+
+
+def _piece_table(docs: DataFrame, crowded: DataFrame, width: int) -> DataFrame:
+    """The pieces of contents (k, n, doc_id, t, first, end) of crowded keys, in the form of a segment table; a piece's windows differ from each other."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for i, t, b, lists in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
+                for s in lists:
+                    found = pieces(b[s["first"] : s["end"]], s["top"], width)
+                    rows += [(i, t, s["first"] + f, s["first"] + e, k, g, False, s["n"], s["top"]) for f, e, k, g in found]
+            yield _batch(rows, (*_KINDS, pa.int64()), _names(_SEGMENT + ", top long"))
+
+    return _with_lists(docs, crowded, "top", "n", "first", "end").mapInArrow(run, _SEGMENT + ", top long")
+
+
 def _index_groups(parts: DataFrame) -> DataFrame:
-    """parts: (k, alone, doc_id, t, first, b) clustered and sorted by k -> covered ranges (doc_id, t, first, end) of the rows that stand alone."""
+    """parts: (k, g, n, doc_id, t, first, b) clustered and sorted by k -> the covered ranges of each content: of the document's bytes if n is 1, else (with g) of the content's."""
+    schema = "doc_id long, t long, first long, end long, g binary"
 
     def flush(rows: list) -> pa.RecordBatch:
-        rows_bytes = [r[5] for r in rows]
-        flags = _repeated_by_hash(rows_bytes) if sum(map(len, rows_bytes)) > CROWDED else repeated_starts(rows_bytes, WINDOW)
-        out = [(r[2], r[3], r[4] + int(a), r[4] + int(e)) for r, f in zip(rows, flags, strict=True) if r[1] for a, e in _spans(f)]
-        columns = list(zip(*out, strict=True)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "t", "first", "end"])
+        strings = [b for _, _, n, *_, b in rows for b in [b] * min(n, 2)]
+        flags, out, at = repeated_starts(strings, WINDOW), [], 0
+        for _, g, n, i, t, first, _ in rows:
+            spans = _spans(flags[at]).tolist()
+            out += [(i, t, first + a, first + e, None) for a, e in spans] if n == 1 else [(None, None, a, e, g) for a, e in spans]
+            at += min(n, 2)
+        return _batch(out, (*[pa.int64()] * 4, pa.binary()), _names(schema))
 
     def run(batches):
-        held, ready, size, last = [], 0, 0, None
+        held, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in range(7)), strict=True):
                 if row[0] != last:
                     if size > _INDEX:
                         yield flush(held)
                         held, size = [], 0
-                    last, ready = row[0], len(held)
+                    last = row[0]
                 held.append(row)
-                size += len(row[5])
-                if size > CROWDED + 2 * _INDEX and ready:  # what is complete goes first, before a large group fills the memory
-                    yield flush(held[:ready])
-                    held = held[ready:]
-                    size, ready = sum(len(r[5]) for r in held), 0
+                size += len(row[6]) * min(row[2], 2)
         if held:
             yield flush(held)
 
-    return parts.mapInArrow(run, "doc_id long, t long, first long, end long")
+    return parts.mapInArrow(run, schema)
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """docs: (doc_id, t, b), t a hash of the bytes -> one row (doc_id, t, ranges) per document with repeated windows, ranges an array of (first, end)."""
-    segs = materialise(_segment_table(docs), "segments")
-    kinds = materialise(segs.groupBy("k", "g").agg(F.count("*").alias("n"), F.max("twice").alias("twice"), F.min(F.struct("doc_id", "t", "first", "end")).alias("r")), "contents")
-    keys = kinds.groupBy("k").agg(F.count("*").alias("kinds"), F.min("n").alias("least"), F.max(F.col("twice") & (F.col("n") == 1)).alias("twice"))
-    keys = keys.where("least = 1 AND (kinds > 1 OR twice)").select("k")
-    asked = materialise(kinds.join(keys, "k").select("k", (F.col("n") == 1).alias("alone"), "r.*"), "asked")
-    wanted = bit_filter(asked, "t")
+_CONTENT = ("k", "g", "n", "doc_id", "t", "first", "end")
 
-    def may(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(may_hold(wanted, batch.column(1).to_numpy(zero_copy_only=False))))
 
-    lists = asked.groupBy("doc_id", "t").agg(F.collect_list(F.struct("k", "alone", "first", "end")).alias("s"))
-    held = docs.mapInArrow(may, "doc_id long, t long, b binary").join(lists.withColumnsRenamed({"doc_id": "_d", "t": "_t"}), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t") == F.col("_t")))
+def repeated_ranges(docs: DataFrame) -> DataFrame:
+    """docs: (doc_id, t, b), t a hash of the bytes -> one row (doc_id, t, ranges) per document with repeated windows, ranges an array of (first, end)."""
+    tables, scratch, asked = [materialise(_segment_table(docs).withColumn("top", F.col("k")), "segments")], [], None
+    for width in (*LEVELS, None):
+        kinds = tables[-1].groupBy("k", "g").agg(F.sum("n").alias("n"), F.max("twice").alias("twice"), F.min(F.struct("doc_id", "t", "first", "end", "top")).alias("r"))
+        kinds = materialise(kinds.select("k", "g", "n", "twice", "r.*"), "contents")
+        keys = kinds.groupBy("k").agg(F.count("*").alias("kinds"), F.max("n").alias("most"), F.max("twice").alias("twice"), F.sum(F.expr("(end - first) * least(n, 2L)")).alias("bytes"))
+        keys = materialise(keys.where("kinds > 1 OR most > 1 OR twice").select("k", (F.col("bytes") > CROWDED).alias("crowded")), "keys")
+        scratch += [kinds, keys]
+        plain = kinds.join(keys.where("NOT crowded") if width else keys, "k", "left_semi").select(*_CONTENT)
+        asked = plain if asked is None else asked.unionAll(plain)
+        if not width or not keys.where("crowded").take(1):
+            break
+        crowded = kinds.join(keys.where("crowded"), "k", "left_semi")
+        asked = asked.unionAll(crowded.where("n > 1").withColumn("k", F.xxhash64("g")).select(*_CONTENT))  # copies of a whole content meet by themselves
+        tables.append(materialise(_piece_table(docs, crowded, width), "pieces"))
+    asked = materialise(asked, "asked")
 
     def cut(batches):
         for batch in batches:
-            rows = [(s["k"], s["alone"], i, t, s["first"], b[s["first"] : s["end"]]) for i, t, b, l in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True) for s in l]
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds_ = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds_, strict=True)], ["k", "alone", "doc_id", "t", "first", "b"])
-
-    parts = held.select("doc_id", "t", "b", "s").mapInArrow(cut, "k long, alone boolean, doc_id long, t long, first long, b binary")
-    some = _index_groups(parts.repartition("k").sortWithinPartitions("k"))
-    whole = segs.select("doc_id", "t", "first", "end", "g", "k").join(kinds.where("n > 1").select("k", "g"), ["k", "g"], "left_semi").select("doc_id", "t", "first", "end")
-    ranges = whole.unionAll(some).groupBy("doc_id", "t").agg(F.sort_array(F.collect_set(F.struct("first", "end"))).alias("ranges"))
+            rows = [(s["k"], s["g"], s["n"], i, t, s["first"], b[s["first"] : s["end"]]) for i, t, b, lists in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True) for s in lists]
+            yield _batch(rows, (pa.int64(), pa.binary(), *[pa.int64()] * 4, pa.binary()), ["k", "g", "n", "doc_id", "t", "first", "b"])
+
+    parts = _with_lists(docs, asked, "k", "g", "n", "first", "end").mapInArrow(cut, "k long, g binary, n long, doc_id long, t long, first long, b binary")
+    found = materialise(_index_groups(parts.repartition("k").sortWithinPartitions("k")), "found")
+    copied = found.where("g IS NOT NULL").select("g", F.col("first").alias("a"), F.col("end").alias("e"))
+    ranges = found.where("g IS NULL").select("doc_id", "t", "first", "end")
+    for table in tables:  # what the index says of a content holds for each of its copies
+        ranges = ranges.unionAll(table.select("doc_id", "t", F.col("first").alias("at"), "g").join(copied, "g").select("doc_id", "t", F.expr("at + a").alias("first"), F.expr("at + e").alias("end")))
+    ranges = ranges.groupBy("doc_id", "t").agg(F.sort_array(F.collect_set(F.struct("first", "end"))).alias("ranges"))
     out = materialise(ranges, "ranges")
-    release(segs, kinds, asked)
+    release(*tables, *scratch, asked, found)
     return out
 
 
@@ -212,8 +261,10 @@ def _kept(text: bytes, ranges: list[dict]) -> tuple[int, int, bytes]:
     return removed, runs, b"".join((*out, text[at:]))
 
 
-def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with keep_bytes the remaining bytes as `kept`.
+def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with keep_text the remaining bytes as `text`.
+
+    The text is decoded as UTF-8; the parts of a character that a removal cut become U+FFFD.
 
     A byte goes if it lies in a string of WINDOW bytes that also starts anywhere else in the corpus, in
     the same document too. Null texts count as empty; texts shorter than a window are kept whole.
@@ -224,16 +275,14 @@ def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.xxhash64(F.col(text_col)), F.lit(0)).alias("t"), text_bytes(text_col).alias("b"))
     found = repeated_ranges(source)
     marked = bit_filter(found, "t")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * keep_text
 
     def results(ids, texts, ranges) -> pa.RecordBatch:
         rows = []
         for i, b, r in zip(ids, texts, ranges, strict=True):
             removed, runs, kept = _kept(b, r or [])
-            rows.append((i, len(b), removed, runs, hashlib.sha256(kept).hexdigest(), kept)[: 5 + keep_bytes])
-        columns = list(zip(*rows, strict=True)) or [()] * (5 + keep_bytes)
-        kinds = (*[pa.int64()] * 4, pa.string(), pa.binary())[: 5 + keep_bytes]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in schema.split(", ")])
+            rows.append((i, len(b), removed, runs, hashlib.sha256(kept).hexdigest(), *[kept.decode("utf-8", "replace")] * keep_text))
+        return _batch(rows, (*[pa.int64()] * 4, *[pa.string()] * (1 + keep_text)), _names(schema))
 
     def clean(batches):
         for batch in batches:
@@ -254,4 +303,4 @@ def drop_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_repeated(read_table(spark, sf_dir, "documents"))
+    return drop_repeated(read_table(spark, sf_dir, "documents"), keep_text=True)

@@ -145,12 +145,29 @@ def test_substrings_equal_brute_force(spark, none):
     assert got(substrings.drop_repeated(none)) == []
 
 
-def test_substrings_with_crowded_keys(spark, monkeypatch):
-    monkeypatch.setattr(substrings, "CROWDED", 1000)
-    monkeypatch.setattr(substrings, "_INDEX", 500)
-    strings = [prose(90, 1)[:450].encode() + bytes([65 + k]) * 60 for k in range(12)] + [b"k" * 500]
-    a, b = substrings._repeated_by_hash(strings), substrings.repeated_starts(strings, 400)
-    assert all((x == y).all() for x, y in zip(a, b, strict=True))
+@pytest.mark.parametrize("shared, crowded", [(120, 3000), (300, 3000), (395, 0)])
+def test_substrings_with_crowded_keys(spark, monkeypatch, shared, crowded):
+    monkeypatch.setattr(substrings, "CROWDED", crowded)
+    line = prose(90, 7)[:shared]
+    texts = [prose(70, 100 + k) + line + prose(70, 200 + k) for k in range(25)] + [prose(70, 103) + line + prose(70, 207), "q" + texts_tail(line), line + " " + line + prose(60, 5), "abcd" * 300, prose(70, 104) + line]
+    texts += texts[:3]
+    table = [(k, t, "en", "s", 0) for k, t in enumerate(texts)]
+    cuts = []
+    real = substrings._piece_table
+    monkeypatch.setattr(substrings, "_piece_table", lambda docs, crowded, width: cuts.append(width) or real(docs, crowded, width))
+    out = got(substrings.drop_repeated(spark.createDataFrame(table, DOCS)))
+    assert Counter(tuple(r.values()) for r in out) == Counter((i, *w) for (i, *_), w in zip(table, slow_removed([t.encode() for t in texts]), strict=True))
+    assert cuts and (crowded or cuts == [48, 7, 1])
+
+
+def texts_tail(line):
+    return line + prose(80, 9)
+
+
+def test_substrings_give_the_rest_as_text(spark):
+    table = [(1, "é" * 300 + "a", "en", "s", 0), (2, "x" + "é" * 200, "en", "s", 0), (3, None, None, None, None), (4, "kept", "en", "s", 0)]
+    out = {r["doc_id"]: r["text"] for r in got(substrings.drop_repeated(spark.createDataFrame(table, DOCS), keep_text=True))}
+    assert out == {1: "a", 2: "x", 3: "", 4: "kept"}
 
 
 # op4 ---------------------------------------------------------------------------------------------
