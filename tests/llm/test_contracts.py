@@ -280,7 +280,7 @@ para &lt;x&gt; &#233; &copy; &unknown; 3 < 4.<p>Second<br>line</p><p>Ok.</p><div
 
 
 def test_html_main_text(spark):
-    want = "Head\xa0line First bold para <x> é © &unknown; 3 < 4. Second line Ok."
+    want = "Head line First bold para <x> é © &unknown; 3 < 4. Second line Ok."
     assert html.main_text(PAGE) == want
     cut = PAGE[: PAGE.index("<aside>")].replace("</article>", "")
     assert html.main_text(cut) == want
@@ -295,6 +295,44 @@ def test_html_without_article_uses_density():
     assert text.startswith("plain words") and "another block" in text and "Home" not in text and "Imprint" not in text
 
 
+LONG = "plain words follow each other in this long block of text and end only here "
+
+
+def test_html_names_on_paragraphs_and_foreign_elements():
+    page = f"<body><nav><a href=/>Home</a></nav><article><h1>Title words</h1><p id=login>{LONG}</p><p class=tags>Second {LONG}</p><div class=side-by-side><p>Third {LONG}</p></div><p>Sum <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and <svg><text>label</text></svg> here.</p><p>Brief.</p><div class='ad banner'>Buy this now please</div></article><footer>Imprint</footer></body>"
+    assert html.main_text(page) == " ".join(["Title words", LONG.strip(), "Second", LONG.strip(), "Third", LONG.strip(), "Sum x=2 and label here. Brief."])
+
+
+def test_html_teaser_in_an_article_element_is_not_the_page():
+    page = f"<body><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul><div class=content><h1>Title words</h1><p>{LONG * 2}</p><p>Second {LONG}</p><p>Third {LONG * 3}</p></div><article><h3><a href=/t>Read another story here</a></h3></article><footer>Imprint <a href=/c>Contact</a></footer></body>"
+    assert html.main_text(page) == " ".join(f"Title words {LONG * 2} Second {LONG} Third {LONG * 3}".split())
+
+
+@pytest.mark.parametrize("article", [True, False])
+def test_html_on_pages_the_tree_has_not_seen(article):
+    kept = lost = false = 0
+    for seed in range(5000, 5300):
+        page = html.labelled_page(seed)
+        if article == bool(re.search("<(article|main)>(?!<h3)", page)):
+            text = html.main_text(page).split()
+            got_ = sum(w[0] == "m" for w in text)
+            kept, false, lost = kept + got_, false + len(text) - got_, lost + len(re.findall(r"(?<![a-z/])m[aeiloprst]+(?=[ <])", page)) - got_
+    assert kept > 10_000 and kept >= 0.985 * (kept + lost) and false <= 0.01 * kept
+    used = []
+    nodes = [html.default_tree()]
+    for node in nodes:
+        if node.feature >= 0:
+            used.append(html.FEATURES[node.feature])
+            nodes += [node.low, node.high]
+    assert sum(u.startswith(("before", "after", "near")) for u in used) > len(used) / 2
+
+
+def test_html_equals_the_article_element_of_the_table(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        inner = re.search("<article>(.*?)</article>", r.html, re.S)[1]
+        assert html.main_text(r.html) == " ".join(b.text for b in html.blocks(inner))
+
+
 # op6 ---------------------------------------------------------------------------------------------
 
 
