@@ -40,7 +40,8 @@ _NUMBERS = re.compile(
     r")"
 )
 _SOME = re.compile(r"[0-9@]")
-_DAY_0, _DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal() - datetime.date(1900, 1, 1).toordinal()
+#: Years whose dates are permuted among themselves (first, end).
+_ERAS = ((1900, 2100), (1, 1900), (2100, 10000))
 
 
 def permute(x: int, n: int, key: bytes, tweak: str) -> int:
@@ -151,22 +152,42 @@ def _phone(value: str, key: bytes) -> str | None:
 
 
 def _date(value: str, key: bytes) -> str | None:
+    """Dates are permuted in their era; with slashes among the spellings of their own kind, so that no two spellings of different dates meet.
+
+    Those kinds are: both numbers at most 12 (either may be the month), only the first above it, only the second above it.
+    """
     mark = next(c for c in value if not c.isdigit())
     a, b, c = value.split(mark)
-    order = "ymd" if len(a) == 4 else "dmy" if mark == "." or int(a) > 12 else "mdy"
+    first = len(a) == 4
+    year, one, two = (int(a), int(b), int(c)) if first else (int(c), int(a), int(b))
+    month, day = (one, two) if first or mark == "/" and one <= 12 else (two, one)
     try:
-        had = dict(zip(order, (int(a), int(b), int(c)), strict=True))
-        day = datetime.date(had["y"], had["m"], had["d"]).toordinal() - _DAY_0
+        had = datetime.date(year, month, day)
     except ValueError:
         return None
-    if not 0 <= day < _DAYS:
-        return None
-    new = datetime.date.fromordinal(_DAY_0 + permute(day, _DAYS, key, "date"))
-    if order == "mdy" and min(len(a), len(b)) == 2 or order != "mdy":
-        pad = 2 if len(a) == len(b) == 2 or order == "ymd" else 1
+    low, end = next(e for e in _ERAS if e[0] <= year < e[1])
+    if mark == "/" and not first and day <= 12:
+        x, two = divmod(permute(((year - low) * 12 + one - 1) * 12 + two - 1, (end - low) * 144, key, f"slash{low}"), 12)
+        year, one = divmod(x, 12)
+        year, one, two = year + low, one + 1, two + 1
+    elif mark == "/" and not first:
+        start = datetime.date(low, 1, 1).toordinal()
+        # the days after the 12th, counted from the era's start: walked until one is met
+        x, n = had.toordinal() - start, datetime.date(end - 1, 12, 31).toordinal() - start + 1
+        while True:
+            x = permute(x, n, key, f"days{low}{one > 12}")
+            new = datetime.date.fromordinal(start + x)
+            if new.day > 12:
+                break
+        year, one, two = (new.year, new.day, new.month) if one > 12 else (new.year, new.month, new.day)
     else:
-        pad = 1
-    return mark.join(f"{new.year:04d}" if p == "y" else f"{new.month if p == 'm' else new.day:0{pad}d}" for p in order)
+        start = datetime.date(low, 1, 1).toordinal()
+        new = datetime.date.fromordinal(start + permute(had.toordinal() - start, datetime.date(end - 1, 12, 31).toordinal() - start + 1, key, f"date{low}"))
+        year, one, two = (new.year, new.month, new.day) if first else (new.year, new.day, new.month)
+    if first:
+        return f"{year:04d}{mark}{one:02d}{mark}{two:02d}"
+    pad = 2 if len(a) == len(b) == 2 else 1
+    return f"{one:0{pad}d}{mark}{two:0{pad}d}{mark}{year:04d}"
 
 
 def _iban(value: str, key: bytes) -> str | None:
@@ -235,7 +256,7 @@ def pseudonymise_documents(docs: DataFrame, text_col: str = "text", key: bytes =
     """The same rows and columns with the values in text_col replaced; with counts, columns n_email ... n_date follow (any of those names in docs are replaced).
 
     E-mail addresses keep their domain and the classes of their characters, cards and IBANs stay valid,
-    dates stay dates in the same spelling, telephone numbers keep country code or trunk digits and punctuation. Equal
+    dates stay dates in the same spelling (of the years 1900 to 2099, before and after among themselves), telephone numbers keep country code or trunk digits and punctuation. Equal
     values give equal pseudonyms in every document and run under one key. A null text stays null with
     counts of zero, an empty one empty; invalid look-alikes stay as they are. Row by row, no shuffle.
     """

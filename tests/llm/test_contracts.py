@@ -378,6 +378,28 @@ def test_dates_of_timestamps():
     assert pii.pseudonymise("part 2021-03-04Tx and 12 345 678 and 1.234.567.890 and 678.123.456")[1] == {}
 
 
+@pytest.mark.parametrize("spelled", ["{a:02d}/{b:02d}/{y}", "{a}/{b}/{y}", "{b:02d}.{a:02d}.{y}", "{y}-{a:02d}-{b:02d}", "{y}/{a:02d}/{b:02d}"])
+def test_different_dates_get_different_pseudonyms(spelled):
+    import datetime
+
+    seen = {}
+    for year in (1, 1850, 1899, 1900, 1950, 2000, 2024, 2099, 2100, 9999):
+        for a in range(1, 32):
+            for b in range(1, 32):
+                value = spelled.format(a=a, b=b, y=f"{year:04d}")
+                new = pii.pseudonym("date", value, b"k")
+                if new is None:
+                    continue
+                assert seen.setdefault(new, value) == value and re.sub("[0-9]+", "", new) == re.sub("[0-9]+", "", value)
+                if "{a}" not in spelled:
+                    assert len(new) == len(value)
+                numbers = [int(x) for x in re.findall("[0-9]+", new)]
+                y, p, q = numbers if spelled[1] == "y" else (numbers[2], *numbers[:2]) if "/" in spelled else (numbers[2], numbers[1], numbers[0])
+                assert any(1 <= m <= 12 and datetime.date(y, m, 1) and 1 <= d <= 31 for m, d in ((p, q), (q, p)))
+                assert (y >= 2100) - (y < 1900) == (year >= 2100) - (year < 1900)
+    assert len(seen) > 3000
+
+
 # op7 ---------------------------------------------------------------------------------------------
 
 
