@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from .common import read_table, small_batches
 
-#: At most so many labelled documents of each language train the centroids (those least in a hash of doc_id).
-TRAIN_DOCS = 400
-#: At most so many languages, the most frequent ones.
-LANGUAGES = 200
+#: At most so many labelled documents of each language train the centroids (those least in a hash of doc_id), and so many
+#: in all, shared evenly; so every language is learned unless there are more of them than that.
+TRAIN_DOCS, TRAIN_TOTAL = 400, 16_000
 DIM = 4096
 CENTROIDS = 4
 #: A document is rejected if its best cosine is below this share of the median of its language's held-out texts of its length.
@@ -26,7 +25,8 @@ LENGTHS = (4, 8, 16, 32, 64, 128, 256, 512, 1024)
 HELD_OUT, LEAST_HELD = 4, 4
 UNDETERMINED = "und"
 _STEP = 1 << 20
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: What isn't a letter: numerals such as one half or a superscript two are word characters to re, too.
+_NOT_LETTERS = re.compile(rf"[\W\d_{''.join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())}]+")
 
 
 def letters_of(text: str | None, most: int) -> str:
@@ -131,36 +131,46 @@ def train_centroids(labelled: list[tuple[str, np.ndarray, str]], k: int = CENTRO
     return CentroidModel(languages, np.array(owner), np.vstack(centroids), idf, np.array(least))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_DOCS) -> CentroidModel:
-    """Train on a bounded sample of labelled rows: of each language the `most` documents least in a hash of the identifier.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_DOCS, total: int = TRAIN_TOTAL) -> CentroidModel:
+    """Train on a bounded sample of labelled rows: of each language the `most` (or its share of `total`) documents least in a hash of the identifier.
 
-    Rows without identifier, language or letters don't take part. The sample is drawn on narrow columns
-    with a limit before the shuffle; only counts of fixed length and the beginnings of texts reach the driver.
+    Rows without identifier, language or letters don't take part; of repeated identifiers one does. The
+    sample is drawn on narrow columns with a limit before the shuffle; only counts of fixed length, as
+    pairs of place and count, and the beginnings of texts reach the driver, `total` rows at most.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).where("id is not null and lang is not null")
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
-    common = sorted(sizes)
-    # hashes are even, so the least `most` of n lie below a threshold that lets about 4 x most pass: large languages aren't sorted whole
-    below = F.lit(None).cast("long")
-    for lang in common:
-        below = F.when(F.col("lang") == lang, min((1 << 63) - 1, -(1 << 63) + int((1 << 64) * min(1.0, 4 * most / sizes[lang])))).otherwise(below)
+    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(total).collect()}
+    most = min(most, max(1, total // max(1, len(sizes))))
+    # hashes are even, so the least `most` of n lie below a threshold that lets about 4 x most + 30 pass: large languages aren't sorted whole
+    least = docs.sparkSession.createDataFrame([(lang, min((1 << 63) - 1, -(1 << 63) + int((1 << 64) * min(1.0, (4 * most + 30) / n)))) for lang, n in sorted(sizes.items())], "lang string, below long")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    low = rows.where(F.xxhash64("id") <= below).distinct()
+    low = rows.join(F.broadcast(least), "lang").where(F.xxhash64("id") <= F.col("below")).select("id", "lang").distinct()  # a row a language, `total` at most
     chosen = low.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("id", "lang").collect()
     wanted = docs.sparkSession.createDataFrame(chosen, rows.schema) if chosen else rows.limit(0)
 
     def count(batches):
         for batch in batches:
-            found = [(i, lang, c, letters_of(text, LENGTHS[-1])) for i, lang, text in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True) if (c := ngram_counts(text)) is not None]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string()), pa.array([np.minimum(x[2], 2**31 - 1).astype(np.int32).tobytes() for x in found], pa.binary()), pa.array([x[3] for x in found], pa.string())],
-                ["id", "lang", "counts", "head"],
-            )
-
-    picked = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(wanted), ["id", "lang"], "left_semi")  # at most LANGUAGES x most pairs
-    got = picked.select(F.col("id").cast("string"), "lang", "text").mapInArrow(count, "id string, lang string, counts binary, head string").limit(2 * most * max(1, len(common))).collect()
-    return train_centroids([(r.lang, np.frombuffer(r.counts, np.int32), r.head) for r in sorted(got, key=lambda r: (r.lang, r.id, bytes(r.counts)))])
+            found = []
+            for i, lang, text in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True):
+                if (c := ngram_counts(text)) is not None:
+                    places = np.flatnonzero(c)
+                    pairs = np.stack([places, np.minimum(c[places], 2**31 - 1)]).astype(np.int32)
+                    found.append((i, lang, pairs.tobytes(), letters_of(text, LENGTHS[-1])))
+            columns = list(zip(*found, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.binary(), pa.string()), strict=True)], ["id", "lang", "counts", "head"])
+
+    picked = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(F.broadcast(wanted), ["id", "lang"], "left_semi")  # at most `total` pairs
+    counted = picked.select(F.col("id").cast("string"), "lang", "text").mapInArrow(count, "id string, lang string, counts binary, head string")
+    got = counted.groupBy("lang", "id").agg(F.min(F.struct("counts", "head")).alias("x")).select("lang", "id", "x.*").collect()
+
+    def dense(pairs: bytes) -> np.ndarray:
+        places, counts = np.frombuffer(pairs, np.int32).reshape(2, -1)
+        out = np.zeros(DIM, np.int32)
+        out[places] = counts
+        return out
+
+    return train_centroids([(r.lang, dense(r.counts), r.head) for r in sorted(got, key=lambda r: (r.lang, r.id))])
 
 
 def identify(docs: DataFrame, model: CentroidModel, text_col: str = "text") -> DataFrame:
