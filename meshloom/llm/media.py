@@ -48,40 +48,70 @@ def _filtered(rows: np.ndarray, kind: int, bpp: int) -> np.ndarray:
     return (wide - _predict(kind, shift(wide), up, shift(up))).astype(np.uint8)
 
 
-def encode_png(samples: bytes, width: int = WIDTH, color: int = 0, filters: int = 0, level: int = 1) -> bytes:
-    """A PNG of 8-bit samples, width pixels wide; len(samples) is a positive multiple of width * channels."""
+#: Filters that the adaptive choice tries (fixed numbers of the format: none, left, up).
+_TRIED = (0, 1, 2)
+
+
+def _adaptive(rows: np.ndarray, bpp: int) -> np.ndarray:
+    """Each row with the filter whose differences are least in sum, its number before it."""
+    tried = [_filtered(rows, kind, bpp) for kind in _TRIED]
+    cost = np.stack([np.abs(x.view(np.int8).astype(np.int16)).sum(axis=1, dtype=np.int64) for x in tried])
+    best = cost.argmin(axis=0)
+    out = np.empty((len(rows), rows.shape[1] + 1), np.uint8)
+    for kind, x in zip(_TRIED, tried, strict=True):
+        own = best == kind
+        out[own, 0], out[own, 1:] = kind, x[own]
+    return out
+
+
+def encode_png(samples: bytes, width: int = WIDTH, color: int = 0, filters: int | None = None, level: int = 1) -> bytes:
+    """A PNG of 8-bit samples, width pixels wide, with one filter or the best for each row; len(samples) is a positive multiple of width * channels."""
     bpp = CHANNELS[color]
     rows = np.frombuffer(samples, np.uint8).reshape(-1, width * bpp)
-    raw = np.empty((rows.shape[0], rows.shape[1] + 1), np.uint8)
-    raw[:, 0], raw[:, 1:] = filters, _filtered(rows, filters, bpp)
+    if filters is None:
+        raw = _adaptive(rows, bpp)
+    else:
+        raw = np.empty((rows.shape[0], rows.shape[1] + 1), np.uint8)
+        raw[:, 0], raw[:, 1:] = filters, _filtered(rows, filters, bpp)
     packed = zlib.compress(raw.data, level)
     head = struct.pack(">IIBBBBB", width, len(rows), 8, color, 0, 0, 0)
     body = b"".join(_chunk(b"IDAT", packed[at : at + _IDAT]) for at in range(0, len(packed), _IDAT))
     return SIGNATURE + _chunk(b"IHDR", head) + body + _chunk(b"IEND", b"")
 
 
+def _by_diagonals(kinds: np.ndarray, rows: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """Undo filters 0 to 4 of rows (height, width, channels), a diagonal at a time: its pixels depend on the two before only."""
+    h, w, c = rows.shape
+    done = np.zeros((h + 1, w + 1, c), np.int16)
+    done[0, 1:] = above.reshape(w, c)
+    kind = kinds.astype(np.int16)[:, None]
+    for t in range(h + w - 1):
+        y = np.arange(max(0, t - w + 1), min(h, t + 1))
+        x = t - y
+        left, up, k = done[y + 1, x], done[y, x + 1], kind[y]
+        paeth = _predict(4, left, up, done[y, x]) if (k == 4).any() else 0
+        guess = np.select([k == 1, k == 2, k == 3, k == 4], [left, up, (left + up) // 2, paeth], 0)
+        done[y + 1, x + 1] = (rows[y, x] + guess) & 255
+    return done[1:, 1:].astype(np.uint8)
+
+
 def _unfiltered(raw: np.ndarray, bpp: int) -> np.ndarray:
     kinds, out = raw[:, 0], raw[:, 1:].copy()
     if kinds.max(initial=0) > 4:
         raise ValueError("unknown PNG filter")
-    cuts = np.flatnonzero(np.diff(kinds)) + 1
+    hard = kinds > 2
+    sort = np.where(hard, 3, kinds)
+    cuts = np.flatnonzero(np.diff(sort)) + 1
     for start, end in zip([0, *cuts], [*cuts, len(kinds)], strict=True):
-        kind, rows = kinds[start], out[start:end]
+        kind, rows = sort[start], out[start:end]
         above = out[start - 1] if start else np.zeros(out.shape[1], np.uint8)
         if kind == 1:
             rows[:] = np.cumsum(rows.reshape(len(rows), -1, bpp), axis=1, dtype=np.uint8).reshape(rows.shape)
         elif kind == 2:
             rows[0] += above
             rows[:] = np.cumsum(rows, axis=0, dtype=np.uint8)
-        elif kind > 2:
-            for row in rows:
-                up = np.concatenate([np.zeros(bpp, np.int16), above.astype(np.int16)])
-                done = np.zeros(len(row) + bpp, np.int16)
-                for x in range(0, len(row), bpp):
-                    guess = _predict(kind, done[x : x + bpp], up[x + bpp : x + 2 * bpp], up[x : x + bpp])
-                    done[x + bpp : x + 2 * bpp] = (row[x : x + bpp] + guess) & 255
-                row[:] = done[bpp:]
-                above = row
+        elif kind == 3:
+            rows[:] = _by_diagonals(kinds[start:end], rows.reshape(len(rows), -1, bpp), above).reshape(rows.shape)
     return out
 
 
@@ -90,11 +120,13 @@ def decode_png(media: bytes) -> np.ndarray:
     if media[:8] != SIGNATURE:
         raise ValueError("no PNG signature")
     at, head, packed, ended = 8, None, [], False
-    while at < len(media) and not ended:
+    while at + 12 <= len(media) and not ended:
         (size,) = struct.unpack_from(">I", media, at)
         kind, body = media[at + 4 : at + 8], media[at + 8 : at + 8 + size]
         if len(body) != size or media[at + 8 + size : at + 12 + size] != struct.pack(">I", zlib.crc32(body, zlib.crc32(kind))):
             raise ValueError(f"bad checksum in {kind!r}")
+        if kind == b"IHDR" and size != 13:
+            raise ValueError("bad header")
         if kind == b"IHDR":
             head = struct.unpack(">IIBBBBB", body)
         elif kind == b"IDAT":
@@ -106,7 +138,13 @@ def decode_png(media: bytes) -> np.ndarray:
     width, height, depth, color, _, _, interlace = head
     if depth != 8 or color not in CHANNELS or interlace:
         raise ValueError("only plain 8-bit samples are read")
-    raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8)
+    line = width * CHANNELS[color] + 1
+    try:
+        raw = np.frombuffer(zlib.decompressobj().decompress(b"".join(packed), height * line + 1), np.uint8)
+    except zlib.error as broken:
+        raise ValueError("bad compressed data") from broken
+    if not width or not height or len(raw) != height * line:
+        raise ValueError("wrong number of samples")
     return _unfiltered(raw.reshape(height, width * CHANNELS[color] + 1), CHANNELS[color])
 
 
@@ -151,23 +189,31 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("t")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-_FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+_FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, error string"
 
 
 def media_features(media: DataFrame) -> DataFrame:
-    """Read each image back from its stored bytes and describe it; a null image gives null features, a damaged one raises."""
+    """Read each image of (doc_id, n_bytes, media) back from its stored bytes and describe it.
+
+    A null image gives null features. A damaged one (a wrong signature, checksum, size or filter) gives
+    its media_bytes and media_sha256, null for what can't be read, and the reason in error.
+    """
 
     def features(stored: bytes | None) -> tuple:
         if stored is None:
-            return (None,) * 6
-        gray = decode_png(stored)
+            return (None,) * 7
+        kept = (len(stored), hashlib.sha256(stored).hexdigest())
+        try:
+            gray = decode_png(stored)
+        except ValueError as broken:
+            return None, None, None, *kept, None, str(broken)
         payload = gray.tobytes()
-        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), cosine_hash(gray)
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), *kept, cosine_hash(gray), None
 
     def run(batches):
         for batch in batches:
-            columns = list(zip(*map(features, batch.column(2).to_pylist()), strict=True)) or [()] * 6
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            columns = list(zip(*map(features, batch.column(2).to_pylist()), strict=True)) or [()] * 7
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], [x.split()[0] for x in _FEATURES.split(", ")])
 
     small_batches(media.sparkSession)

@@ -186,6 +186,48 @@ def test_png_round_trip(filters, color):
             media.decode_png(bytes(broken))
 
 
+def slow_hash(payload):
+    """The feature by its definition: bin means, the cosine transform term by term, the median of all but the constant."""
+    import math
+
+    grid = [list(payload[at : at + 192]) for at in range(0, len(payload), 192)]
+
+    def means(x, n):
+        cut = [k * len(x) // n for k in range(n)] + [len(x)]
+        return [[sum(c) / (b - a) for c in zip(*x[a:b], strict=True)] if b > a else list(map(float, x[a])) for a, b in zip(cut, cut[1:], strict=False)]
+
+    rows_ = means(grid, 32)
+    small = list(zip(*means(list(zip(*rows_, strict=True)), 32), strict=True))
+    c = [[math.cos(math.pi * u * (2 * x + 1) / 64) for x in range(32)] for u in range(8)]
+    low = [round(sum(c[u][y] * c[v][x] * small[y][x] for y in range(32) for x in range(32)), 6) for u in range(8) for v in range(8)]
+    rest = sorted(low[1:])
+    return "".join(f"{int(''.join('1' if v > rest[31] else '0' for v in low[k : k + 8]), 2):02x}" for k in range(0, 64, 8))
+
+
+def test_media_feature_equals_its_definition():
+    for seed, n in ((1, 900), (2, 40), (3, 3000)):
+        payload = prose(n, seed).encode()
+        payload += b" " * (-len(payload) % 192)
+        assert media.cosine_hash(np.frombuffer(payload, np.uint8).reshape(-1, 192)) == slow_hash(payload)
+
+
+def test_png_with_mixed_filters_and_damaged_images(spark):
+    data = np.random.default_rng(7).integers(0, 256, (40, 24), np.uint8)
+    kinds = np.random.default_rng(8).integers(0, 5, 40)
+    raw = np.empty((40, 25), np.uint8)
+    for k, kind in enumerate(kinds):
+        raw[k, 0], raw[k, 1:] = kind, media._filtered(data, int(kind), 1)[k]
+    assert (media._unfiltered(raw, 1) == data).all()
+    text = ("aaaa" * 48 + "abcd" * 48 * 3 + "".join(chr(97 + k % 26) for k in range(192))) * 3
+    stored = media.encode_png(text.encode())
+    used = np.frombuffer(__import__("zlib").decompress(stored[41:-16]), np.uint8).reshape(-1, 193)[:, 0]
+    assert len(set(used.tolist())) > 1 and media.decode_png(stored).tobytes() == text.encode()
+    bad = [(1, 3, stored), (2, 3, stored[:-20]), (3, 3, b"no image"), (4, 3, None), (5, 3, stored[:60] + b"x" + stored[61:]), (6, 3, stored[:8])]
+    out = {r["doc_id"]: r for r in got(media.media_features(spark.createDataFrame([(i, n, None if b is None else bytearray(b)) for i, n, b in bad], "doc_id long, n_bytes long, media binary")))}
+    assert out[1]["error"] is None and out[1]["payload_bytes"] == len(text) and out[4]["error"] is None and out[4]["media_bytes"] is None
+    assert all(out[k]["error"] and out[k]["feature"] is None and out[k]["media_bytes"] == len(b) for k, _, b in bad if k in (2, 3, 5, 6))
+
+
 def test_media_features(docs, none):
     out = got(media.media_features(media.encode_media(docs)))
     want = []
@@ -415,9 +457,12 @@ def test_language_accuracy_and_rejection(spark, none):
     out = got(langid.identify(table, model))
     held = [r for r in out if r["doc_id"] % 4 == 2]
     assert sum(r["lang_pred"] == r["lang"] for r in held) >= 0.95 * len(held) and all(0 <= r["score"] <= 1 for r in out)
-    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !!"), (4, "ααα βββ γγγ δδδ"), (5, "KRAFT!! PFLICHT!!")], "doc_id long, text string")
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !!"), (4, "ααα βββ γγγ δδδ"), (5, "KRAFT!! PFLICHT!!"), (6, "½ ² Ⅷ ٣ ①_"), (7, "٣")], "doc_id long, text string")
     by = {r["doc_id"]: r for r in got(langid.identify(odd, model))}
-    assert [by[k]["lang_pred"] for k in (1, 2, 3)] == ["und"] * 3 and by[4]["rejected"] and (by[5]["lang_pred"], by[5]["rejected"]) == ("bb", False)
+    assert [by[k]["lang_pred"] for k in (1, 2, 3, 6, 7)] == ["und"] * 5 and by[4]["rejected"] and (by[5]["lang_pred"], by[5]["rejected"]) == ("bb", False)
+    many = spark.createDataFrame([(k, f"{chr(97 + k % 26)}{chr(97 + k // 26)} " * 9, f"l{k % 130}", "s", 0) for k in range(650)] * 2, DOCS)
+    wide = langid.fit(many, total=260)
+    assert len(wide.languages) == 130 and langid.fit(many, total=20).languages == tuple(sorted(wide.languages)[:20])
     blank = langid.fit(none)
     assert {r["lang_pred"] for r in got(langid.identify(odd, blank))} == {"und"}
 
