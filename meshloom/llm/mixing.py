@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, read_table
+from .common import materialise, read_table, release
 
 #: The tree of the registered query: domain -> (weight, sources of the table by number); sources elsewhere fall under OTHER.
 DOMAINS = (("web", 4, 0, 4), ("books", 3, 5, 9), ("code", 2, 10, 14), ("forum", 1, 15, 19))
@@ -52,16 +52,17 @@ def share_out(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     """Divide each parent's `budget` among its children by weight `w` up to their capacity `cap`, adding `part`.
 
     What one child can't take goes to its siblings in proportion to their weights: in the order of
-    cap / w a child is full if its share of what is left covers its capacity. Whole numbers throughout.
+    cap / w a child is full if its share of what is left covers its capacity. Whole numbers throughout;
+    cap and budget are decimals, as their products with sums of weights pass the range of longs.
     """
-    order = Window.partitionBy(*parent).orderBy(F.col("cap") / F.col("w"), name)
+    order = Window.partitionBy(*parent).orderBy(F.col("cap").cast("double") / F.col("w"), name)
     whole = Window.partitionBy(*parent)
     before = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rest = F.sum("w").over(order.rowsBetween(0, Window.unboundedFollowing))
     out = children.where("w > 0").withColumns({"before": before, "rest": rest})
-    out = out.withColumn("full", F.expr("cap * rest <= w * greatest(budget - before, 0L)"))
+    out = out.withColumn("full", F.expr("cap * rest <= w * greatest(budget - before, 0)"))
     out = out.withColumns({"taken": F.sum(F.when(F.col("full"), F.col("cap")).otherwise(0)).over(whole), "open": F.sum(F.when(F.col("full"), 0).otherwise(F.col("w"))).over(whole)})
-    return out.withColumn("part", F.expr("CASE WHEN full THEN cap ELSE w * greatest(budget - taken, 0L) DIV open END")).drop("before", "rest", "full", "taken", "open")
+    return out.withColumn("part", F.expr("CASE WHEN full THEN cap ELSE CAST(w * greatest(budget - taken, 0) DIV open AS decimal(38, 0)) END")).drop("before", "rest", "full", "taken", "open")
 
 
 def leaf_budgets(supply: DataFrame, share: tuple[int, int] = SHARE, epochs: int = EPOCHS) -> DataFrame:
@@ -70,13 +71,11 @@ def leaf_budgets(supply: DataFrame, share: tuple[int, int] = SHARE, epochs: int
     Weights are propagated from the root; a node's capacity is that of the leaves below it, so a
     shortage is filled by siblings first and passes to the parent's siblings only if they are full.
     """
-    leaves = supply.withColumn("cap", F.col("supply") * epochs)
+    leaves = supply.withColumn("cap", F.col("supply").cast("decimal(28, 0)") * epochs)
     langs = leaves.groupBy("domain", "lang").agg(F.sum("cap").alias("cap"))
     domains = langs.groupBy("domain").agg(F.sum("cap").alias("cap")).withColumn("w", _weight(F.col("domain"), tuple(d[:2] for d in DOMAINS), OTHER[1]))
-    whole = Window.partitionBy(F.lit(0))
-    budget = F.expr(f"sum(cap) OVER (PARTITION BY 0) DIV {epochs} * {share[0]} DIV {share[1]}")
+    budget = F.expr(f"CAST(CAST(sum(cap) OVER (PARTITION BY 0) DIV {epochs} AS decimal(28, 0)) * {share[0]} DIV {share[1]} AS decimal(38, 0))")
     domains = share_out(domains.withColumn("root", F.lit(0)).withColumn("budget", budget), ["root"], "domain").select("domain", F.col("part").alias("budget"))
-    del whole
     langs = langs.join(domains, "domain").withColumn("w", _weight(F.col("lang"), LANGUAGES, UNLISTED))
     langs = share_out(langs, ["domain"], "lang").select("domain", "lang", F.col("part").alias("budget"))
     leaves = leaves.join(langs, ["domain", "lang"]).withColumn("w", F.lit(UNLISTED).cast("long"))
@@ -99,24 +98,35 @@ def mixing_plan(slim: DataFrame, share: tuple[int, int] = SHARE, epochs: int = E
     gathered by leaf, so no leaf is ever sorted in one task.
     """
     supply = slim.groupBy(*LEAF).agg(F.sum("n_tokens").alias("supply")).where("supply > 0")
-    leaves = materialise(leaf_budgets(supply, share, epochs).select(*LEAF, F.expr("part DIV supply").alias("_full"), F.expr("part % supply").alias("_rest")), "leaves")
+    leaves = materialise(leaf_budgets(supply, share, epochs).select(*LEAF, F.expr("part DIV supply").alias("_full"), F.expr("CAST(part % supply AS bigint)").alias("_rest")), "leaves")
     keyed = slim.join(_small(leaves.where("_rest > 0")), list(LEAF)).withColumn("_bucket", F.substring(_key(seed), 1, 3))
     sums = keyed.groupBy(*LEAF, "_rest", "_bucket").agg(F.sum("n_tokens").alias("n"))
     upto = Window.partitionBy(*LEAF).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     last = sums.withColumn("_before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where("_before < _rest").groupBy(*LEAF).agg(F.max("_bucket").alias("_last"), F.max("_before").alias("_before"))
-    return materialise(leaves.join(last, list(LEAF), "left"), "mixing")
+    out = materialise(leaves.join(last, list(LEAF), "left"), "mixing")
+    release(leaves)
+    return out
+
 
+def select_mixed(docs: DataFrame, plan: DataFrame, seed: str = SEED, n_tokens: Column | None = None) -> DataFrame:
+    """The rows of docs (with doc_id, domain, lang, source) once for each epoch they are used in, with n_tokens, epoch and take_tokens.
 
-def select_mixed(docs: DataFrame, plan: DataFrame, seed: str = SEED) -> DataFrame:
-    """The rows of docs (with doc_id, domain, lang, source, n_tokens) once for each epoch they are used in, with epoch and take_tokens."""
-    joined = docs.join(_small(plan), list(LEAF)).withColumn("_key", _key(seed)).withColumn("_bucket", F.substring("_key", 1, 3))
-    kept = [*docs.columns, "epoch", "take_tokens"]
-    whole = joined.where("_full > 0").withColumn("epoch", F.explode(F.expr("sequence(0L, _full - 1)"))).withColumn("take_tokens", F.col("n_tokens"))
-    early = joined.where("_rest > 0 AND _bucket < _last").withColumns({"epoch": F.col("_full"), "take_tokens": F.col("n_tokens")})
+    n_tokens counts the tokens of a row, by default it is the column of that name; only rows that are
+    used are counted. One pass gives the full epochs and the buckets before a leaf's last one, a second
+    the last buckets alone, ordered by leaf.
+    """
+    n_tokens = F.col("n_tokens") if n_tokens is None else n_tokens
+    kept = [*(c for c in docs.columns if c != "n_tokens"), "n_tokens", "epoch", "take_tokens"]
+    bucket = F.substring(_key(seed), 1, 3)
+    joined = docs.join(_small(plan), list(LEAF))
+    uses = F.col("_full") + F.when((F.col("_rest") > 0) & (bucket < F.col("_last")), 1).otherwise(0)
+    whole = joined.withColumn("_full", uses).where("_full > 0").withColumn("n_tokens", n_tokens).where("n_tokens > 0")
+    whole = whole.withColumn("epoch", F.explode(F.expr("sequence(0L, _full - 1)"))).withColumn("take_tokens", F.col("n_tokens"))
     order = Window.partitionBy(*LEAF).orderBy("_key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    edge = joined.where("_rest > 0 AND _bucket = _last").withColumn("_had", F.col("_before") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
+    edge = joined.where((F.col("_rest") > 0) & (bucket == F.col("_last"))).withColumns({"_key": _key(seed), "n_tokens": n_tokens})
+    edge = edge.withColumn("_had", F.col("_before") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
     edge = edge.withColumns({"epoch": F.col("_full"), "take_tokens": F.least(F.col("n_tokens"), F.col("_rest") - F.col("_had"))})
-    return whole.select(*kept).unionAll(early.select(*kept)).unionAll(edge.select(*kept)).where("take_tokens > 0")
+    return whole.select(*kept).unionAll(edge.where("take_tokens > 0").select(*kept))
 
 
 def mix(docs: DataFrame, share: tuple[int, int] = SHARE, epochs: int = EPOCHS, seed: str = SEED, text_col: str = "text") -> DataFrame:
@@ -129,9 +139,11 @@ def mix(docs: DataFrame, share: tuple[int, int] = SHARE, epochs: int = EPOCHS, s
     documents. An empty table gives no rows. Columns called domain, n_tokens, epoch or take_tokens
     are replaced; others keep their names, apart from _full, _rest, _last, _before, _key, _bucket and _had.
     """
-    docs = with_leaf(docs.drop("domain", "n_tokens", "epoch", "take_tokens")).withColumn("n_tokens", count_tokens(F.col(text_col)))
-    slim = materialise(docs.select("doc_id", *LEAF, "n_tokens"), "slim")
-    return select_mixed(docs, mixing_plan(slim, share, epochs, seed), seed)
+    docs = with_leaf(docs.drop("domain", "n_tokens", "epoch", "take_tokens"))
+    slim = materialise(docs.select("doc_id", *LEAF, count_tokens(F.col(text_col)).alias("n_tokens")), "slim")
+    plan = mixing_plan(slim, share, epochs, seed)
+    release(slim)
+    return select_mixed(docs, plan, seed, count_tokens(F.col(text_col)))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -576,6 +576,22 @@ def test_mixing_budgets_and_prefixes(docs, none, spark):
     assert got(mixing.mix(none)) == []
 
 
+def test_mixing_budgets_of_very_large_supplies(spark):
+    r = random.Random(6)
+    supply = {("books", "en", f"s{k}"): r.randrange(10**13) for k in range(300)} | {("web", "de", "a"): 3 * 10**17, ("code", "xx", "b"): 5}
+    out = {(x["domain"], x["lang"], x["source"]): int(x["part"]) for x in got(mixing.leaf_budgets(spark.createDataFrame([(*k, v) for k, v in supply.items()], "domain string, lang string, source string, supply long")))}
+    cap = Counter()
+    for k, v in supply.items():
+        for n in (k[:1], k[:2], k):
+            cap[n] += v * mixing.EPOCHS
+    budget = {(): sum(supply.values()) * mixing.SHARE[0] // mixing.SHARE[1]}
+    weights = ({d[0]: d[1] for d in mixing.DOMAINS}, dict(mixing.LANGUAGES), {})
+    for depth in (1, 2, 3):
+        for parent in {k[: depth - 1] for k in cap if len(k) == depth}:
+            budget |= slow_shares([(k, cap[k], weights[depth - 1].get(k[-1], 1)) for k in cap if len(k) == depth and k[:-1] == parent], budget[parent])
+    assert out == {k: budget[k] for k in supply}
+
+
 def test_mixing_equals_its_sql(docs):
     import duckdb
 
