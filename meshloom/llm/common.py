@@ -15,10 +15,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in spark.checkpoint.dir; one is made only where none is set (local runs and tests)."""
+    """The shared folder named in spark.checkpoint.dir; one is made only where none is set in a local session, as executors elsewhere can't read it."""
     context = spark.sparkContext
     found = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="meshloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/meshloom-{context.applicationId}"

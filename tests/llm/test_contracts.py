@@ -380,6 +380,22 @@ def test_urls_rules_and_trees(spark):
     assert got(urls.judge_urls(spark.createDataFrame([], "page_id long, url string"))) == []
 
 
+def test_url_trees_on_hosts_left_out_and_from_a_table(spark):
+    labelled = urls.labelled_urls()
+    hosts = sorted({urls.parts(u)[0] for u, _ in labelled})
+    right = 0
+    for fold in range(5):
+        out = set(hosts[fold::5])
+        model = urls.train([x for x in labelled if urls.parts(x[0])[0] not in out])
+        right += sum((model.margin(u) > 0) == bool(b) for u, b in labelled if urls.parts(u)[0] in out)
+    assert right >= 0.95 * len(labelled)
+    table = spark.createDataFrame([*labelled, (None, 1), ("http://x/", None)] * 2, "url string, blocked int")
+    order = [r.u for r in table.selectExpr("url u", "xxhash64(url) h").where("u is not null").distinct().orderBy("h", "u").collect()]
+    assert urls.fit(table) == urls.train(sorted(labelled, key=lambda x: order.index(x[0])))
+    none = urls.fit(table.limit(0))
+    assert none.margin("http://a.example/") == 0 and {r["verdict"] for r in got(urls.judge_urls(table.select("url"), (), none))} == {"allow"}
+
+
 def test_url_trees_generalise():
     model = urls.default_model()
     assert all(model.margin(f"https://{h}.example.com/en/5") > 0 for h in ("spam-farm", "www.cheap-pills", "m.free-bets"))
