@@ -310,13 +310,16 @@ def _shares(tree: Node, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def main_texts(pages: list[str | None], tree: Node | None = None) -> list[str]:
+    """The blocks of each page classified as article text, in page order, joined by one space; empty if there are none or the page is null."""
+    found = [blocks(p) if p else [] for p in pages]
+    some = [features(f) for f in found if f]
+    good = iter(_shares(tree or default_tree(), np.vstack(some)) > 0.5) if some else iter(())
+    return [" ".join([b.text for b in f if next(good)]) for f in found]
+
+
 def main_text(page: str | None, tree: Node | None = None) -> str:
-    """The blocks classified as article text, in page order, joined by one space; empty if there are none or the page is null."""
-    found = blocks(page) if page else []
-    if not found:
-        return ""
-    good = _shares(tree or default_tree(), features(found)) > 0.5
-    return " ".join(b.text for b, g in zip(found, good, strict=True) if g)
+    return main_texts([page], tree)[0]
 
 
 def extract_text(pages: DataFrame, html_col: str = "html", tree: Node | None = None) -> DataFrame:
@@ -331,7 +334,7 @@ def extract_text(pages: DataFrame, html_col: str = "html", tree: Node | None = N
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(p, tree) for p in batch.column(len(kept)).to_pylist()]
+            texts = main_texts(batch.column(len(kept)).to_pylist(), tree)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], [*kept, "text", "n_chars"])
 
     asked = pages.select(*[F.col(c) for c in kept], F.col(html_col).alias("_html"))
