@@ -4,7 +4,9 @@ The strings are separated by end marks that differ from each other, so no match
 suffix order only the runs of the transform are kept, with the text positions of each run's first and
 last suffix and the lengths of their matches with the suffixes before and after. Between samples the
 length of a match falls by one with each step through the text, so the matching statistics of the
-whole collection against all its other positions stream from the samples alone.
+whole collection against all its other positions stream from the samples alone. Copies of a string are
+one entry with a multiplicity: their suffixes would stand side by side, in the same runs, and match to
+the end.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ class RunIndex:
     ends: np.ndarray
     end_match: np.ndarray
     starts: np.ndarray
+    sizes: np.ndarray
+    copies: np.ndarray
 
 
 def _keys(text: np.ndarray, rest: np.ndarray) -> np.ndarray:
@@ -82,8 +86,8 @@ def _matches(keys: np.ndarray, text: np.ndarray, rest: np.ndarray, a: np.ndarray
     return out
 
 
-def build(strings: list[bytes], least: int = 0) -> RunIndex:
-    """The index of the strings; matches below `least` are only bounded from below."""
+def build(strings: list[bytes], least: int = 0, copies: list[int] | None = None) -> RunIndex:
+    """The index of the strings, each in so many copies (one if not given); matches below `least` are only bounded from below."""
     sizes = np.array([len(s) for s in strings], np.int64)
     n = int(sizes.sum()) + len(strings)
     text = np.zeros(n, np.uint16)
@@ -104,7 +108,7 @@ def build(strings: list[bytes], least: int = 0) -> RunIndex:
     first[head > 0] = _matches(keys, text, rest, order[up], order[up - 1], least)
     last[end < n - 1] = _matches(keys, text, rest, order[down], order[down + 1], least)
     by_head, by_end = np.argsort(order[head]), np.argsort(order[end])
-    return RunIndex(n, before[head].astype(np.uint8), np.diff(np.append(head, n)), order[head][by_head], first[by_head], order[end][by_end], last[by_end], starts)
+    return RunIndex(n, before[head].astype(np.uint8), np.diff(np.append(head, n)), order[head][by_head], first[by_head], order[end][by_end], last[by_end], starts, sizes, np.array(copies or [1] * len(strings), np.int64))
 
 
 def matching_statistics(index: RunIndex) -> np.ndarray:
@@ -115,13 +119,15 @@ def matching_statistics(index: RunIndex) -> np.ndarray:
         k = np.searchsorted(samples, at, side="right") - 1
         return lengths[k] - (at - samples[k])
 
-    return np.maximum(stream(index.heads, index.head_match), stream(index.ends, index.end_match))
+    rest = np.repeat(index.starts + index.sizes, index.sizes + 1) - at
+    own = np.where(np.repeat(index.copies > 1, index.sizes + 1), rest, 0)  # the next suffix in order is that of a copy
+    return np.maximum(np.maximum(stream(index.heads, index.head_match), stream(index.ends, index.end_match)), own)
 
 
-def repeated_starts(strings: list[bytes], window: int) -> list[np.ndarray]:
-    """For each string which of its windows also start somewhere else in the strings, itself included."""
+def repeated_starts(strings: list[bytes], window: int, copies: list[int] | None = None) -> list[np.ndarray]:
+    """For each string which of its windows also start somewhere else in the strings and their copies, itself included."""
     if not strings:
         return []
-    index = build(strings, window)
+    index = build(strings, window, copies)
     long = matching_statistics(index) >= window
     return [long[s : s + max(0, len(t) - window + 1)] for s, t in zip(index.starts, strings, strict=True)]

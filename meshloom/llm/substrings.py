@@ -4,7 +4,7 @@ Every window of `WINDOW` bytes has a key, the least hash of its grams of GRAM by
 have equal keys. A document's consecutive windows with one key form a segment (at most SPAN windows).
 A window can only recur in a segment with the same key, so the segments that may hold one travel, each
 content once, and a run-length index per group of keys tells which of their windows recur; a content
-that occurs more than once stands in the index twice, whatever the number of its copies.
+that occurs more than once is an entry of the index with a multiplicity.
 
 A key with more than CROWDED bytes of different contents (a short passage in very many surroundings)
 would make one index too large. Its segments are cut again where the distance from a window to its least
@@ -183,12 +183,11 @@ def _index_groups(parts: DataFrame) -> DataFrame:
     schema = "doc_id long, t long, first long, end long, g binary"
 
     def flush(rows: list) -> pa.RecordBatch:
-        strings = [b for _, _, n, *_, b in rows for b in [b] * min(n, 2)]
-        flags, out, at = repeated_starts(strings, WINDOW), [], 0
-        for _, g, n, i, t, first, _ in rows:
-            spans = _spans(flags[at]).tolist()
+        out = []
+        flags = repeated_starts([r[6] for r in rows], WINDOW, [r[2] for r in rows])
+        for (_, g, n, i, t, first, _), f in zip(rows, flags, strict=True):
+            spans = _spans(f).tolist()
             out += [(i, t, first + a, first + e, None) for a, e in spans] if n == 1 else [(None, None, a, e, g) for a, e in spans]
-            at += min(n, 2)
         return _batch(out, (*[pa.int64()] * 4, pa.binary()), _names(schema))
 
     def run(batches):
@@ -201,7 +200,7 @@ def _index_groups(parts: DataFrame) -> DataFrame:
                         held, size = [], 0
                     last = row[0]
                 held.append(row)
-                size += len(row[6]) * min(row[2], 2)
+                size += len(row[6])
         if held:
             yield flush(held)
 
@@ -217,7 +216,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     for width in (*LEVELS, None):
         kinds = tables[-1].groupBy("k", "g").agg(F.sum("n").alias("n"), F.max("twice").alias("twice"), F.min(F.struct("doc_id", "t", "first", "end", "top")).alias("r"))
         kinds = materialise(kinds.select("k", "g", "n", "twice", "r.*"), "contents")
-        keys = kinds.groupBy("k").agg(F.count("*").alias("kinds"), F.max("n").alias("most"), F.max("twice").alias("twice"), F.sum(F.expr("(end - first) * least(n, 2L)")).alias("bytes"))
+        keys = kinds.groupBy("k").agg(F.count("*").alias("kinds"), F.max("n").alias("most"), F.max("twice").alias("twice"), F.sum(F.expr("end - first")).alias("bytes"))
         keys = materialise(keys.where("kinds > 1 OR most > 1 OR twice").select("k", (F.col("bytes") > CROWDED).alias("crowded")), "keys")
         scratch += [kinds, keys]
         plain = kinds.join(keys.where("NOT crowded") if width else keys, "k", "left_semi").select(*_CONTENT)
