@@ -25,19 +25,26 @@ LENGTHS = (4, 8, 16, 32, 64, 128, 256, 512, 1024)
 HELD_OUT, LEAST_HELD = 4, 4
 UNDETERMINED = "und"
 _STEP = 1 << 20
-#: What isn't a letter: numerals such as one half or a superscript two are word characters to re, too.
-_NOT_LETTERS = re.compile(rf"[\W\d_{''.join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())}]+")
+#: What isn't a letter. Numerals such as one half or a superscript two are word characters to re, too; the second, slower pattern takes them out where there are any.
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_NUMERALS = re.compile(rf"[ {''.join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())}]+")
+
+
+def _letters(text: str) -> str:
+    """The lower-cased letters of a text, words set apart by spaces."""
+    found = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    return found if not found or found.replace(" ", "").isalpha() else _NUMERALS.sub(" ", found).strip()
 
 
 def letters_of(text: str | None, most: int) -> str:
     """The lower-cased letters that a text begins with, words set apart by spaces, at most so many bytes of them."""
-    letters = _NOT_LETTERS.sub(" ", text[: 8 * most].lower()).strip() if text else ""
+    letters = _letters(text[: 8 * most]) if text else ""
     return letters.encode()[:most].decode("utf-8", "ignore").strip()
 
 
 def ngram_counts(text: str | None) -> np.ndarray | None:
     """Counts of hashed byte 1- to 3-grams of the lower-cased letters of the whole text, words set apart by spaces; None without letters."""
-    letters = _NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
+    letters = _letters(text) if text else ""
     if not letters:
         return None
     raw = np.frombuffer(f"  {letters}  ".encode(), np.uint8)
