@@ -807,6 +807,32 @@ def test_near_duplicates_next_to_the_bound_are_decided_exactly(spark):
     assert sorted(x["doc_id"] for x in got(neardup.drop_near_duplicates(spark.createDataFrame(table, DOCS)))) == left
 
 
+def test_near_duplicates_of_groups_of_many_sizes_equal_brute_force(spark):
+    """Groups of 5 to 60 copies with 1 to 3 edits each in 120 words: the documents that stay are those of full pairing."""
+    r, texts = random.Random(21), []
+    for size in (5, 10, 20, 40, 60):
+        for _ in range(120 // size):
+            base = [f"w{r.randrange(3000)}" for _ in range(120)]
+            for _ in range(size):
+                w = base[:]
+                for k in r.sample(range(120), r.randint(1, 3)):
+                    w[k] = f"x{r.randrange(10**9)}"
+                texts.append(w)
+    r.shuffle(texts)
+    out = got(neardup.drop_near_duplicates(spark.createDataFrame([(k, " ".join(w), "en", "s", 0) for k, w in enumerate(texts)], DOCS)))
+    assert len(texts) > 500 and sorted(x["doc_id"] for x in out) == fully_paired(texts)
+
+
+def test_links_of_a_cell_span_the_similar_texts():
+    r = random.Random(3)
+    texts = [[f"w{k}" for k in range(a, a + 40 + r.randrange(3))] for a in (0, 1, 2, 3, 100, 102, 500) for _ in range(3)] + [[], []]
+    sets = [neardup.describe(" ".join(w).encode())[1] for w in texts]
+    rows_ = [(True, k, k, s.tobytes()) for k, s in enumerate(sets)] + [(False, k, k, s.tobytes()) for k, s in enumerate(sets)]
+    links = neardup._links(rows_).to_pylist()
+    found = components(range(len(texts)), lambda x, y: {"a": x, "b": y} in links or {"a": y, "b": x} in links)
+    assert found == components(range(len(texts)), lambda x, y: neardup.are_alike(sets[x].tobytes(), sets[y].tobytes())) and len(links) < len(texts)
+
+
 # Clashing columns --------------------------------------------------------------------------------
 
 NAMES = ["t", "b", "k", "fp", "node", "component", "n", "h", "pos", "slots", "first", "end", "rest", "full", "key", "bucket", "last", "before", "had", "_d", "_t", "hub", "item_id", "media", "base", "tokens", "q1"]
