@@ -1,11 +1,13 @@
 """Command line: clean, batch, watertighten, canonicalize, filter and render, as thin mains for spark-submit.
 
-Exit codes: 0 done, 1 no input, 2 rejected (clean with --strict; filter always).
+--scorer names a factory of image scorers as module:name; clean and batch need one unless --skip-vlm is given.
+Exit codes: 0 done, 1 no input or no scorer, 2 rejected (clean with --strict; filter always).
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from .config import PipelineConfig
 from .operators import pose, render, voxels
 from .operators.packed import FACE, VERTEX
 from .operators.rollups import shuffled_sample
-from .plans.pipeline import clean_meshes, geometry_metrics
+from .plans.pipeline import as_results, clean_meshes, geometry_metrics
 from .session import local_session
 from .sources import files, meshfile, sinks
 
@@ -30,6 +32,8 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--resolution", type=int, default=64)
         p.add_argument("--canonicalize", choices=("geom", "identity", "vlm", "hybrid"), default="geom")
         p.add_argument("--skip-vlm", action="store_true")
+        p.add_argument("--scorer", help="module:name of an image scorer's factory")
+        p.add_argument("--prompt-lang", default="en")
         p.add_argument("--strict", action="store_true")
         p.add_argument("--limit", type=int)
         p.add_argument("--shuffle", action="store_true")
@@ -40,6 +44,14 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
+    scorer = None
+    if args.scorer:
+        module, _, name = args.scorer.partition(":")
+        scorer = getattr(importlib.import_module(module), name)
+    method = pose.downgrade(args.canonicalize, args.skip_vlm)
+    if scorer is None and (args.command in ("clean", "batch") and not args.skip_vlm or args.command == "canonicalize" and method in ("vlm", "hybrid")):
+        print("--scorer or --skip-vlm is needed", file=sys.stderr)
+        return 1
     spark = local_session()
     listed = files.list_meshes(spark, args.input, tuple(args.pattern or files.PATTERNS))
     if args.shuffle:
@@ -59,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
         meshfile.encode_meshes(out.where("error is null").select("mesh_id", F.col("vertices").cast(VERTEX).alias("vertices"), F.col("faces").cast(FACE).alias("faces"))).write.mode("overwrite").parquet(f"{args.output}/meshes")
         return 0
     if args.command == "canonicalize":
-        poses = pose.canonicalise(good, "identity" if args.canonicalize == "identity" else "geom")
+        poses = pose.find_poses(good, method, scorer)
         poses.write.mode("overwrite").json(f"{args.output}/reports")
         meshfile.encode_meshes(pose.apply_pose(good, poses)).write.mode("overwrite").parquet(f"{args.output}/meshes")
         return 0
@@ -70,14 +82,14 @@ def main(argv: list[str] | None = None) -> int:
         report = geometry_metrics(good)
         report.write.mode("overwrite").json(f"{args.output}/reports")
         return 0 if report.where("NOT is_valid").isEmpty() else 2
-    config = PipelineConfig(watertight=size, pose_method=args.canonicalize, skip_model=args.skip_vlm, ray_samples=2000)
-    clean = clean_meshes(good, config)
+    config = PipelineConfig(watertight=size, pose_method=args.canonicalize, skip_model=args.skip_vlm, prompt_lang=args.prompt_lang)
+    clean = clean_meshes(good, config, scorer)
     clean.write.mode("overwrite").parquet(f"{args.output}/results")
     done = spark.read.parquet(f"{args.output}/results")
     done.drop("vertices", "faces").write.mode("overwrite").json(f"{args.output}/reports")
     meshfile.encode_meshes(done.where("vertices is not null").select("mesh_id", "vertices", "faces")).write.mode("overwrite").parquet(f"{args.output}/meshes")
     if args.command == "batch":
-        done.select("mesh_id", F.col("accepted").cast("int"), F.array_join("rejection_reasons", "|").alias("reasons")).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{args.output}/summary")
+        sinks.write_batch_summary(as_results(done), f"{args.output}/summary")
     rejected = not done.where("NOT accepted").isEmpty() or not decoded.where("error is not null").isEmpty()
     return 2 if args.strict and rejected else 0
 

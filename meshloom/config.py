@@ -42,3 +42,7 @@ class PipelineConfig:
     short_circuit: bool = False
     timeout_s: int = field(default_factory=lambda: int(env("MESH_TIMEOUT", "120")))
     batch_size: int = 4
+    prompt_lang: str = "en"
+    #: Pixels a side of the four views for the model and of the six for its pose.
+    render_res: int = 512
+    pose_render_res: int = 384

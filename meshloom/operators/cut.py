@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows from Parquet files in the folder of spark.checkpoint.dir (one is made only where none is set).
+    """The same rows from Parquet files in the folder of spark.checkpoint.dir (one is made only where none is set in a local session, as executors elsewhere can't read it).
 
     Kernels whose result several later steps read run once this way, and survive lost executors.
     """
     spark = df.sparkSession
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="meshloom-")
         spark.conf.set("spark.checkpoint.dir", shared)
     path = f"{shared.rstrip('/')}/cut-{uuid.uuid4().hex}"

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import signal
+import threading
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,11 +51,31 @@ def meshes(batch: pa.RecordBatch) -> Iterator[Mesh]:
         yield Mesh(v[vo[k] : vo[k + 1]], f[fo[k] : fo[k + 1]])
 
 
-def map_meshes(packed: DataFrame, kernel: Callable[[Mesh], dict], schema: str, heavy: bool = False) -> DataFrame:
+@contextmanager
+def _limit(seconds: float | None):
+    """TimeoutError once the time is up, where the worker's main thread can be interrupted."""
+    if not seconds or threading.current_thread() is not threading.main_thread():
+        yield
+        return
+
+    def stop(*_):
+        raise TimeoutError(f"after {seconds:g} s")
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def map_meshes(packed: DataFrame, kernel: Callable[[Mesh], dict], schema: str, heavy: bool = False, timeout_s: float | None = None) -> DataFrame:
     """One row of `schema` (without mesh_id) for each mesh; an exception becomes the row's error column 'Type:message' and the other fields null.
 
     A heavy kernel's cost lies in its work, not in its bytes, so its meshes are dealt over more
-    partitions than their size asks for.
+    partitions than their size asks for. A mesh that takes longer than timeout_s gives the error
+    'TimeoutError:...'; long calls into compiled code end first.
     """
     if heavy:
         context = packed.sparkSession.sparkContext
@@ -71,7 +94,8 @@ def map_meshes(packed: DataFrame, kernel: Callable[[Mesh], dict], schema: str, h
             rows = []
             for mesh in meshes(batch):
                 try:
-                    rows.append(kernel(mesh) | {"error": None})
+                    with _limit(timeout_s):
+                        rows.append(kernel(mesh) | {"error": None})
                 except Exception as problem:  # noqa: BLE001  one bad mesh must not fail the corpus
                     rows.append({"error": f"{type(problem).__name__}:{str(problem)[:200]}"})
             columns = [batch.column(batch.schema.get_field_index("mesh_id"))]

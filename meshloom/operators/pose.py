@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.verdicts import AXES
+from ..functions.verdicts import AXES, parse_pose
+from .cut import cut
 from .packed import Mesh, map_meshes
 from .topology import corners, dot, with_normals
 
@@ -162,6 +165,38 @@ def hybrid_pose(geometry: DataFrame, labels: DataFrame, agree: float = AGREE) ->
     )
 
 
+def model_pose(geometry: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pose that the model names for each mesh of a pose report; without a usable reply the identity, for review."""
+    out = geometry.select("mesh_id").join(labels, "mesh_id", "left")
+    ok = F.coalesce("ok", F.lit(False))
+    up, front = label_axis(F.when(ok, F.col("up"))), label_axis(F.when(ok, F.col("front")))
+    numbers = lambda rows: F.array(*[F.array(*[F.lit(float(c)) for c in r]) for r in rows])
+    right = F.array(*[up[(k + 1) % 3] * front[(k + 2) % 3] - up[(k + 2) % 3] * front[(k + 1) % 3] for k in range(3)])
+    return out.select(
+        "mesh_id", F.lit("vlm").alias("method"), F.coalesce(up, numbers([(0, 1, 0)])[0]).alias("up_axis_world"), F.coalesce(front, numbers([(0, 0, 1)])[0]).alias("forward_axis_world"),
+        F.when(ok, F.array(right, up, front)).otherwise(numbers(np.eye(3))).alias("rotation_matrix"), F.col("up").alias("vlm_up_label"), F.col("front").alias("vlm_front_label"),
+        F.lit(None).cast("boolean").alias("vlm_agrees_with_geom"), (~ok).alias("needs_manual_review"), F.lit(None).cast("double").alias("geom_inlier_fraction"),
+    )
+
+
+def find_poses(packed: DataFrame, method: str = "geom", factory: Callable | None = None, res: int = 384, batch_size: int = 4) -> DataFrame:
+    """The pose report of every packed mesh by 'geom', 'identity', 'vlm' or 'hybrid'; the last two show six views to the model that factory makes."""
+    from .render import render_grids
+    from .scorers import POSE_PROMPT, infer
+
+    base = canonicalise(packed, "identity" if method == "identity" else "geom")
+    if method not in ("vlm", "hybrid"):
+        null = F.lit(None)
+        return base.withColumns({"vlm_up_label": null.cast("string"), "vlm_front_label": null.cast("string"), "vlm_agrees_with_geom": null.cast("boolean")})
+    if factory is None:
+        raise ValueError(f"pose method {method!r} needs an image scorer")
+    base = cut(base)
+    replies = infer(render_grids(packed, res, six=True), factory, batch_size=batch_size, prompt=POSE_PROMPT)
+    labels = cut(replies.select("mesh_id", parse_pose(F.col("raw_response")).alias("p"), F.col("error").alias("vlm_error")).select("mesh_id", "p.*", "vlm_error"))
+    out = (hybrid_pose if method == "hybrid" else model_pose)(base, labels.drop("vlm_error"))
+    return out.join(base.select("mesh_id", "error"), "mesh_id").join(labels.select("mesh_id", "vlm_error"), "mesh_id", "left").withColumn("error", F.coalesce("error", "vlm_error")).drop("vlm_error")
+
+
 def apply_pose(packed: DataFrame, poses: DataFrame) -> DataFrame:
     """(mesh_id, vertices, faces) with R v and the middle of the box at the origin."""
     both = packed.join(poses.select("mesh_id", "rotation_matrix"), "mesh_id")

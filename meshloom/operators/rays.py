@@ -1,44 +1,63 @@
-"""Inside tests by ray parity, relational: points meet triangles of their mesh in cells of the y-z plane."""
+"""Inside tests by ray crossings, relational: points meet triangles of their mesh in cells of the plane across the rays."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Cells a side of a mesh's grid: the square root of its number of triangles within these bounds, so a cell holds a few.
+LEAST_CELLS, MOST_CELLS = 8, 2048
 
-def parity_inside(points: DataFrame, corners: DataFrame, cells: int = 8) -> DataFrame:
-    """(mesh_id, pid, crossings, inside): whether a ray along +X from each point crosses the mesh an odd number of times.
 
-    corners is topology.corners. A grid of cells x cells over each mesh's y-z box buckets both sides,
-    so it is an equi-join with a residual test. Edges of triangles count half-open (a vertex at the
-    ray's height counts as above), so a ray through a shared edge crosses it once. Points without a
-    crossing are outside.
+def ray_crossings(points: DataFrame, corners: DataFrame, axis: str = "x", cells: int | None = None) -> DataFrame:
+    """(mesh_id, pid, crossings, winding) of a ray along an axis, upwards, from each point: how often it crosses the mesh, and outward less inward.
+
+    corners is topology.corners. A grid over each mesh's box across the axis buckets both sides, so it
+    is an equi-join with a residual test. Edges of triangles count half-open (a vertex at the ray's height
+    counts as above), so a ray through a shared edge crosses it once.
     """
-    box = corners.groupBy("mesh_id").agg(*[f(f"{c}{d}").alias(f"{c}{d}{n}") for c in "abc" for d in "yz" for f, n in ((F.min, "lo"), (F.max, "hi"))])
-    box = box.select("mesh_id", *[F.least(*[f"{c}{d}lo" for c in "abc"]).alias(f"{d}0") for d in "yz"], *[F.greatest(*[f"{c}{d}hi" for c in "abc"]).alias(f"{d}1") for d in "yz"])
-    cell = lambda v, d: F.greatest(F.lit(0), F.least(F.lit(cells - 1), F.floor((v - F.col(f"{d}0")) / F.greatest(F.col(f"{d}1") - F.col(f"{d}0"), F.lit(1e-300)) * cells))).cast("int")
+    along, (first, second) = axis, {"x": "yz", "y": "zx", "z": "xy"}[axis]
+    flat = first + second
+    box = corners.groupBy("mesh_id").agg(F.count("*").alias("_n"), *[f(f"{c}{d}").alias(f"{c}{d}{n}") for c in "abc" for d in flat for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    side = F.lit(cells) if cells else F.greatest(F.lit(LEAST_CELLS), F.least(F.lit(MOST_CELLS), F.ceil(F.sqrt("_n"))))
+    box = box.select("mesh_id", side.cast("int").alias("_g"), *[F.least(*[f"{c}{d}lo" for c in "abc"]).alias(f"{d}0") for d in flat], *[F.greatest(*[f"{c}{d}hi" for c in "abc"]).alias(f"{d}1") for d in flat])
+    scratch = ["_g", *[f"{d}{n}" for d in flat for n in "01"]]
+    cell = lambda v, d: F.greatest(F.lit(0), F.least(F.col("_g") - 1, F.floor((v - F.col(f"{d}0")) / F.greatest(F.col(f"{d}1") - F.col(f"{d}0"), F.lit(1e-300)) * F.col("_g")))).cast("int")
     t = corners.join(box, "mesh_id")
-    for d in "yz":
+    for d in flat:
         low, high = F.least(*[f"{c}{d}" for c in "abc"]), F.greatest(*[f"{c}{d}" for c in "abc"])
         t = t.withColumn(f"g{d}", F.explode(F.sequence(cell(low, d), cell(high, d))))
-    t = t.drop("y0", "y1", "z0", "z1")
-    p = points.join(box, "mesh_id").withColumns({f"g{d}": cell(F.col(d), d) for d in "yz"}).drop("y0", "y1", "z0", "z1")
-    met = p.join(t, ["mesh_id", "gy", "gz"])
+    p = points.join(box, "mesh_id").withColumns({f"g{d}": cell(F.col(d), d) for d in flat}).drop(*scratch)
+    met = p.join(t.drop(*scratch), ["mesh_id", f"g{first}", f"g{second}"])
 
     def spans(u: str, v: str):
-        """The edge u-v passes the point's height in y; and the z at which it does, against the point's."""
-        passes = (F.col(f"{u}y") > F.col("y")) != (F.col(f"{v}y") > F.col("y"))
-        z = F.col(f"{u}z") + (F.col("y") - F.col(f"{u}y")) / F.nullif(F.col(f"{v}y") - F.col(f"{u}y"), F.lit(0.0)) * (F.col(f"{v}z") - F.col(f"{u}z"))
-        return passes & (z > F.col("z"))
+        """The edge u-v passes the point's height in the first direction, beyond the point in the second."""
+        passes = (F.col(f"{u}{first}") > F.col(first)) != (F.col(f"{v}{first}") > F.col(first))
+        at = F.col(f"{u}{second}") + (F.col(first) - F.col(f"{u}{first}")) / F.nullif(F.col(f"{v}{first}") - F.col(f"{u}{first}"), F.lit(0.0)) * (F.col(f"{v}{second}") - F.col(f"{u}{second}"))
+        return passes & (at > F.col(second))
 
     inside_projection = F.pmod(sum(F.coalesce(spans(u, v), F.lit(False)).cast("int") for u, v in (("a", "b"), ("b", "c"), ("c", "a"))), F.lit(2)) == 1
-    e1, e2 = ([F.col(f"{k}{d}") - F.col(f"a{d}") for d in "xyz"] for k in "bc")
-    nx, ny, nz = e1[1] * e2[2] - e1[2] * e2[1], e1[2] * e2[0] - e1[0] * e2[2], e1[0] * e2[1] - e1[1] * e2[0]
-    x = F.col("ax") - (ny * (F.col("y") - F.col("ay")) + nz * (F.col("z") - F.col("az"))) / F.nullif(nx, F.lit(0.0))
-    hits = met.where(inside_projection & (x > F.col("x"))).groupBy("mesh_id", "pid").agg(F.count("*").alias("n"))
+    order = along + flat
+    e1, e2 = ([F.col(f"{k}{d}") - F.col(f"a{d}") for d in order] for k in "bc")
+    n0, n1, n2 = e1[1] * e2[2] - e1[2] * e2[1], e1[2] * e2[0] - e1[0] * e2[2], e1[0] * e2[1] - e1[1] * e2[0]
+    at = F.col(f"a{along}") - (n1 * (F.col(first) - F.col(f"a{first}")) + n2 * (F.col(second) - F.col(f"a{second}"))) / F.nullif(n0, F.lit(0.0))
+    hits = met.where(inside_projection & (at > F.col(along))).groupBy("mesh_id", "pid").agg(F.count("*").alias("n"), F.sum(F.signum(n0)).cast("long").alias("w"))
     out = points.select("mesh_id", "pid").join(hits, ["mesh_id", "pid"], "left")
-    return out.select("mesh_id", "pid", F.coalesce("n", F.lit(0)).alias("crossings"), (F.coalesce("n", F.lit(0)) % 2 == 1).alias("inside"))
+    return out.select("mesh_id", "pid", F.coalesce("n", F.lit(0)).alias("crossings"), F.coalesce("w", F.lit(0)).alias("winding"))
+
+
+def parity_inside(points: DataFrame, corners: DataFrame, axis: str = "x", cells: int | None = None) -> DataFrame:
+    """(mesh_id, pid, crossings, inside): whether a ray along an axis crosses the mesh an odd number of times; without a crossing it is outside."""
+    return ray_crossings(points, corners, axis, cells).select("mesh_id", "pid", "crossings", (F.col("crossings") % 2 == 1).alias("inside"))
+
+
+def winding_inside(points: DataFrame, corners: DataFrame, axis: str = "z") -> DataFrame:
+    """(mesh_id, pid, winding, inside): whether a ray along an axis leaves the mesh more often than it enters.
+
+    It agrees with parity along another axis on closed meshes whose faces look outwards; holes, turned
+    faces and overlapping parts set the two apart.
+    """
+    return ray_crossings(points, corners, axis).select("mesh_id", "pid", "winding", (F.col("winding") > 0).alias("inside"))
 
 
 def sign_agreement(truth: DataFrame, other: DataFrame) -> DataFrame:
@@ -50,10 +69,13 @@ def sign_agreement(truth: DataFrame, other: DataFrame) -> DataFrame:
     )
 
 
-def unit_points(spark: SparkSession, n: int, seed: int = 0) -> DataFrame:
-    """(pid, ux, uy, uz): n uniform points of the unit cube by NumPy's default generator; one table for all meshes, of a size set by n."""
-    u = np.random.default_rng(seed).random((n, 3))
-    return spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(u)], "pid long, ux double, uy double, uz double")
+#: Steps of an additive sequence that fills the unit cube evenly: the first three powers of 1 / 1.2207440846057596, the root of x^4 = x + 1.
+STEPS = (0.8191725133961645, 0.6710436067037893, 0.5497004779019703)
+
+
+def unit_points(spark: SparkSession, n: int) -> DataFrame:
+    """(pid, ux, uy, uz): n evenly spread points of the unit cube, the same in every run; one table for all meshes, of a size set by n."""
+    return spark.range(n).select(F.col("id").alias("pid"), *[F.pmod(F.lit(0.5) + (F.col("id") + 1) * F.lit(step), F.lit(1.0)).alias(f"u{d}") for d, step in zip("xyz", STEPS, strict=True)])
 
 
 def box_points(vertices: DataFrame, unit: DataFrame, margin: float = 0.05) -> DataFrame:

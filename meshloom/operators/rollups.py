@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,11 +83,29 @@ def in_datasets(rows: DataFrame, wanted: str | None, dataset: str = "dataset") -
     return rows.where(F.col(dataset).isin(names)) if names else rows
 
 
-def dataset_rows(reports: DataFrame) -> DataFrame:
-    """The 15 columns of a dataset's summary from nested reports."""
+def distinct_datasets(rows: DataFrame, dataset: str = "dataset") -> DataFrame:
+    """The datasets that have rows, in order."""
+    return rows.select(dataset).where(F.col(dataset).isNotNull()).distinct().orderBy(dataset)
+
+
+def with_status(rows: DataFrame, status: str = "all", accepted: str = "accepted") -> DataFrame:
+    """All rows, or only the 'accepted' or the 'rejected' ones; a null verdict is neither."""
+    if status not in ("all", "accepted", "rejected"):
+        raise ValueError(f"unknown status {status!r}")
+    return rows if status == "all" else rows.where(F.col(accepted) if status == "accepted" else ~F.col(accepted))
+
+
+def in_rounds(rows: DataFrame, key: str, rounds: int, commit: Callable[[DataFrame], None]) -> None:
+    """Commit the rows in so many rounds, by a hash of the key: a run that breaks off loses one round, and resumes by pending()."""
+    for k in range(rounds):
+        commit(rows.where(F.pmod(F.xxhash64(key), F.lit(rounds)) == k))
+
+
+def dataset_rows(reports: DataFrame, *more: str) -> DataFrame:
+    """The 15 columns of a dataset's summary from nested reports, after those named in more."""
     v, m = F.col("stage2_vlm"), F.col("stage4_filter.metrics")
     return reports.select(
-        "sha256", "accepted", F.array_join(F.coalesce("rejection_reasons", F.array().cast("array<string>")), "|").alias("rejection_reasons"), "seconds_total",
+        *more, "sha256", "accepted", F.array_join(F.coalesce("rejection_reasons", F.array().cast("array<string>")), "|").alias("rejection_reasons"), "seconds_total",
         v["aesthetic_quality"].alias("vlm_quality"), v["object_class"].alias("vlm_class"), v["is_primitive"].alias("vlm_primitive"), v["is_ground_plane"].alias("vlm_ground"),
         v["is_noisy_scan"].alias("vlm_noisy"), v["is_fragmented"].alias("vlm_frag"), m["fraction_inside_gt"].alias("interior_ratio"), m["vae"]["chamfer"].alias("vae_chamfer"),
         m["num_components"].alias("num_components"), m["is_watertight"].alias("is_watertight"), "input_path",

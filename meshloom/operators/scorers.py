@@ -15,6 +15,9 @@ from .packed import Mesh, map_meshes
 #: Prompt languages; an unknown one means English.
 PROMPTS = {"en": "Judge this 3D object. Reply in JSON.", "zh": "请评价这个三维物体，用 JSON 回答。"}
 
+#: What is asked with the six views of a pose.
+POSE_PROMPT = 'The six views are named by the axis they look along. Which axis points up and which to the front? Reply in JSON: {"up_axis": "+Y", "front_axis": "+Z"}.'
+
 _loaded: dict = {}
 
 
@@ -54,9 +57,9 @@ def once(factory: Callable):
     return _loaded[key]
 
 
-def infer(images: DataFrame, factory: Callable[[], ImageScorer] = StubImageScorer, lang: str = "en", batch_size: int = 4) -> DataFrame:
-    """(mesh_id, png) -> (mesh_id, raw_response, error) in batches of batch_size; a batch that fails gives its error for each of its rows."""
-    prompt = PROMPTS.get(lang, PROMPTS["en"])
+def infer(images: DataFrame, factory: Callable[[], ImageScorer] = StubImageScorer, lang: str = "en", batch_size: int = 4, prompt: str | None = None) -> DataFrame:
+    """(mesh_id, png) -> (mesh_id, raw_response, error) in batches of batch_size; a batch that fails gives its error for each of its rows. The prompt is that of the language if not given."""
+    prompt = prompt or PROMPTS.get(lang, PROMPTS["en"])
     key = images.schema["mesh_id"].dataType.simpleString()
 
     def run(batches):
@@ -93,6 +96,6 @@ def decide(replies: DataFrame, config: AcceptConfig = AcceptConfig()) -> DataFra
     return out.withColumn("accepted", F.size("rejection_reasons") == 0)
 
 
-def shape_scores(packed: DataFrame, factory: Callable[[], ShapeScorer] = StubShapeScorer) -> DataFrame:
+def shape_scores(packed: DataFrame, factory: Callable[[], ShapeScorer] = StubShapeScorer, timeout_s: float | None = None) -> DataFrame:
     """(mesh_id, chamfer, error) of each packed mesh's round trip."""
-    return map_meshes(packed, lambda m: {"chamfer": float(once(factory).round_trip(m))}, "chamfer double")
+    return map_meshes(packed, lambda m: {"chamfer": float(once(factory).round_trip(m))}, "chamfer double", heavy=True, timeout_s=timeout_s)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
@@ -17,19 +17,22 @@ from ..sources import files as listing
 from ..sources.meshfile import decode_files, unpack
 
 
-def geometry_metrics(packed: DataFrame, config: PipelineConfig = PipelineConfig(), scorer: Callable | None = None) -> DataFrame:
-    """Stage 4 of packed meshes: (mesh_id, metrics, reasons, is_valid, error). Parity and measures are relational; components and the autoencoder run in kernels."""
+def geometry_metrics(packed: DataFrame, config: PipelineConfig = PipelineConfig(), scorer: Callable | None = None, truth: Callable[[DataFrame, DataFrame], DataFrame] = rays.parity_inside) -> DataFrame:
+    """Stage 4 of packed meshes: (mesh_id, metrics, reasons, is_valid, error). Parity and measures are relational; components and the autoencoder run in kernels.
+
+    truth is the inside test held to be right: from points (mesh_id, pid, x, y, z) and corners to
+    (mesh_id, pid, inside). The test it is compared with is the winding of rays along another axis.
+    """
     vertices, faces = unpack(packed)
     at = topology.corners(vertices, faces)
     summary = topology.summarize(vertices, faces)
     axis = topology.primitive_score(vertices, faces).drop("num_faces")
     parts = topology.components(packed)
     points = rays.box_points(vertices, rays.unit_points(packed.sparkSession, config.ray_samples))
-    inside = rays.parity_inside(points, at)
-    agree = rays.sign_agreement(inside, inside)
+    agree = rays.sign_agreement(truth(points, at), rays.winding_inside(points, at))
     out = packed.select("mesh_id").join(summary, "mesh_id", "left").join(axis, "mesh_id", "left").join(parts.withColumnRenamed("error", "parts_error"), "mesh_id", "left").join(agree, "mesh_id", "left")
     if scorer and not config.skip_autoencoder:
-        out = out.join(scorers.shape_scores(packed, scorer).withColumnRenamed("error", "vae_error"), "mesh_id", "left")
+        out = out.join(scorers.shape_scores(packed, scorer, config.timeout_s).withColumnRenamed("error", "vae_error"), "mesh_id", "left")
     else:
         out = out.withColumns({"chamfer": F.lit(None).cast("double"), "vae_error": F.lit(None).cast("string")})
     out = out.withColumn("volume_area_ratio", F.when(F.col("is_watertight"), F.abs("volume") / (F.col("area") + 1e-12)))
@@ -42,39 +45,79 @@ def geometry_metrics(packed: DataFrame, config: PipelineConfig = PipelineConfig(
     return out.select("mesh_id", metrics.alias("metrics"), "reasons", (F.size("reasons") == 0).alias("is_valid"), F.coalesce("parts_error", "vae_error").alias("error"))
 
 
-def model_verdicts(packed: DataFrame, config: PipelineConfig, factory: Callable | None, res: int = 256) -> DataFrame:
-    """Stage 2: render, infer, parse, decide -> (mesh_id, verdict, rejection_reasons, accepted, error)."""
-    images = cut(render.render_grids(packed, res))
-    replies = scorers.infer(images, factory or scorers.StubImageScorer, batch_size=config.batch_size)
-    return scorers.decide(replies, config.accept).join(images.select("mesh_id", F.col("error").alias("render_error")), "mesh_id").select("mesh_id", "verdict", "rejection_reasons", "accepted", F.coalesce("render_error", "error").alias("error"))
+def _scorer(factory: Callable | None, config: PipelineConfig) -> None:
+    if factory is None and not config.skip_model:
+        raise ValueError("stage 2 needs an image scorer, or skip_model")
+
+
+def model_verdicts(packed: DataFrame, config: PipelineConfig, factory: Callable, cache: DataFrame | None = None) -> DataFrame:
+    """Stage 2: render, infer, parse, decide -> (mesh_id, verdict, rejection_reasons, accepted, error, render_error, cache_key, raw_response).
+
+    cache (cache_key, raw_response) holds replies of earlier runs; only images that it lacks are shown to
+    the model. Keys are made of image, model, language and size; write the last two columns back to it.
+    """
+    images = cut(render.render_grids(packed, config.render_res, timeout_s=config.timeout_s))
+    key = scorers.cache_key(F.sha2("png", 256), getattr(factory, "name", factory.__qualname__), config.prompt_lang, str(config.render_res))
+    asked = images.where("png is not null").withColumn("cache_key", key)
+    score = lambda rows: scorers.infer(rows, factory, config.prompt_lang, config.batch_size)
+    if cache is not None:
+        replies = scorers.with_cache(asked.select("mesh_id", "png", "cache_key"), cache, score).drop("cached")
+    else:
+        replies = score(asked).join(asked.select("mesh_id", "cache_key"), "mesh_id")
+    judged = scorers.decide(replies, config.accept)
+    return images.select("mesh_id", F.col("error").alias("render_error")).join(judged, "mesh_id", "left").select("mesh_id", "verdict", "rejection_reasons", "accepted", "error", "render_error", "cache_key", "raw_response")
+
 
+def _late_errors() -> Column:
+    """Errors of rendering (er), the model (e2) and geometry (e4) as reasons; a time-out has a place of its own."""
+    timed = lambda e, where: F.when(F.col(e).startswith("TimeoutError:"), f"{where}_timeout")
+    at = {"er": timed("er", "render").otherwise("render"), "e2": F.lit("vlm_batch_fail"), "e4": timed("e4", "stage4").otherwise("stage4_fail")}
+    return F.array_compact(F.array(*[F.when(F.col(e).isNotNull(), error_reason(where, F.col(e))) for e, where in at.items()]))
 
-def clean_meshes(packed: DataFrame, config: PipelineConfig = PipelineConfig(), image_scorer: Callable | None = None, shape_scorer: Callable | None = None) -> DataFrame:
-    """Stage 1, 3, 4, 2 of every packed mesh -> (mesh_id, vertices, faces, accepted, rejection_reasons, stage1, pose, metrics, verdict, error); outputs are given for rejected meshes too."""
+
+def _no_verdicts(packed: DataFrame) -> DataFrame:
+    null = F.lit(None)
+    return packed.select("mesh_id", null.cast("string").alias("verdict"), null.cast("array<string>").alias("rejection_reasons"), null.cast("boolean").alias("accepted"), *[null.cast("string").alias(c) for c in ("error", "render_error")]).limit(0)
+
+
+def clean_meshes(packed: DataFrame, config: PipelineConfig = PipelineConfig(), image_scorer: Callable | None = None, shape_scorer: Callable | None = None, cache: DataFrame | None = None) -> DataFrame:
+    """Stage 1, 3, 4, 2 of every packed mesh -> (mesh_id, vertices, faces, accepted, rejection_reasons, stage1, pose, metrics, verdict, error); outputs are given for rejected meshes too.
+
+    Stage 2 and the pose methods 'vlm' and 'hybrid' need an image scorer (a factory); without skip_model
+    its absence is an error. cache is that of model_verdicts.
+    """
+    _scorer(image_scorer, config)
     whole = packed
     if config.skip_watertight:
         first = packed.select("mesh_id", F.lit(True).alias("is_watertight"), F.lit(None).cast("double").alias("chamfer_to_input"), F.lit(None).cast("string").alias("error"))
     else:
-        closed = cut(voxels.watertighten(packed, config.watertight))
+        closed = cut(voxels.watertighten(packed, config.watertight, config.timeout_s))
         whole, first = closed.where("error is null").select("mesh_id", F.col("vertices").cast(VERTEX).alias("vertices"), F.col("faces").cast(FACE).alias("faces")), closed.drop("vertices", "faces")
     method = pose.downgrade(config.pose_method, config.skip_model)
-    poses = cut(pose.canonicalise(whole, "identity" if method == "identity" else "geom"))
+    poses = cut(pose.find_poses(whole, method, image_scorer, config.pose_render_res, config.batch_size))
     turned = cut(pose.apply_pose(whole, poses))
     metrics = cut(geometry_metrics(turned, config, shape_scorer))
     judged = turned.join(metrics.where("is_valid").select("mesh_id"), "mesh_id", "left_semi") if config.short_circuit else turned
-    null = F.lit(None)
-    verdicts = model_verdicts(judged, config, image_scorer) if not config.skip_model else packed.select("mesh_id", null.cast("string").alias("verdict"), null.cast("array<string>").alias("rejection_reasons"), null.cast("boolean").alias("accepted"), null.cast("string").alias("error")).limit(0)
+    verdicts = model_verdicts(judged, config, image_scorer, cache) if not config.skip_model else _no_verdicts(packed)
     out = first.select("mesh_id", F.struct("is_watertight", "chamfer_to_input").alias("stage1"), F.col("error").alias("e1"))
-    out = out.join(poses.select("mesh_id", F.struct("method", "up_axis_world", "forward_axis_world", "rotation_matrix", "needs_manual_review", "geom_inlier_fraction").alias("pose")), "mesh_id", "left")
+    out = out.join(poses.select("mesh_id", F.struct("method", "up_axis_world", "forward_axis_world", "rotation_matrix", "vlm_up_label", "vlm_front_label", "vlm_agrees_with_geom", "needs_manual_review", "geom_inlier_fraction").alias("pose"), F.col("error").alias("e3")), "mesh_id", "left")
     out = out.join(metrics.select("mesh_id", "metrics", "reasons", F.col("error").alias("e4")), "mesh_id", "left")
-    out = out.join(verdicts.select("mesh_id", "verdict", F.col("rejection_reasons").alias("r2"), F.col("error").alias("e2")), "mesh_id", "left").join(turned, "mesh_id", "left")
+    out = out.join(verdicts.select("mesh_id", "verdict", F.col("rejection_reasons").alias("r2"), F.col("error").alias("e2"), F.col("render_error").alias("er")), "mesh_id", "left").join(turned, "mesh_id", "left")
     reasons = merge_pipeline(F.coalesce("stage1.is_watertight", F.lit(True)), F.coalesce("pose.needs_manual_review", F.lit(False)), F.col("reasons"), F.col("r2"))
-    failed = F.array_compact(F.array(F.when(F.col("e1").isNotNull(), error_reason(F.lit("load"), F.col("e1")))))
+    failed = F.array_compact(F.array(F.when(F.col("e1").isNotNull(), error_reason(F.lit("load"), F.col("e1")))))  # a failed pose is a case for review, which merge_pipeline says
     if config.failure_policy == "closed":
-        late = F.array_compact(F.array(F.when(F.col("e4").isNotNull(), error_reason(F.lit("stage4_fail"), F.col("e4"))), F.when(F.col("e2").isNotNull(), error_reason(F.lit("vlm_batch_fail"), F.col("e2")))))
-        failed = F.concat(failed, late)
+        failed = F.concat(failed, _late_errors())
     out = out.withColumn("rejection_reasons", F.concat(failed, reasons))
-    return out.select("mesh_id", "vertices", "faces", (F.size("rejection_reasons") == 0).alias("accepted"), "rejection_reasons", "stage1", "pose", "metrics", "verdict", F.coalesce("e1", "e4", "e2").alias("error"))
+    return out.select("mesh_id", "vertices", "faces", (F.size("rejection_reasons") == 0).alias("accepted"), "rejection_reasons", "stage1", "pose", "metrics", "verdict", F.coalesce("e1", "e3", "e4", "er", "e2").alias("error"))
+
+
+def as_results(clean: DataFrame) -> DataFrame:
+    """Rows of clean_meshes as nested results, for summaries and reports; seconds aren't kept by mesh, so they are null."""
+    null = F.lit(None)
+    verdict = F.when(F.col("verdict").isNotNull(), F.struct(F.col("verdict.aesthetic_quality"), F.col("verdict.object_class"))) if "struct" in clean.schema["verdict"].dataType.simpleString() else null.cast("struct<aesthetic_quality:bigint,object_class:string>")
+    stages = F.struct(F.col("stage1").alias("stage1_watertighten"), verdict.alias("stage2_vlm_filter"), F.col("pose").alias("stage3_canonicalize"), F.struct("metrics").alias("stage4_filter_geometry"))
+    path = F.col("mesh_id").cast("string")
+    return clean.select(path.alias("input_path"), path.alias("output_path"), "accepted", "rejection_reasons", null.cast("double").alias("seconds_total"), stages.alias("stage_reports"))
 
 
 def clean_directory(spark: SparkSession, root: str, config: PipelineConfig = PipelineConfig(), **scorers_: Callable) -> DataFrame:
@@ -90,12 +133,12 @@ def clean_directory(spark: SparkSession, root: str, config: PipelineConfig = Pip
     return done.unionByName(bad)
 
 
-def filter_datasets(packed: DataFrame, config: PipelineConfig = PipelineConfig(failure_policy="closed"), done: DataFrame | None = None, image_scorer: Callable | None = None, shape_scorer: Callable | None = None) -> DataFrame:
+def filter_datasets(packed: DataFrame, config: PipelineConfig = PipelineConfig(failure_policy="closed"), done: DataFrame | None = None, image_scorer: Callable | None = None, shape_scorer: Callable | None = None, cache: DataFrame | None = None) -> DataFrame:
     """Stages 2 and 4 on raw meshes (dataset, mesh_id, vertices, faces) that have no report yet -> (dataset, mesh_id, accepted, rejection_reasons, verdict, metrics, error); failures reject."""
+    _scorer(image_scorer, config)
     todo = pending(packed, done, "mesh_id") if done is not None else packed
     metrics = cut(geometry_metrics(todo, config, shape_scorer))
-    verdicts = model_verdicts(todo, config, image_scorer)
-    out = todo.select("dataset", "mesh_id").join(metrics.select("mesh_id", "metrics", "reasons", F.col("error").alias("e4")), "mesh_id", "left").join(verdicts.select("mesh_id", "verdict", F.col("rejection_reasons").alias("r2"), F.col("error").alias("e2")), "mesh_id", "left")
-    failed = F.array_compact(F.array(F.when(F.col("e2").isNotNull(), error_reason(F.lit("vlm_batch_fail"), F.col("e2"))), F.when(F.col("e4").isNotNull(), error_reason(F.lit("stage4_fail"), F.col("e4")))))
-    out = out.withColumn("rejection_reasons", F.concat(failed if config.failure_policy == "closed" else F.array().cast("array<string>"), merge_batch(F.col("r2"), F.col("reasons"))))
-    return out.select("dataset", "mesh_id", (F.size("rejection_reasons") == 0).alias("accepted"), "rejection_reasons", "verdict", "metrics", F.coalesce("e2", "e4").alias("error"))
+    verdicts = model_verdicts(todo, config, image_scorer, cache) if not config.skip_model else _no_verdicts(packed)
+    out = todo.select("dataset", "mesh_id").join(metrics.select("mesh_id", "metrics", "reasons", F.col("error").alias("e4")), "mesh_id", "left").join(verdicts.select("mesh_id", "verdict", F.col("rejection_reasons").alias("r2"), F.col("error").alias("e2"), F.col("render_error").alias("er")), "mesh_id", "left")
+    out = out.withColumn("rejection_reasons", F.concat(_late_errors() if config.failure_policy == "closed" else F.array().cast("array<string>"), merge_batch(F.col("r2"), F.col("reasons"))))
+    return out.select("dataset", "mesh_id", (F.size("rejection_reasons") == 0).alias("accepted"), "rejection_reasons", "verdict", "metrics", F.coalesce("er", "e2", "e4").alias("error"))

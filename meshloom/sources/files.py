@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.rules import strip_extension
+from ..operators.rollups import in_datasets, limit_each
 
 PATTERNS = ("*.glb", "*.obj", "*.ply")
 
 
 def list_meshes(spark: SparkSession, root: str, patterns=PATTERNS, content: bool = False) -> DataFrame:
-    """(path, length, modificationTime[, content]) of the files below root that match any pattern, each once, in order of path."""
+    """(path, length, modificationTime[, content]) of the files below root that match any pattern, each once; in order of path, unless the content is read, which isn't shuffled."""
     glob = "{" + ",".join(patterns) + "}"
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(root)
-    return (files if content else files.drop("content")).orderBy("path")
+    return files if content else files.drop("content").orderBy("path")
 
 
 def with_hash(files: DataFrame, content: str = "content") -> DataFrame:
@@ -31,6 +34,13 @@ def read_manifest(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     return rows.where("sha256 is not null")
 
 
+def collect_manifests(spark: SparkSession, paths: dict[str, str], wanted: str | None = None, limit: int | None = None) -> DataFrame:
+    """The rows of the manifests of all datasets (name -> path of its CSV), or of those in a comma-separated list, the first `limit` of each."""
+    rows = reduce(DataFrame.unionAll, [read_manifest(spark, path, name) for name, path in sorted(paths.items())])
+    rows = in_datasets(rows, wanted)
+    return limit_each(rows, "dataset", "pos", limit) if limit else rows
+
+
 def candidate_paths(root: Column, sha256: Column, local_path: Column) -> Column:
     """Where a manifest row's file may lie, best first: its own path, then by name and by hash below the root."""
     name = F.element_at(F.split(local_path, "/"), -1)

@@ -35,16 +35,17 @@ def write_batch_summary(results: DataFrame, path: str) -> bool:
     rows = batch_rows(results)
     if not rows.take(1):
         return False
-    rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    rows.orderBy("input").write.mode("overwrite").option("header", True).csv(path)
     return True
 
 
 def write_dataset_summary(reports: DataFrame, path: str) -> None:
-    """The 15-column CSV and the retention text of every dataset that has reports."""
-    dataset_rows(reports).withColumn("dataset", F.lit("all")).drop("dataset").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}/summary")
+    """The 15-column CSV and the retention text of every dataset that has reports (dataset, ...), in a folder for each; a large dataset's rows are several files."""
+    rows = dataset_rows(reports, "dataset").repartitionByRange("dataset", "sha256")
+    rows.write.mode("overwrite").partitionBy("dataset").option("header", True).csv(f"{path}/summary")
     kept = retention(reports)
     text = F.format_string("dataset: %s\ntotal: %d\naccepted: %d\nretention_rate: %.4f (%.2f%%)", "dataset", "total", "n_accept", F.col("n_accept") / F.col("total"), F.col("n_accept") * 100 / F.col("total"))
-    kept.select(text.alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/retention")
+    kept.select("dataset", text.alias("value")).write.mode("overwrite").partitionBy("dataset").text(f"{path}/retention")
 
 
 def markdown_report(results: DataFrame, source: str) -> str:

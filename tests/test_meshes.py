@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from meshloom.config import PipelineConfig, env
+from meshloom.functions.rules import GeometryConfig
 from meshloom.operators import neighbours, pose, rays, render, rollups, scorers, topology, voxels
 from meshloom.operators.packed import Mesh, map_meshes, pack
 from meshloom.plans import pipeline
@@ -68,10 +69,132 @@ def test_summary_of_closed_forms(spark):
 def test_cube_is_primitive_and_solid(spark):
     packed = table(spark, {"cube": box(), "ball": icosphere(0.5, 3)})
     out = {r.mesh_id: r for r in pipeline.geometry_metrics(packed, PipelineConfig(ray_samples=500)).collect()}
+    hook = pipeline.geometry_metrics(packed, PipelineConfig(ray_samples=500), truth=lambda points, _: points.select("mesh_id", "pid", F.lit(True).alias("inside")))
+    assert {r.metrics.fraction_inside_gt for r in hook.collect()} == {1.0}
     assert out["cube"].reasons == ["primitive_like"] and out["ball"].reasons == [] and out["ball"].is_valid
     assert out["cube"].metrics.fraction_inside_gt == pytest.approx(1 / 1.1**3, abs=0.06) and out["cube"].metrics.ray_sign_agreement == 1
 
 
+def test_ray_agreement_of_turned_and_holed_meshes(spark):
+    ball = icosphere(0.5, 3)
+    inverted = Mesh(ball.vertices, ball.faces[:, ::-1])
+    low = ball.vertices[ball.faces].mean(1)[:, 2] < 0.25
+    shifted = Mesh(np.concatenate([ball.vertices, ball.vertices + (0.3, 0, 0)]), np.concatenate([ball.faces, ball.faces + len(ball.vertices)]))
+    packed = table(spark, {"ball": ball, "inverted": inverted, "holed": Mesh(ball.vertices, ball.faces[low]), "overlapping": shifted})
+    config = PipelineConfig(ray_samples=800, geometry=GeometryConfig(ray_agreement_min=0.9))
+    by = {r.mesh_id: r for r in pipeline.geometry_metrics(packed, config).collect()}
+    assert by["ball"].metrics.ray_sign_agreement == 1 and by["ball"].is_valid
+    inside = by["inverted"].metrics.fraction_inside_gt
+    assert inside == by["ball"].metrics.fraction_inside_gt and by["inverted"].metrics.ray_sign_agreement == pytest.approx(1 - inside) and by["inverted"].metrics.fraction_inside_cubvh == 0
+    assert by["inverted"].reasons == [f"ray_sign_disagreement={1 - inside:.3f}"]
+    assert 0.3 < by["holed"].metrics.ray_sign_agreement < 0.95 and by["overlapping"].metrics.ray_sign_agreement < 0.9
+
+
+@pytest.mark.parametrize("axis", ["x", "y", "z"])
+def test_rays_along_any_axis_equal_brute_force(spark, axis):
+    ball, cube = icosphere(0.5, 2), box(1, 2, 3)
+    v, f = meshfile.unpack(table(spark, {"ball": ball, "cube": cube}))
+    rng = np.random.default_rng(2)
+    at = {k: rng.uniform(-1.2, 1.2, (200, 3)) for k in ("ball", "cube")}
+    points = spark.createDataFrame([(k, i, *map(float, p)) for k, ps in at.items() for i, p in enumerate(ps)], "mesh_id string, pid long, x double, y double, z double")
+    d = np.eye(3)["xyz".index(axis)]
+    got = {(r.mesh_id, r.pid): r.crossings for r in rays.ray_crossings(points, topology.corners(v, f), axis).collect()}
+    for k, m in (("ball", ball), ("cube", cube)):
+        tri = m.vertices[m.faces]
+        for i, p in enumerate(at[k]):
+            h = np.cross(d, tri[:, 2] - tri[:, 0])
+            det = (h * (tri[:, 1] - tri[:, 0])).sum(1)
+            with np.errstate(all="ignore"):
+                s = p - tri[:, 0]
+                u, q = (s * h).sum(1) / det, np.cross(s, tri[:, 1] - tri[:, 0])
+                w, t = q @ d / det, (q * (tri[:, 2] - tri[:, 0])).sum(1) / det
+                good = (det != 0) & (u >= 0) & (w >= 0) & (u + w <= 1) & (t > 0)
+            assert got[k, i] == int(good.sum())
+
+
+def test_model_poses_from_views_to_rotation(spark):
+    class PoseModel:
+        """A model that names the axes of every grid of six views."""
+
+        name = "poses"
+
+        def generate(self, images, prompt):
+            return ['{"up_axis": "+Z", "front_axis": "+X"}' if "up_axis" in prompt else '{"aesthetic_quality": 4}' for _ in images]
+
+    packed = table(spark, {"flat": box(3, 2, 0.5, at=(0, 0, 0.25)), "tall": box(1, 3, 1, at=(0, 1.5, 0))})
+    vlm = {r.mesh_id: r for r in pose.find_poses(packed, "vlm", PoseModel, 16).collect()}
+    assert all(r.method == "vlm" and r.up_axis_world == [0, 0, 1] and r.forward_axis_world == [1, 0, 0] and not r.needs_manual_review and np.linalg.det(np.array(r.rotation_matrix)) == pytest.approx(1) for r in vlm.values())
+    hybrid = {r.mesh_id: r for r in pose.find_poses(packed, "hybrid", PoseModel, 16).collect()}
+    geometry = {r.mesh_id: r for r in pose.canonicalise(packed).collect()}
+    assert hybrid["flat"].vlm_agrees_with_geom and hybrid["flat"].up_axis_world == [0, 0, 1]
+    agrees = abs(geometry["tall"].up_axis_world[2]) >= 0.8
+    assert hybrid["tall"].vlm_agrees_with_geom == agrees and hybrid["tall"].needs_manual_review == (not agrees)
+    with pytest.raises(ValueError):
+        pose.find_poses(packed, "vlm")
+    config = PipelineConfig(skip_watertight=True, ray_samples=50, pose_method="vlm", render_res=16, pose_render_res=16)
+    out = {r.mesh_id: r for r in pipeline.clean_meshes(packed, config, PoseModel).collect()}
+    assert out["flat"].pose.vlm_up_label == "+Z" and out["flat"].verdict.aesthetic_quality == 4 and max(p.y for p in out["flat"].vertices) == pytest.approx(0.25)
+
+
+def test_stage_two_needs_a_model_and_uses_the_cache(spark):
+    packed = table(spark, {"a": icosphere(0.5, 1), "none": Mesh(box().vertices, box().faces[:0])})
+    with pytest.raises(ValueError):
+        pipeline.clean_meshes(packed)
+    config = PipelineConfig(render_res=16, prompt_lang="zh")
+    first = pipeline.model_verdicts(packed, config, scorers.StubImageScorer).collect()
+    by = {r.mesh_id: r for r in first}
+    assert by["a"].raw_response and by["none"].render_error.startswith("ValueError") and by["none"].verdict is None
+    cache = spark.createDataFrame([(by["a"].cache_key, '{"aesthetic_quality": 1}')], "cache_key string, raw_response string")
+    again = {r.mesh_id: r for r in pipeline.model_verdicts(packed, config, scorers.StubImageScorer, cache).collect()}
+    assert again["a"].rejection_reasons == ["aesthetic_quality=1 < 2"] and set(again) == {"a", "none"}
+
+
+def test_slow_kernels_time_out(spark):
+    def slow(mesh):
+        import time
+
+        for _ in range(200 if len(mesh.faces) > 12 else 1):
+            time.sleep(0.05)
+        return {"n": len(mesh.faces)}
+
+    out = {r.mesh_id: r for r in map_meshes(table(spark, {"a": box(), "b": icosphere(0.5, 1)}), slow, "n long", timeout_s=0.5).collect()}
+    assert (out["a"].n, out["a"].error) == (12, None) and out["b"].error == "TimeoutError:after 0.5 s"
+
+
+def test_dataset_folders_and_rounds(spark, tmp_path):
+    reports = spark.createDataFrame([("d1", "a", True), ("d1", "b", False), ("d2", "c", True)], "dataset string, sha256 string, accepted boolean")
+    full = reports.selectExpr("dataset", "sha256", "accepted", "array('x') AS rejection_reasons", "1.5D AS seconds_total", "named_struct('aesthetic_quality', 1, 'object_class', 'c', 'is_primitive', true, 'is_ground_plane', true, 'is_noisy_scan', true, 'is_fragmented', true) AS stage2_vlm",
+        "named_struct('metrics', named_struct('fraction_inside_gt', 1D, 'vae', named_struct('chamfer', 1D), 'num_components', 1, 'is_watertight', true)) AS stage4_filter", "'p' AS input_path")
+    sinks.write_dataset_summary(full, str(tmp_path / "out"))
+    rows = spark.read.option("header", True).csv(str(tmp_path / "out/summary"))
+    assert len(rows.columns) == 16 and {(r.dataset, r.sha256) for r in rows.collect()} == {("d1", "a"), ("d1", "b"), ("d2", "c")}
+    assert "retention_rate: 0.5000 (50.00%)" in {r.value for r in spark.read.text(str(tmp_path / "out/retention/dataset=d1")).collect()}
+    assert [r.dataset for r in rollups.distinct_datasets(full).collect()] == ["d1", "d2"]
+    assert [rollups.with_status(full, s).count() for s in ("all", "accepted", "rejected")] == [3, 2, 1]
+    with pytest.raises(ValueError):
+        rollups.with_status(full, "odd")
+    seen = []
+    rollups.in_rounds(full, "sha256", 3, lambda part: seen.extend(r.sha256 for r in part.collect()))
+    assert sorted(seen) == ["a", "b", "c"]
+    for name in ("d1", "d2"):
+        (tmp_path / f"{name}.csv").write_text("sha256,local_path\n" + "".join(f"{name}{k},{k}.glb\n" for k in range(5)))
+    listed = files.collect_manifests(spark, {n: str(tmp_path / f"{n}.csv") for n in ("d1", "d2")}, limit=2)
+    assert {r.sha256 for r in listed.collect()} == {"d10", "d11", "d20", "d21"}
+
+
+def test_command_line(tmp_path, spark, monkeypatch):
+    from meshloom import cli
+
+    monkeypatch.setattr(cli, "local_session", lambda: spark)
+    (tmp_path / "in").mkdir()
+    assert cli.main(["batch", str(tmp_path / "in"), str(tmp_path / "out")]) == 1
+    (tmp_path / "in" / "a.obj").write_bytes(meshfile.encode_obj(icosphere(0.5, 2)))
+    assert cli.main(["clean", str(tmp_path / "in"), str(tmp_path / "out")]) == 1
+    assert cli.main(["batch", str(tmp_path / "in"), str(tmp_path / "out"), "--skip-vlm", "--resolution", "16"]) == 0
+    rows = spark.read.option("header", True).csv(str(tmp_path / "out/summary")).collect()
+    assert len(rows) == 1 and len(rows[0]) == 11 and rows[0].accepted == "1" and rows[0].s1_watertight == "true"
+
+
 def test_parity_of_a_ray_through_edges(spark):
     v, f = meshfile.unpack(table(spark, {"cube": box()}))
     points = spark.createDataFrame([("cube", 0, 0.0, 0.0, 0.0), ("cube", 1, -2.0, 0.0, 0.0), ("cube", 2, 0.0, 0.5, 0.5), ("cube", 3, 2.0, 0.1, 0.2), ("cube", 4, 0.0, -0.5, 0.25)], "mesh_id string, pid long, x double, y double, z double")
@@ -167,15 +290,15 @@ def test_reports_and_sinks(spark, tmp_path):
 
 def test_dataset_run_resumes(spark):
     packed = table(spark, {"a": box(), "b": icosphere(0.5, 2), "c": Mesh(box().vertices, box().faces[:0])}).withColumn("dataset", F.lit("d"))
-    config = PipelineConfig(failure_policy="closed", ray_samples=100)
+    config = PipelineConfig(failure_policy="closed", ray_samples=100, render_res=32)
     done = spark.createDataFrame([("b",)], "mesh_id string")
-    out = {r.mesh_id: r for r in pipeline.filter_datasets(packed, config, done).collect()}
-    assert set(out) == {"a", "c"} and "stage4:primitive_like" in out["a"].rejection_reasons and out["c"].rejection_reasons[0].startswith("error:vlm_batch_fail:")
+    out = {r.mesh_id: r for r in pipeline.filter_datasets(packed, config, done, scorers.StubImageScorer).collect()}
+    assert set(out) == {"a", "c"} and "stage4:primitive_like" in out["a"].rejection_reasons and out["c"].rejection_reasons[0].startswith("error:render:")
 
 
 def test_cleaning_short_circuits(spark):
-    config = PipelineConfig(skip_watertight=True, ray_samples=100, short_circuit=True)
-    out = {r.mesh_id: r for r in pipeline.clean_meshes(table(spark, {"cube": box(), "ball": icosphere(0.5, 2)}), config).collect()}
+    config = PipelineConfig(skip_watertight=True, ray_samples=100, short_circuit=True, render_res=32)
+    out = {r.mesh_id: r for r in pipeline.clean_meshes(table(spark, {"cube": box(), "ball": icosphere(0.5, 2)}), config, scorers.StubImageScorer).collect()}
     assert out["cube"].verdict is None and out["ball"].verdict is not None and out["cube"].rejection_reasons == ["stage4:primitive_like"] and len(out["cube"].vertices) == 8
 
 
