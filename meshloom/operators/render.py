@@ -10,7 +10,6 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from .packed import Mesh, map_meshes
-from .voxels import first_hits
 
 FOV_DEG, DISTANCE = 35.0, 2.5
 #: Directions and up vectors of the six views, and the light model.
@@ -29,12 +28,16 @@ class Camera:
     up: np.ndarray
     fov_deg: float = FOV_DEG
 
-    def rays(self, res: int) -> np.ndarray:
-        """Directions (res * res, 3), top row first."""
+    def frame(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The unit vectors ahead, to the right and upwards."""
         unit = lambda v: v / max(np.linalg.norm(v), 1e-8)
         ahead = unit(self.target - self.eye)
         right = unit(np.cross(ahead, self.up))
-        over = np.cross(right, ahead)
+        return ahead, right, np.cross(right, ahead)
+
+    def rays(self, res: int) -> np.ndarray:
+        """Directions (res * res, 3), top row first."""
+        ahead, right, over = self.frame()
         span = np.linspace(-1, 1, res) * np.tan(np.radians(self.fov_deg) / 2)
         d = ahead + span[None, :, None] * right - span[:, None, None] * over
         return (d / np.linalg.norm(d, axis=2, keepdims=True)).reshape(-1, 3)
@@ -60,11 +63,58 @@ def shade(normals: np.ndarray, dirs: np.ndarray) -> np.ndarray:
     return np.clip(BASE * (AMBIENT + light(KEY_DIR) * KEY_COLOR + 0.5 * light(FILL_DIR) * FILL_COLOR), 0, 1)
 
 
+def camera_hits(mesh: Mesh, camera: Camera, res: int, chunk: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest triangle (-1: none) and its distance for each of the camera's rays, as first_hits gives them.
+
+    Triangles are projected, and only the rays of the pixels below their projection meet them, so the work
+    grows with the pixels that triangles cover. A triangle that reaches behind the camera meets all rays.
+    """
+    dirs, ahead, right, over = camera.rays(res), *camera.frame()
+    face, dist = np.full(res * res, -1), np.full(res * res, np.inf)
+    rel = mesh.vertices - camera.eye
+    depth = rel @ ahead
+    scale = (res - 1) / 2 / np.tan(np.radians(camera.fov_deg) / 2)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        at = np.stack([rel @ right, -(rel @ over)], 1) / depth[:, None] * scale + (res - 1) / 2  # column, row
+    f = mesh.faces
+    behind = (depth[f] <= 1e-9).any(1)
+    corner = np.where(behind[:, None, None], 0.0, at[f])
+    low, high = np.floor(corner.min(1) - 1e-6), np.ceil(corner.max(1) + 1e-6)
+    low[behind], high[behind] = 0, res - 1
+    seen = (high >= 0).all(1) & (low <= res - 1).all(1)
+    low, high = np.clip(low, 0, res - 1).astype(np.int64), np.clip(high, 0, res - 1).astype(np.int64)
+    size = np.where(seen[:, None], high - low + 1, 0)
+    count = size.prod(1)
+    ends, start = np.cumsum(count), 0
+    a, e1, e2 = rel[f[:, 0]], rel[f[:, 1]] - rel[f[:, 0]], rel[f[:, 2]] - rel[f[:, 0]]
+    while start < len(f):
+        done = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + chunk)))
+        k = np.repeat(np.arange(start, stop), count[start:stop])
+        j = np.arange(len(k)) + done - np.repeat(ends[start:stop] - count[start:stop], count[start:stop])
+        pixel = (low[k, 1] + j // np.maximum(size[k, 0], 1)) * res + low[k, 0] + j % np.maximum(size[k, 0], 1)
+        d = dirs[pixel]
+        h = np.cross(d, e2[k])
+        det = (h * e1[k]).sum(1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            inv, s = 1 / det, -a[k]
+            u = (s * h).sum(1) * inv
+            q = np.cross(s, e1[k])
+            w, t = (d * q).sum(1) * inv, (q * e2[k]).sum(1) * inv
+        good = np.flatnonzero((np.abs(det) > 1e-14) & (u >= 0) & (w >= 0) & (u + w <= 1) & (t > 1e-9))
+        good = good[np.lexsort((k[good], t[good], pixel[good]))]  # of equal distances the first face
+        good = good[np.append(True, np.diff(pixel[good]) != 0)] if len(good) else good
+        nearer = t[good] < dist[pixel[good]]
+        dist[pixel[good[nearer]]], face[pixel[good[nearer]]] = t[good[nearer]], k[good[nearer]]
+        start = stop
+    return face, dist
+
+
 def render_view(mesh: Mesh, camera: Camera, res: int = 512, supersample: int = 2, normals: np.ndarray | None = None) -> np.ndarray:
     """uint8 (res, res, 3), samples averaged over supersample x supersample blocks and cut to whole numbers."""
     hi = res * max(1, supersample)
     dirs = camera.rays(hi)
-    face, dist = first_hits(mesh.vertices, mesh.faces, np.broadcast_to(camera.eye, dirs.shape), dirs)
+    face, dist = camera_hits(mesh, camera, hi)
     image, hit = np.full((hi * hi, 3), BACKGROUND), face >= 0
     if hit.any():
         normals = vertex_normals(mesh) if normals is None else normals

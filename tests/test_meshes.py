@@ -238,6 +238,52 @@ def test_views_and_grids(spark):
     assert by["m"].width == 32 and bytes(by["m"].png[:4]) == b"\x89PNG" and by["none"].error.startswith("ValueError:")
 
 
+def test_projected_triangles_equal_all_rays():
+    rng = np.random.default_rng(3)
+    soup = Mesh(rng.normal(size=(60, 3)), rng.integers(0, 60, (80, 3)))
+    for mesh in (icosphere(0.4, 2), box(1, 2, 3), soup):
+        for camera in [*render.cameras(mesh).values(), render.Camera(np.zeros(3), np.array([1.0, 0, 0]), np.array([0.0, 1, 0]))]:
+            dirs = camera.rays(33)
+            face, dist = render.camera_hits(mesh, camera, 33, chunk=500)
+            want, far = voxels.first_hits(mesh.vertices, mesh.faces, np.broadcast_to(camera.eye, dirs.shape), dirs)
+            assert ((face < 0) == (want < 0)).all() and np.allclose(dist, far, atol=1e-9) and (face == want).mean() > 0.97
+
+
+def test_distances_of_point_sets_cells_and_floods_equal_brute_force():
+    rng = np.random.default_rng(4)
+    for na, nb, scale in ((1, 1, 1), (50, 3, 5), (400, 500, 0.01), (300, 200, 1)):
+        a, b = rng.normal(size=(na, 3)), rng.normal(size=(nb, 3)) * scale + 2
+        assert np.allclose(voxels.nearest_distances(a, b), np.sqrt(((a[:, None] - b[None]) ** 2).sum(2).min(1)))
+    for share in (0.5, 0.03):
+        mask = rng.random((8, 8, 8)) < share
+        mask[0, 0, 0], mask[7, 7, 7] = True, False
+        full, part = voxels.distance_transform(mask), voxels.distance_transform(mask, 2)
+        for c in np.ndindex(mask.shape):
+            other = np.argwhere(mask != mask[c])
+            assert abs(full[c]) == pytest.approx(np.sqrt(((other - c) ** 2).sum(1).min()), rel=1e-6) and (full[c] < 0) == mask[c]
+        near = np.abs(full) <= 2
+        assert np.allclose(full[near], part[near]) and (np.abs(part[~near]) > 2).all()
+    for _ in range(40):
+        shell = rng.random((9, 9, 9)) < rng.uniform(0.3, 0.97)
+        out = np.zeros_like(shell)
+        for axis in range(3):
+            np.moveaxis(out, axis, 0)[[0, -1]] = np.moveaxis(~shell, axis, 0)[[0, -1]]
+        while ((new := voxels.dilate_grid(out) & ~shell | out) != out).any():
+            out = new
+        assert (voxels.flood_outside(shell) == out).all()
+
+
+def test_distances_to_triangles_flat_ones_too():
+    rng = np.random.default_rng(5)
+    p, a, b, c = rng.normal(size=(4, 40, 3))
+    b[:5], c[5:10] = a[:5], a[5:10] + (b[5:10] - a[5:10]) * 2
+    uv = np.array([(i / 60, j / 60) for i in range(61) for j in range(61 - i)])
+    at = a[:, None] + (b - a)[:, None] * uv[None, :, :1] + (c - a)[:, None] * uv[None, :, 1:]
+    brute = np.sqrt(((p[:, None] - at) ** 2).sum(2).min(1))
+    got = np.sqrt(voxels.point_triangle_squared(p, a, b, c))
+    assert (got <= brute + 1e-9).all() and (brute - got < 0.08).all()
+
+
 def test_files_round_trip(spark, tmp_path):
     m = box(1, 2, 3)
     for name, data in (("a.ply", meshfile.encode_ply(m)), ("b.obj", meshfile.encode_obj(m)), ("sub/c.glb", meshfile.encode_glb(m)), ("d.obj", b"v 0 0 0\n"), ("e.ply", b"junk"), ("f.txt", b"x")):
