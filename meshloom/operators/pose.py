@@ -83,7 +83,7 @@ def up_axis(mesh: Mesh, tie: str = "flip") -> tuple[np.ndarray, float]:
     n, area = n / np.maximum(size, 1e-12)[:, None], size / 2
     share = lambda a: float(area[np.abs(n @ a) > np.cos(np.radians(CONE_DEG))].sum() / (area.sum() + 1e-12))
     world = np.eye(3)
-    scores = [share(a) for a in world]
+    scores = [round(share(a), 9) for a in world]  # equal shares are ties whatever the order of their sums
     k = 1 if scores[1] >= max(scores) - Y_MARGIN else int(np.argmax(scores))
     axis, score = world[k], scores[k]
     if score < OBB_BELOW:  # principal axes stand in for those of the least box

@@ -132,6 +132,12 @@ def sign_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out, "ray_sign_agreement", "fraction_inside_gt", "fraction_inside_other")
 
 
+def ray_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parity along x against winding along z; holes and turned triangles set them apart."""
+    points, at = _test_points(spark, sf_dir), topology.corners(*_boxes(spark, sf_dir))
+    return _rounded(rays.sign_agreement(rays.parity_inside(points, at), rays.winding_inside(points, at)), "ray_sign_agreement", "fraction_inside_gt", "fraction_inside_other")
+
+
 def surface_sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many of 100 even steps through a mesh's area fall on it, and how many leave its bounds."""
     v, f = _boxes(spark, sf_dir)
@@ -141,7 +147,7 @@ def surface_sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("mesh_id").agg(F.count("*").alias("n"), F.count_if("out").alias("n_outside"))
 
 
-QUERIES = {f.__name__: f for f in (corpus_qc, mesh_edges, mesh_manifold, mesh_summary, mesh_components, fit_unit_cube, primitive_score, vertex_normals, merged_mesh, stage4_filter, up_axis_score, scatter_matrix, third_moment, rotation_apply, ray_parity_inside, sign_agreement, surface_sample_counts)}
+QUERIES = {f.__name__: f for f in (corpus_qc, mesh_edges, mesh_manifold, mesh_summary, mesh_components, fit_unit_cube, primitive_score, vertex_normals, merged_mesh, stage4_filter, up_axis_score, scatter_matrix, third_moment, rotation_apply, ray_parity_inside, sign_agreement, ray_agreement, surface_sample_counts)}
 
 _EDGES = """,
 half AS (SELECT mesh_id, a AS p, b AS q FROM faces UNION ALL SELECT mesh_id, b, c FROM faces UNION ALL SELECT mesh_id, c, a FROM faces),
@@ -170,6 +176,11 @@ sides AS (SELECT p.mesh_id, p.pid,
   ax - (ny * (y - ay) + nz * (z - az)) / nullif(nx, 0) > x AS ahead FROM points p JOIN normals n ON n.mesh_id = p.mesh_id),
 parity AS (SELECT p.mesh_id, p.pid, coalesce(n, 0) AS crossings, coalesce(n, 0) % 2 = 1 AS inside FROM points p LEFT JOIN (SELECT mesh_id, pid, count(*) AS n FROM sides WHERE s % 2 = 1 AND ahead GROUP BY ALL) h ON h.mesh_id = p.mesh_id AND h.pid = p.pid)"""
 
+_UPWARD = """,
+above AS (SELECT p.mesh_id, p.pid, nz,
+  (((ax > x) <> (bx > x)) AND ay + (x - ax) / nullif(bx - ax, 0) * (by_ - ay) > y)::INT + (((bx > x) <> (cx > x)) AND by_ + (x - bx) / nullif(cx - bx, 0) * (cy - by_) > y)::INT + (((cx > x) <> (ax > x)) AND cy + (x - cx) / nullif(ax - cx, 0) * (ay - cy) > y)::INT AS s,
+  az - (nx * (x - ax) + ny * (y - ay)) / nullif(nz, 0) > z AS ahead FROM points p JOIN normals n ON n.mesh_id = p.mesh_id)"""
+
 ORACLE_SQL = {
     "mesh_edges": f"{SQL}{_EDGES} SELECT * FROM edges",
     "mesh_manifold": f"{SQL}{_EDGES} SELECT * FROM manifold",
@@ -187,5 +198,6 @@ ORACLE_SQL = {
     "rotation_apply": f"{SQL}, t AS (SELECT mesh_id, vid, -y AS x, x AS y, z FROM vertices), b AS (SELECT mesh_id, (min(x) + max(x)) / 2 AS cx, (min(y) + max(y)) / 2 AS cy, (min(z) + max(z)) / 2 AS cz FROM t GROUP BY mesh_id) SELECT mesh_id, vid, round(x - cx, 6) AS x, round(y - cy, 6) AS y, round(z - cz, 6) AS z FROM t JOIN b USING (mesh_id)",
     "ray_parity_inside": f"{SQL}{_CORNERS}{_POINTS} SELECT * FROM parity",
     "sign_agreement": f"{SQL}{_CORNERS}{_POINTS}, b AS (SELECT p.mesh_id, p.pid, abs(x) < p_size / 2 AND abs(y) < p_retailprice / 200 AND abs(z) < (p.mesh_id % 9 + 1) / 2 AS other FROM points p JOIN part ON p_partkey = p.mesh_id) SELECT mesh_id, count(*) AS ray_samples, round(avg((inside = other)::INT), 6) AS ray_sign_agreement, round(avg(inside::INT), 6) AS fraction_inside_gt, round(avg(other::INT), 6) AS fraction_inside_other FROM parity JOIN b USING (mesh_id, pid) GROUP BY mesh_id",
+    "ray_agreement": f"{SQL}{_CORNERS}{_POINTS}{_UPWARD}, o AS (SELECT p.mesh_id, p.pid, coalesce(w, 0) > 0 AS other FROM points p LEFT JOIN (SELECT mesh_id, pid, sum(sign(nz)) AS w FROM above WHERE s % 2 = 1 AND ahead GROUP BY ALL) h ON h.mesh_id = p.mesh_id AND h.pid = p.pid) SELECT mesh_id, count(*) AS ray_samples, round(avg((inside = other)::INT), 6) AS ray_sign_agreement, round(avg(inside::INT), 6) AS fraction_inside_gt, round(avg(other::INT), 6) AS fraction_inside_other FROM parity JOIN o USING (mesh_id, pid) GROUP BY mesh_id",
     "surface_sample_counts": "SELECT p_partkey AS mesh_id, 100::BIGINT AS n, 0::BIGINT AS n_outside FROM part",
 }
