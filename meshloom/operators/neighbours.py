@@ -5,14 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cut import cut
 
-#: Target sets of at most so many points are broadcast and searched in a kernel; larger ones go through grid cells.
-BROADCAST_POINTS = 200_000
-
 
 def squared_distance(a: list[Column], b: list[Column]) -> Column:
     return reduce(lambda s, d: s + d, [(x - y) * (x - y) for x, y in zip(a, b, strict=True)])
@@ -55,29 +53,75 @@ def _cell_width(targets: DataFrame, dims: list[str], by: list[str]) -> float:
     return float(np.prod(extents) * 2 / max(row.n, 1)) ** (1 / len(extents)) if extents else 1.0
 
 
-def nearest_vectors(queries: DataFrame, targets: DataFrame, rows: int = 512) -> DataFrame:
+#: Targets of a cell of nearest_vectors on average, and cells at most; a pivot of each is broadcast.
+CELL_ROWS, MOST_CELLS = 512, 4096
+
+
+def nearest_vectors(queries: DataFrame, targets: DataFrame, rows: int = CELL_ROWS, most: int = MOST_CELLS) -> DataFrame:
     """(qid, tid, d): the nearest target vector (least tid on ties) of every query vector; columns qid | tid and v.
 
-    Targets are packed into blocks that meet blocks of queries; a kernel works out the distances of one
-    block pair at a time, and the least of each query's blocks is kept by a partial aggregate. The
-    number of block pairs is the product of the blocks: for a stated query set, not for all pairs of a corpus.
+    Some targets, chosen by hash, are pivots; each target lies in the cell of the pivot nearest to it. A
+    query first meets its own pivot's cell, and then those cells that may hold something as near: by the
+    triangle inequality, a cell's targets are no nearer than its pivot less the cell's radius. Cells meet
+    queries by an equi-join, in blocks; no target is passed over that could be nearest. Spread evenly in many
+    dimensions most cells may hold one, and the work is the product of the two sides.
     """
-    import pyarrow as pa
+    spark = queries.sparkSession
+    n = targets.count()
+    pivots = targets.orderBy(F.xxhash64("tid"), "tid").limit(max(1, min(most, n // rows))).collect()  # `most` at most
+    if not pivots:
+        return spark.createDataFrame([], "qid long, tid long, d double")
+    heads = np.array([r.v for r in pivots], np.float64)
+
+    def distances(v: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum((v * v).sum(1)[:, None] + (heads * heads).sum(1) - 2 * v @ heads.T, 0))
+
+    def vectors(batch: pa.RecordBatch, at: int) -> np.ndarray:
+        return batch.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+
+    def assign(batches):
+        for batch in batches:
+            if batch.num_rows:
+                d = distances(vectors(batch, 1))
+                k = d.argmin(axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(k), pa.array(d[np.arange(len(k)), k])], ["id", "v", "c", "r"])
+
+    def placed(df: DataFrame, key: str) -> DataFrame:
+        return df.select(F.col(key).cast("long").alias("id"), F.col("v").cast("array<double>").alias("v")).mapInArrow(assign, "id long, v array<double>, c long, r double")
 
-    def blocked(df: DataFrame, key: str) -> DataFrame:
-        return df.withColumn("g", F.pmod(F.xxhash64(key), F.lit(max(1, df.count() // rows + 1)))).groupBy("g").agg(F.collect_list(F.struct(key, "v")).alias(key[0])).drop("g")
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn("g", F.pmod(F.xxhash64("id"), F.ceil(F.count("*").over(Window.partitionBy("c")) / rows))).groupBy("c", "g").agg(F.collect_list(F.struct("id", "v")).alias(name)).drop("g")
 
-    def kernel(batches):
+    def compare(batches):
         for batch in batches:
             for q, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                t = sorted(t, key=lambda x: x["tid"])
-                a, b = (np.array([x["v"] for x in s], np.float64) for s in (q, t))
-                d2 = ((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)
+                t = sorted(t, key=lambda x: x["id"])
+                x, y = (np.array([r["v"] for r in side], np.float64) for side in (q, t))
+                d2 = np.empty((len(x), len(y)))
+                for at in range(0, len(x), 64):
+                    d2[at : at + 64] = ((x[at : at + 64, None, :] - y[None]) ** 2).sum(axis=2)
                 k = d2.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array([x["qid"] for x in q], pa.int64()), pa.array([t[i]["tid"] for i in k], pa.int64()), pa.array(np.sqrt(d2[np.arange(len(a)), k]))], ["qid", "tid", "d"])
+                yield pa.RecordBatch.from_arrays([pa.array([r["id"] for r in q], pa.int64()), pa.array([t[i]["id"] for i in k], pa.int64()), pa.array(np.sqrt(d2[np.arange(len(x)), k]))], ["qid", "tid", "d"])
+
+    held = cut(placed(targets, "tid"))
+    radius = {r.c: r.r for r in held.groupBy("c").agg(F.max("r").alias("r")).collect()}  # a row a cell
+    reach = np.array([radius.get(k, -np.inf) for k in range(len(heads))])
+    asked, lists = cut(placed(queries, "qid")), cut(blocks(held, "t"))
+    met = lambda q: blocks(q, "q").join(lists, "c").select("q", "t").mapInArrow(compare, "qid long, tid long, d double")
+    first = cut(met(asked))
 
-    pairs = blocked(queries, "qid").join(F.broadcast(blocked(targets, "tid")) if targets.count() <= BROADCAST_POINTS else blocked(targets, "tid"), how="cross")
-    return pairs.select("q", "t").mapInArrow(kernel, "qid long, tid long, d double").groupBy("qid").agg(F.min(F.struct("d", "tid")).alias("b")).select("qid", F.col("b.tid").alias("tid"), F.col("b.d").alias("d"))
+    def others(batches):
+        for batch in batches:
+            if batch.num_rows:
+                near = distances(vectors(batch, 1)) - reach <= (batch.column(3).to_numpy(zero_copy_only=False) * (1 + 1e-9) + 1e-6)[:, None]
+                near[np.arange(batch.num_rows), batch.column(2).to_numpy(zero_copy_only=False)] = False
+                i, k = np.nonzero(near)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(i)), batch.column(1).take(pa.array(i)), pa.array(k)], ["id", "v", "c"])
+
+    least = first.groupBy("qid").agg(F.min("d").alias("d"))
+    again = asked.join(least, asked.id == least.qid).select("id", "v", "c", "d").mapInArrow(others, "id long, v array<double>, c long")
+    both = first.unionAll(met(cut(again)))
+    return both.groupBy("qid").agg(F.min(F.struct("d", "tid")).alias("b")).select("qid", F.col("b.tid").alias("tid"), F.col("b.d").alias("d"))
 
 
 def chamfer(a_to_b: DataFrame, b_to_a: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -93,8 +137,6 @@ def sample_surface(corners_with_area: DataFrame, n: int, seed: int = 0) -> DataF
     corners_with_area is the output of topology.with_normals. Face i holds the points whose even steps
     through the cumulative area fall into it; their place in the face comes from a hash of seed and point.
     """
-    from pyspark.sql import Window
-
     order = Window.partitionBy("mesh_id").orderBy("fid")
     total = F.sum("area").over(Window.partitionBy("mesh_id"))
     upto = F.sum("area").over(order)

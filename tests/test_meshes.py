@@ -359,6 +359,20 @@ def test_sample_and_chamfer(spark):
     assert {k: v[0] for k, v in got.items()} == {i: int(j) for i, j in enumerate(d.argmin(1))} and all(math.isclose(got[i][1], d[i].min(), rel_tol=1e-9) for i in got)
 
 
+@pytest.mark.parametrize("n, spread", [(1, 1.0), (7, 1.0), (300, 0.05), (300, 3.0)])
+def test_nearest_vectors_equal_brute_force(spark, n, spread):
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(9, 16)) * 4
+    t = centres[rng.integers(0, 9, n)] + rng.normal(size=(n, 16)) * spread
+    q = np.concatenate([centres[rng.integers(0, 9, 90)] + rng.normal(size=(90, 16)) * spread, t[:3]])
+    t = np.concatenate([t, t[:5]])  # ties go to the least id
+    frame = lambda x, key: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], f"{key} long, v array<double>")
+    got = {r.qid: (r.tid, r.d) for r in neighbours.nearest_vectors(frame(q, "qid"), frame(t, "tid"), rows=10, most=20).collect()}
+    d = np.linalg.norm(q[:, None] - t[None], axis=2)
+    assert {k: v[0] for k, v in got.items()} == {i: int(j) for i, j in enumerate(d.argmin(1))} and all(math.isclose(got[i][1], d[i].min(), abs_tol=1e-9) for i in got)
+    assert neighbours.nearest_vectors(frame(q, "qid"), frame(t, "tid").limit(0)).count() == 0
+
+
 def test_failing_scorer_is_a_row(spark):
     class Bad:
         name = "bad"
