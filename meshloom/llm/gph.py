@@ -104,6 +104,17 @@ def _costs(n: float, pairs0: list[float], parts: list[list[int]], mean: np.ndarr
     return out
 
 
+def choose_parts(n: int, together: np.ndarray, tau: int) -> list[list[int]]:
+    """The partitions of the least estimated cost: of 64 even bits at distance 2, three up to some ten million fingerprints, two of 32 bits beyond, so buckets stay small."""
+    mean, plans = np.diag(together) / max(n, 1), []
+    for m in range(1, tau + 3):
+        parts = group_bits(n, together, m)
+        start = [n * n * float(within(2 * mean[p] * (1 - mean[p]), 0)[0]) for p in parts]
+        costs = _costs(n, start, parts, mean, tau)
+        plans.append((sum(c[t + 1] for c, t in zip(costs, allocate(costs, tau - m + 1), strict=True)), m, parts))
+    return min(plans, key=lambda x: x[:2])[2]
+
+
 def _value(fp: Column, part: list[int]) -> Column:
     """The bits of a partition, in place: two fingerprints agree in it iff their masked values do."""
     return fp.bitwiseAND(F.lit(_signed(sum(1 << b for b in part))))
@@ -126,14 +137,8 @@ def near_pairs(nodes: DataFrame, fp: str = "fp", tau: int = 2, crowded: int = CR
     """
     n, together = bit_statistics(nodes, fp)
     mean = np.diag(together) / max(n, 1)
-    plans = []
-    for m in range(1, tau + 3):
-        parts = group_bits(n, together, m)
-        start = [n * n * float(within(2 * mean[p] * (1 - mean[p]), 0)[0]) for p in parts]
-        costs = _costs(n, start, parts, mean, tau)
-        chosen = allocate(costs, tau - m + 1)
-        plans.append((sum(c[t + 1] for c, t in zip(costs, chosen, strict=True)), m, parts))
-    _, m, parts = min(plans, key=lambda x: x[:2])
+    parts = choose_parts(n, together, tau)
+    m = len(parts)
 
     x = F.col(fp)
     every = nodes.select(x.alias("fp"), F.explode(F.array(*[F.struct(F.lit(i).alias("part"), _value(x, p).alias("value")) for i, p in enumerate(parts)])).alias("k")).select("fp", "k.*")

@@ -114,6 +114,15 @@ def test_allocate_meets_the_sum_at_least_cost():
     assert gph.allocate(costs, 0) == [-1, 2, -1]
 
 
+def test_buckets_stay_small_however_many_fingerprints_there_are():
+    for n in (10**3, 10**5, 10**7, 10**9, 10**11):
+        together = np.full((64, 64), n / 4.0)
+        np.fill_diagonal(together, n / 2)
+        parts = gph.choose_parts(n, together, 2)
+        assert sorted(b for p in parts for b in p) == list(range(64)) and n / 2 ** min(map(len, parts)) < gph.CROWDED
+        assert len(parts) == (3 if n <= 10**7 else 2)
+
+
 # op10 --------------------------------------------------------------------------------------------
 
 
