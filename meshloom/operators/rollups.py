@@ -57,6 +57,16 @@ def with_slice(rows: DataFrame, order: list[str], n: int, name: str = "slice") -
     return numbered(rows, order, "_i").withColumn(name, F.pmod(F.col("_i") - 1, F.lit(n))).drop("_i")
 
 
+def with_device(rows: DataFrame, order: list[str], workers: int, devices: list[str], name: str = "device") -> DataFrame:
+    """Round-robin slices as workers (column slice), and worker w on device w mod the number of devices."""
+    return with_slice(rows, order, workers).withColumn(name, F.get(F.array(*map(F.lit, devices)), F.pmod("slice", F.lit(len(devices))).cast("int")))
+
+
+def exit_status(runs: DataFrame, code: str = "code") -> DataFrame:
+    """(status): 1 if any worker ended with a code other than 0 or with none, else 0, also without workers."""
+    return runs.agg(F.coalesce(F.bool_or(F.coalesce(code, F.lit(1)) != 0), F.lit(False)).cast("int").alias("status"))
+
+
 def with_page(rows: DataFrame, order: list[str], size: int = 4, name: str = "page") -> DataFrame:
     """Pages of `size` rows, numbered from 0."""
     return numbered(rows, order, "_i").withColumn(name, F.floor((F.col("_i") - 1) / size)).drop("_i")

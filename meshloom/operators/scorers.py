@@ -89,6 +89,14 @@ def with_cache(requests: DataFrame, cache: DataFrame, score: Callable[[DataFrame
     return hits.unionAll(new)
 
 
+def with_caches(requests: DataFrame, caches: DataFrame, score: Callable[[DataFrame], DataFrame], cache: str = "cache", key: str = "cache_key", order: str = "n") -> DataFrame:
+    """with_cache() for requests that name a cache each, in the order of the requests (order, unique and not null). An answer counts only in its own cache, and a mesh may be asked for repeatedly."""
+    both = lambda t: t.withColumn("_at", F.struct(cache, key))
+    asked = both(requests).withColumn("mesh_id", F.col(order))  # scorers answer by request, not by mesh
+    found = with_cache(asked, both(caches).select("_at", "raw_response"), score, "_at").withColumnRenamed("mesh_id", order)
+    return requests.select(order, "mesh_id").join(found, order).select(order, "mesh_id", "_at.*", "raw_response", "error", "cached").orderBy(order)
+
+
 def decide(replies: DataFrame, config: AcceptConfig = AcceptConfig()) -> DataFrame:
     """Replies with verdict, rejection_reasons and accepted; the rules apply to cached replies too."""
     out = replies.withColumn("verdict", parse_reply(F.col("raw_response")))

@@ -186,6 +186,22 @@ def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scorers.with_cache(requests, cache, score).select("mesh_id", "cache_key", "raw_response", "cached")
 
 
+def caches_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select(F.col("doc_id").alias("n"), (F.col("doc_id") % 100).alias("mesh_id"), F.col("source").alias("cache"))
+    requests = docs.withColumn("cache_key", scorers.cache_key(F.col("mesh_id").cast("string"), "m", "en", "512"))
+    caches = requests.where("mesh_id % 3 = 0").select("cache", "cache_key", F.concat(F.col("cache"), F.lit(" "), "mesh_id").alias("raw_response"))
+    score = lambda rows: rows.select("mesh_id", F.concat(F.lit("request "), "mesh_id").alias("raw_response"), F.lit(None).cast("string").alias("error"))
+    return scorers.with_caches(requests, caches, score).drop("error")
+
+
+def device_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.with_device(_read(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], 7, ["d0", "d1", "d2"])
+
+
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.exit_status(_read(spark, sf_dir, "labels").select(F.col("toxic").alias("code")))
+
+
 def verdict_flip(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _read(spark, sf_dir, "labels")
     old = labels.select("doc_id", (F.col("toxic") == 1).alias("noisy"), F.col("quality").alias("q"))
@@ -236,7 +252,7 @@ def error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     vlm_json_parse, vlm_accept, vlm_reason_counts, events_json_coerce, merge_reasons_pipeline, merge_reasons_batch, pose_labels, content_hash_dedup, path_normalise, candidate_resolve,
     voxel_occupancy, voxel_dilate, voxel_erode, voxel_close, voxel_flood, voxel_index, surface_cases, nearest_neighbour, chamfer_labels, stage_stats, binary_rates, retention_by_dataset,
-    calibrate_p95, resume_anti, cache_lookup, verdict_flip, numbered_table, round_robin_slice, paginate, limit_per_dataset, hash_shuffle_limit, mesh_display, accept_windows, error_rows,
+    calibrate_p95, resume_anti, cache_lookup, caches_lookup, device_slices, run_status, verdict_flip, numbered_table, round_robin_slice, paginate, limit_per_dataset, hash_shuffle_limit, mesh_display, accept_windows, error_rows,
 )}
 
 #: The replies' parsed values by construction of the six forms.
@@ -286,6 +302,9 @@ SELECT mesh_id, n_shell, n_outside, 4096 - n_shell - n_outside AS n_inside, roun
     "calibrate_p95": "SELECT event_type, round(quantile_cont(value, 0.95), 6) AS p FROM events GROUP BY event_type",
     "resume_anti": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "cache_lookup": "SELECT doc_id AS mesh_id, sha256(doc_id || '|m|en|512') AS cache_key, CASE WHEN doc_id % 2 = 0 AND doc_id % 10 > 0 THEN 'old ' ELSE 'new ' END || doc_id AS raw_response, doc_id % 2 = 0 AND doc_id % 10 > 0 AS cached FROM labels",
+    "caches_lookup": "SELECT doc_id AS n, doc_id % 100 AS mesh_id, source AS cache, sha256((doc_id % 100) || '|m|en|512') AS cache_key, CASE WHEN doc_id % 100 % 3 = 0 AND source IS NOT NULL THEN source || ' ' || (doc_id % 100) ELSE 'request ' || doc_id END AS raw_response, doc_id % 100 % 3 = 0 AND source IS NOT NULL AS cached FROM documents",
+    "device_slices": "WITH s AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) % 7 AS slice FROM documents) SELECT *, 'd' || slice % 3 AS device FROM s",
+    "run_status": "SELECT CAST(coalesce(bool_or(coalesce(toxic, 1) <> 0), false) AS INTEGER) AS status FROM labels",
     "verdict_flip": "WITH x AS (SELECT doc_id, toxic = 1 AS old_noisy, quality AS old_q, CASE WHEN doc_id % 5 > 0 THEN quality = 0 END AS new_noisy, CASE WHEN doc_id % 5 > 0 THEN toxic END AS new_q FROM labels) SELECT *, CASE WHEN old_noisy AND NOT coalesce(new_noisy, false) THEN 'noisy->clean' WHEN NOT old_noisy AND coalesce(new_noisy, false) THEN 'clean->noisy' ELSE '' END AS flip FROM x",
     "numbered_table": "SELECT doc_id, source, row_number() OVER (ORDER BY source, doc_id) AS n FROM documents",
     "round_robin_slice": "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) % 7 AS slice FROM documents",

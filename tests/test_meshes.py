@@ -173,6 +173,10 @@ def test_dataset_folders_and_rounds(spark, tmp_path):
     assert [rollups.with_status(full, s).count() for s in ("all", "accepted", "rejected")] == [3, 2, 1]
     with pytest.raises(ValueError):
         rollups.with_status(full, "odd")
+    codes = lambda *c: rollups.exit_status(spark.createDataFrame([(x,) for x in c], "code int")).first().status
+    assert [codes(), codes(0, 0), codes(0, 3), codes(0, None)] == [0, 0, 1, 1]
+    dealt = rollups.with_device(full, ["sha256"], 2, ["x", "y", "z"]).collect()
+    assert {(r.sha256, r.slice, r.device) for r in dealt} == {("a", 0, "x"), ("b", 1, "y"), ("c", 0, "x")}
     seen = []
     rollups.in_rounds(full, "sha256", 3, lambda part: seen.extend(r.sha256 for r in part.collect()))
     assert sorted(seen) == ["a", "b", "c"]
@@ -470,3 +474,11 @@ def test_orientation_of_shuffled_faces(spark):
     p = m.vertices[out]
     assert voxels.manifold_flags(out)["is_winding_consistent"] and (p[:, 0] * np.cross(p[:, 1], p[:, 2])).sum() > 0
     assert len(topology.oriented_faces(m.vertices, f[:0])) == 0
+
+
+def test_caches_answer_their_own_requests_in_order(spark):
+    requests = spark.createDataFrame([(3, "m", "a", "k"), (1, "m", "b", "k"), (2, "m", "a", "k"), (0, "o", "a", "l"), (4, "o", None, "l")], "n long, mesh_id string, cache string, cache_key string")
+    caches = spark.createDataFrame([("a", "k", "old"), ("a", "k", "old"), ("b", "k", None), ("b", "l", "other")], "cache string, cache_key string, raw_response string")
+    score = lambda rows: rows.selectExpr("mesh_id", "concat('new ', mesh_id) AS raw_response", "CAST(NULL AS STRING) AS error")
+    found = scorers.with_caches(requests, caches, score).collect()
+    assert [(r.n, r.mesh_id, r.cache, r.raw_response, r.cached) for r in found] == [(0, "o", "a", "new 0", False), (1, "m", "b", "new 1", False), (2, "m", "a", "old", True), (3, "m", "a", "old", True), (4, "o", None, "new 4", False)]
