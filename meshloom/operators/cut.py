@@ -5,15 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows from Parquet files in the folder of spark.checkpoint.dir (one is made only where none is set in a local session, as executors elsewhere can't read it).
-
-    Kernels whose result several later steps read run once this way, and survive lost executors.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; one is made only where none is set in a local session, as executors elsewhere can't read it."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         master = spark.sparkContext.master
@@ -21,6 +17,14 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="meshloom-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    path = f"{shared.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    return shared.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows from Parquet files in the shared folder.
+
+    Kernels whose result several later steps read run once this way, and survive lost executors.
+    """
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,16 @@ def output_path(root: Column, sha256: Column, suffix: str) -> Column:
     return F.concat_ws("/", root, F.concat(strip_extension(sha256), F.lit(suffix)))
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet files below path, or no rows if nothing has been written there yet; any other failure is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_reports(spark: SparkSession, path: str, schema: str = schemas.RESULT, whole_files: bool = True) -> DataFrame:
     """JSON reports, one to a file or to a line; those that don't parse are dropped, missing fields are null."""
     reader = spark.read.schema(schema).option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")

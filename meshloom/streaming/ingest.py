@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rollups import pending
-from ..sources.files import PATTERNS, with_hash
+from ..sources.files import PATTERNS, read_or_empty, with_hash
 
 
 def stream_meshes(spark: SparkSession, root: str, patterns=PATTERNS, per_trigger: int = 1000) -> DataFrame:
@@ -25,10 +25,7 @@ def ingest(files: DataFrame, process: Callable[[DataFrame], DataFrame], reports:
 
     def batch(rows: DataFrame, _: int) -> None:
         spark = rows.sparkSession
-        try:
-            done = spark.read.parquet(reports).select("sha256")
-        except Exception:  # noqa: BLE001  nothing is written yet
-            done = spark.createDataFrame([], "sha256 string")
+        done = read_or_empty(spark, reports, "sha256 string")
         process(pending(rows, done, "sha256")).write.mode("append").parquet(reports)
 
     writer = fresh.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
