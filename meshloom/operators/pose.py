@@ -13,6 +13,8 @@ from .cut import cut
 from .packed import Mesh, map_meshes
 from .topology import corners, dot, with_normals
 
+#: Shares of area are rounded to so many places before they are compared, so equal ones are ties whatever the order of their sums.
+PLACES = 9
 CONE_DEG, Y_MARGIN, OBB_BELOW, REVIEW_BELOW, AGREE = 20.0, 0.05, 0.3, 0.05, 0.8
 
 
@@ -23,10 +25,10 @@ def up_scores(vertices: DataFrame, faces: DataFrame, cone_deg: float = CONE_DEG)
     """(mesh_id, score_x, score_y, score_z, up, up_score): the share of area whose normal lies within the cone of each axis; the best axis, Y if it is close."""
     at = with_normals(corners(vertices, faces))
     least = F.cos(F.radians(F.lit(cone_deg))) * 2 * F.col("area")
-    share = lambda d: (F.coalesce(F.sum(F.when(F.abs(f"n{d}") > least, F.col("area"))), F.lit(0.0)) / (F.sum("area") + 1e-12)).alias(f"score_{d}")
+    share = lambda d: F.round(F.coalesce(F.sum(F.when(F.abs(f"n{d}") > least, F.col("area"))), F.lit(0.0)) / (F.sum("area") + 1e-12), PLACES).alias(f"score_{d}")
     out = at.groupBy("mesh_id").agg(*[share(d) for d in "xyz"])
     best = F.greatest("score_x", "score_y", "score_z")
-    up = F.when(F.col("score_y") >= best - Y_MARGIN, "y").when(F.col("score_x") == best, "x").otherwise("z")
+    up = F.when(F.col("score_y") >= F.round(best - Y_MARGIN, PLACES), "y").when(F.col("score_x") == best, "x").otherwise("z")
     out = out.withColumn("up", up)
     return out.withColumn("up_score", F.when(F.col("up") == "x", F.col("score_x")).when(F.col("up") == "y", F.col("score_y")).otherwise(F.col("score_z")))
 
@@ -83,8 +85,8 @@ def up_axis(mesh: Mesh, tie: str = "flip") -> tuple[np.ndarray, float]:
     n, area = n / np.maximum(size, 1e-12)[:, None], size / 2
     share = lambda a: float(area[np.abs(n @ a) > np.cos(np.radians(CONE_DEG))].sum() / (area.sum() + 1e-12))
     world = np.eye(3)
-    scores = [round(share(a), 9) for a in world]  # equal shares are ties whatever the order of their sums
-    k = 1 if scores[1] >= max(scores) - Y_MARGIN else int(np.argmax(scores))
+    scores = [round(share(a), PLACES) for a in world]
+    k = 1 if scores[1] >= round(max(scores) - Y_MARGIN, PLACES) else int(np.argmax(scores))
     axis, score = world[k], scores[k]
     if score < OBB_BELOW:  # principal axes stand in for those of the least box
         _, own = np.linalg.eigh(np.cov((mesh.vertices - mesh.vertices.mean(0)).T))

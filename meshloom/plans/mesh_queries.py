@@ -192,7 +192,7 @@ ORACLE_SQL = {
     "merged_mesh": f"{SQL}, used AS (SELECT mesh_id, a AS vid FROM faces UNION SELECT mesh_id, b FROM faces UNION SELECT mesh_id, c FROM faces) SELECT mesh_id, num_vertices, num_faces FROM (SELECT mesh_id, count(*) AS num_vertices FROM used GROUP BY mesh_id) JOIN (SELECT mesh_id, count(*) AS num_faces FROM faces GROUP BY mesh_id) USING (mesh_id)",
     "stage4_filter": f"{SQL}{_EDGES}{_CORNERS}{_BOX}{_AXIS}{_PARTS}, m AS (SELECT mesh_id, CASE WHEN is_watertight THEN abs(signed_volume) / (area + 1e-12) END AS ratio, num_components, num_vertices, axis_aligned_area_fraction AS share FROM surface JOIN manifold USING (mesh_id) JOIN box USING (mesh_id) JOIN axis USING (mesh_id) JOIN parts USING (mesh_id)), r AS (SELECT mesh_id, ratio, concat_ws('|', CASE WHEN num_components > 2 THEN 'too_many_components=' || num_components END, CASE WHEN ratio < 1.0 THEN 'thin_shell_vol_area=' || format('{{:.4f}}', ratio) END, CASE WHEN num_vertices < 500 AND share > 0.85 THEN 'primitive_like' END) AS reasons FROM m) SELECT mesh_id, round(ratio, 6) AS volume_area_ratio, reasons, reasons = '' AS is_valid FROM r",
     "corpus_qc": f"{SQL}{_EDGES}{_CORNERS}, q AS (SELECT p_brand AS dataset, is_watertight AND is_winding_consistent AND abs(signed_volume) / area > 1.0 AS accepted FROM manifold JOIN surface USING (mesh_id) JOIN part ON p_partkey = mesh_id) SELECT dataset, count(*) AS total, count(*) FILTER (WHERE accepted) AS n_accept, round(count(*) FILTER (WHERE accepted) / count(*), 4) AS retention FROM q GROUP BY dataset",
-    "up_axis_score": f"{SQL}{_CORNERS}, s AS (SELECT mesh_id, " + ", ".join(f"coalesce(sum(area) FILTER (WHERE abs(n{d}) > cos(radians(20)) * 2 * area), 0) / (sum(area) + 1e-12) AS score_{d}" for d in "xyz") + " FROM normals GROUP BY mesh_id), u AS (SELECT *, CASE WHEN score_y >= greatest(score_x, score_y, score_z) - 0.05 THEN 'y' WHEN score_x = greatest(score_x, score_y, score_z) THEN 'x' ELSE 'z' END AS up FROM s), e AS (SELECT mesh_id, min(p) AS lo, max(p) AS hi FROM (SELECT v.mesh_id, CASE up WHEN 'x' THEN x WHEN 'y' THEN y ELSE z END AS p FROM vertices v JOIN u USING (mesh_id)) GROUP BY mesh_id) SELECT mesh_id, round(score_x, 6) AS score_x, round(score_y, 6) AS score_y, round(score_z, 6) AS score_z, up, round(CASE up WHEN 'x' THEN score_x WHEN 'y' THEN score_y ELSE score_z END, 6) AS up_score, CASE WHEN abs(lo) < abs(hi) OR hi - lo < 1e-9 THEN 1 ELSE -1 END AS sign FROM u JOIN e USING (mesh_id)",
+    "up_axis_score": f"{SQL}{_CORNERS}, s AS (SELECT mesh_id, " + ", ".join(f"round(coalesce(sum(area) FILTER (WHERE abs(n{d}) > cos(radians(20)) * 2 * area), 0) / (sum(area) + 1e-12), 9) AS score_{d}" for d in "xyz") + " FROM normals GROUP BY mesh_id), u AS (SELECT *, CASE WHEN score_y >= round(greatest(score_x, score_y, score_z) - 0.05, 9) THEN 'y' WHEN score_x = greatest(score_x, score_y, score_z) THEN 'x' ELSE 'z' END AS up FROM s), e AS (SELECT mesh_id, min(p) AS lo, max(p) AS hi FROM (SELECT v.mesh_id, CASE up WHEN 'x' THEN x WHEN 'y' THEN y ELSE z END AS p FROM vertices v JOIN u USING (mesh_id)) GROUP BY mesh_id) SELECT mesh_id, round(score_x, 6) AS score_x, round(score_y, 6) AS score_y, round(score_z, 6) AS score_z, up, round(CASE up WHEN 'x' THEN score_x WHEN 'y' THEN score_y ELSE score_z END, 6) AS up_score, CASE WHEN abs(lo) < abs(hi) OR hi - lo < 1e-9 THEN 1 ELSE -1 END AS sign FROM u JOIN e USING (mesh_id)",
     "scatter_matrix": f"{SQL}, p AS (SELECT mesh_id, x, 0.0::DOUBLE AS y, z FROM vertices) SELECT mesh_id, " + ", ".join(f"round(sum({a} * {b}) - sum({a}) * sum({b}) / count(*), 4) + 0.0 AS s{a}{b}" for a, b in ("xx", "xy", "xz", "yy", "yz", "zz")) + " FROM p GROUP BY mesh_id",
     "third_moment": "SELECT l_returnflag AS mesh_id, round(sum(x * x * x) / count(*) - 3 * (sum(x) / count(*)) * sum(x * x) / count(*) + 2 * (sum(x) / count(*)) * (sum(x) / count(*)) * (sum(x) / count(*)), 3) AS third_moment FROM (SELECT l_returnflag, l_quantity AS x FROM lineitem) GROUP BY l_returnflag",
     "rotation_apply": f"{SQL}, t AS (SELECT mesh_id, vid, -y AS x, x AS y, z FROM vertices), b AS (SELECT mesh_id, (min(x) + max(x)) / 2 AS cx, (min(y) + max(y)) / 2 AS cy, (min(z) + max(z)) / 2 AS cz FROM t GROUP BY mesh_id) SELECT mesh_id, vid, round(x - cx, 6) AS x, round(y - cy, 6) AS y, round(z - cz, 6) AS z FROM t JOIN b USING (mesh_id)",
