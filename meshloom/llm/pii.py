@@ -28,6 +28,10 @@ _NATIONAL = (
     r"(?:0[1-9](?:[ .-][0-9]{2}){4}|\(?0[1-9][0-9]{1,4}\)?(?: ?[/-] ?|[ .])[0-9]{3,8}(?:[ -][0-9]{2,8}){0,2}"
     r"|[679][0-9]{2}(?:(?:[ -][0-9]{3}){2}|(?:[ -][0-9]{2}){3})|[89][0-9][ -][0-9]{3}(?:[ -][0-9]{2}){2})(?![A-Za-z0-9_]|[.-][0-9])"
 )
+#: With a plus: country code and groups of digits in any division, the trunk zero in brackets after it or not; cut to a length that the country has by _international.
+_INTERNATIONAL = r"\+[1-9][0-9]{0,2}(?:[ .-]?\(0\))?[ .-]?\(?[0-9]{1,12}\)?(?:[ ./-][0-9]{1,8}){0,6}(?![A-Za-z0-9_])"
+#: Digits after the plus, country code included, for countries with numbers of one length (or few); others have 8 to 15.
+_LENGTHS = {"1": (11,), "33": (11,), "34": (11,), "39": (8, 9, 10, 11, 12, 13), "44": (11, 12)}
 #: One pass for all that starts with a digit, a plus or a bracket; the first alternative that matches and validates wins.
 _NUMBERS = re.compile(
     r"(?<![A-Za-z0-9_@])(?<![0-9][.\-/])(?=[0-9+(])(?:"
@@ -35,7 +39,7 @@ _NUMBERS = re.compile(
     r"|(?P<date>(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?:(?=[Tt][0-9]{2}(?::?[0-9]{2}|Z|z))|(?![A-Za-z0-9_]|[./-][0-9])))"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_]|-[0-9]))"
     r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9_]|[-][0-9]))"
-    rf"|(?P<phone>{_NATIONAL}|"
+    rf"|(?P<phone>{_INTERNATIONAL}|{_NATIONAL}|"
     r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![A-Za-z0-9_]|[.-][0-9])|\+[0-9]{8,15}(?![A-Za-z0-9_]))"
     r")"
 )
@@ -127,9 +131,32 @@ def _ssn(value: str, key: bytes) -> str | None:
     return f"{index + 1 + (index + 1 >= 666):03d}-{group + 1:02d}-{serial + 1:04d}"
 
 
+def _international(value: str) -> str | None:
+    """The longest part of a match, up to the end of a group, that has as many digits as the country's numbers."""
+    for end in range(len(value), 7, -1):
+        if not value[end - 1 : end].isdigit() or value[end : end + 1].isdigit():
+            continue
+        part = value[:end]
+        digits = _digits(part.replace("(0)", ""))
+        if re.fullmatch(r"[+][0-9]+[.][0-9]+", part):  # a signed decimal
+            return None
+        known = next((n for code, n in _LENGTHS.items() if digits.startswith(code)), range(8, 16))
+        if len(digits) in known and part.count("(") == part.count(")"):
+            return part
+    return None
+
+
+def _north_american(digits: str) -> bool:
+    return len(digits) == 10 and digits[0] in "23456789" and digits[3] in "23456789"
+
+
 def _phone(value: str, key: bytes) -> str | None:
     if value.count("(") != value.count(")"):
         return None
+    trunk = value.find("(0)") if value[0] == "+" else -1
+    if trunk > 0:  # the same number with or without it
+        new = _phone(value[:trunk] + value[trunk + 3 :], key)
+        return new and new[:trunk] + "(0)" + new[trunk:]
     digits = _digits(value)
     spanish = len(digits) == 9 and digits[0] in "6789" and "." not in value
     if value[0] != "+" and (9 <= len(digits) <= 12 and digits[0] == "0" != digits[1] or spanish):
@@ -138,17 +165,21 @@ def _phone(value: str, key: bytes) -> str | None:
         return _respelled(value, digits[:keep] + f"{permute(int(rest), 10 ** len(rest), key, f'national{digits[:keep]}{len(rest)}'):0{len(rest)}d}")
     if value[0] == "+" and not 8 <= len(digits) <= 15 or value[0] != "+" and len(digits) != 10:
         return None
-    country = digits[:-10] if len(digits) > 10 else ""
-    rest = digits[len(country) :] if country else digits
-    if len(rest) == 10 and rest[0] in "23456789" and rest[3] in "23456789":
+    american = len(digits) == 11 and digits[0] == "1" if value[0] == "+" else True
+    rest = digits[-10:]
+    if american and _north_american(rest):
         x = ((int(rest[:3]) - 200) * 800 + int(rest[3:6]) - 200) * 10_000 + int(rest[6:])
         x, line = divmod(permute(x, 6_400_000_000, key, "phone"), 10_000)
         area, exchange = divmod(x, 800)
-        return _respelled(value, f"{country}{area + 200}{exchange + 200}{line:04d}")
+        return _respelled(value, f"{digits[:-10]}{area + 200}{exchange + 200}{line:04d}")
     if value[0] != "+":
         return None
-    country, rest = digits[:2], digits[2:]
-    return _respelled(value, country + f"{permute(int(rest), 10 ** len(rest), key, f'phone{len(rest)}'):0{len(rest)}d}")
+    x, n = int(digits[2:]), 10 ** (len(digits) - 2)
+    while True:  # walked past the numbers that the other rule permutes, so no two numbers meet
+        x = permute(x, n, key, f"phone{digits[:2]}{len(digits) - 2}")
+        new = f"{digits[:2]}{x:0{len(digits) - 2}d}"
+        if not (american and _north_american(new[1:])):
+            return _respelled(value, new)
 
 
 def _date(value: str, key: bytes) -> str | None:
@@ -235,16 +266,17 @@ def _numbers(text: str, put) -> str:
     """The text, which holds no address or IBAN, with its numbers and dates replaced."""
     out, done, at = [], 0, 0
     while m := _NUMBERS.search(text, at):
-        new = put(m.lastgroup, m[0])
+        value = _international(m[0]) if m.lastgroup == "phone" and m[0][0] == "+" else m[0]
+        new = put(m.lastgroup, value) if value else None
         if new is None and m.lastgroup in ("card", "ssn", "ip", "date"):
             alone = _PHONE.match(text, m.start())
             if alone and (new := put("phone", alone[0])) is not None:
-                m = alone
+                value = alone[0]
         if new is None:
             at = m.start() + max(1, len(_RUN.match(text, m.start())[0]))
             continue
         out += (text[done : m.start()], new)
-        done = at = m.end()
+        done = at = m.start() + len(value)
     return "".join((*out, text[done:]))
 
 

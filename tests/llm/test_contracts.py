@@ -514,6 +514,30 @@ def test_national_phones(value):
     assert found == {"phone": 2} and first == second != value and re.sub(r"\d", "0", first) == re.sub(r"\d", "0", value)
 
 
+@pytest.mark.parametrize("value", ["+49 170 1234567", "+49 30 12345678", "+33 6 12 34 56 78", "+33 1 23 45 67 89", "+44 7700 900123", "+49 (0)30 123456", "+34 612 345 678", "+34 91 123 45 67", "+39 06 1234 5678", "+44 20 7946 0958", "+1 (212) 555-0123", "+1.212.555.0123", "+49-170-1234567"])
+def test_international_phones(value):
+    """In any division; the same number with and without the trunk zero or separators stays linked, and digits after it stay."""
+    new, found = pii.pseudonymise(f"call {value}, or ({value}). Or {value} 2021-03-04 99 times")
+    first, second, third = re.fullmatch(r"call (.+), or \((.+)\)\. Or (.+) \d{4}-\d\d-\d\d 99 times", new).groups()
+    assert found == {"phone": 3, "date": 1} and first == second == third != value and re.sub(r"\d", "0", first) == re.sub(r"\d", "0", value)
+    bare = re.sub(r"[^0-9+]", "", value.replace("(0)", ""))
+    assert pii.pseudonymise(bare)[0] == re.sub(r"[^0-9+]", "", first.replace("(0)", "")) and first[:3] == value[:3]
+
+
+def test_signed_numbers_are_no_phones():
+    for text in ("x=+3.14159265358", "+5 degrees, +100 points", "+1000000 1", "C++11 and +12345", "+1234567890123456789"):
+        assert pii.pseudonymise(text) == (text, Counter())
+
+
+def test_different_international_numbers_get_different_pseudonyms():
+    """Numbers on either side of the North American rule are permuted apart."""
+    values = [f"+1{a:03d}{b:03d}{c:04d}" for a in (112, 199, 200, 212, 999) for b in (55, 199, 200, 555) for c in range(0, 9999, 97)]
+    new = [pii.pseudonym("phone", v, b"k") for v in values]
+    assert None not in new and len(set(new)) == len(values)
+    american = [pii._north_american(v[2:]) for v in values]
+    assert [pii._north_american(v[2:]) for v in new] == american
+
+
 def test_dates_of_timestamps():
     for stamp in ("2021-03-04T10:00", "2021-03-04T10:00:00Z", "2021-03-04T1000"):
         new, found = pii.pseudonymise(f"at {stamp}, done")
