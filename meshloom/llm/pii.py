@@ -29,9 +29,9 @@ _NATIONAL = (
     r"|[679][0-9]{2}(?:(?:[ -][0-9]{3}){2}|(?:[ -][0-9]{2}){3})|[89][0-9][ -][0-9]{3}(?:[ -][0-9]{2}){2})(?![A-Za-z0-9_]|[.-][0-9])"
 )
 #: With a plus: country code and groups of digits in any division, the trunk zero in brackets after it or not; cut to a length that the country has by _international.
-_INTERNATIONAL = r"\+[1-9][0-9]{0,2}(?:[ .-]?\(0\))?[ .-]?\(?[0-9]{1,12}\)?(?:[ ./-][0-9]{1,8}){0,6}(?![A-Za-z0-9_])"
+_INTERNATIONAL = r"\+[1-9][0-9]{0,2}(?:[ .-]?\(0\))?[ .-]?\(?[0-9]{1,12}\)?(?:[ ./-](?![0-9]{4}[-/][0-9]{2}[-/])[0-9]{1,8}){0,6}(?![A-Za-z0-9_])"
 #: Digits after the plus, country code included, for countries with numbers of one length (or few); others have 8 to 15.
-_LENGTHS = {"1": (11,), "33": (11,), "34": (11,), "39": (8, 9, 10, 11, 12, 13), "44": (11, 12)}
+_LENGTHS = {"1": (11,), "33": (11,), "34": (11,), "39": (8, 9, 10, 11, 12, 13), "44": (11, 12), "49": range(9, 14)}
 #: One pass for all that starts with a digit, a plus or a bracket; the first alternative that matches and validates wins.
 _NUMBERS = re.compile(
     r"(?<![A-Za-z0-9_@])(?<![0-9][.\-/])(?=[0-9+(])(?:"
