@@ -2,7 +2,9 @@
 
 A page becomes a flat list of text blocks. A block's features are its words and link density and those of
 the two blocks on either side, with a few cues of the elements around it beside them. The tree learns from
-the blocks of a small table of labelled pages, whose noise names itself in tags and classes only in part.
+the blocks of a small table of labelled pages, whose noise names itself in tags and classes only in part and
+whose articles and wrappers have names of that kind too: what a name says counts by its share of the name, and
+not at all on an element that holds most of the page's text.
 """
 
 from __future__ import annotations
@@ -28,11 +30,13 @@ SWALLOWING = RAW_TAGS - {"template"}
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements, and words in class or id of containers, that speak for or against article text; features of the tree, not rules.
 NOISE_TAGS = frozenset("nav aside footer form button dialog menu head fieldset search label select datalist noscript audio video canvas".split())
-CONTAINERS = frozenset("div section aside ul ol dl li table span article figure form center details".split())
+CONTAINERS = frozenset("div section aside ul ol dl li table span article main figure form center details".split())
 NOISE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|nav\w*|menu|sidebar|aside|footer|foot|masthead|topbar|breadcrumbs?|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe|signup|login|related|recommend\w*|share|sharing|social|widget|comment\w*|discussion|replies|reply|respond|disqus|pagination|pager|tags?|toolbar|skip|hidden|copyright|legal|disclaimer|alert|search)(?:$|[\s_-])",
+    r"(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|nav\w*|menu|sidebar|aside|footer|foot|masthead|topbar|breadcrumbs?|cookies?|consent|notice|popup|modal|overlay|newsletter|subscribe|signup|login|related|recommend\w*|share|sharing|social|widget|comment\w*|replies|reply|respond|disqus|pagination|pager|tags?|toolbar|skip|hidden|copyright|legal|disclaimer|alert|search)$",
     re.I,
 )
+#: Words that say nothing about what a container holds.
+PLAIN_WORDS = re.compile(r"(?:list|box|area|wrap(?:per)?|container|block|items?|body|content|bar|buttons?|links?|posts?|stor(?:y|ies)|articles?|news|text|form|inner|outer|main|page|site|col(?:umn)?|row|section|group|panel|unit|slot|top|bottom|left|right|header|title|thread|policy|sticky|global|primary|secondary|js|[a-z]?\d*)$", re.I)
 _HEADER = re.compile(r"(?:^|[\s_-])(?:page|site|main|top)?-?header(?:$|[\s_-])", re.I)
 ROLES = re.compile(r"^(?:navigation|banner|contentinfo|complementary|search|form|dialog|alert|alertdialog|menu|menubar|toolbar)$", re.I)
 
@@ -42,29 +46,49 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+@dataclass(eq=False)
+class _Open:
+    """An element: what its tag and names say, and the words outside links below it."""
+
+    name: str
+    noise: float
+    article: bool
+    header: bool
+    hidden: bool
+    plain: int = 0
+    holds_article: bool = False
+
+    @property
+    def told(self) -> bool:
+        return bool(self.noise or self.article or self.header)
+
+
+def name_strength(names: str) -> float:
+    """How much of the name that says most is about page furniture: 1 for `comment-list`, 0.5 for `share-price`, 0 for `story`."""
+    best = 0.0
+    for name in names.split():
+        parts = [w for w in re.split(r"[_-]+|(?<=[a-z])(?=[A-Z])", name) if w and not PLAIN_WORDS.match(w)]
+        if parts:
+            best = max(best, sum(bool(NOISE_WORDS.match(w)) for w in parts) / len(parts))
+    return best
+
+
 @dataclass
 class Block:
     text: str
     words: int
     linked: int
-    article: bool
-    noise: bool
-    header: bool
     heading: bool
+    inside: tuple[_Open, ...]  # the elements around it that say something
+    article: bool = False
+    noise: float = 0.0
+    header: bool = False
 
     @property
     def density(self) -> float:
         return self.linked / self.words if self.words else 0.0
 
 
-@dataclass
-class _Open:
-    name: str
-    noise: bool
-    article: bool
-    header: bool
-
-
 @dataclass
 class _State:
     stack: list[_Open] = field(default_factory=list)
@@ -79,11 +103,10 @@ class _State:
         text = " ".join("".join(t for t, _ in self.pieces).split())
         if text:
             linked = sum(len(t.split()) for t, inside in self.pieces if inside)
-            inner = next((k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k].article), -1)
-            self.blocks.append(Block(
-                text, len(text.split()), linked, inner >= 0, any(e.noise for e in self.stack),
-                any(e.header for e in self.stack) and inner < 0 or any(e.header for e in self.stack[:max(inner, 0)]), self.heading,
-            ))
+            told = tuple(e for e in self.stack if e.told)
+            for e in told:
+                e.plain += len(text.split()) - linked
+            self.blocks.append(Block(text, len(text.split()), linked, self.heading, told))
         self.pieces.clear()
 
 
@@ -147,11 +170,14 @@ def blocks(page: str) -> list[Block]:
         if name in VOID_TAGS or m["rest"].endswith("/"):
             continue
         hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(found.get("style", "")))
-        named = f"{found.get('class', '')} {found.get('id', '')}"
+        named = f"{found.get('class', '')} {found.get('id', '')}".strip()
         article = name in ("article", "main") or found.get("role", "").lower() in ("main", "article")
-        noise = hidden or not article and name != "body" and (name in NOISE_TAGS or name in CONTAINERS and bool(NOISE_WORDS.search(named)) or bool(ROLES.match(found.get("role", ""))))
-        if article and re.search(r"\b(?:comment|reply|related|teaser|promo)", named, re.I):
-            article, noise = False, True
+        noise = name_strength(named) if named and name in CONTAINERS else 0.0
+        if hidden or not article and (name in NOISE_TAGS or ROLES.match(found.get("role", ""))):
+            noise = 1.0
+        if article:
+            for e in s.stack:
+                e.holds_article = True
         if name == "p":  # a paragraph ends the one before it
             for k in range(len(s.stack) - 1, -1, -1):
                 if s.stack[k].name == "p":
@@ -159,11 +185,34 @@ def blocks(page: str) -> list[Block]:
                     break
                 if s.stack[k].name in BLOCK_TAGS:
                     break
-        s.stack.append(_Open(name, noise, article, name == "header" or name in CONTAINERS and bool(_HEADER.search(named))))
+        s.stack.append(_Open(name, noise, article, name == "header" or name in CONTAINERS and bool(_HEADER.search(named)), hidden))
     s.close_block()
+    _settle(s.blocks)
     return s.blocks
 
 
+def _settle(found: list[Block]) -> None:
+    """article, noise and header of each block, now that the page is known.
+
+    What is said by the name or tag of an element that holds most of the page's words outside links doesn't count:
+    it is a wrapper, if its name says other things too, it is a form, or it holds an article element.
+    """
+    whole = sum(b.words - b.linked for b in found)
+
+    def counts(e: _Open) -> float:
+        wrapper = not e.hidden and 2 * e.plain >= whole and (e.noise < 1 or e.name == "form" or e.holds_article or e.article)
+        return 0.0 if wrapper else e.noise
+
+    for b in found:
+        said = [counts(e) for e in b.inside]
+        b.noise = max(said, default=0.0)
+        article = [e.article and n < 1 for e, n in zip(b.inside, said, strict=True)]
+        inner = max((k for k, a in enumerate(article) if a), default=-1)
+        b.article = inner >= 0
+        header = [e.header and 2 * e.plain < whole for e in b.inside]
+        b.header = any(header) if inner < 0 else any(header[:inner])
+
+
 FEATURES = (
     "words", "density", "before_words", "before_density", "after_words", "after_density", "before2_words", "before2_density", "after2_words", "after2_density",
     "near_text", "place", "noise", "header", "heading",
@@ -181,17 +230,20 @@ def features(found: list[Block]) -> np.ndarray:
     before, after, before2, after2 = (wide[k : k + len(own)] for k in (1, 3, 0, 4))
     near = sum(x[:, :1] * (1 - x[:, 1:]) for x in (own, before, after, before2, after2))
     cues = np.array([(b.article, b.noise, b.header, b.heading) for b in found], float).reshape(-1, 4)
-    plain = (own[:, 0] * (1 - own[:, 1])) * (1 - cues[:, 1]) * (1 - cues[:, 2])
+    plain = (own[:, 0] * (1 - own[:, 1])) * (cues[:, 1] < 1) * (1 - cues[:, 2])
     share = float((plain * cues[:, 0]).sum() / plain.sum()) if plain.sum() else float(cues[:, 0].any())
     place = (2 * cues[:, :1] - 1) * (share >= 0.5)
     return np.hstack([own, before, after, before2, after2, near, place, cues[:, 1:]])
 
 
+_FURNITURE = ("ad", "advert", "banner", "promo", "nav", "menu", "sidebar", "footer", "notice", "cookie", "newsletter", "login", "related", "share", "social", "comments", "comment", "reply", "tag", "search", "widget", "copyright", "popup")
+
+
 def labelled_page(seed: int) -> str:
     """A page of the labelled table: words of its article begin with m, all others with n.
 
     Its article stands in an article or main element, in a named or nameless division or in a table
-    cell; menus, adverts, notices, teasers, comments and footers are named as such or not.
+    cell, some with names that are in part about furniture, as are those of sections and wrappers; menus, adverts, notices, teasers, comments and footers are named as such or not.
     """
     r = random.Random(seed)
 
@@ -201,8 +253,16 @@ def labelled_page(seed: int) -> str:
     def links(n: int, low: int, high: int, first: str = "n") -> str:
         return "<ul>" + "".join(f"<li><a href=/x>{words(r.randint(low, high), first)}</a></li>" for _ in range(n)) + "</ul>"
 
+    def half(word: str = "") -> str:
+        """A name of which a part only is about furniture, as articles, wrappers and furniture all have."""
+        other = "".join(r.choices("bcdfgkmvz", k=4)) + r.choice("aeiou")
+        parts = [word or r.choice(_FURNITURE), other, *[other[::-1]] * (r.random() < 0.3)]
+        r.shuffle(parts)
+        return r.choice("-_").join(parts)
+
     def box(inner: str, tag: str, name: str, told: float = 0.6) -> str:
         if r.random() < told:
+            name = half(name) if r.random() < 0.15 and name != "comments" else name
             return f"<{tag}>{inner}</{tag}>" if tag != "div" and r.random() < 0.5 else f'<div class="{name}">{inner}</div>'
         return f'<div class="c{r.randint(1, 9)}">{inner}</div>'
 
@@ -230,15 +290,18 @@ def labelled_page(seed: int) -> str:
                 out.append("<ul>" + "".join(f"<li>{words(r.randint(2, 14), 'm')}</li>" for _ in range(r.randint(2, 6))) + "</ul>")
             elif chance < 0.24:
                 out.append(advert(1.0))
+            elif chance < 0.34:  # parts of an article have such names too
+                out.append(f'<{(tag := r.choice(("div", "section", "ul")))} {r.choice(("class", "id"))}="{half()}">{"".join(f"<li>{words(r.randint(2, 14), 'm')}</li>" for _ in range(r.randint(2, 6))) if tag == "ul" else paragraph() + (paragraph() if r.random() < 0.5 else "")}</{tag}>')
         return "".join(out)
 
     kind = r.choice(("article",) * 6 + ("main",) * 2 + ("content",) * 3 + ("plain",) * 4 + ("table",) * 2)
     comments = box("".join(f"<div><b>{words(1, 'n')}</b><p>{words(r.randint(5, 60), 'n')}</p></div>" for _ in range(r.randint(1, 6))), "div", "comments", 1.0) if r.random() < 0.4 else ""
     inner = body()
+    named = f' class="post {half()}"' if r.random() < 0.3 else ""
     if kind in ("article", "main"):
-        text = f"<{kind}>{inner}{comments if r.random() < 0.4 else ''}</{kind}>{comments if r.random() < 0.5 else ''}"
+        text = f"<{kind}{named}>{inner}{comments if r.random() < 0.4 else ''}</{kind}>{comments if r.random() < 0.5 else ''}"
     else:
-        text = {"content": f'<div class="content">{inner}</div>', "plain": f"<div>{inner}</div>", "table": f"<table><tr><td>{inner}</td></tr></table>"}[kind] + comments
+        text = {"content": f'<div class="content">{inner}</div>', "plain": f"<div{named}>{inner}</div>", "table": f"<table><tr><td>{inner}</td></tr></table>"}[kind] + comments
     name = words(r.randint(1, 4), "n")
     title = r.choice((f"<a href=/>{name}</a>", f"<h1>{name}</h1>", f"<h1><a href=/>{name}</a></h1>", f"<p>{name}</p>"))
     head = box(title + (f"<p>{words(r.randint(2, 15), 'n')}</p>" if r.random() < 0.4 else ""), "header", "page-header", 0.8) if r.random() < 0.6 else ""
@@ -248,7 +311,10 @@ def labelled_page(seed: int) -> str:
         side += f"<article><h3><a href=/t>{words(r.randint(3, 8), 'n')}</a></h3>" + (f"<p>{words(r.randint(4, 12), 'n')}</p>" if r.random() < 0.5 else "") + "</article>"
     form = f"<form><label>{words(r.randint(1, 3), 'n')}</label><input><button>{words(1, 'n')}</button></form>" if r.random() < 0.3 else ""
     foot = box(words(r.randint(3, 25), "n") + (links(r.randint(1, 5), 1, 3) if r.random() < 0.5 else ""), "footer", "footer", 0.8) if r.random() < 0.6 else links(r.randint(1, 4), 1, 3) if r.random() < 0.4 else ""
-    return f"<html><head><title>n</title></head><body>{head}{menu}{advert(0.7) if r.random() < 0.4 else ''}{text}{side}{form}{foot}</body></html>"
+    page = f"{head}{menu}{advert(0.7) if r.random() < 0.4 else ''}{text}{side}{form}{foot}"
+    if r.random() < 0.3:
+        page = f'<div {r.choice(("class", "id"))}="{half()}">{page}</div>' if r.random() < 0.8 else f"<form id=all>{page}</form>"
+    return f"<html><head><title>n</title></head><body>{page}</body></html>"
 
 
 #: Pages of the labelled table.
