@@ -68,11 +68,22 @@ def small_batches(spark: SparkSession) -> None:
 FILTER_BITS = 1 << 24
 
 
-def bit_filter(keys: DataFrame, hash_col: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A one-hash Bloom filter of a long column as so many bits (a power of two) packed into words; at most bits / 64 rows reach the driver.
+def bit_filter(keys: DataFrame, hash_col: str) -> np.ndarray:
+    """A one-hash Bloom filter of a long column as FILTER_BITS bits packed into words; at most FILTER_BITS / 64 rows reach the driver.
 
     It only spares work: with very many keys it lets all through.
     """
+    bit = F.col(hash_col).bitwiseAND(F.lit(FILTER_BITS - 1))
+    words = keys.select(bit.alias("p")).select(F.expr("CAST(p DIV 64 AS INT)").alias("w"), F.expr("shiftleft(1L, CAST(p % 64 AS INT))").alias("b"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():
+        out[r.w] = r.b
+    return out
+
+
+def sized_filter(keys: DataFrame, hash_col: str, n: int) -> np.ndarray:
+    """The same for n keys at sixteen bits a key, between 8 KB and 8 MB in all."""
+    bits = 1 << min(max((n * 16).bit_length(), 16), 26)
     bit = F.col(hash_col).bitwiseAND(F.lit(bits - 1))
     words = keys.select(bit.alias("p")).select(F.expr("CAST(p DIV 64 AS INT)").alias("w"), F.expr("shiftleft(1L, CAST(p % 64 AS INT))").alias("b"))
     found = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
@@ -81,11 +92,6 @@ def bit_filter(keys: DataFrame, hash_col: str, bits: int = FILTER_BITS) -> np.nd
     return out
 
 
-def filter_bits(keys: int) -> int:
-    """Bits of a filter for so many keys: sixteen a key, between 8 KB and 8 MB in all."""
-    return 1 << min(max((keys * 16).bit_length(), 16), 26)
-
-
 def may_hold(filter_words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the hashes (int64 or uint64) may be among the filter's keys."""
     p = hashes.astype(np.uint64) & np.uint64(len(filter_words) * 64 - 1)

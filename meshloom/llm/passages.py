@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .automaton import SuffixAutomaton
-from .common import bit_filter, filter_bits, materialise, may_hold, read_table, release, small_batches, text_bytes
+from .common import materialise, may_hold, read_table, release, sized_filter, small_batches, text_bytes
 from .substrings import _batch, _mixed, _names, _with_lists
 
 WINDOW, GRAM = 50, 16
@@ -214,7 +214,7 @@ def known_ranges(docs: DataFrame) -> DataFrame:
     table = materialise(_segment_table(docs), "segments")
     shared = materialise(table.groupBy("k").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("e")).where("a < e").select("k"), "shared")
     segments_ = table
-    table = _only(table, bit_filter(shared, "k", filter_bits(shared.count())))
+    table = _only(table, sized_filter(shared, "k", shared.count()))
     contents = table.groupBy("k", "g").agg(F.min(F.struct("doc_id", "t", "first", "n")).alias("r"), F.max("doc_id").alias("last"))
     contents = materialise(contents.select("r.*", "k", "g", "last"), "contents")
     units = contents.select("doc_id", "t", "first", "n", "k", "g", F.col("k").alias("pk"), F.col("g").alias("pg"), F.lit(0).alias("at"), F.col("k").alias("top"))
@@ -304,7 +304,7 @@ def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     small_batches(docs.sparkSession)
     source = _source(docs, id_col, text_col)
     found = known_ranges(source)
-    marked = bit_filter(found, "t", filter_bits(found.count()))
+    marked = sized_filter(found, "t", found.count())
     schema = _RESULT + ", text string" * keep_text
 
     def clean(batches):
