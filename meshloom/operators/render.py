@@ -101,7 +101,7 @@ def camera_hits(mesh: Mesh, camera: Camera, res: int, chunk: int = 1 << 19) -> t
             u = (s * h).sum(1) * inv
             q = np.cross(s, e1[k])
             w, t = (d * q).sum(1) * inv, (q * e2[k]).sum(1) * inv
-        good = np.flatnonzero((np.abs(det) > 1e-14) & (u >= 0) & (w >= 0) & (u + w <= 1) & (t > 1e-9))
+            good = np.flatnonzero((np.abs(det) > 1e-14) & (u >= 0) & (w >= 0) & (u + w <= 1) & (t > 1e-9))  # rays in a triangle's plane fail the first test
         good = good[np.lexsort((k[good], t[good], pixel[good]))]  # of equal distances the first face
         good = good[np.append(True, np.diff(pixel[good]) != 0)] if len(good) else good
         nearer = t[good] < dist[pixel[good]]

@@ -122,6 +122,10 @@ def voxel_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voxels.close_cells(_cells(spark, sf_dir), _CELLS, 1)
 
 
+def voxel_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voxels.distance_cells(_cells(spark, sf_dir), _CELLS)
+
+
 def voxel_flood(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = voxels.flood_report(_cells(spark, sf_dir), _CELLS)
     return out.withColumn("interior_frac", F.round("interior_frac", 6))
@@ -251,7 +255,7 @@ def error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     vlm_json_parse, vlm_accept, vlm_reason_counts, events_json_coerce, merge_reasons_pipeline, merge_reasons_batch, pose_labels, content_hash_dedup, path_normalise, candidate_resolve,
-    voxel_occupancy, voxel_dilate, voxel_erode, voxel_close, voxel_flood, voxel_index, surface_cases, nearest_neighbour, chamfer_labels, stage_stats, binary_rates, retention_by_dataset,
+    voxel_occupancy, voxel_dilate, voxel_erode, voxel_close, voxel_distances, voxel_flood, voxel_index, surface_cases, nearest_neighbour, chamfer_labels, stage_stats, binary_rates, retention_by_dataset,
     calibrate_p95, resume_anti, cache_lookup, caches_lookup, device_slices, run_status, verdict_flip, numbered_table, round_robin_slice, paginate, limit_per_dataset, hash_shuffle_limit, mesh_display, accept_windows, error_rows,
 )}
 
@@ -286,6 +290,9 @@ ORACLE_SQL = {
     "voxel_dilate": f"{_GRID}{_DILATED} SELECT * FROM dil",
     "voxel_erode": f"{_GRID} {_eroded('cells')}",
     "voxel_close": f"{_GRID}{_DILATED} SELECT * FROM ({_eroded('dil')}) UNION SELECT * FROM cells",
+    "voxel_distances": f"""{_GRID}, g AS (SELECT m.mesh_id, a::INT AS x, b::INT AS y, c::INT AS z FROM (SELECT DISTINCT mesh_id FROM cells) m, range(16) r(a), range(16) s(b), range(16) t(c)),
+sides AS (SELECT g.*, c.mesh_id IS NOT NULL AS inside FROM g LEFT JOIN cells c ON c.mesh_id = g.mesh_id AND c.x = g.x AND c.y = g.y AND c.z = g.z)
+SELECT a.mesh_id, a.x, a.y, a.z, min((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2)::BIGINT * CASE WHEN a.inside THEN -1 ELSE 1 END AS d2 FROM sides a JOIN sides b ON b.mesh_id = a.mesh_id AND b.inside <> a.inside GROUP BY a.mesh_id, a.x, a.y, a.z, a.inside""",
     "voxel_flood": f"""{_GRID}, g AS (SELECT m.mesh_id, a::INT AS x, b::INT AS y, c::INT AS z FROM (SELECT DISTINCT mesh_id FROM cells) m, range(16) r(a), range(16) s(b), range(16) t(c)),
 free AS (SELECT g.* FROM g ANTI JOIN cells USING (mesh_id, x, y, z)),
 outside(mesh_id, x, y, z) AS (SELECT mesh_id, x, y, z FROM free WHERE x IN (0, 15) OR y IN (0, 15) OR z IN (0, 15)
