@@ -148,6 +148,12 @@ def _rows(schema: pa.Schema, rows: list[tuple], take: list[int], batch: pa.Recor
     return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(take, pa.int64())), *[pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True)]], schema=schema)
 
 
+def _dealt(bricks: DataFrame) -> DataFrame:
+    """A brick's cost lies in its cells and not in its bytes, so bricks go over more partitions than their size asks for."""
+    spark = bricks.sparkSession
+    return bricks.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), "mesh_id", "gx", "gy", "gz")
+
+
 def _arrow(df: DataFrame, schema: str) -> tuple[str, pa.Schema]:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -208,7 +214,7 @@ def _label(bricks: DataFrame, config: BrickConfig, thick: int) -> DataFrame:
                 rows.append((*at, b.count, _pack(b.labels[b.own]), rims, b.border_labels(b.labels, config.res).tolist(), cells.tolist(), int(b.shell[b.own].sum()), int(b.solid[b.own].sum())))
             yield _rows(target, rows, take, batch)
 
-    return bricks.mapInArrow(run, schema)
+    return _dealt(bricks).mapInArrow(run, schema)
 
 
 def _key(config: BrickConfig, *at: Column) -> Column:
@@ -305,18 +311,15 @@ def _surface(bricks: DataFrame, outside: DataFrame, config: BrickConfig, thick:
 
     def run(batches):
         for batch in batches:
-            out, take = [], []
             for k, at, tri in _each(batch):
                 b = Brick(at, tri, config, thick)
                 known = np.zeros(b.count + 1, bool)
                 known[np.array(batch.column(5)[k].as_py() or [], np.int64)] = True
                 found = _brick_surface(b, ~known[b.labels], config)
                 if found:
-                    out.append((*at, *found))
-                    take.append(k)
-            yield _rows(target, out, take, batch)
+                    yield _rows(target, [(*at, *found)], [k], batch)
 
-    return rows.mapInArrow(run, schema)
+    return _dealt(rows).mapInArrow(run, schema)
 
 
 def _brick_surface(b: Brick, occupied: np.ndarray, config: BrickConfig) -> tuple | None:
@@ -354,7 +357,7 @@ def _brick_surface(b: Brick, occupied: np.ndarray, config: BrickConfig) -> tuple
     n, ahead = np.diff(np.append(head, len(ends))), np.add.reduceat(forward.astype(np.int64), head)
     odd = np.flatnonzero((n != 2) | (ahead != 1))
     return (
-        names.tolist(), *[xyz[:, d].tolist() for d in range(3)], faces.ravel().tolist(), (part + 1).tolist(), [{"name": int(names[i]), "part": int(of[i]) + 1} for i in border], np.bincount(part, minlength=len(kinds)).tolist(),
+        names, *[xyz[:, d] for d in range(3)], faces.ravel().astype(np.int32), (part + 1).astype(np.int32), [{"name": int(names[i]), "part": int(of[i]) + 1} for i in border], np.bincount(part, minlength=len(kinds)).tolist(),
         [{"p": int(ends[head[i], 0]), "q": int(ends[head[i], 1]), "n": int(n[i]), "forward": int(ahead[i]), "part": int(owner[head[i]]) + 1} for i in odd],
     )
 
@@ -384,12 +387,11 @@ def _kept_parts(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            out = []
             for k in range(batch.num_rows):
                 names, x, y, z, faces, part, parts = (batch.column(c)[k].values.to_numpy() for c in range(4, 11))
                 used, faces = np.unique(faces.reshape(-1, 3)[np.isin(part, parts)], return_inverse=True)
-                out.append((*(batch.column(c)[k].as_py() for c in (1, 2, 3)), names[used], x[used], y[used], z[used], faces.ravel().astype(np.int32)))
-            yield _rows(target, out, list(range(batch.num_rows)), batch)
+                found = (*(batch.column(c)[k].as_py() for c in (1, 2, 3)), names[used], x[used], y[used], z[used], faces.ravel().astype(np.int32))
+                yield _rows(target, [found], [k], batch)
 
     return plain.mapInArrow(run, schema)
 
@@ -418,7 +420,7 @@ def _escape(bricks: DataFrame, labels: DataFrame, outside: DataFrame, packed: Da
                         take.append(k)
             yield _rows(target, out, take, batch)
 
-    least = rows.mapInArrow(run, schema).groupBy("mesh_id").agg(*[F.slice(F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("h", "cell")))), 1, most)["cell"].alias(n) for k, n in ((0, "inside"), (1, "shell"))])
+    least = _dealt(rows).mapInArrow(run, schema).groupBy("mesh_id").agg(*[F.slice(F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("h", "cell")))), 1, most)["cell"].alias(n) for k, n in ((0, "inside"), (1, "shell"))])
     asked = packed.join(least.select("mesh_id", F.when(F.size("inside") > 0, F.col("inside")).otherwise(F.col("shell")).alias("cells")), "mesh_id").select("mesh_id", "vertices", "faces", "cells")
     schema2, target2 = _arrow(packed, "ray_escape_frac double")
 
