@@ -5,30 +5,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Cells a side of a mesh's grid: the square root of its number of triangles within these bounds, so a cell holds a few.
-LEAST_CELLS, MOST_CELLS = 8, 2048
+#: Grids of 1, 2, 4 ... cells a side, up to the square root of a mesh's number of triangles, so a cell of the finest holds a few; exponents of two within these bounds.
+LEAST_LEVEL, MOST_LEVEL = 3, 11
 
 
-def ray_crossings(points: DataFrame, corners: DataFrame, axis: str = "x", cells: int | None = None) -> DataFrame:
+def _across(axis: str) -> str:
+    return {"x": "yz", "y": "zx", "z": "xy"}[axis]
+
+
+def _boxes(corners: DataFrame, flat: str) -> DataFrame:
+    """(mesh_id, _top, and per direction the least and greatest coordinate of a mesh): the box across the rays and the finest grid."""
+    box = corners.groupBy("mesh_id").agg(F.count("*").alias("_n"), *[f(f"{c}{d}").alias(f"{c}{d}{n}") for c in "abc" for d in flat for f, n in ((F.min, "lo"), (F.max, "hi"))])
+    top = F.greatest(F.lit(LEAST_LEVEL), F.least(F.lit(MOST_LEVEL), F.ceil(F.log2("_n") / 2))).cast("int")
+    return box.select("mesh_id", top.alias("_top"), *[F.least(*[f"{c}{d}lo" for c in "abc"]).alias(f"{d}0") for d in flat], *[F.greatest(*[f"{c}{d}hi" for c in "abc"]).alias(f"{d}1") for d in flat])
+
+
+def _place(v, d: str):
+    """Where a coordinate lies in its mesh's box, from 0 to 1."""
+    return (v - F.col(f"{d}0")) / F.greatest(F.col(f"{d}1") - F.col(f"{d}0"), F.lit(1e-300))
+
+
+def _cell(v, d: str):
+    side = F.expr("shiftleft(1, _level)")
+    return F.greatest(F.lit(0), F.least(side - 1, F.floor(_place(v, d) * side))).cast("int")
+
+
+def triangle_cells(corners: DataFrame, axis: str = "x") -> DataFrame:
+    """corners with _level, g and h: each triangle in the cells that it touches of the grid whose cells are at least as wide as it, so in at most four."""
+    flat = _across(axis)
+    low, high = ({d: f(*[F.col(f"{c}{d}") for c in "abc"]) for d in flat} for f in (F.least, F.greatest))
+    wide = F.greatest(F.lit(1e-9), *[_place(high[d], d) - _place(low[d], d) for d in flat])
+    t = corners.join(_boxes(corners, flat), "mesh_id").withColumn("_level", F.least(F.col("_top"), F.greatest(F.lit(0), F.floor(-F.log2(wide)).cast("int"))))
+    for d, name in zip(flat, "gh", strict=True):
+        t = t.withColumn(name, F.explode(F.sequence(_cell(low[d], d), _cell(high[d], d))))
+    return t.drop("_top", *[f"{d}{n}" for d in flat for n in "01"])
+
+
+def point_cells(points: DataFrame, corners: DataFrame, axis: str = "x") -> DataFrame:
+    """points with _level, g and h: the cell of each point in every grid of its mesh."""
+    flat = _across(axis)
+    p = points.join(_boxes(corners, flat), "mesh_id").withColumn("_level", F.explode(F.sequence(F.lit(0), F.col("_top"))))
+    return p.withColumns({name: _cell(F.col(d), d) for d, name in zip(flat, "gh", strict=True)}).drop("_top", *[f"{d}{n}" for d in flat for n in "01"])
+
+
+def ray_crossings(points: DataFrame, corners: DataFrame, axis: str = "x") -> DataFrame:
     """(mesh_id, pid, crossings, winding) of a ray along an axis, upwards, from each point: how often it crosses the mesh, and outward less inward.
 
-    corners is topology.corners. A grid over each mesh's box across the axis buckets both sides, so it
-    is an equi-join with a residual test. Edges of triangles count half-open (a vertex at the ray's height
+    corners is topology.corners. Grids over each mesh's box across the axis bucket both sides, a triangle in
+    the grid of its size and a point in all of them, so it is an equi-join with a residual test whose sides
+    don't grow with the area of triangles. Edges of triangles count half-open (a vertex at the ray's height
     counts as above), so a ray through a shared edge crosses it once.
     """
-    along, (first, second) = axis, {"x": "yz", "y": "zx", "z": "xy"}[axis]
-    flat = first + second
-    box = corners.groupBy("mesh_id").agg(F.count("*").alias("_n"), *[f(f"{c}{d}").alias(f"{c}{d}{n}") for c in "abc" for d in flat for f, n in ((F.min, "lo"), (F.max, "hi"))])
-    side = F.lit(cells) if cells else F.greatest(F.lit(LEAST_CELLS), F.least(F.lit(MOST_CELLS), F.ceil(F.sqrt("_n"))))
-    box = box.select("mesh_id", side.cast("int").alias("_g"), *[F.least(*[f"{c}{d}lo" for c in "abc"]).alias(f"{d}0") for d in flat], *[F.greatest(*[f"{c}{d}hi" for c in "abc"]).alias(f"{d}1") for d in flat])
-    scratch = ["_g", *[f"{d}{n}" for d in flat for n in "01"]]
-    cell = lambda v, d: F.greatest(F.lit(0), F.least(F.col("_g") - 1, F.floor((v - F.col(f"{d}0")) / F.greatest(F.col(f"{d}1") - F.col(f"{d}0"), F.lit(1e-300)) * F.col("_g")))).cast("int")
-    t = corners.join(box, "mesh_id")
-    for d in flat:
-        low, high = F.least(*[f"{c}{d}" for c in "abc"]), F.greatest(*[f"{c}{d}" for c in "abc"])
-        t = t.withColumn(f"g{d}", F.explode(F.sequence(cell(low, d), cell(high, d))))
-    p = points.join(box, "mesh_id").withColumns({f"g{d}": cell(F.col(d), d) for d in flat}).drop(*scratch)
-    met = p.join(t.drop(*scratch), ["mesh_id", f"g{first}", f"g{second}"])
+    along, (first, second) = axis, _across(axis)
+    met = point_cells(points, corners, axis).join(triangle_cells(corners, axis), ["mesh_id", "_level", "g", "h"])
 
     def spans(u: str, v: str):
         """The edge u-v passes the point's height in the first direction, beyond the point in the second."""
@@ -37,7 +66,7 @@ def ray_crossings(points: DataFrame, corners: DataFrame, axis: str = "x", cells:
         return passes & (at > F.col(second))
 
     inside_projection = F.pmod(sum(F.coalesce(spans(u, v), F.lit(False)).cast("int") for u, v in (("a", "b"), ("b", "c"), ("c", "a"))), F.lit(2)) == 1
-    order = along + flat
+    order = along + first + second
     e1, e2 = ([F.col(f"{k}{d}") - F.col(f"a{d}") for d in order] for k in "bc")
     n0, n1, n2 = e1[1] * e2[2] - e1[2] * e2[1], e1[2] * e2[0] - e1[0] * e2[2], e1[0] * e2[1] - e1[1] * e2[0]
     at = F.col(f"a{along}") - (n1 * (F.col(first) - F.col(f"a{first}")) + n2 * (F.col(second) - F.col(f"a{second}"))) / F.nullif(n0, F.lit(0.0))
@@ -46,9 +75,9 @@ def ray_crossings(points: DataFrame, corners: DataFrame, axis: str = "x", cells:
     return out.select("mesh_id", "pid", F.coalesce("n", F.lit(0)).alias("crossings"), F.coalesce("w", F.lit(0)).alias("winding"))
 
 
-def parity_inside(points: DataFrame, corners: DataFrame, axis: str = "x", cells: int | None = None) -> DataFrame:
+def parity_inside(points: DataFrame, corners: DataFrame, axis: str = "x") -> DataFrame:
     """(mesh_id, pid, crossings, inside): whether a ray along an axis crosses the mesh an odd number of times; without a crossing it is outside."""
-    return ray_crossings(points, corners, axis, cells).select("mesh_id", "pid", "crossings", (F.col("crossings") % 2 == 1).alias("inside"))
+    return ray_crossings(points, corners, axis).select("mesh_id", "pid", "crossings", (F.col("crossings") % 2 == 1).alias("inside"))
 
 
 def winding_inside(points: DataFrame, corners: DataFrame, axis: str = "z") -> DataFrame:

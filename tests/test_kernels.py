@@ -149,3 +149,28 @@ def test_bricks_equal_the_dense_kernel(spark, res, side):
             triangles.append(tuple(corners[k:] + corners[:k]))
         lists = np.array(sorted(triangles)), np.array(sorted(found[i]))
         assert lists[0].shape == lists[1].shape and np.abs(np.sort(lists[0].reshape(-1, 9), 0) - np.sort(lists[1].reshape(-1, 9), 0)).max() < 1e-5, i
+
+
+# Ray cells ---------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("axis", ["x", "y", "z"])
+def test_ray_cells_are_few_whatever_the_size_of_triangles(spark, axis):
+    """A large floor and a wall beside a fine ring: no triangle lies in more than four cells, and crossings equal those of all triangles."""
+    from meshloom.operators import rays, topology
+
+    v, f = ring(20)
+    floor = np.array([[-9, -9, 0.1], [9, -9, 0.1], [-9, 9, 0.1], [9, 9, 0.1], [-9, 0.3, -9], [-9, 0.3, 9], [9, 0.3, -9], [9, 0.3, 9], [0.2, -9, -9], [0.2, -9, 9], [0.2, 9, -9], [0.2, 9, 9]])
+    planes = np.array([[0, 1, 2], [1, 3, 2], [4, 5, 6], [5, 7, 6], [8, 9, 10], [9, 11, 10]])
+    v, f = np.concatenate([v, floor]), np.concatenate([f, planes + len(v)])
+    at = topology.corners(*table(spark, {1: (v, f), 2: (floor[:3], np.array([[0, 1, 2]]))}))
+    cells = rays.triangle_cells(at, axis).groupBy("mesh_id", "fid").count()
+    assert cells.count() == len(f) + 1 and cells.agg({"count": "max"}).first()[0] <= 4
+    rng = np.random.default_rng(9)
+    p = np.concatenate([rng.random((150, 3)), rng.random((50, 3)) * 20 - 10])
+    points = spark.createDataFrame([(i, k, *x) for i in (1, 2) for k, x in enumerate(p.tolist())], "mesh_id long, pid long, x double, y double, z double")
+    got = {(r.mesh_id, r.pid): r.crossings for r in rays.ray_crossings(points, at, axis).collect()}
+    d = np.broadcast_to(np.eye(3)["xyz".index(axis)], p.shape)
+    for i, (vs, fs) in {1: (v, f), 2: (floor[:3], np.array([[0, 1, 2]]))}.items():
+        want = [int(np.isfinite(boxtree.hit_distances(vs, fs, np.broadcast_to(p[k], (len(fs), 3)), np.broadcast_to(d[k], (len(fs), 3)))).sum()) for k in range(len(p))]
+        assert [got[i, k] for k in range(len(p))] == want
