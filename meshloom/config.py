@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from .functions.rules import GeometryConfig
 from .functions.verdicts import AcceptConfig
+from .operators.fields import FieldConfig
 from .operators.voxels import WatertightConfig
 
 PREFIX = "MESHLOOM_"
@@ -32,6 +33,8 @@ class PipelineConfig:
     watertight: WatertightConfig = WatertightConfig()
     geometry: GeometryConfig = GeometryConfig()
     accept: AcceptConfig = AcceptConfig()
+    #: Samples, grid and chunks of the shape model's round trip.
+    shape: FieldConfig = FieldConfig()
     pose_method: str = "geom"
     skip_model: bool = False
     skip_autoencoder: bool = True

@@ -27,12 +27,6 @@ class ImageScorer(Protocol):
     def generate(self, images: list[bytes], prompt: str) -> list[str]: ...
 
 
-class ShapeScorer(Protocol):
-    def round_trip(self, mesh: Mesh) -> float:
-        """The chamfer distance between a mesh and its reconstruction; infinity if there is none."""
-        ...
-
-
 class StubImageScorer:
     """Replies that depend on the image alone, for tests."""
 
@@ -44,11 +38,6 @@ class StubImageScorer:
         return ['{"aesthetic_quality": %d, "is_primitive": false, "is_ground_plane": false, "is_noisy_scan": false, "is_fragmented": false, "object_class": "object"}' % (zlib.crc32(i or b"") % 5 + 1) for i in images]
 
 
-class StubShapeScorer:
-    def round_trip(self, mesh: Mesh) -> float:
-        return 1.0 / (1 + len(mesh.faces))
-
-
 def once(factory: Callable):
     """The worker's own instance: loaded once in each Python process."""
     key = (factory.__module__, factory.__qualname__)
@@ -103,7 +92,3 @@ def decide(replies: DataFrame, config: AcceptConfig = AcceptConfig()) -> DataFra
     out = out.withColumn("rejection_reasons", accept_reasons(F.col("verdict"), config))
     return out.withColumn("accepted", F.size("rejection_reasons") == 0)
 
-
-def shape_scores(packed: DataFrame, factory: Callable[[], ShapeScorer] = StubShapeScorer, timeout_s: float | None = None) -> DataFrame:
-    """(mesh_id, chamfer, error) of each packed mesh's round trip."""
-    return map_meshes(packed, lambda m: {"chamfer": float(once(factory).round_trip(m))}, "chamfer double", heavy=True, timeout_s=timeout_s)

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..config import PipelineConfig
 from ..functions.rules import error_reason, geometry_reasons, merge_batch, merge_pipeline
-from ..operators import pose, rays, render, scorers, topology, voxels
+from ..operators import fields, pose, rays, render, scorers, topology, voxels
 from ..operators.cut import cut
 from ..operators.packed import FACE, VERTEX
 from ..operators.rollups import pending
@@ -32,15 +33,17 @@ def geometry_metrics(packed: DataFrame, config: PipelineConfig = PipelineConfig(
     agree = rays.sign_agreement(truth(points, at), rays.winding_inside(points, at))
     out = packed.select("mesh_id").join(summary, "mesh_id", "left").join(axis, "mesh_id", "left").join(parts.withColumnRenamed("error", "parts_error"), "mesh_id", "left").join(agree, "mesh_id", "left")
     if scorer and not config.skip_autoencoder:
-        out = out.join(scorers.shape_scores(packed, scorer, config.timeout_s).withColumnRenamed("error", "vae_error"), "mesh_id", "left")
+        trips = fields.shape_scores(packed, scorer, config.shape, config.timeout_s)
+        trips = trips.select("mesh_id", "chamfer", F.struct("chamfer", *[c for c in schemas.VAE_FIELDS if c not in ("chamfer", "error")], F.col("vae_why").alias("error")).alias("vae"), F.col("error").alias("vae_error"))
+        out = out.join(trips, "mesh_id", "left")
     else:
-        out = out.withColumns({"chamfer": F.lit(None).cast("double"), "vae_error": F.lit(None).cast("string")})
+        out = out.withColumns({"chamfer": F.lit(None).cast("double"), "vae": F.lit(None).cast(schemas.VAE), "vae_error": F.lit(None).cast("string")})
     out = out.withColumn("volume_area_ratio", F.when(F.col("is_watertight"), F.abs("volume") / (F.col("area") + 1e-12)))
     names = {"num_components": "num_components", "volume_area_ratio": "volume_area_ratio", "interior_ratio": "fraction_inside_gt", "ray_agreement": "ray_sign_agreement", "chamfer": "chamfer", "num_vertices": "num_vertices", "axis_share": "axis_aligned_area_fraction"}
     out = out.withColumn("reasons", geometry_reasons({k: F.col(c) for k, c in names.items()}, config.geometry))
     metrics = F.struct(
         "num_components", "is_watertight", "is_winding_consistent", "volume_area_ratio", "ray_sign_agreement", "ray_samples", "fraction_inside_gt", F.col("fraction_inside_other").alias("fraction_inside_cubvh"),
-        F.struct("chamfer").alias("vae"), "num_vertices", "num_faces", "axis_aligned_area_fraction", "vae_error",
+        "vae", "num_vertices", "num_faces", "axis_aligned_area_fraction", "vae_error",
     )
     return out.select("mesh_id", metrics.alias("metrics"), "reasons", (F.size("reasons") == 0).alias("is_valid"), F.coalesce("parts_error", "vae_error").alias("error"))
 
