@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .cut import cut
 from .packed import Mesh, map_meshes
 
 
@@ -106,9 +107,29 @@ def components(packed: DataFrame) -> DataFrame:
     return map_meshes(packed, kernel, "num_components long, largest long, largest_faces long")
 
 
-def component_labels(packed: DataFrame) -> DataFrame:
-    """(mesh_id, labels, error): the component of each face, in the order of the faces."""
-    return map_meshes(packed, lambda mesh: {"labels": face_labels(mesh.faces).tolist()}, "labels array<long>")
+def component_labels(faces: DataFrame) -> DataFrame:
+    """(mesh_id, fid, component) of faces of meshes of any size: faces are tied by edges that exactly two faces use, a component is named by its least face.
+
+    Contraction in rounds: every label takes the one of least hash among its neighbours and itself, and ties are
+    drawn between the new labels. Hashes change from round to round, so labels become fewer by a constant factor each time
+    and no chain of faces is walked. Each round is written; nothing is held for a whole mesh.
+    """
+    sides = F.explode(F.array(*[F.struct(F.least(p, q).alias("lo"), F.greatest(p, q).alias("hi")) for p, q in (("a", "b"), ("b", "c"), ("c", "a"))]))
+    tied = faces.select("mesh_id", "fid", sides.alias("e")).groupBy("mesh_id", "e.lo", "e.hi").agg(F.count("*").alias("n"), F.min("fid").alias("p"), F.max("fid").alias("q"))
+    ties = cut(tied.where("n = 2 AND p <> q").select("mesh_id", "p", "q").distinct())
+    labels, turn = faces.select("mesh_id", "fid", F.col("fid").alias("label")), 0
+    while ties.take(1):
+        both = ties.select("mesh_id", F.col("p").alias("at"), F.col("q").alias("to")).unionAll(ties.select("mesh_id", F.col("q").alias("at"), F.col("p").alias("to")))
+        rank = lambda c, turn=turn: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("l"))
+        moved = both.groupBy("mesh_id", "at").agg(F.min(rank("to")).alias("r")).select("mesh_id", "at", F.least("r", rank("at"))["l"].alias("new"))
+        moved = cut(moved)
+        end = lambda c: moved.select("mesh_id", F.col("at").alias(c), F.col("new").alias(f"_{c}"))  # noqa: E731, B023
+        new = ties.join(end("p"), ["mesh_id", "p"]).join(end("q"), ["mesh_id", "q"])
+        ties = cut(new.where("_p <> _q").select("mesh_id", F.least("_p", "_q").alias("p"), F.greatest("_p", "_q").alias("q")).distinct())
+        labels = cut(labels.join(end("label"), ["mesh_id", "label"], "left").select("mesh_id", "fid", F.coalesce("_label", "label").alias("label")))
+        turn += 1
+    least = labels.groupBy("mesh_id", "label").agg(F.min("fid").alias("component"))
+    return labels.join(least, ["mesh_id", "label"]).select("mesh_id", "fid", "component")
 
 
 def primitive_score(vertices: DataFrame, faces: DataFrame, cone_deg: float = 10.0) -> DataFrame:

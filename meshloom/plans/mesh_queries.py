@@ -45,6 +45,12 @@ def mesh_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topology.components(pack(*_boxes(spark, sf_dir))).select("mesh_id", "num_components", "largest_faces")
 
 
+def largest_component(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faces of each mesh's largest component, labelled without a kernel."""
+    _, f = _boxes(spark, sf_dir)
+    return topology.keep_largest_component(f, topology.component_labels(f)).select("mesh_id", "fid", "a", "b", "c")
+
+
 def fit_unit_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(topology.fit_unit_cube(_boxes(spark, sf_dir)[0]), *"xyz", "cx", "cy", "cz", "scale")
 
@@ -147,7 +153,7 @@ def surface_sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("mesh_id").agg(F.count("*").alias("n"), F.count_if("out").alias("n_outside"))
 
 
-QUERIES = {f.__name__: f for f in (corpus_qc, mesh_edges, mesh_manifold, mesh_summary, mesh_components, fit_unit_cube, primitive_score, vertex_normals, merged_mesh, stage4_filter, up_axis_score, scatter_matrix, third_moment, rotation_apply, ray_parity_inside, sign_agreement, ray_agreement, surface_sample_counts)}
+QUERIES = {f.__name__: f for f in (corpus_qc, mesh_edges, mesh_manifold, mesh_summary, mesh_components, largest_component, fit_unit_cube, primitive_score, vertex_normals, merged_mesh, stage4_filter, up_axis_score, scatter_matrix, third_moment, rotation_apply, ray_parity_inside, sign_agreement, ray_agreement, surface_sample_counts)}
 
 _EDGES = """,
 half AS (SELECT mesh_id, a AS p, b AS q FROM faces UNION ALL SELECT mesh_id, b, c FROM faces UNION ALL SELECT mesh_id, c, a FROM faces),
@@ -186,6 +192,7 @@ ORACLE_SQL = {
     "mesh_manifold": f"{SQL}{_EDGES} SELECT * FROM manifold",
     "mesh_summary": f"{SQL}{_EDGES}{_CORNERS}{_BOX} SELECT mesh_id, num_vertices, num_faces, is_watertight, is_winding_consistent, CASE WHEN is_watertight THEN num_vertices - num_edges + num_faces END AS euler_number, CASE WHEN is_watertight THEN round(signed_volume, 6) END AS volume, round(area, 6) AS area, round(ex, 6) AS extent_x, round(ey, 6) AS extent_y, round(ez, 6) AS extent_z FROM box JOIN surface USING (mesh_id) JOIN manifold USING (mesh_id)",
     "mesh_components": f"{SQL}{_PARTS} SELECT * FROM parts",
+    "largest_component": f"{SQL}{_PARTS}, best AS (SELECT mesh_id, label FROM (SELECT mesh_id, label, row_number() OVER (PARTITION BY mesh_id ORDER BY count(*) DESC, label) AS k FROM labels GROUP BY mesh_id, label) WHERE k = 1) SELECT f.mesh_id, f.fid, f.a, f.b, f.c FROM faces f JOIN labels l ON l.mesh_id = f.mesh_id AND l.f = f.fid JOIN best ON best.mesh_id = l.mesh_id AND best.label = l.label",
     "fit_unit_cube": f"{SQL}{_BOX}, fit AS (SELECT mesh_id, cx, cy, cz, greatest(ex, ey, ez) * (1 + 2 * 0.03::DOUBLE) AS scale FROM box) SELECT v.mesh_id, vid, round((x - cx) / scale + 0.5, 6) AS x, round((y - cy) / scale + 0.5, 6) AS y, round((z - cz) / scale + 0.5, 6) AS z, round(cx, 6) AS cx, round(cy, 6) AS cy, round(cz, 6) AS cz, round(scale, 6) AS scale FROM vertices v JOIN fit USING (mesh_id)",
     "primitive_score": f"{SQL}{_CORNERS}{_AXIS} SELECT mesh_id, num_faces, round(axis_aligned_area_fraction, 6) AS axis_aligned_area_fraction FROM axis",
     "vertex_normals": f"{SQL}{_CORNERS}, s AS (SELECT mesh_id, vid, sum(nx) AS nx, sum(ny) AS ny, sum(nz) AS nz FROM (SELECT mesh_id, a AS vid, nx, ny, nz FROM normals UNION ALL SELECT mesh_id, b, nx, ny, nz FROM normals UNION ALL SELECT mesh_id, c, nx, ny, nz FROM normals) GROUP BY ALL) SELECT mesh_id, vid, round(nx / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-12), 6) AS nx, round(ny / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-12), 6) AS ny, round(nz / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-12), 6) AS nz FROM s",

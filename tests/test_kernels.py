@@ -237,3 +237,23 @@ def test_round_trips_of_balls_and_boxes(spark):
     assert rows[1].chamfer < 0.3 and rows[1].vae_why is None and rows[1].error is None
     assert rows[2].chamfer == float("inf") and rows[2].vae_why == "field has no surface" and rows[2].recon_faces is None
     assert rows[3].chamfer is None and rows[3].error == "ValueError:mesh has zero extent"
+
+
+# Components without a kernel ---------------------------------------------------------------------
+
+
+def test_component_labels_equal_the_kernel_on_long_strips_and_odd_edges(spark):
+    from meshloom.operators import topology
+
+    strip = np.stack([np.arange(300), np.arange(1, 301), np.arange(2, 302)], 1)
+    rng = np.random.default_rng(4)
+    fan = np.stack([np.zeros(20, int), np.ones(20, int), np.arange(2, 22)], 1)  # an edge of twenty faces ties none of them
+    made = {1: strip[rng.permutation(300)], 2: rng.integers(0, 60, (80, 3)), 3: np.concatenate([strip[:9], strip[:5] + 400, fan + 900]), 4: np.array([[0, 0, 0], [1, 1, 2], [2, 1, 1]])}
+    _, f = table(spark, {i: (np.zeros((0, 3)), t) for i, t in made.items()} | {0: (np.zeros((1, 3)), np.array([[0, 1, 2]]))})
+    got = {(r.mesh_id, r.fid): r.component for r in topology.component_labels(f.repartition(3)).collect()}
+    for i in (1, 3):
+        assert [got[i, k] for k in range(len(made[i]))] == topology.face_labels(made[i]).tolist()
+    assert len(got) == sum(map(len, made.values())) + 1 and len({got[1, k] for k in range(300)}) == 1
+    plain = made[2][(np.diff(np.sort(made[2], 1), axis=1) > 0).all(1)]
+    _, f = table(spark, {2: (np.zeros((1, 3)), plain)})
+    assert [c for _, c in sorted((r.fid, r.component) for r in topology.component_labels(f).collect())] == topology.face_labels(plain).tolist()
