@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import signal
 import threading
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -70,8 +71,8 @@ def _limit(seconds: float | None):
         signal.signal(signal.SIGALRM, before)
 
 
-def map_meshes(packed: DataFrame, kernel: Callable[[Mesh], dict], schema: str, heavy: bool = False, timeout_s: float | None = None) -> DataFrame:
-    """One row of `schema` (without mesh_id) for each mesh; an exception becomes the row's error column 'Type:message' and the other fields null.
+def map_meshes(packed: DataFrame, kernel: Callable[[Mesh], dict], schema: str, heavy: bool = False, timeout_s: float | None = None, clock: bool = False) -> DataFrame:
+    """One row of `schema` (without mesh_id) for each mesh; an exception becomes the row's error column 'Type:message' and the other fields null. With clock, `seconds` is what the mesh took.
 
     A heavy kernel's cost lies in its work, not in its bytes, so its meshes are dealt over more
     partitions than their size asks for. A mesh that takes longer than timeout_s gives the error
@@ -80,6 +81,7 @@ def map_meshes(packed: DataFrame, kernel: Callable[[Mesh], dict], schema: str, h
     if heavy:
         context = packed.sparkSession.sparkContext
         packed = packed.repartition(max(4 * context.defaultParallelism, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "mesh_id")
+    schema += ", seconds double" * clock
     names = [x.split()[0] for x in _split(schema)]
     spark = packed.sparkSession
     key = packed.schema["mesh_id"].dataType.simpleString()
@@ -93,11 +95,13 @@ def map_meshes(packed: DataFrame, kernel: Callable[[Mesh], dict], schema: str, h
         for batch in batches:
             rows = []
             for mesh in meshes(batch):
+                start = time.perf_counter()
                 try:
                     with _limit(timeout_s):
-                        rows.append(kernel(mesh) | {"error": None})
+                        row = kernel(mesh) | {"error": None}
                 except Exception as problem:  # noqa: BLE001  one bad mesh must not fail the corpus
-                    rows.append({"error": f"{type(problem).__name__}:{str(problem)[:200]}"})
+                    row = {"error": f"{type(problem).__name__}:{str(problem)[:200]}"}
+                rows.append(row | {"seconds": time.perf_counter() - start})
             columns = [batch.column(batch.schema.get_field_index("mesh_id"))]
             columns += [pa.array([r.get(n) for r in rows], target.field(n).type) for n in (*names, "error")]
             yield pa.RecordBatch.from_arrays(columns, schema=target)

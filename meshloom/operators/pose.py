@@ -132,7 +132,7 @@ def identity_pose(_: Mesh) -> dict:
 
 def canonicalise(packed: DataFrame, method: str = "geom", tie: str = "flip") -> DataFrame:
     """The pose report of every packed mesh by 'geom' or 'identity', and error."""
-    return map_meshes(packed, (lambda m: geometric_pose(m, tie)) if method == "geom" else identity_pose, _POSE)
+    return map_meshes(packed, (lambda m: geometric_pose(m, tie)) if method == "geom" else identity_pose, _POSE, clock=True)
 
 
 def downgrade(method: str, skip_model: bool) -> str:
@@ -195,8 +195,8 @@ def find_poses(packed: DataFrame, method: str = "geom", factory: Callable | None
     base = cut(base)
     replies = infer(render_grids(packed, res, six=True), factory, batch_size=batch_size, prompt=POSE_PROMPT)
     labels = cut(replies.select("mesh_id", parse_pose(F.col("raw_response")).alias("p"), F.col("error").alias("vlm_error")).select("mesh_id", "p.*", "vlm_error"))
-    out = (hybrid_pose if method == "hybrid" else model_pose)(base, labels.drop("vlm_error"))
-    return out.join(base.select("mesh_id", "error"), "mesh_id").join(labels.select("mesh_id", "vlm_error"), "mesh_id", "left").withColumn("error", F.coalesce("error", "vlm_error")).drop("vlm_error")
+    out = (hybrid_pose if method == "hybrid" else model_pose)(base.drop("seconds"), labels.drop("vlm_error"))
+    return out.join(base.select("mesh_id", "seconds", "error"), "mesh_id").join(labels.select("mesh_id", "vlm_error"), "mesh_id", "left").withColumn("error", F.coalesce("error", "vlm_error")).drop("vlm_error")
 
 
 def apply_pose(packed: DataFrame, poses: DataFrame) -> DataFrame:

@@ -166,10 +166,10 @@ def png(image: np.ndarray) -> bytes:
 
 
 def render_grids(packed: DataFrame, res: int = 512, supersample: int = 2, six: bool = False, timeout_s: float | None = None) -> DataFrame:
-    """(mesh_id, width, height, png, error): the four-view grid of every packed mesh, or the six-view one."""
+    """(mesh_id, width, height, png, seconds, error): the four-view grid of every packed mesh, or the six-view one."""
 
     def kernel(mesh: Mesh) -> dict:
         image = six_view_grid(mesh, res, supersample) if six else four_view_grid(render_views(mesh, FOUR, res, supersample))
         return {"width": image.shape[1], "height": image.shape[0], "png": png(image)}
 
-    return map_meshes(packed, kernel, "width int, height int, png binary", heavy=True, timeout_s=timeout_s)
+    return map_meshes(packed, kernel, "width int, height int, png binary", heavy=True, timeout_s=timeout_s, clock=True)

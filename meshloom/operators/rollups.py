@@ -7,12 +7,56 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def stage_stats(reports: DataFrame, metrics: list[str]) -> DataFrame:
-    """(metric, mean, median, min, max, n) over the values that aren't null or NaN; metrics without values are left out."""
+from .cut import cut
+
+
+#: Values of a group that percentiles may hold in one task; beyond, they are found by counting. Ranges of one counting pass.
+HELD, RANGES = 10_000_000, 1024
+
+
+def exact_percentiles(rows: DataFrame, by: str, value: str, shares: list[float]) -> DataFrame:
+    """(by, share, p): exact percentiles, interpolated between neighbours, of the values that aren't null or NaN, by counting passes.
+
+    A pass counts the values in RANGES equal ranges between bounds and narrows each wanted rank to the least and
+    greatest value of the range that holds it, until they are one value. Only counts are shuffled, so a group's size
+    and its repeated values don't matter; each pass reads the values once and writes a row for each rank.
+    """
+    data = rows.select(F.col(by).alias("_g"), F.nanvl(F.col(value).cast("double"), F.lit(None)).alias("_v")).where("_v IS NOT NULL")
+    wanted = F.explode(F.array(*[F.lit(float(s)) for s in shares]))
+    ends = data.groupBy("_g").agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    asked = cut(ends.select("*", wanted.alias("_s")).withColumn("_at", F.col("_s") * (F.col("_n") - 1)))
+    ranks = F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))).alias("_r")
+    todo = asked.select("_g", ranks, "_lo", "_hi", F.lit(0).cast("long").alias("_before")).distinct()
+    found = todo.where("_lo = _hi").select("_g", "_r", "_lo")
+    todo = cut(todo.where("_lo < _hi"))
+    inside = Window.partitionBy("_g", "_r").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    while todo.take(1):
+        t = todo.withColumnRenamed("_g", "_h")
+        part = data.join(t, F.col("_g").eqNullSafe(F.col("_h")) & F.col("_v").between(F.col("_lo"), F.col("_hi"))).drop("_h")
+        place = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)  # halves, as the difference of two doubles may be too large for one
+        place = F.coalesce(F.when((F.col("_hi") / 2 - F.col("_lo") / 2) > 0, F.floor(place * RANGES)), F.when(F.col("_v") > F.col("_lo"), F.lit(RANGES)).otherwise(F.lit(0)))
+        counts = part.groupBy("_g", "_r", "_before", F.least(F.lit(RANGES - 1), place).alias("_b")).agg(F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        counts = counts.withColumn("_upto", F.col("_before") + F.sum("_c").over(inside))
+        new = cut(counts.where("_upto > _r AND _upto - _c <= _r").select("_g", "_r", "_lo", "_hi", (F.col("_upto") - F.col("_c")).alias("_before")))
+        found = found.unionAll(new.where("_lo = _hi").select("_g", "_r", "_lo"))
+        todo = new.where("_lo < _hi")
+    got = found.withColumnsRenamed({"_g": "_h", "_lo": "_x"})
+    out = asked.join(got, F.col("_g").eqNullSafe(F.col("_h")) & F.col("_r").between(F.floor("_at"), F.ceil("_at")))
+    weight = F.when(F.floor("_at") == F.ceil("_at"), 1.0).when(F.col("_r") == F.floor("_at"), F.ceil("_at") - F.col("_at")).otherwise(F.col("_at") - F.floor("_at"))
+    return out.groupBy("_g", "_s").agg(F.sum(F.col("_x") * weight).alias("p")).select(F.col("_g").alias(by), F.col("_s").alias("share"), "p")
+
+
+def stage_stats(reports: DataFrame, metrics: list[str], held: int = HELD) -> DataFrame:
+    """(metric, mean, median, min, max, n) over the values that aren't null or NaN; metrics without values are left out. Medians of more than `held` values come from counting passes."""
     wide = reports.select([F.nanvl(F.col(m).cast("double"), F.lit(None)).alias(m) for m in metrics])
-    v = F.col("v")
-    return wide.unpivot([], metrics, "metric", "v").where("v is not null").groupBy("metric").agg(F.avg(v).alias("mean"), F.median(v).alias("median"), F.min(v).alias("min"), F.max(v).alias("max"), F.count("*").alias("n"))
+    v, long = F.col("v"), wide.unpivot([], metrics, "metric", "v").where("v is not null")
+    plain = [F.avg(v).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"), F.count("*").alias("n")]
+    most = wide.agg(F.greatest(*[F.count(m) for m in metrics], F.lit(0)).alias("n")).first().n
+    if most <= held:
+        out = long.groupBy("metric").agg(F.median(v).alias("median"), *plain)
+    else:
+        out = long.groupBy("metric").agg(*plain).join(exact_percentiles(long, "metric", "v", [0.5]).select("metric", F.col("p").alias("median")), "metric")
+    return out.select("metric", "mean", "median", "min", "max", "n")
 
 
 def binary_rates(reports: DataFrame, flags: list[str]) -> DataFrame:
@@ -27,9 +71,13 @@ def retention(reports: DataFrame, dataset: str = "dataset", accepted: str = "acc
     return reports.groupBy(dataset).agg(F.count("*").alias("total"), F.count_if(F.col(accepted)).alias("n_accept")).withColumn("retention", F.round(F.col("n_accept") / F.col("total"), 4))
 
 
-def percentile(reports: DataFrame, by: str, value: str, share: float = 0.95) -> DataFrame:
-    """Calibration of a threshold: the exact percentile of a value in each group."""
-    return reports.groupBy(by).agg(F.percentile(value, share).alias("p"))
+def percentile(reports: DataFrame, by: str, value: str, share: float = 0.95, held: int = HELD) -> DataFrame:
+    """Calibration of a threshold: the exact percentile of a value in each group; of groups of more than `held` values by counting passes."""
+    most = reports.groupBy(by).agg(F.count(value).alias("n")).agg(F.max("n").alias("n")).first().n or 0
+    if most <= held:
+        return reports.groupBy(by).agg(F.percentile(value, share).alias("p"))
+    found = exact_percentiles(reports, by, value, [share]).select(F.col(by).alias("_h"), "p")  # a group without values keeps its row
+    return reports.select(by).distinct().join(found, F.col(by).eqNullSafe(F.col("_h")), "left").select(by, "p")
 
 
 def numbered(rows: DataFrame, order: list[str], name: str = "n") -> DataFrame:

@@ -18,8 +18,12 @@ from ..sources import files as listing
 from ..sources.meshfile import decode_files, unpack
 
 
+#: Stages by number, as reports name them.
+STAGES = {1: "stage1_watertighten", 2: "stage2_vlm_filter", 3: "stage3_canonicalize", 4: "stage4_filter_geometry"}
+
+
 def geometry_metrics(packed: DataFrame, config: PipelineConfig = PipelineConfig(), scorer: Callable | None = None, truth: Callable[[DataFrame, DataFrame], DataFrame] = rays.parity_inside) -> DataFrame:
-    """Stage 4 of packed meshes: (mesh_id, metrics, reasons, is_valid, error). Parity and measures are relational; components and the autoencoder run in kernels.
+    """Stage 4 of packed meshes: (mesh_id, metrics, reasons, is_valid, seconds in kernels, error). Parity and measures are relational; components and the autoencoder run in kernels.
 
     truth is the inside test held to be right: from points (mesh_id, pid, x, y, z) and corners to
     (mesh_id, pid, inside). The test it is compared with is the winding of rays along another axis.
@@ -31,13 +35,13 @@ def geometry_metrics(packed: DataFrame, config: PipelineConfig = PipelineConfig(
     parts = topology.components(packed)
     points = rays.box_points(vertices, rays.unit_points(packed.sparkSession, config.ray_samples))
     agree = rays.sign_agreement(truth(points, at), rays.winding_inside(points, at))
-    out = packed.select("mesh_id").join(summary, "mesh_id", "left").join(axis, "mesh_id", "left").join(parts.withColumnRenamed("error", "parts_error"), "mesh_id", "left").join(agree, "mesh_id", "left")
+    out = packed.select("mesh_id").join(summary, "mesh_id", "left").join(axis, "mesh_id", "left").join(parts.withColumnsRenamed({"error": "parts_error", "seconds": "parts_seconds"}), "mesh_id", "left").join(agree, "mesh_id", "left")
     if scorer and not config.skip_autoencoder:
         trips = fields.shape_scores(packed, scorer, config.shape, config.timeout_s)
-        trips = trips.select("mesh_id", "chamfer", F.struct("chamfer", *[c for c in schemas.VAE_FIELDS if c not in ("chamfer", "error")], F.col("vae_why").alias("error")).alias("vae"), F.col("error").alias("vae_error"))
+        trips = trips.select("mesh_id", "chamfer", F.struct("chamfer", *[c for c in schemas.VAE_FIELDS if c not in ("chamfer", "error")], F.col("vae_why").alias("error")).alias("vae"), F.col("seconds").alias("vae_seconds"), F.col("error").alias("vae_error"))
         out = out.join(trips, "mesh_id", "left")
     else:
-        out = out.withColumns({"chamfer": F.lit(None).cast("double"), "vae": F.lit(None).cast(schemas.VAE), "vae_error": F.lit(None).cast("string")})
+        out = out.withColumns({"chamfer": F.lit(None).cast("double"), "vae": F.lit(None).cast(schemas.VAE), "vae_seconds": F.lit(None).cast("double"), "vae_error": F.lit(None).cast("string")})
     out = out.withColumn("volume_area_ratio", F.when(F.col("is_watertight"), F.abs("volume") / (F.col("area") + 1e-12)))
     names = {"num_components": "num_components", "volume_area_ratio": "volume_area_ratio", "interior_ratio": "fraction_inside_gt", "ray_agreement": "ray_sign_agreement", "chamfer": "chamfer", "num_vertices": "num_vertices", "axis_share": "axis_aligned_area_fraction"}
     out = out.withColumn("reasons", geometry_reasons({k: F.col(c) for k, c in names.items()}, config.geometry))
@@ -45,7 +49,7 @@ def geometry_metrics(packed: DataFrame, config: PipelineConfig = PipelineConfig(
         "num_components", "is_watertight", "is_winding_consistent", "volume_area_ratio", "ray_sign_agreement", "ray_samples", "fraction_inside_gt", F.col("fraction_inside_other").alias("fraction_inside_cubvh"),
         "vae", "num_vertices", "num_faces", "axis_aligned_area_fraction", "vae_error",
     )
-    return out.select("mesh_id", metrics.alias("metrics"), "reasons", (F.size("reasons") == 0).alias("is_valid"), F.coalesce("parts_error", "vae_error").alias("error"))
+    return out.select("mesh_id", metrics.alias("metrics"), "reasons", (F.size("reasons") == 0).alias("is_valid"), (F.coalesce("parts_seconds", F.lit(0.0)) + F.coalesce("vae_seconds", F.lit(0.0))).alias("seconds"), F.coalesce("parts_error", "vae_error").alias("error"))
 
 
 def _scorer(factory: Callable | None, config: PipelineConfig) -> None:
@@ -68,7 +72,8 @@ def model_verdicts(packed: DataFrame, config: PipelineConfig, factory: Callable,
     else:
         replies = score(asked).join(asked.select("mesh_id", "cache_key"), "mesh_id")
     judged = scorers.decide(replies, config.accept)
-    return images.select("mesh_id", F.col("error").alias("render_error")).join(judged, "mesh_id", "left").select("mesh_id", "verdict", "rejection_reasons", "accepted", "error", "render_error", "cache_key", "raw_response")
+    shown = images.select("mesh_id", F.col("error").alias("render_error"), F.col("seconds").alias("render_seconds"))
+    return shown.join(judged, "mesh_id", "left").select("mesh_id", "verdict", "rejection_reasons", "accepted", "error", "render_error", "render_seconds", "cache_key", "raw_response")
 
 
 def _late_errors() -> Column:
@@ -80,11 +85,11 @@ def _late_errors() -> Column:
 
 def _no_verdicts(packed: DataFrame) -> DataFrame:
     null = F.lit(None)
-    return packed.select("mesh_id", null.cast("string").alias("verdict"), null.cast("array<string>").alias("rejection_reasons"), null.cast("boolean").alias("accepted"), *[null.cast("string").alias(c) for c in ("error", "render_error")]).limit(0)
+    return packed.select("mesh_id", null.cast("string").alias("verdict"), null.cast("array<string>").alias("rejection_reasons"), null.cast("boolean").alias("accepted"), *[null.cast("string").alias(c) for c in ("error", "render_error")], null.cast("double").alias("render_seconds")).limit(0)
 
 
 def clean_meshes(packed: DataFrame, config: PipelineConfig = PipelineConfig(), image_scorer: Callable | None = None, shape_scorer: Callable | None = None, cache: DataFrame | None = None) -> DataFrame:
-    """Stage 1, 3, 4, 2 of every packed mesh -> (mesh_id, vertices, faces, accepted, rejection_reasons, stage1, pose, metrics, verdict, error); outputs are given for rejected meshes too.
+    """Stage 1, 3, 4, 2 of every packed mesh -> (mesh_id, vertices, faces, accepted, rejection_reasons, stage1, pose, metrics, verdict, model_accepted, stage_timings, error); outputs are given for rejected meshes too. stage_timings are the seconds that a mesh took in kernels (for stage 2 in rendering), null where a stage was skipped.
 
     Stage 2 and the pose methods 'vlm' and 'hybrid' need an image scorer (a factory); without skip_model
     its absence is an error. cache is that of model_verdicts.
@@ -92,7 +97,7 @@ def clean_meshes(packed: DataFrame, config: PipelineConfig = PipelineConfig(), i
     _scorer(image_scorer, config)
     whole = packed
     if config.skip_watertight:
-        first = packed.select("mesh_id", F.lit(True).alias("is_watertight"), F.lit(None).cast("double").alias("chamfer_to_input"), F.lit(None).cast("string").alias("error"))
+        first = packed.select("mesh_id", F.lit(True).alias("is_watertight"), F.lit(None).cast("boolean").alias("is_winding_consistent"), F.lit(None).cast("double").alias("chamfer_to_input"), F.lit(None).cast("double").alias("seconds"), F.lit(None).cast("string").alias("error"))
     else:
         closed = cut(voxels.watertighten(packed, config.watertight, config.timeout_s))
         whole, first = closed.where("error is null").select("mesh_id", F.col("vertices").cast(VERTEX).alias("vertices"), F.col("faces").cast(FACE).alias("faces")), closed.drop("vertices", "faces")
@@ -102,25 +107,25 @@ def clean_meshes(packed: DataFrame, config: PipelineConfig = PipelineConfig(), i
     metrics = cut(geometry_metrics(turned, config, shape_scorer))
     judged = turned.join(metrics.where("is_valid").select("mesh_id"), "mesh_id", "left_semi") if config.short_circuit else turned
     verdicts = model_verdicts(judged, config, image_scorer, cache) if not config.skip_model else _no_verdicts(packed)
-    out = first.select("mesh_id", F.struct("is_watertight", "chamfer_to_input").alias("stage1"), F.col("error").alias("e1"))
-    out = out.join(poses.select("mesh_id", F.struct("method", "up_axis_world", "forward_axis_world", "rotation_matrix", "vlm_up_label", "vlm_front_label", "vlm_agrees_with_geom", "needs_manual_review", "geom_inlier_fraction").alias("pose"), F.col("error").alias("e3")), "mesh_id", "left")
-    out = out.join(metrics.select("mesh_id", "metrics", "reasons", F.col("error").alias("e4")), "mesh_id", "left")
-    out = out.join(verdicts.select("mesh_id", "verdict", F.col("rejection_reasons").alias("r2"), F.col("error").alias("e2"), F.col("render_error").alias("er")), "mesh_id", "left").join(turned, "mesh_id", "left")
+    out = first.select("mesh_id", F.struct("is_watertight", "is_winding_consistent", "chamfer_to_input").alias("stage1"), F.col("seconds").alias("t1"), F.col("error").alias("e1"))
+    out = out.join(poses.select("mesh_id", F.struct("method", "up_axis_world", "forward_axis_world", "rotation_matrix", "vlm_up_label", "vlm_front_label", "vlm_agrees_with_geom", "needs_manual_review", "geom_inlier_fraction").alias("pose"), F.col("seconds").alias("t3"), F.col("error").alias("e3")), "mesh_id", "left")
+    out = out.join(metrics.select("mesh_id", "metrics", "reasons", F.col("seconds").alias("t4"), F.col("error").alias("e4")), "mesh_id", "left")
+    out = out.join(verdicts.select("mesh_id", "verdict", F.col("rejection_reasons").alias("r2"), F.col("accepted").alias("model_accepted"), F.col("render_seconds").alias("t2"), F.col("error").alias("e2"), F.col("render_error").alias("er")), "mesh_id", "left").join(turned, "mesh_id", "left")
     reasons = merge_pipeline(F.coalesce("stage1.is_watertight", F.lit(True)), F.coalesce("pose.needs_manual_review", F.lit(False)), F.col("reasons"), F.col("r2"))
     failed = F.array_compact(F.array(F.when(F.col("e1").isNotNull(), error_reason(F.lit("load"), F.col("e1")))))  # a failed pose is a case for review, which merge_pipeline says
     if config.failure_policy == "closed":
         failed = F.concat(failed, _late_errors())
     out = out.withColumn("rejection_reasons", F.concat(failed, reasons))
-    return out.select("mesh_id", "vertices", "faces", (F.size("rejection_reasons") == 0).alias("accepted"), "rejection_reasons", "stage1", "pose", "metrics", "verdict", F.coalesce("e1", "e3", "e4", "er", "e2").alias("error"))
+    return out.select("mesh_id", "vertices", "faces", (F.size("rejection_reasons") == 0).alias("accepted"), "rejection_reasons", "stage1", "pose", "metrics", "verdict", "model_accepted", F.struct(*[F.col(f"t{k}").alias(n) for k, n in STAGES.items()]).alias("stage_timings"), F.coalesce("e1", "e3", "e4", "er", "e2").alias("error"))
 
 
 def as_results(clean: DataFrame) -> DataFrame:
-    """Rows of clean_meshes as nested results, for summaries and reports; seconds aren't kept by mesh, so they are null."""
+    """Rows of clean_meshes as nested results, for summaries and reports; seconds_total adds up the stages' kernels."""
     null = F.lit(None)
-    verdict = F.when(F.col("verdict").isNotNull(), F.struct(F.col("verdict.aesthetic_quality"), F.col("verdict.object_class"))) if "struct" in clean.schema["verdict"].dataType.simpleString() else null.cast("struct<aesthetic_quality:bigint,object_class:string>")
+    verdict = F.when(F.col("verdict").isNotNull(), F.struct(F.col("verdict.aesthetic_quality"), F.col("verdict.object_class"), F.col("model_accepted").alias("accepted"))) if "struct" in clean.schema["verdict"].dataType.simpleString() else null.cast("struct<aesthetic_quality:bigint,object_class:string,accepted:boolean>")
     stages = F.struct(F.col("stage1").alias("stage1_watertighten"), verdict.alias("stage2_vlm_filter"), F.col("pose").alias("stage3_canonicalize"), F.struct("metrics").alias("stage4_filter_geometry"))
-    path = F.col("mesh_id").cast("string")
-    return clean.select(path.alias("input_path"), path.alias("output_path"), "accepted", "rejection_reasons", null.cast("double").alias("seconds_total"), stages.alias("stage_reports"))
+    path, seconds = F.col("mesh_id").cast("string"), sum(F.coalesce(f"stage_timings.{n}", F.lit(0.0)) for n in STAGES.values())
+    return clean.select(path.alias("input_path"), path.alias("output_path"), "accepted", "rejection_reasons", seconds.alias("seconds_total"), "stage_timings", stages.alias("stage_reports"))
 
 
 def clean_directory(spark: SparkSession, root: str, config: PipelineConfig = PipelineConfig(), **scorers_: Callable) -> DataFrame:

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -331,7 +332,9 @@ def test_reports_and_sinks(spark, tmp_path):
     reports = files.read_reports(spark, str(tmp_path / "in"))
     assert sorted(r.sha256 for r in reports.collect()) == ["a", "b"]
     text = sinks.markdown_report(reports, "in")
-    assert "| Total wall time (s) | 2.000 | 2.000 | 1.500 | 2.500 |" in text and "- Overall accept: 1/2 (50.0%)" in text and "| 2 | p2 | no | - | x, y |" in text
+    assert "| seconds, all stages | 2 | 1.500 | 2.000 | 2.000 | 2.500 |" in text and "| kept for training | 1 | 2 | 50.0 % |" in text
+    assert re.search(r"\| 2 \| p2 \| no \| [0-9.]+ \| - \| x, y \|", text) and "| x | 1 |" in text and "| y | 1 |" in text
+    assert "The first 1 by path" in sinks.markdown_report(reports, "in", page=1)
     assert sinks.write_batch_summary(reports, str(tmp_path / "csv")) and not sinks.write_batch_summary(reports.limit(0), str(tmp_path / "none"))
     assert files.read_summary(spark, str(tmp_path / "csv"), 1).first().reasons in (None, "")
 
@@ -480,3 +483,20 @@ def test_caches_answer_their_own_requests_in_order(spark):
     score = lambda rows: rows.selectExpr("mesh_id", "concat('new ', mesh_id) AS raw_response", "CAST(NULL AS STRING) AS error")
     found = scorers.with_caches(requests, caches, score).collect()
     assert [(r.n, r.mesh_id, r.cache, r.raw_response, r.cached) for r in found] == [(0, "o", "a", "new 0", False), (1, "m", "b", "new 1", False), (2, "m", "a", "old", True), (3, "m", "a", "old", True), (4, "o", None, "new 4", False)]
+
+
+def test_stage_seconds_reach_the_reports(spark, tmp_path):
+    packed = table(spark, {"a": box(), "b": icosphere(0.5, 2)})
+    config = PipelineConfig(watertight=voxels.WatertightConfig(res=16, chamfer_samples=100), ray_samples=100, render_res=16)
+    clean = pipeline.clean_meshes(packed, config, scorers.StubImageScorer)
+    clean.write.parquet(str(tmp_path / "clean"))
+    done = pipeline.as_results(spark.read.parquet(str(tmp_path / "clean")))
+    for r in done.collect():
+        assert all(r.stage_timings[n] > 0 for n in pipeline.STAGES.values()) and r.seconds_total == pytest.approx(sum(r.stage_timings))
+    assert sinks.write_batch_summary(done, str(tmp_path / "csv")) and all(r.total_s is not None for r in files.read_summary(spark, str(tmp_path / "csv")).collect())
+    text = sinks.markdown_report(done, "corpus")
+    assert text.count("| seconds, ") == 5 and "closing the surface" in text
+    stages = voxels.watertighten(packed, config.watertight).select("stage_timings", "seconds").collect()
+    assert all(set(r.stage_timings) == {"decimate", "voxelize_shell", "close_shell", "flood_fill", "open_shell_check", "thicken", "sdf", "marching_cubes"} and sum(r.stage_timings.values()) <= r.seconds for r in stages)
+    skipped = pipeline.as_results(pipeline.clean_meshes(packed, PipelineConfig(skip_model=True, skip_watertight=True, ray_samples=50))).first()
+    assert skipped.stage_timings.stage1_watertighten is None and skipped.stage_timings.stage2_vlm_filter is None and skipped.seconds_total > 0
