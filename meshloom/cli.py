@@ -13,6 +13,7 @@ import sys
 from pyspark.sql import functions as F
 
 from .config import PipelineConfig
+from .functions.verdicts import AcceptConfig
 from .operators import pose, render, voxels
 from .operators.packed import FACE, VERTEX
 from .operators.rollups import shuffled_sample
@@ -34,6 +35,12 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--skip-vlm", action="store_true")
         p.add_argument("--scorer", help="module:name of an image scorer's factory")
         p.add_argument("--prompt-lang", default="en")
+        p.add_argument("--vlm-min-quality", type=int, default=2)
+        p.add_argument("--vlm-cache-dir", help="folder of replies of earlier runs; new ones are added to it")
+        p.add_argument("--shape-model", help="module:name of a shape model's factory, for the round trip of stage 4")
+        p.add_argument("--skip-vae", action="store_true")
+        p.add_argument("--skip-canonicalize", action="store_true")
+        p.add_argument("--skip-stage4", action="store_true")
         p.add_argument("--strict", action="store_true")
         p.add_argument("--limit", type=int)
         p.add_argument("--shuffle", action="store_true")
@@ -42,13 +49,15 @@ def _parser() -> argparse.ArgumentParser:
     return top
 
 
+def _factory(name: str | None):
+    module, _, attribute = (name or "").partition(":")
+    return getattr(importlib.import_module(module), attribute) if name else None
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
-    scorer = None
-    if args.scorer:
-        module, _, name = args.scorer.partition(":")
-        scorer = getattr(importlib.import_module(module), name)
-    method = pose.downgrade(args.canonicalize, args.skip_vlm)
+    scorer, shape = _factory(args.scorer), None if args.skip_vae else _factory(args.shape_model)
+    method = "identity" if args.skip_canonicalize else pose.downgrade(args.canonicalize, args.skip_vlm)
     if scorer is None and (args.command in ("clean", "batch") and not args.skip_vlm or args.command == "canonicalize" and method in ("vlm", "hybrid")):
         print("--scorer or --skip-vlm is needed", file=sys.stderr)
         return 1
@@ -79,12 +88,18 @@ def main(argv: list[str] | None = None) -> int:
         sinks.with_base64(render.render_grids(good, args.resolution)).write.mode("overwrite").parquet(f"{args.output}/renders")
         return 0
     if args.command == "filter":
-        report = geometry_metrics(good)
+        report = geometry_metrics(good, PipelineConfig(skip_autoencoder=shape is None), shape)
         report.write.mode("overwrite").json(f"{args.output}/reports")
         return 0 if report.where("NOT is_valid").isEmpty() else 2
-    config = PipelineConfig(watertight=size, pose_method=args.canonicalize, skip_model=args.skip_vlm, prompt_lang=args.prompt_lang)
-    clean = clean_meshes(good, config, scorer)
+    config = PipelineConfig(
+        watertight=size, pose_method=method, skip_model=args.skip_vlm, prompt_lang=args.prompt_lang, accept=AcceptConfig(min_quality=args.vlm_min_quality), skip_autoencoder=shape is None, skip_geometry=args.skip_stage4,
+    )
+    cache = files.read_or_empty(spark, args.vlm_cache_dir, "cache_key string, raw_response string") if args.vlm_cache_dir else None
+    clean = clean_meshes(good, config, scorer, shape, cache)
     clean.write.mode("overwrite").parquet(f"{args.output}/results")
+    if cache is not None and not args.skip_vlm:
+        asked = spark.read.parquet(f"{args.output}/results").where("raw_response IS NOT NULL").select("cache_key", "raw_response").dropDuplicates(["cache_key"])
+        asked.join(cache.select("cache_key"), "cache_key", "left_anti").write.mode("append").parquet(args.vlm_cache_dir)
     done = spark.read.parquet(f"{args.output}/results")
     done.drop("vertices", "faces").write.mode("overwrite").json(f"{args.output}/reports")
     meshfile.encode_meshes(done.where("vertices is not null").select("mesh_id", "vertices", "faces")).write.mode("overwrite").parquet(f"{args.output}/meshes")

@@ -39,6 +39,7 @@ class PipelineConfig:
     skip_model: bool = False
     skip_autoencoder: bool = True
     skip_watertight: bool = False
+    skip_geometry: bool = False
     ray_samples: int = 20_000
     failure_policy: str = "open"
     #: Run the model only on meshes that geometry accepts.

@@ -85,11 +85,16 @@ def _late_errors() -> Column:
 
 def _no_verdicts(packed: DataFrame) -> DataFrame:
     null = F.lit(None)
-    return packed.select("mesh_id", null.cast("string").alias("verdict"), null.cast("array<string>").alias("rejection_reasons"), null.cast("boolean").alias("accepted"), *[null.cast("string").alias(c) for c in ("error", "render_error")], null.cast("double").alias("render_seconds")).limit(0)
+    return packed.select("mesh_id", null.cast("string").alias("verdict"), null.cast("array<string>").alias("rejection_reasons"), null.cast("boolean").alias("accepted"), *[null.cast("string").alias(c) for c in ("error", "render_error")], null.cast("double").alias("render_seconds"), *[null.cast("string").alias(c) for c in ("cache_key", "raw_response")]).limit(0)
+
+
+def _no_metrics(packed: DataFrame) -> DataFrame:
+    null = F.lit(None)
+    return packed.select("mesh_id", null.cast(schemas.METRICS).alias("metrics"), F.array().cast("array<string>").alias("reasons"), F.lit(True).alias("is_valid"), null.cast("double").alias("seconds"), null.cast("string").alias("error"))
 
 
 def clean_meshes(packed: DataFrame, config: PipelineConfig = PipelineConfig(), image_scorer: Callable | None = None, shape_scorer: Callable | None = None, cache: DataFrame | None = None) -> DataFrame:
-    """Stage 1, 3, 4, 2 of every packed mesh -> (mesh_id, vertices, faces, accepted, rejection_reasons, stage1, pose, metrics, verdict, model_accepted, stage_timings, error); outputs are given for rejected meshes too. stage_timings are the seconds that a mesh took in kernels (for stage 2 in rendering), null where a stage was skipped.
+    """Stage 1, 3, 4, 2 of every packed mesh -> (mesh_id, vertices, faces, accepted, rejection_reasons, stage1, pose, metrics, verdict, model_accepted, cache_key, raw_response, stage_timings, error); outputs are given for rejected meshes too. stage_timings are the seconds that a mesh took in kernels (for stage 2 in rendering), null where a stage was skipped.
 
     Stage 2 and the pose methods 'vlm' and 'hybrid' need an image scorer (a factory); without skip_model
     its absence is an error. cache is that of model_verdicts.
@@ -104,19 +109,19 @@ def clean_meshes(packed: DataFrame, config: PipelineConfig = PipelineConfig(), i
     method = pose.downgrade(config.pose_method, config.skip_model)
     poses = cut(pose.find_poses(whole, method, image_scorer, config.pose_render_res, config.batch_size))
     turned = cut(pose.apply_pose(whole, poses))
-    metrics = cut(geometry_metrics(turned, config, shape_scorer))
+    metrics = _no_metrics(turned) if config.skip_geometry else cut(geometry_metrics(turned, config, shape_scorer))
     judged = turned.join(metrics.where("is_valid").select("mesh_id"), "mesh_id", "left_semi") if config.short_circuit else turned
     verdicts = model_verdicts(judged, config, image_scorer, cache) if not config.skip_model else _no_verdicts(packed)
     out = first.select("mesh_id", F.struct("is_watertight", "is_winding_consistent", "chamfer_to_input").alias("stage1"), F.col("seconds").alias("t1"), F.col("error").alias("e1"))
     out = out.join(poses.select("mesh_id", F.struct("method", "up_axis_world", "forward_axis_world", "rotation_matrix", "vlm_up_label", "vlm_front_label", "vlm_agrees_with_geom", "needs_manual_review", "geom_inlier_fraction").alias("pose"), F.col("seconds").alias("t3"), F.col("error").alias("e3")), "mesh_id", "left")
     out = out.join(metrics.select("mesh_id", "metrics", "reasons", F.col("seconds").alias("t4"), F.col("error").alias("e4")), "mesh_id", "left")
-    out = out.join(verdicts.select("mesh_id", "verdict", F.col("rejection_reasons").alias("r2"), F.col("accepted").alias("model_accepted"), F.col("render_seconds").alias("t2"), F.col("error").alias("e2"), F.col("render_error").alias("er")), "mesh_id", "left").join(turned, "mesh_id", "left")
+    out = out.join(verdicts.select("mesh_id", "verdict", F.col("rejection_reasons").alias("r2"), F.col("accepted").alias("model_accepted"), F.col("render_seconds").alias("t2"), "cache_key", "raw_response", F.col("error").alias("e2"), F.col("render_error").alias("er")), "mesh_id", "left").join(turned, "mesh_id", "left")
     reasons = merge_pipeline(F.coalesce("stage1.is_watertight", F.lit(True)), F.coalesce("pose.needs_manual_review", F.lit(False)), F.col("reasons"), F.col("r2"))
     failed = F.array_compact(F.array(F.when(F.col("e1").isNotNull(), error_reason(F.lit("load"), F.col("e1")))))  # a failed pose is a case for review, which merge_pipeline says
     if config.failure_policy == "closed":
         failed = F.concat(failed, _late_errors())
     out = out.withColumn("rejection_reasons", F.concat(failed, reasons))
-    return out.select("mesh_id", "vertices", "faces", (F.size("rejection_reasons") == 0).alias("accepted"), "rejection_reasons", "stage1", "pose", "metrics", "verdict", "model_accepted", F.struct(*[F.col(f"t{k}").alias(n) for k, n in STAGES.items()]).alias("stage_timings"), F.coalesce("e1", "e3", "e4", "er", "e2").alias("error"))
+    return out.select("mesh_id", "vertices", "faces", (F.size("rejection_reasons") == 0).alias("accepted"), "rejection_reasons", "stage1", "pose", "metrics", "verdict", "model_accepted", "cache_key", "raw_response", F.struct(*[F.col(f"t{k}").alias(n) for k, n in STAGES.items()]).alias("stage_timings"), F.coalesce("e1", "e3", "e4", "er", "e2").alias("error"))
 
 
 def as_results(clean: DataFrame) -> DataFrame:

@@ -500,3 +500,42 @@ def test_stage_seconds_reach_the_reports(spark, tmp_path):
     assert all(set(r.stage_timings) == {"decimate", "voxelize_shell", "close_shell", "flood_fill", "open_shell_check", "thicken", "sdf", "marching_cubes"} and sum(r.stage_timings.values()) <= r.seconds for r in stages)
     skipped = pipeline.as_results(pipeline.clean_meshes(packed, PipelineConfig(skip_model=True, skip_watertight=True, ray_samples=50))).first()
     assert skipped.stage_timings.stage1_watertighten is None and skipped.stage_timings.stage2_vlm_filter is None and skipped.seconds_total > 0
+
+
+def test_command_line_options_of_models_and_skipped_stages(spark, tmp_path, monkeypatch):
+    from meshloom import cli
+    from meshloom.operators import fields
+
+    monkeypatch.setattr(cli, "local_session", lambda: spark)
+    shown = tmp_path / "shown"
+    source = tmp_path / "in"
+    source.mkdir()
+    mesh = box()
+    for k in (1, 2):
+        lines = [f"v {x * k} {y} {z}" for x, y, z in mesh.vertices.tolist()] + [f"f {a + 1} {b + 1} {c + 1}" for a, b, c in mesh.faces.tolist()]
+        (source / f"m{k}.obj").write_text("\n".join(lines))
+    path = str(shown)
+
+    def factory():
+        from meshloom.operators.scorers import StubImageScorer
+
+        class Counting:
+            name, own = "counting", StubImageScorer()
+
+            def generate(self, images, prompt):
+                with open(path, "a") as f:  # a line for each image that it is shown
+                    f.write("x\n" * len(images))
+                return self.own.generate(images, prompt)
+
+        return Counting()
+
+    monkeypatch.setattr(cli, "_factory", lambda name: {"shape": fields.BoxModel, None: None}.get(name, factory))
+    run = lambda out, *more: cli.main(["batch", str(source), str(tmp_path / out), "--resolution", "16", "--scorer", "s", *more])
+    assert run("a", "--vlm-cache-dir", str(tmp_path / "cache"), "--skip-vae", "--skip-canonicalize") == 0
+    assert shown.read_text() == "x\n" * 2
+    rows = spark.read.parquet(str(tmp_path / "a" / "results")).collect()
+    assert len(rows) == 2 and all(r.pose.method == "identity" and r.metrics.vae is None for r in rows)
+    assert run("b", "--vlm-cache-dir", str(tmp_path / "cache"), "--vlm-min-quality", "99", "--skip-stage4", "--skip-canonicalize") == 0
+    assert shown.read_text() == "x\n" * 2 and spark.read.parquet(str(tmp_path / "cache")).count() == 2
+    rows = spark.read.parquet(str(tmp_path / "b" / "results")).collect()
+    assert all(r.metrics is None and any("< 99" in x for x in r.rejection_reasons) and r.stage_timings.stage4_filter_geometry is None for r in rows)
