@@ -129,7 +129,7 @@ m AS (SELECT s.mesh_id, b.num_vertices, s.num_faces, is_watertight, is_winding_c
   round(axis_aligned_area_fraction, 9) AS axis_share, fit.scale FROM surface s JOIN manifold USING (mesh_id) JOIN box b USING (mesh_id) JOIN axis USING (mesh_id) JOIN parts USING (mesh_id) JOIN fit USING (mesh_id)),
 r AS (SELECT *, round(abs(v) / (a + 1e-12), 9) AS ratio FROM m),
 w AS (SELECT *, concat_ws('|', CASE WHEN NOT is_watertight THEN 'stage1_not_watertight' END, CASE WHEN num_components > 2 THEN 'stage4:too_many_components=' || num_components END,
-  CASE WHEN ratio < 1.0 THEN 'stage4:thin_shell_vol_area=' || printf('%.4f', ratio) END) AS reasons FROM r),
+  CASE WHEN ratio < 1.0 THEN 'stage4:thin_shell_vol_area=' || printf('%.4f', round(ratio, 4)) END) AS reasons FROM r),
 o AS (SELECT w.*, p_brand AS dataset, ('0x' || substr(md5(w.mesh_id::VARCHAR), 1, 8))::BIGINT % 100 AS place FROM w JOIN part ON p_partkey = w.mesh_id),
 t AS (SELECT dataset, count(*) AS dataset_total, count(*) FILTER (WHERE reasons = '') AS dataset_accepted FROM o GROUP BY dataset)
 SELECT mesh_id, num_vertices, num_faces, is_watertight, is_winding_consistent, round(v, 6) AS volume, round(a, 6) AS area, num_components, axis_share, reasons, reasons = '' AS accepted,
