@@ -389,3 +389,14 @@ def drop_known(docs: DataFrame, reference: DataFrame, id_col: str = "doc_id", te
 
 def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_passages(read_table(spark, sf_dir, "documents"), keep_text=True)
+
+
+def oracle() -> str:
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS h FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d WHERE len(w) >= {WINDOW})),
+known AS (SELECT h, min(doc_id) AS least FROM win GROUP BY h),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + {WINDOW})) AS p FROM win JOIN known USING (h) WHERE least < doc_id),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256, coalesce(kept.text, '') AS text FROM d LEFT JOIN kept USING (r)"""
