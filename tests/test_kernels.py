@@ -257,3 +257,11 @@ def test_component_labels_equal_the_kernel_on_long_strips_and_odd_edges(spark):
     plain = made[2][(np.diff(np.sort(made[2], 1), axis=1) > 0).all(1)]
     _, f = table(spark, {2: (np.zeros((1, 3)), plain)})
     assert [c for _, c in sorted((r.fid, r.component) for r in topology.component_labels(f).collect())] == topology.face_labels(plain).tolist()
+
+
+def test_shell_is_decided_in_double_precision():
+    at = np.nextafter(1 / 16, 0)  # below a cell, but not once it is rounded to single precision
+    assert np.float32(at) == np.float32(1 / 16)
+    d = voxels.single(np.array([at, 1 / 16, 0.01, 3 / 16, np.nextafter(3 / 16, 0)]), 1 / 16, 3 / 16)
+    assert (d < np.float32(1 / 16)).tolist() == [True, False, True, False, False] and (d < np.float32(3 / 16)).tolist() == [True, True, True, False, True]
+    assert (voxels.single(np.array([np.nextafter(0.1, 0), 0.1]), 0.1) < np.float32(0.1)).tolist() == [True, False]
