@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 from jobs.common import main, settings, twice, written
 from meshloom.functions.rules import GeometryConfig, error_reason, geometry_reasons, merge_pipeline
 from meshloom.operators import topology
+from meshloom.operators.meet import meet
 from meshloom.operators.packed import FACE, VERTEX, pack
 from meshloom.operators.rollups import in_datasets
 from meshloom.plans import mesh_queries as sql
-from meshloom.sources.boxes import SQL, box_faces, box_vertices
+from meshloom.sources.boxes import SQL, box_faces, box_vertices, dealt
 
 NAME = "job1_curate_meshes"
 REPORTS = "mesh_id long, num_vertices long, num_faces long, is_watertight boolean, is_winding_consistent boolean, volume double, area double, num_components long, axis_share double, reasons string, accepted boolean, split string, dataset string"
@@ -63,7 +64,7 @@ def reports(vertices: DataFrame, faces: DataFrame, datasets: DataFrame, config:
     """REPORTS; datasets: (mesh_id, dataset)."""
     parts = topology.components(pack(vertices, faces)).select("mesh_id", "num_components", "error")
     axis = topology.primitive_score(vertices, faces).select("mesh_id", F.round("axis_aligned_area_fraction", 9).alias("axis_share"))
-    out = datasets.join(topology.summarize(vertices, faces), "mesh_id").join(axis, "mesh_id").join(parts, "mesh_id")
+    out = meet(meet(meet(datasets, topology.summarize(vertices, faces), "mesh_id"), axis, "mesh_id"), parts, "mesh_id")
     out = out.withColumn("ratio", F.round(F.when(F.col("is_watertight"), F.abs("volume") / (F.col("area") + 1e-12)), 9))
     rules = GeometryConfig(max_components=config.max_components, volume_area_ratio_min=config.volume_area_ratio_min, primitive_vertices=config.primitive_vertices)
     found = geometry_reasons({"num_components": F.col("num_components"), "volume_area_ratio": F.col("ratio"), "num_vertices": F.col("num_vertices"), "axis_share": F.col("axis_share")}, rules)
@@ -81,7 +82,7 @@ def export(vertices: DataFrame, faces: DataFrame, judged: DataFrame, pad: float)
     fit = topology.fit_unit_cube(vertices, pad)
     undo = fit.groupBy("mesh_id").agg(*[F.min(c).alias(c) for c in ("cx", "cy", "cz", "scale")])
     packed = pack(fit.select("mesh_id", "vid", "x", "y", "z"), faces)
-    return packed.join(undo, "mesh_id").join(judged, "mesh_id").select("mesh_id", "vertices", "faces", "cx", "cy", "cz", "scale", "split", "accepted", "dataset")
+    return meet(meet(packed, undo, "mesh_id"), judged, "mesh_id").select("mesh_id", "vertices", "faces", "cx", "cy", "cz", "scale", "split", "accepted", "dataset")
 
 
 def curate(spark: SparkSession, source: str, out: str, config: Config) -> None:
@@ -92,7 +93,7 @@ def curate(spark: SparkSession, source: str, out: str, config: Config) -> None:
         table.hint("rebalance", "dataset").write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("dataset").parquet(f"{out}/{name}")
 
     rows = spark.read.parquet(f"{source}/{config.table}").withColumn("dataset", F.coalesce(F.nullif(F.trim(config.dataset), F.lit("")), F.lit("unknown")))
-    rows = in_datasets(rows, config.datasets)
+    rows = dealt(in_datasets(rows, config.datasets), config.key)
     written(spark, rows, f"{source}/{config.table}, read")
     vertices, faces = box_vertices(rows), box_faces(rows)
     write(reports(vertices, faces, rows.select(F.col(config.key).alias("mesh_id"), "dataset"), config), "reports")
@@ -113,7 +114,7 @@ def read_back(spark: SparkSession, out: str) -> DataFrame:
     found = tables(spark, out)
     place = lambda f, d: f(F.transform("vertices", lambda p: F.round(p[d], 6)))
     meshes = found["meshes"].select("mesh_id", F.size("vertices").alias("packed_vertices"), F.size("faces").alias("packed_faces"), F.round("scale", 6).alias("scale"), *[place(f, d).alias(f"{n}_{d}") for d in "xyz" for f, n in ((F.array_min, "low"), (F.array_max, "high"))])
-    return found["reports"].join(meshes, "mesh_id").join(found["retention"].withColumnsRenamed({"total": "dataset_total", "n_accept": "dataset_accepted"}), "dataset")
+    return meet(found["reports"], meshes, "mesh_id").join(found["retention"].withColumnsRenamed({"total": "dataset_total", "n_accept": "dataset_accepted"}), "dataset")
 
 
 def job1_curate_meshes(spark: SparkSession, sf_dir: str) -> DataFrame:

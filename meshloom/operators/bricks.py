@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from . import topology, voxels
 from .cut import cut
+from .meet import meet
 from .packed import meshes, pack
 
 #: Cells of the rim that labels cover beside the brick, and of the band in which distances to triangles are known.
@@ -176,7 +177,7 @@ def brick_table(vertices: DataFrame, faces: DataFrame, config: BrickConfig) -> D
     every = vertices.select("mesh_id").distinct()
     for b in ("gx", "gy", "gz"):
         every = every.select("*", F.explode(F.sequence(F.lit(0), F.lit(last))).alias(b))
-    return every.join(lists, ["mesh_id", "gx", "gy", "gz"], "left")
+    return meet(every, lists, ["mesh_id", "gx", "gy", "gz"], "left")
 
 
 def _ends(config: BrickConfig, d: str, reach: int) -> tuple[Column, Column]:
@@ -225,7 +226,7 @@ def _key(config: BrickConfig, *at: Column) -> Column:
 def _ties(labels: DataFrame, config: BrickConfig) -> DataFrame:
     """(mesh_id, a, b): labels of two bricks, as (number of the brick << 32) + label, that share a cell."""
     rims = labels.select("mesh_id", F.struct("gx", "gy", "gz").alias("of"), F.explode("rims").alias("r")).select("mesh_id", "of", "r.gx", "r.gy", "r.gz", F.col("r.labels").alias("theirs"))
-    pairs = rims.join(labels.select("mesh_id", "gx", "gy", "gz", "own"), ["mesh_id", "gx", "gy", "gz"]).select("mesh_id", "of", F.struct("gx", "gy", "gz").alias("to"), "theirs", "own")
+    pairs = meet(rims, labels.select("mesh_id", "gx", "gy", "gz", "own"), ["mesh_id", "gx", "gy", "gz"]).select("mesh_id", "of", F.struct("gx", "gy", "gz").alias("to"), "theirs", "own")
     schema, target = _arrow(labels, "a long, b long")
     n = config.across
 
@@ -253,7 +254,7 @@ def _by_mesh(ties: DataFrame, nodes: DataFrame, config: BrickConfig, choose) ->
     """(mesh_id, brick, labels): the labels of each brick that choose(names, component of each, weights) keeps. nodes: (mesh_id, a, w), all labels with a weight. One row of ties and labels a mesh."""
     pairs = ties.groupBy("mesh_id").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
     names = nodes.groupBy("mesh_id").agg(F.sort_array(F.collect_list(F.struct("a", "w"))).alias("n"))
-    rows = names.join(pairs, "mesh_id", "left").select("mesh_id", F.col("n.a").alias("name"), F.col("n.w").alias("w"), "a", "b")
+    rows = meet(names, pairs, "mesh_id", "left").select("mesh_id", F.col("n.a").alias("name"), F.col("n.w").alias("w"), "a", "b")
     schema, target = _arrow(ties, "brick long, labels array<int>")
 
     def run(batches):
@@ -294,7 +295,7 @@ def flood(bricks: DataFrame, config: BrickConfig, thick: int = 0) -> tuple[DataF
 
 def interior(labels: DataFrame, outside: DataFrame, config: BrickConfig) -> DataFrame:
     """(mesh_id, shell_voxels, solid_voxels, n_inside, interior_frac)."""
-    rows = labels.withColumn("brick", _key(config, F.col("gx"), F.col("gy"), F.col("gz"))).join(outside, ["mesh_id", "brick"], "left")
+    rows = meet(labels.withColumn("brick", _key(config, F.col("gx"), F.col("gy"), F.col("gz"))), outside, ["mesh_id", "brick"], "left")
     every = F.aggregate("cells", F.lit(0).cast("long"), lambda s, c: s + c)
     gone = F.aggregate(F.coalesce("labels", F.array().cast("array<int>")), F.lit(0).cast("long"), lambda s, i: s + F.get("cells", i - 1))
     sums = rows.groupBy("mesh_id").agg(F.sum("shell").alias("shell_voxels"), F.sum("solid").alias("solid_voxels"), F.sum(every - gone).alias("n_inside"))
@@ -306,7 +307,7 @@ _SURFACE = "gx int, gy int, gz int, names array<long>, x array<double>, y array<
 
 def _surface(bricks: DataFrame, outside: DataFrame, config: BrickConfig, thick: int) -> DataFrame:
     """The surface of each brick that has any: names of vertices, their places in the unit cube, faces as places in the names, the component of each face (from 1), vertices shared with other bricks, faces of each component, and edges that this brick alone doesn't use twice, once either way."""
-    rows = bricks.where("tri IS NOT NULL").withColumn("brick", _key(config, F.col("gx"), F.col("gy"), F.col("gz"))).join(outside, ["mesh_id", "brick"], "left").select("mesh_id", "gx", "gy", "gz", "tri", "labels")
+    rows = meet(bricks.where("tri IS NOT NULL").withColumn("brick", _key(config, F.col("gx"), F.col("gy"), F.col("gz"))), outside, ["mesh_id", "brick"], "left").select("mesh_id", "gx", "gy", "gz", "tri", "labels")
     schema, target = _arrow(bricks, _SURFACE)
 
     def run(batches):
@@ -371,11 +372,11 @@ def surfaces(bricks: DataFrame, outside: DataFrame, config: BrickConfig, thick:
     met = at.groupBy("mesh_id", "name").agg(F.min("a").alias("a"), F.collect_set("a").alias("all")).where("size(all) > 1")  # at most the eight bricks around a point
     ties = met.select("mesh_id", "a", F.explode("all").alias("b")).where("a <> b").distinct()
     kept = cut(_by_mesh(ties, nodes, config, _largest)).withColumnRenamed("labels", "parts")
-    pieces = _kept_parts(made.join(kept, ["mesh_id", "brick"]))
-    edges = made.join(kept, ["mesh_id", "brick"]).select("mesh_id", F.explode(F.filter("open_edges", lambda e: F.array_contains("parts", e["part"]))).alias("e"))
+    pieces = _kept_parts(meet(made, kept, ["mesh_id", "brick"]))
+    edges = meet(made, kept, ["mesh_id", "brick"]).select("mesh_id", F.explode(F.filter("open_edges", lambda e: F.array_contains("parts", e["part"]))).alias("e"))
     edges = edges.groupBy("mesh_id", "e.p", "e.q").agg(F.sum("e.n").alias("n"), F.sum("e.forward").alias("forward"))
     bad = edges.groupBy("mesh_id").agg(F.every(F.col("n") == 2).alias("tight"), F.every((F.col("n") != 2) | (F.col("forward") == 1)).alias("wound"))
-    flags = pieces.groupBy("mesh_id").agg(F.sum(F.size("faces") / 3).cast("long").alias("num_faces_out")).join(bad, "mesh_id", "left")
+    flags = meet(pieces.groupBy("mesh_id").agg(F.sum(F.size("faces") / 3).cast("long").alias("num_faces_out")), bad, "mesh_id", "left")
     flags = flags.select("mesh_id", "num_faces_out", F.coalesce("tight", F.lit(True)).alias("is_watertight"), F.coalesce("wound", F.lit(True)).alias("is_winding_consistent"))
     return pieces, flags
 
@@ -398,8 +399,8 @@ def _kept_parts(rows: DataFrame) -> DataFrame:
 
 def _escape(bricks: DataFrame, labels: DataFrame, outside: DataFrame, packed: DataFrame, config: BrickConfig) -> DataFrame:
     """(mesh_id, ray_escape_frac): the share of rays from interior cells (shell cells without any) that meet nothing; the cells and directions are the least by a hash, so they don't depend on how bricks are dealt."""
-    at = labels.select("mesh_id", "gx", "gy", "gz", "cells", _key(config, F.col("gx"), F.col("gy"), F.col("gz")).alias("brick")).join(outside, ["mesh_id", "brick"], "left")
-    rows = bricks.join(at, ["mesh_id", "gx", "gy", "gz"]).select("mesh_id", "gx", "gy", "gz", "tri", "labels")
+    at = meet(labels.select("mesh_id", "gx", "gy", "gz", "cells", _key(config, F.col("gx"), F.col("gy"), F.col("gz")).alias("brick")), outside, ["mesh_id", "brick"], "left")
+    rows = meet(bricks, at, ["mesh_id", "gx", "gy", "gz"]).select("mesh_id", "gx", "gy", "gz", "tri", "labels")
     schema, target = _arrow(bricks, "kind int, h long, cell long")
     res, most = config.res, config.escape_samples
 
@@ -421,7 +422,7 @@ def _escape(bricks: DataFrame, labels: DataFrame, outside: DataFrame, packed: Da
             yield _rows(target, out, take, batch)
 
     least = _dealt(rows).mapInArrow(run, schema).groupBy("mesh_id").agg(*[F.slice(F.sort_array(F.collect_list(F.when(F.col("kind") == k, F.struct("h", "cell")))), 1, most)["cell"].alias(n) for k, n in ((0, "inside"), (1, "shell"))])
-    asked = packed.join(least.select("mesh_id", F.when(F.size("inside") > 0, F.col("inside")).otherwise(F.col("shell")).alias("cells")), "mesh_id").select("mesh_id", "vertices", "faces", "cells")
+    asked = meet(packed, least.select("mesh_id", F.when(F.size("inside") > 0, F.col("inside")).otherwise(F.col("shell")).alias("cells")), "mesh_id").select("mesh_id", "vertices", "faces", "cells")
     schema2, target2 = _arrow(packed, "ray_escape_frac double")
 
     def shoot(batches):
@@ -452,7 +453,7 @@ def watertighten_bricks(vertices: DataFrame, faces: DataFrame, config: BrickConf
     labels, outside = flood(bricks, config, config.thicken_voxels)
     found = cut(interior(labels, outside, config))
     thin = found.where(F.col("interior_frac") < config.open_share).select("mesh_id")
-    only = lambda t, side, how: t.join(side, "mesh_id", how)
+    only = lambda t, side, how: meet(t, side, "mesh_id", how)
     packed_ = pack(only(placed, thin, "left_semi"), only(faces, thin, "left_semi"))
     escape = cut(_escape(only(bricks, thin, "left_semi"), labels, outside, packed_, config))
     is_open = F.coalesce(F.col("ray_escape_frac") > config.escape_share, F.lit(False))
@@ -465,13 +466,13 @@ def watertighten_bricks(vertices: DataFrame, faces: DataFrame, config: BrickConf
         pieces, flags = pieces.unionAll(more), flags.unionAll(more_flags)
         thick = interior(labels2, outside2, config).select("mesh_id", "solid_voxels")
         counts = counts.unionAll(only(found.drop("solid_voxels"), thick, "inner").select("mesh_id", "shell_voxels", "solid_voxels", "interior_frac"))
-    report = counts.join(escape, "mesh_id", "left").join(flags, "mesh_id", "left").select(
+    report = meet(meet(counts, escape, "mesh_id", "left"), flags, "mesh_id", "left").select(
         "mesh_id", F.lit(config.res).cast("long").alias("resolution"), "shell_voxels", F.col("solid_voxels").alias("thickened_voxels"), F.col("interior_frac").alias("interior_frac_closed"),
         is_open.alias("open_shell_detected"), "ray_escape_frac", F.coalesce("num_faces_out", F.lit(0)).alias("num_faces_out"), F.coalesce("is_watertight", F.lit(False)).alias("is_watertight"),
         F.coalesce("is_winding_consistent", F.lit(False)).alias("is_winding_consistent"),
     )
     back = {d: F.expr(f"transform({d}, v -> (v - 0.5D) * scale + c{d})") for d in "xyz"}
-    return pieces.join(undo, "mesh_id").withColumns(back).select("mesh_id", "gx", "gy", "gz", "names", "x", "y", "z", "faces"), report
+    return meet(pieces, undo, "mesh_id").withColumns(back).select("mesh_id", "gx", "gy", "gz", "names", "x", "y", "z", "faces"), report
 
 
 def assemble(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:

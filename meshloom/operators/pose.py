@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.verdicts import AXES, parse_pose
 from .cut import cut
+from .meet import meet
 from .packed import Mesh, map_meshes
 from .topology import corners, dot, with_normals
 
@@ -35,7 +36,7 @@ def up_scores(vertices: DataFrame, faces: DataFrame, cone_deg: float = CONE_DEG)
 
 def up_sign(vertices: DataFrame, up: DataFrame, tie: str = "flip") -> DataFrame:
     """(mesh_id, up, sign): the end of the vertices' range nearer the origin is the floor; ties flip, or stay with tie='keep'."""
-    along = vertices.join(up.select("mesh_id", "up"), "mesh_id").withColumn("p", F.when(F.col("up") == "x", F.col("x")).when(F.col("up") == "y", F.col("y")).otherwise(F.col("z")))
+    along = meet(vertices, up.select("mesh_id", "up"), "mesh_id").withColumn("p", F.when(F.col("up") == "x", F.col("x")).when(F.col("up") == "y", F.col("y")).otherwise(F.col("z")))
     ends = along.groupBy("mesh_id", "up").agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
     keep = (F.abs("lo") < F.abs("hi")) | (F.col("hi") - F.col("lo") < 1e-9) | (F.lit(tie == "keep") & (F.abs("lo") == F.abs("hi")))
     return ends.select("mesh_id", "up", F.when(keep, 1).otherwise(-1).alias("sign"))
@@ -64,7 +65,7 @@ def rotate(vertices: DataFrame, rotation: list[list[Column | float]]) -> DataFra
     rows = [dot([F.lit(c) if isinstance(c, (int, float)) else c for c in r], p) for r in rotation]
     turned = vertices.select("mesh_id", "vid", *[r.alias(d) for r, d in zip(rows, "xyz", strict=True)])
     box = turned.groupBy("mesh_id").agg(*[((F.min(d) + F.max(d)) / 2).alias(f"c{d}") for d in "xyz"])
-    return turned.join(box, "mesh_id").select("mesh_id", "vid", *[(F.col(d) - F.col(f"c{d}")).alias(d) for d in "xyz"])
+    return meet(turned, box, "mesh_id").select("mesh_id", "vid", *[(F.col(d) - F.col(f"c{d}")).alias(d) for d in "xyz"])
 
 
 # Whole poses, one mesh at a time ----------------------------------------------------------------
@@ -201,7 +202,7 @@ def find_poses(packed: DataFrame, method: str = "geom", factory: Callable | None
 
 def apply_pose(packed: DataFrame, poses: DataFrame) -> DataFrame:
     """(mesh_id, vertices, faces) with R v and the middle of the box at the origin."""
-    both = packed.join(poses.select("mesh_id", "rotation_matrix"), "mesh_id")
+    both = meet(packed, poses.select("mesh_id", "rotation_matrix"), "mesh_id")
     m = F.col("rotation_matrix")
     turned = F.transform("vertices", lambda p: F.struct(*[(m[r][0] * p["x"] + m[r][1] * p["y"] + m[r][2] * p["z"]).alias(d) for r, d in enumerate("xyz")]))
     axis = lambda t, d: F.transform(t, lambda p: p[d])

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import GeometryConfig, geometry_reasons
 from ..operators import neighbours, pose, rays, topology
+from ..operators.meet import meet
 from ..operators.packed import pack
 from ..operators.rollups import retention
-from ..sources.boxes import SQL, box_faces, box_vertices
+from ..sources.boxes import SQL, box_faces, box_vertices, dealt
 
 PLACES = 6
 
@@ -19,7 +20,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _boxes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    part = _read(spark, sf_dir, "part")
+    part = dealt(_read(spark, sf_dir, "part"))
     return box_vertices(part), box_faces(part)
 
 
@@ -70,12 +71,12 @@ def merged_mesh(spark: SparkSession, sf_dir: str) -> DataFrame:
     soup = at.select("mesh_id", F.explode(F.array(*[F.struct((F.col("fid") * 3 + k).alias("vid"), *[F.col(f"{c}{d}").alias(d) for d in "xyz"]) for k, c in enumerate("abc")])).alias("p")).select("mesh_id", "p.*")
     own = f.select("mesh_id", "fid", *[(F.col("fid") * 3 + k).alias(c) for k, c in enumerate("abc")])
     mv, mf = topology.merge_vertices(soup, own)
-    return mv.groupBy("mesh_id").agg(F.count("*").alias("num_vertices")).join(mf.groupBy("mesh_id").agg(F.count("*").alias("num_faces")), "mesh_id")
+    return meet(mv.groupBy("mesh_id").agg(F.count("*").alias("num_vertices")), mf.groupBy("mesh_id").agg(F.count("*").alias("num_faces")), "mesh_id")
 
 
 def _stage4(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, f = _boxes(spark, sf_dir)
-    out = topology.summarize(v, f).join(topology.primitive_score(v, f).drop("num_faces"), "mesh_id").join(topology.components(pack(v, f)).select("mesh_id", "num_components"), "mesh_id")
+    out = meet(meet(topology.summarize(v, f), topology.primitive_score(v, f).drop("num_faces"), "mesh_id"), topology.components(pack(v, f)).select("mesh_id", "num_components"), "mesh_id")
     out = out.withColumn("volume_area_ratio", F.when(F.col("is_watertight"), F.abs("volume") / (F.col("area") + 1e-12)))
     config = GeometryConfig(max_components=2, volume_area_ratio_min=1.0, primitive_vertices=500)
     names = {"num_components": "num_components", "volume_area_ratio": "volume_area_ratio", "num_vertices": "num_vertices", "axis_share": "axis_aligned_area_fraction"}
@@ -90,13 +91,13 @@ def corpus_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retention of the box corpus by brand under topology rules."""
     v, f = _boxes(spark, sf_dir)
     part = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("mesh_id"), F.col("p_brand").alias("dataset"))
-    verdict = topology.manifoldness(f).join(topology.surface(v, f), "mesh_id").join(part, "mesh_id")
+    verdict = meet(meet(topology.manifoldness(f), topology.surface(v, f), "mesh_id"), part, "mesh_id")
     return retention(verdict.withColumn("accepted", F.col("is_watertight") & F.col("is_winding_consistent") & (F.abs("signed_volume") / F.col("area") > 1.0)))
 
 
 def up_axis_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, f = _boxes(spark, sf_dir)
-    return _rounded(pose.up_scores(v, f), "score_x", "score_y", "score_z", "up_score").join(pose.up_sign(v, pose.up_scores(v, f)).select("mesh_id", "sign"), "mesh_id")
+    return meet(_rounded(pose.up_scores(v, f), "score_x", "score_y", "score_z", "up_score"), pose.up_sign(v, pose.up_scores(v, f)).select("mesh_id", "sign"), "mesh_id")
 
 
 def scatter_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +118,7 @@ def rotation_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _test_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = lambda p, q, m: (F.pmod(F.col("p_partkey") * p + F.col("i") * q, F.lit(m)) / float(m)) * 1.1 - 0.55
-    rows = _read(spark, sf_dir, "part").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(19))))
+    rows = dealt(_read(spark, sf_dir, "part")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(19))))
     return rows.select(
         F.col("p_partkey").alias("mesh_id"), F.col("i").cast("long").alias("pid"), (u(7919, 104729, 997) * F.col("p_size")).alias("x"), (u(6007, 7001, 991) * F.col("p_retailprice") / 100).alias("y"),
         (u(3001, 9001, 983) * (F.col("p_partkey") % 9 + 1)).alias("z"),
@@ -132,7 +133,7 @@ def sign_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parity against the first box's bounds."""
     part = _read(spark, sf_dir, "part")
     points = _test_points(spark, sf_dir)
-    bound = points.join(part.select(F.col("p_partkey").alias("mesh_id"), "p_size", "p_retailprice"), "mesh_id")
+    bound = meet(points, part.select(F.col("p_partkey").alias("mesh_id"), "p_size", "p_retailprice"), "mesh_id")
     box = bound.select("mesh_id", "pid", ((F.abs("x") < F.col("p_size") / 2) & (F.abs("y") < F.col("p_retailprice") / 200) & (F.abs("z") < (F.col("mesh_id") % 9 + 1) / 2)).alias("inside"))
     out = rays.sign_agreement(rays.parity_inside(points, topology.corners(*_boxes(spark, sf_dir))), box)
     return _rounded(out, "ray_sign_agreement", "fraction_inside_gt", "fraction_inside_other")
@@ -149,7 +150,7 @@ def surface_sample_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, f = _boxes(spark, sf_dir)
     points = neighbours.sample_surface(topology.with_normals(topology.corners(v, f)), 100)
     box = v.groupBy("mesh_id").agg(*[g(d).alias(f"{d}{n}") for d in "xyz" for g, n in ((F.min, 0), (F.max, 1))])
-    out = points.join(box, "mesh_id").withColumn("out", ~(F.col("x").between(F.col("x0") - 1e-9, F.col("x1") + 1e-9) & F.col("y").between(F.col("y0") - 1e-9, F.col("y1") + 1e-9) & F.col("z").between(F.col("z0") - 1e-9, F.col("z1") + 1e-9)))
+    out = meet(points, box, "mesh_id").withColumn("out", ~(F.col("x").between(F.col("x0") - 1e-9, F.col("x1") + 1e-9) & F.col("y").between(F.col("y0") - 1e-9, F.col("y1") + 1e-9) & F.col("z").between(F.col("z0") - 1e-9, F.col("z1") + 1e-9)))
     return out.groupBy("mesh_id").agg(F.count("*").alias("n"), F.count_if("out").alias("n_outside"))
 
 
