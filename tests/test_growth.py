@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobs import job1_curate_meshes as job1
-from meshloom.operators import bricks, topology
+from meshloom.operators import bricks, packed, topology
 from meshloom.plans.catalog import QUERIES
 from meshloom.sources import boxes
 
@@ -54,3 +54,13 @@ def test_parts_are_dealt_by_their_number(spark):
     assert dealt.rdd.getNumPartitions() == 26 and boxes.dealt(part.limit(0)).count() == 0
     both = plan(topology.manifoldness(boxes.box_faces(dealt)))
     assert both.count("Exchange hashpartitioning") == 1  # edges are grouped where their mesh lies
+
+
+def test_a_kernel_gives_its_rows_in_pieces(spark):
+    drawn = []  # rows that were made before the first piece left
+    rows = ({"x": [0] * 1000, "n": drawn.append(k)} for k in range(100))
+    assert len(next(packed.in_pieces(rows, 5000))) == 5 == len(drawn) and sum(map(len, packed.in_pieces(rows, 5000))) == 95
+    assert list(packed.in_pieces(iter([]))) == [] and [len(p) for p in packed.in_pieces(iter([{"n": 1}] * 7), 3)] == [3, 3, 1]
+    meshes = packed.pack(*(g(spark.range(40).selectExpr("id AS p_partkey", "3 AS p_size", "950.0D AS p_retailprice")) for g in (boxes.box_vertices, boxes.box_faces)))
+    out = packed.map_meshes(meshes.coalesce(1), lambda m: {"x": [len(m.vertices)] * (packed.HELD // 4)}, "x array<long>").selectExpr("mesh_id", "x[0] AS n", "error")
+    assert sorted(map(tuple, out.collect())) == [(k, 24 if k % 5 == 0 else 8, None) for k in range(40)]
