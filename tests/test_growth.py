@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from jobs import job1_curate_meshes as job1
 from meshloom.operators import bricks, packed, topology
+from meshloom.plans import kernel_queries
 from meshloom.plans.catalog import QUERIES
 from meshloom.sources import boxes
 
@@ -64,3 +65,10 @@ def test_a_kernel_gives_its_rows_in_pieces(spark):
     meshes = packed.pack(*(g(spark.range(40).selectExpr("id AS p_partkey", "3 AS p_size", "950.0D AS p_retailprice")) for g in (boxes.box_vertices, boxes.box_faces)))
     out = packed.map_meshes(meshes.coalesce(1), lambda m: {"x": [len(m.vertices)] * (packed.HELD // 4)}, "x array<long>").selectExpr("mesh_id", "x[0] AS n", "error")
     assert sorted(map(tuple, out.collect())) == [(k, 24 if k % 5 == 0 else 8, None) for k in range(40)]
+
+
+def test_every_kind_of_field_is_drawn_once(spark, monkeypatch, tmp_path):
+    spark.range(5000).selectExpr("id AS p_partkey", "CAST(id % 50 + 1 AS INT) AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    seen, real = [], kernel_queries.map_meshes
+    monkeypatch.setattr(kernel_queries, "map_meshes", lambda packed_, *rest: seen.append(packed_.count()) or real(packed_, *rest))
+    assert QUERIES["box_surfaces"](spark, str(tmp_path)).count() == 5000 and seen == [60]
