@@ -1,8 +1,8 @@
-"""Near-duplicate removal: MinHash bands find candidates, verified on five-word shingles.
+"""Near-duplicate removal: generalised pigeonhole search over SimHash fingerprints and MinHash bands find candidates, verified on five-word shingles.
 
-The contract of op5_simhash fixes its fingerprint and distance; for dropping documents the measure is
-the Jaccard similarity of sets of five-word shingles, which no small Hamming distance of fingerprints
-bounds. So the keys are BANDS hashes of ROWS independent MinHashes each: two texts of similarity s share
+The measure is the Jaccard similarity of sets of five-word shingles, which no small Hamming distance of
+fingerprints bounds. So texts whose fingerprints lie within TAU bits, by op5_simhash's search, are candidates, and those that share
+one of further keys are too: BANDS hashes of ROWS independent MinHashes each: two texts of similarity s share
 one with probability 1 - (1 - s ** ROWS) ** BANDS (0.9998 at 0.8), wherever the edits are. Pairs
 that a one-permutation MinHash of BINS bins doesn't rule out are decided by their exact similarity.
 """
@@ -19,12 +19,16 @@ from pyspark.sql import functions as F
 
 from .common import materialise, release, small_batches, text_bytes
 from .components import connected_components
+from .gph import near_pairs
+from .simhash import fingerprints
 
 WIDTH = 5
 #: The similarity that links two texts, as a fraction.
 SIMILAR = (4, 5)
 BANDS, ROWS = 16, 4
 BINS = 512
+#: Bits by which the fingerprints of candidates may differ.
+TAU = 2
 #: Sketches rule a pair out if their estimate is below the bound by more than so many of its standard deviations.
 LOOSE = 4
 #: Texts of a bucket, and bytes of their shingle sets, that meet those of another block of it at once (a larger set is a block by itself).
@@ -236,15 +240,38 @@ def alike(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return out
 
 
+def fingerprint_pairs(docs: DataFrame) -> DataFrame:
+    """docs: (t, b) -> distinct candidates (a, b) by the generalised pigeonhole search of op5_simhash: texts whose SimHash fingerprints lie within TAU bits.
+
+    The text of least t stands for a fingerprint: it is paired with the others that have it, and with those that stand
+    for fingerprints nearby.
+    """
+    fps = materialise(fingerprints(docs.select(F.col("t").alias("doc_id"), F.col("b").alias("text"))).toDF("t", "fp"), "fps")
+    heads = materialise(fps.groupBy("fp").agg(F.min("t").alias("head"), F.count("*").alias("n")), "heads")
+    same = fps.join(heads.where("n > 1").select("fp", "head"), "fp").where("t <> head").select(F.col("head").alias("a"), F.col("t").alias("b"))
+    side = lambda c: heads.select(F.col("fp").alias(c), F.col("head").alias(f"{c}_t"))
+    near = near_pairs(heads, "fp", TAU).join(side("a"), "a").join(side("b"), "b").select(F.col("a_t").alias("a"), F.col("b_t").alias("b"))
+    out = materialise(same.unionAll(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "nearby")
+    release(fps, heads)
+    return out
+
+
+def sketched(pairs: DataFrame, features: DataFrame) -> DataFrame:
+    """(a, b, sketch_a, sketch_b) of pairs (a, b)."""
+    side = lambda c: features.select(F.col("t").alias(c), F.col("sketch").alias(f"sketch_{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sketch_a", "sketch_b")
+
+
 def near_groups(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """docs: (t, b), one row per distinct text, and firsts: (t, first, ...) with its least doc_id -> (t, first, stays): whether the text is its group's one with the least.
 
-    The texts of a bucket are compared with its hub first. Then all pairs that this left in different
+    Candidates come from the pigeonhole search over fingerprints and from buckets of MinHashes. The texts of a bucket are compared with its hub first. Then all pairs that this left in different
     components are compared too; the others can't change the components.
     """
     features = materialise(_features(docs), "features")
     members = buckets(features)
-    links = alike(hub_pairs(members), docs)
+    nearby = fingerprint_pairs(docs)
+    links = alike(hub_pairs(members).unionAll(sketched(nearby, features)), docs)
     joined = connected_components(links).toDF("t", "c")
     more = other_links(members, joined, docs)
     if more.take(1):
@@ -252,7 +279,7 @@ def near_groups(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     label = firsts.select("t", "first").join(joined.toDF("t", "component"), "t")
     least = label.groupBy("component").agg(F.min(F.struct("first", "t")).alias("x"))
     moved = materialise(label.join(least, "component").where(F.col("x.t") != F.col("t")).select("t"), "moved")
-    release(features, members, links, more)
+    release(features, members, nearby, links, more)
     return moved
 
 
