@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -55,9 +56,17 @@ def _cell_width(targets: DataFrame, dims: list[str], by: list[str]) -> float:
 
 #: Targets of a cell of nearest_vectors on average, and cells at most; a pivot of each is broadcast.
 CELL_ROWS, MOST_CELLS = 512, 4096
+#: Entries of an array that a task holds at once, whatever the rows of a batch and the number of cells.
+HELD = 1 << 18
 
 
-def nearest_vectors(queries: DataFrame, targets: DataFrame, rows: int = CELL_ROWS, most: int = MOST_CELLS) -> DataFrame:
+def _steps(n: int, width: int, held: int) -> Iterator[tuple[int, int]]:
+    """0 .. n in ranges of rows of `width` entries that hold about `held`."""
+    step = max(1, held // max(width, 1))
+    return ((at, min(at + step, n)) for at in range(0, n, step))
+
+
+def nearest_vectors(queries: DataFrame, targets: DataFrame, rows: int = CELL_ROWS, most: int = MOST_CELLS, held: int = HELD) -> DataFrame:
     """(qid, tid, d): the nearest target vector (least tid on ties) of every query vector; columns qid | tid and v.
 
     Some targets, chosen by hash, are pivots; each target lies in the cell of the pivot nearest to it. A
@@ -79,12 +88,17 @@ def nearest_vectors(queries: DataFrame, targets: DataFrame, rows: int = CELL_ROW
     def vectors(batch: pa.RecordBatch, at: int) -> np.ndarray:
         return batch.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
 
-    def assign(batches):
+    def parts(batches):
+        """The batches in slices whose distances to all pivots are few."""
         for batch in batches:
-            if batch.num_rows:
-                d = distances(vectors(batch, 1))
-                k = d.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(k), pa.array(d[np.arange(len(k)), k])], ["id", "v", "c", "r"])
+            for at, end in _steps(batch.num_rows, len(heads), held):
+                yield batch.slice(at, end - at)
+
+    def assign(batches):
+        for batch in parts(batches):
+            d = distances(vectors(batch, 1))
+            k = d.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(k), pa.array(d[np.arange(len(k)), k])], ["id", "v", "c", "r"])
 
     def placed(df: DataFrame, key: str) -> DataFrame:
         return df.select(F.col(key).cast("long").alias("id"), F.col("v").cast("array<double>").alias("v")).mapInArrow(assign, "id long, v array<double>, c long, r double")
@@ -92,31 +106,39 @@ def nearest_vectors(queries: DataFrame, targets: DataFrame, rows: int = CELL_ROW
     def blocks(df: DataFrame, name: str) -> DataFrame:
         return df.withColumn("g", F.pmod(F.xxhash64("id"), F.ceil(F.count("*").over(Window.partitionBy("c")) / rows))).groupBy("c", "g").agg(F.collect_list(F.struct("id", "v")).alias(name)).drop("g")
 
+    def block(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, from the least on, and vectors of a row's list."""
+        rows = column[k].values
+        ids = rows.field(0).to_numpy()
+        order = np.argsort(ids, kind="stable")
+        return ids[order], rows.field(1).flatten().to_numpy().reshape(len(ids), -1)[order]
+
     def compare(batches):
         for batch in batches:
-            for q, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                t = sorted(t, key=lambda x: x["id"])
-                x, y = (np.array([r["v"] for r in side], np.float64) for side in (q, t))
-                d2 = np.empty((len(x), len(y)))
-                for at in range(0, len(x), 64):
-                    d2[at : at + 64] = ((x[at : at + 64, None, :] - y[None]) ** 2).sum(axis=2)
-                k = d2.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array([r["id"] for r in q], pa.int64()), pa.array([t[i]["id"] for i in k], pa.int64()), pa.array(np.sqrt(d2[np.arange(len(x)), k]))], ["qid", "tid", "d"])
-
-    held = cut(placed(targets, "tid"))
-    radius = {r.c: r.r for r in held.groupBy("c").agg(F.max("r").alias("r")).collect()}  # a row a cell
+            for n in range(batch.num_rows):
+                (q, x), (t, y) = (block(batch.column(c), n) for c in (0, 1))
+                k, d2 = np.empty(len(x), np.int64), np.empty(len(x))
+                for at, end in _steps(len(x), y.size, held):
+                    some = ((x[at:end, None, :] - y[None]) ** 2).sum(axis=2)
+                    k[at:end], d2[at:end] = some.argmin(axis=1), some.min(axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(t[k]), pa.array(np.sqrt(d2))], ["qid", "tid", "d"])
+
+    home = cut(placed(targets, "tid"))
+    radius = {r.c: r.r for r in home.groupBy("c").agg(F.max("r").alias("r")).collect()}  # a row a cell
     reach = np.array([radius.get(k, -np.inf) for k in range(len(heads))])
-    asked, lists = cut(placed(queries, "qid")), cut(blocks(held, "t"))
+    asked, lists = cut(placed(queries, "qid")), cut(blocks(home, "t"))
     met = lambda q: blocks(q, "q").join(lists, "c").select("q", "t").mapInArrow(compare, "qid long, tid long, d double")
     first = cut(met(asked))
 
     def others(batches):
-        for batch in batches:
-            if batch.num_rows:
-                near = distances(vectors(batch, 1)) - reach <= (batch.column(3).to_numpy(zero_copy_only=False) * (1 + 1e-9) + 1e-6)[:, None]
-                near[np.arange(batch.num_rows), batch.column(2).to_numpy(zero_copy_only=False)] = False
-                i, k = np.nonzero(near)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(i)), batch.column(1).take(pa.array(i)), pa.array(k)], ["id", "v", "c"])
+        for batch in parts(batches):
+            v = vectors(batch, 1)
+            near = distances(v) - reach <= (batch.column(3).to_numpy(zero_copy_only=False) * (1 + 1e-9) + 1e-6)[:, None]
+            near[np.arange(batch.num_rows), batch.column(2).to_numpy(zero_copy_only=False)] = False
+            i, k = np.nonzero(near)
+            for at, end in _steps(len(i), v.shape[1], held):  # a query's vector goes to every such cell
+                row = pa.array(i[at:end])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(k[at:end])], ["id", "v", "c"])
 
     least = first.groupBy("qid").agg(F.min("d").alias("d"))
     again = asked.join(least, asked.id == least.qid).select("id", "v", "c", "d").mapInArrow(others, "id long, v array<double>, c long")

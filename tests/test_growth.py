@@ -1,10 +1,11 @@
 """Plans whose memory doesn't grow with the corpus: no table of exploded rows is broadcast, and tasks grow in number with the rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from jobs import job1_curate_meshes as job1
-from meshloom.operators import bricks, packed, topology
+from meshloom.operators import bricks, neighbours, packed, topology
 from meshloom.plans import kernel_queries
 from meshloom.plans.catalog import QUERIES
 from meshloom.sources import boxes
@@ -72,3 +73,13 @@ def test_every_kind_of_field_is_drawn_once(spark, monkeypatch, tmp_path):
     seen, real = [], kernel_queries.map_meshes
     monkeypatch.setattr(kernel_queries, "map_meshes", lambda packed_, *rest: seen.append(packed_.count()) or real(packed_, *rest))
     assert QUERIES["box_surfaces"](spark, str(tmp_path)).count() == 5000 and seen == [60]
+
+
+def test_nearest_vectors_hold_few_entries_at_once(spark):
+    """Every cell has to be looked at, and neither rows times cells nor a block's distances are held whole."""
+    assert list(neighbours._steps(10, 8, 32)) == [(0, 4), (4, 8), (8, 10)] and list(neighbours._steps(2, 99, 32)) == [(0, 1), (1, 2)] and not list(neighbours._steps(0, 8, 32))
+    rng = np.random.default_rng(5)
+    q, t = rng.normal(size=(60, 24)), rng.normal(size=(200, 24))
+    frame = lambda x, key: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], f"{key} long, v array<double>")
+    got = neighbours.nearest_vectors(frame(q, "qid"), frame(t, "tid"), rows=10, held=50).collect()
+    assert {r.qid: r.tid for r in got} == dict(enumerate(np.linalg.norm(q[:, None] - t[None], axis=2).argmin(1).tolist()))
