@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobs import job1_curate_meshes as job1
-from meshloom.operators import bricks, neighbours, packed, topology
+from meshloom.operators import bricks, neighbours, packed, render, topology
 from meshloom.plans import kernel_queries
 from meshloom.plans.catalog import QUERIES
 from meshloom.sources import boxes
@@ -83,3 +83,26 @@ def test_nearest_vectors_hold_few_entries_at_once(spark):
     frame = lambda x, key: spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], f"{key} long, v array<double>")
     got = neighbours.nearest_vectors(frame(q, "qid"), frame(t, "tid"), rows=10, held=50).collect()
     assert {r.qid: r.tid for r in got} == dict(enumerate(np.linalg.norm(q[:, None] - t[None], axis=2).argmin(1).tolist()))
+
+
+def test_small_images_of_many_meshes_are_rendered_at_once(spark, monkeypatch):
+    sizes, real = [], render.render_images
+    some = [packed.Mesh(np.array([[0, 0, 0], [k + 1.0, 0, 0], [0, 2, 0], [0, 0, 3]]), np.array([[0, 2, 1], [0, 1, 3], [0, 3, 2], [1, 2, 3]][: 1 + k % 4])) for k in range(9)]
+    at = [[render.cameras(m)[n] for n in render.SIX.values()] for m in some]
+    for images, m, own in zip(render.render_images(some, at, 20, 2), some, at, strict=True):
+        assert all((image == render.render_view(m, camera, 20, 2)).all() for image, camera in zip(images, own, strict=True))
+    monkeypatch.setattr(render, "render_images", lambda meshes, *rest: sizes.append(len(meshes)) or real(meshes, *rest))
+    seen = {}
+    monkeypatch.setattr(render, "map_meshes", lambda _, kernel, schema, **how: seen.update(how, kernel=kernel))
+    render.render_grids(None, 16, 1)
+    rows = seen["together"](some)
+    assert sizes == [9] and rows == [seen["kernel"](m) for m in some] and seen["share"](some[0]) < 0.1 and seen["share"](packed.Mesh(some[0].vertices, some[0].faces[:0])) == 1.0
+
+
+def test_a_bad_mesh_among_many_fails_alone(spark):
+    rows = spark.range(30).selectExpr("id AS mesh_id", "array(named_struct('x', id + 1D, 'y', 0D, 'z', 0D), named_struct('x', 0D, 'y', 1D, 'z', 0D), named_struct('x', 0D, 'y', 0D, 'z', 1D)) AS vertices",
+                                      "CASE WHEN id % 7 = 3 THEN array(named_struct('a', 0L, 'b', 1L, 'c', 9L)) WHEN id = 5 THEN array_repeat(named_struct('a', 0L, 'b', 1L, 'c', 2L), 0) ELSE array(named_struct('a', 0L, 'b', 1L, 'c', 2L)) END AS faces")
+    got = {r.mesh_id: r for r in render.render_grids(rows.coalesce(1), 16, 1).collect()}
+    assert len(got) == 30 and all((r.png is None) == (k % 7 == 3 or k == 5) == (r.error is not None) for k, r in got.items()) and got[5].error == "ValueError:mesh has no faces" and got[3].error.startswith("IndexError:")
+    failing = packed.map_meshes(rows, lambda m: {"n": len(m.faces)}, "n int", together=lambda some: 1 / 0, share=lambda m: 0.1).collect()
+    assert len(failing) == 30 and not any(r.error for r in failing)
