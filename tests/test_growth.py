@@ -1,5 +1,7 @@
 """Plans whose memory doesn't grow with the corpus: no table of exploded rows is broadcast, and tasks grow in number with the rows."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -106,3 +108,13 @@ def test_a_bad_mesh_among_many_fails_alone(spark):
     assert len(got) == 30 and all((r.png is None) == (k % 7 == 3 or k == 5) == (r.error is not None) for k, r in got.items()) and got[5].error == "ValueError:mesh has no faces" and got[3].error.startswith("IndexError:")
     failing = packed.map_meshes(rows, lambda m: {"n": len(m.faces)}, "n int", together=lambda some: 1 / 0, share=lambda m: 0.1).collect()
     assert len(failing) == 30 and not any(r.error for r in failing)
+
+
+def test_merging_shuffles_by_mesh_alone_and_keeps_corners_of_no_vertex(spark, monkeypatch):
+    monkeypatch.setattr(boxes, "DEALT_ROWS", 20)
+    deals = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (\w+)", plan(QUERIES["merged_mesh"](spark, SF)))
+    assert deals and {(key, more.isdigit()) for key, more in deals} == {("p_partkey", True)}  # meshes stay where they were dealt
+    v = spark.createDataFrame([(1, k, *p) for k, p in ((2, (0.0, 0.0, 0.0)), (5, (1.0, 0.0, 0.0)), (7, (0.0, 1.0, 0.0)), (40, (0.0, 0.0, 1e-12)), (41, (1.0, 0.0, 0.0)))], "mesh_id long, vid long, x double, y double, z double")
+    f = spark.createDataFrame([(1, 0, 2, 5, 7), (1, 3, 40, 7, 41), (1, 4, 2, 40, 5), (1, 6, 41, 99, 7)], "mesh_id long, fid long, a long, b long, c long")
+    mv, mf = topology.merge_vertices(v.repartition(2), f.repartition(3))
+    assert sorted(r.vid for r in mv.collect()) == [2, 5, 7] and sorted(map(tuple, mf.collect())) == [(1, 0, 2, 5, 7), (1, 6, 5, 99, 7)]
