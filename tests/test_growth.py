@@ -118,3 +118,18 @@ def test_merging_shuffles_by_mesh_alone_and_keeps_corners_of_no_vertex(spark, mo
     f = spark.createDataFrame([(1, 0, 2, 5, 7), (1, 3, 40, 7, 41), (1, 4, 2, 40, 5), (1, 6, 41, 99, 7)], "mesh_id long, fid long, a long, b long, c long")
     mv, mf = topology.merge_vertices(v.repartition(2), f.repartition(3))
     assert sorted(r.vid for r in mv.collect()) == [2, 5, 7] and sorted(map(tuple, mf.collect())) == [(1, 0, 2, 5, 7), (1, 6, 5, 99, 7)]
+
+
+@pytest.mark.parametrize("step", [topology.components, topology.orient])
+def test_small_meshes_are_labelled_and_oriented_at_once(monkeypatch, step):
+    seen, rng = {}, np.random.default_rng(3)
+    monkeypatch.setattr(topology, "map_meshes", lambda _, kernel, schema, **how: seen.update(how, kernel=kernel))
+    step(None)
+    some = []
+    for k in range(40):
+        t = np.concatenate([np.array(boxes.TRIANGLES) + 8 * c for c in range(1 + k % 3)])[k % 2 :]
+        t = np.where((rng.random(len(t)) < 0.3)[:, None], t[:, [0, 2, 1]], t) if k % 10 else t[:0]
+        some.append(packed.Mesh(np.concatenate([np.array([[x, y, z] for x in (0, 1) for y in (0, 1) for z in (0, 1)]) + [3.0 * c, 0, 0] for c in range(1 + k % 3)]), t))
+    assert seen["together"](some) == [seen["kernel"](m) for m in some] and seen["share"](some[1]) < 0.01
+    with pytest.raises(IndexError):  # a face may not reach into the next mesh
+        seen["together"]([packed.Mesh(some[1].vertices[:4], some[1].faces), some[2]])
