@@ -133,3 +133,7 @@ def test_small_meshes_are_labelled_and_oriented_at_once(monkeypatch, step):
     assert seen["together"](some) == [seen["kernel"](m) for m in some] and seen["share"](some[1]) < 0.01
     with pytest.raises(IndexError):  # a face may not reach into the next mesh
         seen["together"]([packed.Mesh(some[1].vertices[:4], some[1].faces), some[2]])
+
+
+def test_meshes_are_oriented_once(spark):
+    assert "MapInArrow" not in plan(QUERIES["oriented_boxes"](spark, SF))  # several measures read what the kernel has written
