@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import topology, voxels
 from .cut import cut
 from .meet import meet
-from .packed import meshes, pack
+from .packed import Mesh, larger, meshes, pack
 
 #: Cells of the rim that labels cover beside the brick, and of the band in which distances to triangles are known.
 RIM, BAND = 2, 3
@@ -43,6 +43,8 @@ class BrickConfig:
     escape_samples: int = 256
     escape_share: float = 0.4
     pad: float = 0.03
+    #: The bricks of a mesh of at most so many vertices and faces share a task; 0 deals the bricks of every mesh.
+    together: int = 0
 
     @property
     def across(self) -> int:
@@ -106,11 +108,12 @@ def _unpack(data: bytes | None, shape) -> np.ndarray:
 class Brick:
     """Closed shell, labels and distances of a brick and its rim, clipped to the grid."""
 
-    def __init__(self, at: tuple[int, int, int], tri: np.ndarray, config: BrickConfig, thick: int) -> None:
+    def __init__(self, at: tuple[int, int, int], tri: np.ndarray, config: BrickConfig, thick: int, whole: np.ndarray | None = None) -> None:
+        """whole: the distances of all of the grid, if they are known."""
         side, res, reach = config.side, config.res, config.reach(thick)
         self.low, self.high = np.array(at) * side, np.minimum((np.array(at) + 1) * side, res)  # the brick itself
         first, end = np.maximum(self.low - reach, 0), np.minimum(self.high + reach, res)
-        near = voxels.box_distances(tri, res, first, end, BAND)
+        near = voxels.box_distances(tri, res, first, end, BAND) if whole is None else whole[tuple(map(slice, first, end))]
         shell = near < np.float32(1 / res)
         closed = voxels.close_grid(shell, config.close_iters)
         solid = voxels.dilate_grid(closed, thick) if thick else closed
@@ -397,6 +400,18 @@ def _kept_parts(rows: DataFrame) -> DataFrame:
     return plain.mapInArrow(run, schema)
 
 
+def _drawn(code: np.ndarray) -> np.ndarray:
+    """A hash of cells, whose least ones send rays."""
+    return (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)).astype(np.int64)
+
+
+def _escaping(mesh: Mesh, cells: np.ndarray, res: int, most: int) -> float:
+    """The share of rays from the cells that meet nothing; 1 without cells."""
+    o = (np.stack([cells // (res * res), cells // res % res, cells % res], 1) + 0.5) / res
+    d = np.random.default_rng(0).normal(size=(most, 3))[: len(o)]
+    return float((voxels.first_hits(mesh.vertices, mesh.faces, o, d / np.linalg.norm(d, axis=1, keepdims=True))[0] < 0).mean()) if len(o) else 1.0
+
+
 def _escape(bricks: DataFrame, labels: DataFrame, outside: DataFrame, packed: DataFrame, config: BrickConfig) -> DataFrame:
     """(mesh_id, ray_escape_frac): the share of rays from interior cells (shell cells without any) that meet nothing; the cells and directions are the least by a hash, so they don't depend on how bricks are dealt."""
     at = meet(labels.select("mesh_id", "gx", "gy", "gz", "cells", _key(config, F.col("gx"), F.col("gy"), F.col("gz")).alias("brick")), outside, ["mesh_id", "brick"], "left")
@@ -415,7 +430,7 @@ def _escape(bricks: DataFrame, labels: DataFrame, outside: DataFrame, packed: Da
                 for kind, cells in ((0, inside), (1, b.shell[b.own])):
                     c = np.argwhere(cells) + b.low
                     code = (c[:, 0] * res + c[:, 1]) * res + c[:, 2]
-                    h = (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)).astype(np.int64)
+                    h = _drawn(code)
                     for i in np.argsort(h, kind="stable")[:most]:
                         out.append((kind, int(h[i]), int(code[i])))
                         take.append(k)
@@ -429,15 +444,107 @@ def _escape(bricks: DataFrame, labels: DataFrame, outside: DataFrame, packed: Da
         for batch in batches:
             out = []
             for k, mesh in enumerate(meshes(batch)):
-                c = np.array(batch.column(3)[k].as_py() or [], np.int64)
-                o = (np.stack([c // (res * res), c // res % res, c % res], 1) + 0.5) / res
-                d = np.random.default_rng(0).normal(size=(most, 3))[: len(o)]
-                out.append((float((voxels.first_hits(mesh.vertices, mesh.faces, o, d / np.linalg.norm(d, axis=1, keepdims=True))[0] < 0).mean()) if len(o) else 1.0,))
+                out.append((_escaping(mesh, np.array(batch.column(3)[k].as_py() or [], np.int64), res, most),))
             yield _rows(target2, out, list(range(batch.num_rows)), batch)
 
     return asked.mapInArrow(shoot, schema2)
 
 
+# All bricks of a mesh in one task -----------------------------------------------------------------
+
+#: Cells of a grid whose bricks may share a task.
+WHOLE = 1 << 18
+
+
+def _flooded(whole: np.ndarray, config: BrickConfig, thick: int) -> tuple[list[Brick], list[np.ndarray]]:
+    """The bricks of a grid, and for each of them which of its labels empty cells join to the grid's border (entry 0: no label)."""
+    every = [Brick(at, None, config, thick, whole) for at in product(range(config.across), repeat=3)]
+    first = np.cumsum([0, *[b.count for b in every]])
+    numbered = lambda b, n: np.where(b.labels > 0, b.labels + (n - 1), -1)
+    own = np.full(whole.shape, -1, np.int64)
+    for b, n in zip(every, first, strict=False):
+        own[tuple(map(slice, b.low, b.high))] = numbered(b, n)[b.own]
+    ties, border = [np.zeros((2, 0), np.int64)], np.zeros(first[-1], bool)
+    for b, n in zip(every, first, strict=False):
+        here, there = numbered(b, n).ravel(), own[tuple(map(slice, b.first, b.end))].ravel()
+        both = (here >= 0) & (there >= 0) & (here != there)
+        ties.append(np.unique(np.stack([here[both], there[both]]), axis=1))
+        border[b.border_labels(b.labels, config.res) + (n - 1)] = True
+    outside = _reached(join_labels(len(border), *np.concatenate(ties, axis=1)), border)
+    return every, [np.append(False, outside[a:e]) for a, e in zip(first, first[1:], strict=False)]
+
+
+def _joined_surface(every: list[Brick], outside: list[np.ndarray], config: BrickConfig) -> tuple[list[tuple], tuple[int, bool, bool]]:
+    """What surfaces() gives of one mesh: its pieces and flags."""
+    made = [(at, found) for at, b, out in zip(product(range(config.across), repeat=3), every, outside, strict=True) if np.isfinite(b.near).any() and (found := _brick_surface(b, ~out[b.labels], config))]
+    if not made:
+        return [], (0, False, False)
+    first = np.cumsum([0, *[len(found[7]) for _, found in made]])
+    at = np.array([(v["name"], n + v["part"] - 1) for (_, found), n in zip(made, first, strict=False) for v in found[6]], np.int64).reshape(-1, 2)
+    at = at[np.lexsort(at.T[::-1])]
+    same = at[1:, 0] == at[:-1, 0]
+    kept = _largest(join_labels(first[-1], at[:-1][same, 1], at[1:][same, 1]), np.concatenate([found[7] for _, found in made]))
+    pieces, faces, edges = [], 0, {}
+    for ((gx, gy, gz), (names, x, y, z, triples, part, _, _, opened)), n in zip(made, first, strict=False):
+        own = kept[n + part - 1]
+        if own.any():
+            used, triples = np.unique(triples.reshape(-1, 3)[own], return_inverse=True)
+            pieces.append((gx, gy, gz, names[used], x[used], y[used], z[used], triples.ravel().astype(np.int32)))
+            faces += int(own.sum())
+        for e in opened:
+            if kept[n + e["part"] - 1]:
+                before = edges.get((e["p"], e["q"]), (0, 0))
+                edges[e["p"], e["q"]] = before[0] + e["n"], before[1] + e["forward"]
+    return pieces, (faces, all(n == 2 for n, _ in edges.values()), all(n != 2 or ahead == 1 for n, ahead in edges.values()))
+
+
+def watertighten_whole(mesh: Mesh, config: BrickConfig) -> tuple[list[tuple], tuple]:
+    """Stage 1 of one mesh of the unit cube, brick by brick: the pieces and the report that watertighten_bricks gives of it, in the columns of _WHOLE."""
+    res, most, f = config.res, config.escape_samples, mesh.faces
+    mesh = Mesh(mesh.vertices, f[((f >= 0) & (f < len(mesh.vertices))).all(1)])  # a face of no vertex is nowhere
+    whole = voxels.narrow_band(mesh.vertices, mesh.faces, res, BAND)
+    every, outside = _flooded(whole, config, 0)
+    shell, solid = (sum(int(getattr(b, n)[b.own].sum()) for b in every) for n in ("shell", "solid"))
+    inside = np.zeros(whole.shape, bool)
+    for b, out in zip(every, outside, strict=True):
+        inside[tuple(map(slice, b.low, b.high))] = ((b.labels > 0) & ~out[b.labels])[b.own]
+    share, escape = float(inside.sum()) / float(res) ** 3, None
+    if share < config.open_share:
+        code = np.flatnonzero(inside if inside.any() else whole < np.float32(1 / res))
+        escape = _escaping(mesh, code[np.lexsort((code, _drawn(code)))[:most]], res, most) if len(code) else None
+    is_open = escape is not None and escape > config.escape_share
+    if is_open and config.auto_thicken:
+        every, outside = _flooded(whole, config, 1)
+        solid = sum(int(b.solid[b.own].sum()) for b in every)
+    pieces, flags = _joined_surface(every, outside, config)
+    return pieces, (shell, solid, share, is_open, escape, *flags)
+
+
+_WHOLE = "shell_voxels long, thickened_voxels long, interior_frac_closed double, open_shell_detected boolean, ray_escape_frac double, num_faces_out long, is_watertight boolean, is_winding_consistent boolean"
+_PIECES = "gx int, gy int, gz int, names array<long>, x array<double>, y array<double>, z array<double>, faces array<int>"
+
+
+def _together(packed: DataFrame, config: BrickConfig, pieces: bool) -> DataFrame:
+    """The pieces or the reports of watertighten_whole for every packed mesh."""
+    schema, target = _arrow(packed, _PIECES if pieces else _WHOLE)
+
+    def run(batches):
+        for batch in batches:
+            out, take = [], []
+            for k, mesh in enumerate(meshes(batch)):
+                found, report = watertighten_whole(mesh, config)
+                if pieces:
+                    yield _rows(target, found, [k] * len(found), batch)
+                else:
+                    out.append(report)
+                    take.append(k)
+            if out:
+                yield _rows(target, out, take, batch)
+
+    spread = max(4 * packed.sparkSession.sparkContext.defaultParallelism, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # the cost lies in the cells
+    return packed.repartition(spread, F.xxhash64("mesh_id")).mapInArrow(run, schema)  # by mesh_id itself, the joins before it would do instead, in few tasks
+
+
 def watertighten_bricks(vertices: DataFrame, faces: DataFrame, config: BrickConfig = BrickConfig()) -> tuple[DataFrame, DataFrame]:
     """(pieces, report) of stage 1 for meshes (mesh_id, vid, x, y, z) and (mesh_id, fid, a, b, c).
 
@@ -445,10 +552,29 @@ def watertighten_bricks(vertices: DataFrame, faces: DataFrame, config: BrickConf
     of them under one name. report: resolution, shell_voxels, thickened_voxels, interior_frac_closed, open_shell_detected,
     ray_escape_frac, num_faces_out, is_watertight, is_winding_consistent. Meshes are taken as they are: decimation comes
     before. A mesh without extent has neither; one whose occupancy is empty has a report only, with no faces.
+
+    With config.together, grids of at most WHOLE cells of meshes that aren't larger aren't dealt: their bricks meet in
+    one task, which ties labels in its memory. Pieces and report then are worked out when they are asked for, each by itself.
     """
     fit = topology.fit_unit_cube(vertices, config.pad).where("scale IS NOT NULL")
     undo = fit.groupBy("mesh_id").agg(*[F.min(c).alias(c) for c in ("cx", "cy", "cz", "scale")])
     placed = fit.select("mesh_id", "vid", "x", "y", "z")
+    back = lambda pieces: meet(pieces, undo, "mesh_id").withColumns({d: F.expr(f"transform({d}, v -> (v - 0.5D) * scale + c{d})") for d in "xyz"}).select("mesh_id", "gx", "gy", "gz", "names", "x", "y", "z", "faces")
+    if not config.together or config.thicken_voxels or config.res**3 > WHOLE:
+        pieces, report = _dealt_bricks(placed, faces, config)
+        return back(pieces), report
+    large = larger(config.together, vertices, faces)
+    small = lambda t: t if large is None else meet(t, large, "mesh_id", "left_anti")
+    packed_ = pack(small(placed), small(faces))
+    pieces, report = _together(packed_, config, True), _together(packed_, config, False).select("mesh_id", F.lit(config.res).cast("long").alias("resolution"), *[x.split()[0] for x in _WHOLE.split(", ")])
+    if large is not None:
+        more, reports = _dealt_bricks(*[meet(t, large, "mesh_id", "left_semi") for t in (placed, faces)], config)
+        pieces, report = pieces.unionByName(more), report.unionByName(reports)
+    return back(pieces), report
+
+
+def _dealt_bricks(placed: DataFrame, faces: DataFrame, config: BrickConfig) -> tuple[DataFrame, DataFrame]:
+    """Pieces, in the unit cube, and report, with every brick a row of its own."""
     bricks = cut(brick_table(placed, faces, config))
     labels, outside = flood(bricks, config, config.thicken_voxels)
     found = cut(interior(labels, outside, config))
@@ -471,8 +597,7 @@ def watertighten_bricks(vertices: DataFrame, faces: DataFrame, config: BrickConf
         is_open.alias("open_shell_detected"), "ray_escape_frac", F.coalesce("num_faces_out", F.lit(0)).alias("num_faces_out"), F.coalesce("is_watertight", F.lit(False)).alias("is_watertight"),
         F.coalesce("is_winding_consistent", F.lit(False)).alias("is_winding_consistent"),
     )
-    back = {d: F.expr(f"transform({d}, v -> (v - 0.5D) * scale + c{d})") for d in "xyz"}
-    return meet(pieces, undo, "mesh_id").withColumns(back).select("mesh_id", "gx", "gy", "gz", "names", "x", "y", "z", "faces"), report
+    return pieces.select("mesh_id", "gx", "gy", "gz", "names", "x", "y", "z", "faces"), report
 
 
 def assemble(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -137,3 +137,20 @@ def test_small_meshes_are_labelled_and_oriented_at_once(monkeypatch, step):
 
 def test_meshes_are_oriented_once(spark):
     assert "MapInArrow" not in plan(QUERIES["oriented_boxes"](spark, SF))  # several measures read what the kernel has written
+
+
+def test_small_grids_keep_their_bricks_in_one_task(spark, cuts):
+    """The driver's memory follows the steps of a plan: brick_volumes wrote and read tables some ten times over, and each was shuffled."""
+    assert "MapInArrow" in plan(QUERIES["brick_volumes"](spark, SF)) and not cuts
+    part = spark.read.parquet(f"{SF}/part.parquet").where("p_partkey IN (1, 5, 7, 35, 77)")
+    v, f = boxes.box_vertices(part), boxes.box_faces(part)
+    odd = "(900, 0, 0D, 0D, 0D), (900, 1, 1D, 2D, 3D), (901, 0, 1D, 1D, 1D), (902, 0, 0D, 0D, 0D), (902, 1, 1D, 0D, 0D), (902, 2, 0D, 1D, 0D)"  # no faces, no extent, a triangle
+    v = v.unionAll(spark.sql(f"SELECT CAST(c[0] AS LONG), CAST(c[1] AS LONG), c[2], c[3], c[4] FROM (SELECT explode(array({odd.replace('(', 'array(')})) AS c)"))
+    f = f.unionAll(spark.sql("SELECT m, f, 0L, 1L, c FROM VALUES (901L, 0L, 0L), (902L, 0L, 2L) AS t(m, f, c)"))
+    got = {}
+    for together in (0, 30, 1 << 14):  # dealt, mixed (three boxes are more than 30 faces), in one task
+        pieces, report = bricks.watertighten_bricks(v, f, bricks.BrickConfig(res=16, side=8, close_iters=1, together=together))
+        got[together] = sorted(map(tuple, report.collect())), sorted(map(repr, pieces.collect()))
+        if together == 30:
+            assert bricks.larger(30, v, f).count() == 2
+    assert got[0] == got[30] == got[1 << 14] and [r[0] for r in got[0][0]] == [1, 5, 7, 35, 77, 900, 902] and len(got[0][1]) > 20
