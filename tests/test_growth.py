@@ -154,3 +154,14 @@ def test_small_grids_keep_their_bricks_in_one_task(spark, cuts):
         if together == 30:
             assert bricks.larger(30, v, f).count() == 2
     assert got[0] == got[30] == got[1 << 14] and [r[0] for r in got[0][0]] == [1, 5, 7, 35, 77, 900, 902] and len(got[0][1]) > 20
+
+
+def test_the_largest_component_of_small_meshes_takes_one_step(spark, cuts):
+    assert "MapInArrow" in plan(QUERIES["largest_component"](spark, SF)) and not cuts  # contraction wrote two tables before it began and three a round
+    rng = np.random.default_rng(8)
+    some = {k: rng.integers(0, 6 + k, (k % 23, 3)) + (k % 3) * 10**12 for k in range(60)} | {98: np.arange(25)[:, None] // 13 + np.arange(25)[:, None] + [0, 1, 2], 99: np.array([[0, 1, 2], [7, 8, 9], [5, 4, 3]])}
+    f = spark.createDataFrame([(m, 5 * (len(t) - i), *map(int, c)) for m, t in some.items() for i, c in enumerate(t) if len(set(c)) == 3], "mesh_id long, fid long, a long, b long, c long").repartition(3)
+    want = sorted(map(tuple, topology.keep_largest_component(f, topology.component_labels(f)).select("mesh_id", "fid", "a", "b", "c").collect()))
+    assert len(want) > 99 and [r[1:] for r in want if r[0] == 99] == [(5, 5, 4, 3)] and sum(r[0] == 98 for r in want) == 13  # strips of 13 and 12 faces
+    for together in (1 << 14, 9):  # all at once, and with the larger ones in rounds
+        assert sorted(map(tuple, topology.largest_faces(f, together).collect())) == want
