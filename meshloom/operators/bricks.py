@@ -14,8 +14,9 @@ task holds one brick. Only a mesh's label ties meet in one task: a few for each
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from dataclasses import dataclass
-from itertools import product
+from itertools import islice, product
 
 import numpy as np
 import pyarrow as pa
@@ -108,20 +109,37 @@ def _unpack(data: bytes | None, shape) -> np.ndarray:
 class Brick:
     """Closed shell, labels and distances of a brick and its rim, clipped to the grid."""
 
-    def __init__(self, at: tuple[int, int, int], tri: np.ndarray, config: BrickConfig, thick: int, whole: np.ndarray | None = None) -> None:
-        """whole: the distances of all of the grid, if they are known."""
+    def __init__(self, at: tuple[int, int, int], tri: np.ndarray | None, config: BrickConfig, thick: int, whole: np.ndarray | None = None) -> None:
+        """tri: the triangles within reach. whole: the distances of all of the grid instead; then finish() is still to come."""
         side, res, reach = config.side, config.res, config.reach(thick)
         self.low, self.high = np.array(at) * side, np.minimum((np.array(at) + 1) * side, res)  # the brick itself
         first, end = np.maximum(self.low - reach, 0), np.minimum(self.high + reach, res)
-        near = voxels.box_distances(tri, res, first, end, BAND) if whole is None else whole[tuple(map(slice, first, end))]
-        shell = near < np.float32(1 / res)
-        closed = voxels.close_grid(shell, config.close_iters)
-        solid = voxels.dilate_grid(closed, thick) if thick else closed
+        self.near = voxels.box_distances(tri, res, first, end, BAND) if whole is None else whole[tuple(map(slice, first, end))]
         self.first, self.end = np.maximum(self.low - RIM, 0), np.minimum(self.high + RIM, res)
-        rim = tuple(slice(a, b) for a, b in zip(self.first - first, self.end - first, strict=True))
-        self.near, self.shell, self.solid = near[rim], shell[rim], solid[rim]
+        self.rim = tuple(slice(a, b) for a, b in zip(self.first - first, self.end - first, strict=True))
         self.own = tuple(slice(a, b) for a, b in zip(self.low - self.first, self.high - self.first, strict=True))
-        self.labels, self.count = cell_labels(~self.solid)
+        if whole is None:
+            Brick.finish([self], config, thick)
+
+    @staticmethod
+    def finish(some: list[Brick], config: BrickConfig, thick: int) -> None:
+        """Shell, closing and labels of bricks of one shape at once."""
+        by = defaultdict(list)
+        for b in some:
+            by[b.near.shape, tuple(b.end - b.first)].append(b)
+        for (_, (x, y, z)), alike in by.items():
+            near = np.stack([b.near for b in alike])
+            shell = near < np.float32(1 / config.res)
+            closed = voxels.close_grid(shell, config.close_iters)
+            solid = voxels.dilate_grid(closed, thick) if thick else closed
+            tower = np.zeros((len(alike), x + 1, y, z), bool)  # a full layer keeps bricks apart
+            for k, b in enumerate(alike):
+                b.near, b.shell, b.solid = near[k][b.rim], shell[k][b.rim], solid[k][b.rim]
+                tower[k, :x] = ~b.solid
+            labels = cell_labels(tower.reshape(-1, y, z))[0].reshape(tower.shape)[:, :x]
+            top = np.maximum.accumulate(labels.reshape(len(alike), -1).max(1))
+            for b, own, start, end in zip(alike, labels, np.append(0, top[:-1]), top, strict=True):  # they are numbered brick by brick
+                b.labels, b.count = np.where(own > 0, own - start, 0).astype(np.int32), int(end - start)
 
     def border_labels(self, labels: np.ndarray, res: int) -> np.ndarray:
         """Labels that reach the border of the grid."""
@@ -319,35 +337,47 @@ def _surface(bricks: DataFrame, outside: DataFrame, config: BrickConfig, thick:
                 b = Brick(at, tri, config, thick)
                 known = np.zeros(b.count + 1, bool)
                 known[np.array(batch.column(5)[k].as_py() or [], np.int64)] = True
-                found = _brick_surface(b, ~known[b.labels], config)
+                found = _brick_surfaces([b], [~known[b.labels]], config)[0]
                 if found:
-                    yield _rows(target, [(*at, *found)], [k], batch)
+                    *plain, border, sizes, opened = found
+                    told = lambda columns, *keys: [dict(zip(keys, x, strict=True)) for x in zip(*(c.tolist() for c in columns), strict=True)]
+                    yield _rows(target, [(*at, *plain, told(border, "name", "part"), sizes.tolist(), told(opened, "p", "q", "n", "forward", "part"))], [k], batch)
 
     return _dealt(rows).mapInArrow(run, schema)
 
 
-def _brick_surface(b: Brick, occupied: np.ndarray, config: BrickConfig) -> tuple | None:
+def _brick_surfaces(some: list[Brick], occupied: list[np.ndarray], config: BrickConfig) -> list[tuple | None]:
+    """Of each brick names, x, y, z, faces, part, border (names, parts), sizes and open edges (p, q, n, forward, part) as arrays, or None without a surface."""
     res = config.res
-    values = voxels.side_values(b.near, occupied, res)
-    low = np.where(b.low == 0, -1, b.low)  # a layer of empty cells lies around the grid
-    box = tuple(slice(max(x, 0), y) for x, y in zip(low - b.first, np.minimum(b.high + 1, res) - b.first, strict=True))
-    pad = [(int(x == 0), int(y == res)) for x, y in zip(b.low, b.high, strict=True)]
-    values = np.pad(values[box], pad, constant_values=np.float32(1 / res))
-    p, q, places, faces = voxels.cut_edges(values)
+    values, low = [None] * len(some), np.array([np.where(b.low == 0, -1, b.low) for b in some])  # a layer of empty cells lies around the grid
+    by = defaultdict(list)
+    for k, b in enumerate(some):
+        by[b.near.shape].append(k)
+    for alike in by.values():
+        for k, x in zip(alike, voxels.side_values(np.stack([some[k].near for k in alike]), np.stack([occupied[k] for k in alike]), res), strict=True):
+            b = some[k]
+            box = tuple(slice(max(i, 0), j) for i, j in zip(low[k] - b.first, np.minimum(b.high + 1, res) - b.first, strict=True))
+            values[k] = np.pad(x[box], [(int(i == 0), int(j == res)) for i, j in zip(b.low, b.high, strict=True)], constant_values=np.float32(1 / res))
+    sizes = np.array([x.shape for x in values])
+    stack = np.full((len(some), *sizes.max(0)), np.float32(1 / res))
+    for own, x in zip(stack, values, strict=True):
+        own[tuple(map(slice, x.shape))] = x
+    p, q, places, faces = voxels.cut_edges(stack, sizes)
     if not len(faces):
-        return None
-    shape, wide = values.shape, res + 2
-    cells = [np.stack(np.unravel_index(x, shape), 1) + (low + 1) for x in (p, q)]  # in a grid that starts at the layer around
+        return [None] * len(some)
+    brick = lambda cell: cell // stack[0].size
+    faces = faces[np.argsort(brick(p[faces[:, 0]]), kind="stable")]
+    at, of_face, wide = brick(p), brick(p[faces[:, 0]]), res + 2
+    cells = [np.stack(np.unravel_index(x, stack.shape)[1:], 1) for x in (p, q)]
     step = ((cells[1] - cells[0] + 1) * [9, 3, 1]).sum(1)
-    names = ((cells[0][:, 0] * wide + cells[0][:, 1]) * wide + cells[0][:, 2]).astype(np.int64) * 27 + step
-    xyz = (places + low + 0.5) / res
-    part = voxels.face_labels(faces)
-    kinds, part = np.unique(part, return_inverse=True)
-    edge = np.array(shape) - 1
+    c = cells[0] + low[at] + 1  # in a grid that starts at the layer around
+    names = ((c[:, 0] * wide + c[:, 1]) * wide + c[:, 2]).astype(np.int64) * 27 + step
+    xyz = (places + low[at] + 0.5) / res
+    kinds, part = np.unique(voxels.face_labels(faces), return_inverse=True)
     at_rim = np.zeros(len(names), bool)
     for axis in range(3):
-        for plane in (0, edge[axis]):
-            at_rim |= (cells[0][:, axis] - low[axis] - 1 == plane) & (cells[1][:, axis] - low[axis] - 1 == plane)
+        for plane in (0, sizes[at, axis] - 1):
+            at_rim |= (cells[0][:, axis] == plane) & (cells[1][:, axis] == plane)
     of = np.zeros(len(names), np.int64)
     of[faces.ravel()] = np.repeat(part, 3)
     used = np.unique(faces)
@@ -355,15 +385,22 @@ def _brick_surface(b: Brick, occupied: np.ndarray, config: BrickConfig) -> tuple
     half = np.concatenate([faces[:, [0, 1]], faces[:, [1, 2]], faces[:, [2, 0]]])
     ends = np.sort(names[half], axis=1)
     forward = names[half[:, 0]] == ends[:, 0]
-    order = np.lexsort((ends[:, 1], ends[:, 0]))
-    ends, forward, owner = ends[order], forward[order], np.tile(part, 3)[order]
-    head = np.flatnonzero(np.append(True, (ends[1:] != ends[:-1]).any(1)))
+    inside = np.tile(of_face, 3)
+    order = np.lexsort((ends[:, 1], ends[:, 0], inside))
+    ends, forward, inside, owner = ends[order], forward[order], inside[order], np.tile(part, 3)[order]
+    head = np.flatnonzero(np.append(True, (ends[1:] != ends[:-1]).any(1) | (inside[1:] != inside[:-1])))
     n, ahead = np.diff(np.append(head, len(ends))), np.add.reduceat(forward.astype(np.int64), head)
     odd = np.flatnonzero((n != 2) | (ahead != 1))
-    return (
-        names, *[xyz[:, d] for d in range(3)], faces.ravel().astype(np.int32), (part + 1).astype(np.int32), [{"name": int(names[i]), "part": int(of[i]) + 1} for i in border], np.bincount(part, minlength=len(kinds)).tolist(),
-        [{"p": int(ends[head[i], 0]), "q": int(ends[head[i], 1]), "n": int(n[i]), "forward": int(ahead[i]), "part": int(owner[head[i]]) + 1} for i in odd],
-    )
+    of_odd, every = inside[head[odd]], np.arange(len(some) + 1)
+    v, f, e, o = (np.searchsorted(x, every) for x in (at, of_face, at[border], of_odd))
+    first = np.searchsorted(kinds, f)  # a component is named by its least face
+    found = np.bincount(part, minlength=len(kinds))
+    out = []
+    for k in range(len(some)):
+        vs, fs, rim, opened, start = slice(v[k], v[k + 1]), slice(f[k], f[k + 1]), border[e[k] : e[k + 1]], odd[o[k] : o[k + 1]], first[k]
+        edges = [ends[head[opened], 0], ends[head[opened], 1], n[opened], ahead[opened], owner[head[opened]] - start + 1]
+        out.append((names[vs], *[xyz[vs, d] for d in range(3)], (faces[fs] - v[k]).ravel().astype(np.int32), (part[fs] - start + 1).astype(np.int32), (names[rim], of[rim] - start + 1), found[start : first[k + 1]], edges) if f[k] < f[k + 1] else None)
+    return out
 
 
 def surfaces(bricks: DataFrame, outside: DataFrame, config: BrickConfig, thick: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -456,68 +493,80 @@ def _escape(bricks: DataFrame, labels: DataFrame, outside: DataFrame, packed: Da
 WHOLE = 1 << 18
 
 
-def _flooded(whole: np.ndarray, config: BrickConfig, thick: int) -> tuple[list[Brick], list[np.ndarray]]:
-    """The bricks of a grid, and for each of them which of its labels empty cells join to the grid's border (entry 0: no label)."""
-    every = [Brick(at, None, config, thick, whole) for at in product(range(config.across), repeat=3)]
+def _flooded(wholes: list[np.ndarray], config: BrickConfig, thick: int) -> list[tuple[list[Brick], list[np.ndarray]]]:
+    """Of each grid its bricks, and for each of them which of its labels empty cells join to the grid's border (entry 0: no label)."""
+    made = [[Brick(at, None, config, thick, whole) for at in product(range(config.across), repeat=3)] for whole in wholes]
+    Brick.finish([b for every in made for b in every], config, thick)
+    return [(every, _outside(every, config)) for every in made]
+
+
+def _outside(every: list[Brick], config: BrickConfig) -> list[np.ndarray]:
     first = np.cumsum([0, *[b.count for b in every]])
-    numbered = lambda b, n: np.where(b.labels > 0, b.labels + (n - 1), -1)
-    own = np.full(whole.shape, -1, np.int64)
-    for b, n in zip(every, first, strict=False):
-        own[tuple(map(slice, b.low, b.high))] = numbered(b, n)[b.own]
-    ties, border = [np.zeros((2, 0), np.int64)], np.zeros(first[-1], bool)
-    for b, n in zip(every, first, strict=False):
-        here, there = numbered(b, n).ravel(), own[tuple(map(slice, b.first, b.end))].ravel()
-        both = (here >= 0) & (there >= 0) & (here != there)
-        ties.append(np.unique(np.stack([here[both], there[both]]), axis=1))
-        border[b.border_labels(b.labels, config.res) + (n - 1)] = True
-    outside = _reached(join_labels(len(border), *np.concatenate(ties, axis=1)), border)
-    return every, [np.append(False, outside[a:e]) for a, e in zip(first, first[1:], strict=False)]
-
-
-def _joined_surface(every: list[Brick], outside: list[np.ndarray], config: BrickConfig) -> tuple[list[tuple], tuple[int, bool, bool]]:
-    """What surfaces() gives of one mesh: its pieces and flags."""
-    made = [(at, found) for at, b, out in zip(product(range(config.across), repeat=3), every, outside, strict=True) if np.isfinite(b.near).any() and (found := _brick_surface(b, ~out[b.labels], config))]
+    named = [np.where(b.labels > 0, b.labels + (n - 1), -1) for b, n in zip(every, first, strict=False)]
+    own = np.full((config.res,) * 3, -1, np.int64)
+    for b, labels in zip(every, named, strict=True):
+        own[tuple(map(slice, b.low, b.high))] = labels[b.own]
+    here, there = (np.concatenate(x) for x in zip(*[(labels.ravel(), own[tuple(map(slice, b.first, b.end))].ravel()) for b, labels in zip(every, named, strict=True)], strict=True))
+    both = (here >= 0) & (there >= 0) & (here != there)
+    a, b = np.divmod(np.unique(here[both] * first[-1] + there[both]), max(first[-1], 1))
+    border = np.zeros(first[-1], bool)
+    for axis in range(3):
+        for layer in (0, -1):
+            labels = np.take(own, layer, axis)
+            border[labels[labels >= 0]] = True
+    outside = _reached(join_labels(len(border), a, b), border)
+    return [np.append(False, outside[x:y]) for x, y in zip(first, first[1:], strict=False)]
+
+
+def _joined_surface(made: list[tuple | None], config: BrickConfig) -> tuple[list[tuple], tuple[int, bool, bool]]:
+    """What surfaces() gives of one mesh, from the surfaces of its bricks: its pieces and flags."""
+    made = [(at, found) for at, found in zip(product(range(config.across), repeat=3), made, strict=True) if found]
     if not made:
         return [], (0, False, False)
     first = np.cumsum([0, *[len(found[7]) for _, found in made]])
-    at = np.array([(v["name"], n + v["part"] - 1) for (_, found), n in zip(made, first, strict=False) for v in found[6]], np.int64).reshape(-1, 2)
-    at = at[np.lexsort(at.T[::-1])]
-    same = at[1:, 0] == at[:-1, 0]
-    kept = _largest(join_labels(first[-1], at[:-1][same, 1], at[1:][same, 1]), np.concatenate([found[7] for _, found in made]))
-    pieces, faces, edges = [], 0, {}
-    for ((gx, gy, gz), (names, x, y, z, triples, part, _, _, opened)), n in zip(made, first, strict=False):
-        own = kept[n + part - 1]
+    name, part = (np.concatenate(x) for x in zip(*[(found[6][0], found[6][1] + (n - 1)) for (_, found), n in zip(made, first, strict=False)], strict=True))
+    order = np.lexsort((part, name))
+    name, part = name[order], part[order]
+    same = name[1:] == name[:-1]
+    kept = _largest(join_labels(first[-1], part[:-1][same], part[1:][same]), np.concatenate([found[7] for _, found in made]))
+    pieces, faces, edges = [], 0, []
+    for (at, (names, x, y, z, triples, own, _, _, opened)), n in zip(made, first, strict=False):
+        own = kept[n + own - 1]
         if own.any():
             used, triples = np.unique(triples.reshape(-1, 3)[own], return_inverse=True)
-            pieces.append((gx, gy, gz, names[used], x[used], y[used], z[used], triples.ravel().astype(np.int32)))
+            pieces.append((*at, names[used], x[used], y[used], z[used], triples.ravel().astype(np.int32)))
             faces += int(own.sum())
-        for e in opened:
-            if kept[n + e["part"] - 1]:
-                before = edges.get((e["p"], e["q"]), (0, 0))
-                edges[e["p"], e["q"]] = before[0] + e["n"], before[1] + e["forward"]
-    return pieces, (faces, all(n == 2 for n, _ in edges.values()), all(n != 2 or ahead == 1 for n, ahead in edges.values()))
-
-
-def watertighten_whole(mesh: Mesh, config: BrickConfig) -> tuple[list[tuple], tuple]:
-    """Stage 1 of one mesh of the unit cube, brick by brick: the pieces and the report that watertighten_bricks gives of it, in the columns of _WHOLE."""
-    res, most, f = config.res, config.escape_samples, mesh.faces
-    mesh = Mesh(mesh.vertices, f[((f >= 0) & (f < len(mesh.vertices))).all(1)])  # a face of no vertex is nowhere
-    whole = voxels.narrow_band(mesh.vertices, mesh.faces, res, BAND)
-    every, outside = _flooded(whole, config, 0)
-    shell, solid = (sum(int(getattr(b, n)[b.own].sum()) for b in every) for n in ("shell", "solid"))
-    inside = np.zeros(whole.shape, bool)
-    for b, out in zip(every, outside, strict=True):
-        inside[tuple(map(slice, b.low, b.high))] = ((b.labels > 0) & ~out[b.labels])[b.own]
-    share, escape = float(inside.sum()) / float(res) ** 3, None
-    if share < config.open_share:
-        code = np.flatnonzero(inside if inside.any() else whole < np.float32(1 / res))
-        escape = _escaping(mesh, code[np.lexsort((code, _drawn(code)))[:most]], res, most) if len(code) else None
-    is_open = escape is not None and escape > config.escape_share
-    if is_open and config.auto_thicken:
-        every, outside = _flooded(whole, config, 1)
-        solid = sum(int(b.solid[b.own].sum()) for b in every)
-    pieces, flags = _joined_surface(every, outside, config)
-    return pieces, (shell, solid, share, is_open, escape, *flags)
+        edges.append(np.stack(opened[:4])[:, kept[n + opened[4] - 1]])
+    p, q, n, ahead = np.concatenate(edges, axis=1)
+    order = np.lexsort((q, p))
+    p, q, n, ahead = p[order], q[order], n[order], ahead[order]
+    head = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (q[1:] != q[:-1]))[: len(p)])
+    n, ahead = (np.add.reduceat(x, head) if len(head) else x for x in (n, ahead))
+    return pieces, (faces, bool((n == 2).all()), bool(((n != 2) | (ahead == 1)).all()))
+
+
+def watertighten_whole(some: list[Mesh], config: BrickConfig) -> list[tuple[list[tuple], tuple]]:
+    """Stage 1 of meshes of the unit cube, brick by brick: the pieces and the report that watertighten_bricks gives of each, in the columns of _PIECES and _WHOLE."""
+    res, most = config.res, config.escape_samples
+    some = [Mesh(m.vertices, m.faces[((m.faces >= 0) & (m.faces < len(m.vertices))).all(1)]) for m in some]  # a face of no vertex is nowhere
+    wholes = [voxels.narrow_band(m.vertices, m.faces, res, BAND) for m in some]
+    flooded, reports = _flooded(wholes, config, 0), []
+    count = lambda every, name: sum(int(getattr(b, name)[b.own].sum()) for b in every)
+    for mesh, whole, (every, outside) in zip(some, wholes, flooded, strict=True):
+        inside = np.zeros(whole.shape, bool)
+        for b, out in zip(every, outside, strict=True):
+            inside[tuple(map(slice, b.low, b.high))] = ((b.labels > 0) & ~out[b.labels])[b.own]
+        share, escape = float(inside.sum()) / float(res) ** 3, None
+        if share < config.open_share:
+            code = np.flatnonzero(inside if inside.any() else whole < np.float32(1 / res))
+            escape = _escaping(mesh, code[np.lexsort((code, _drawn(code)))[:most]], res, most) if len(code) else None
+        reports.append([count(every, "shell"), count(every, "solid"), share, escape is not None and escape > config.escape_share, escape])
+    again = [k for k, r in enumerate(reports) if r[3] and config.auto_thicken]
+    for k, thicker in zip(again, _flooded([wholes[k] for k in again], config, 1), strict=True):
+        flooded[k], reports[k][1] = thicker, count(thicker[0], "solid")
+    made = iter(_brick_surfaces(*zip(*[(b, ~out[b.labels]) for own in flooded for b, out in zip(*own, strict=True)], strict=True), config))
+    joined = [_joined_surface([next(made) for _ in every], config) for every, _ in flooded]
+    return [(pieces, (*r, *flags)) for (pieces, flags), r in zip(joined, reports, strict=True)]
 
 
 _WHOLE = "shell_voxels long, thickened_voxels long, interior_frac_closed double, open_shell_detected boolean, ray_escape_frac double, num_faces_out long, is_watertight boolean, is_winding_consistent boolean"
@@ -527,19 +576,15 @@ _PIECES = "gx int, gy int, gz int, names array<long>, x array<double>, y array<d
 def _together(packed: DataFrame, config: BrickConfig, pieces: bool) -> DataFrame:
     """The pieces or the reports of watertighten_whole for every packed mesh."""
     schema, target = _arrow(packed, _PIECES if pieces else _WHOLE)
+    step = max(1, WHOLE // (config.across * (config.side + 2 * config.reach(1))) ** 3)  # meshes at once, by the cells of their bricks
 
     def run(batches):
         for batch in batches:
-            out, take = [], []
-            for k, mesh in enumerate(meshes(batch)):
-                found, report = watertighten_whole(mesh, config)
-                if pieces:
-                    yield _rows(target, found, [k] * len(found), batch)
-                else:
-                    out.append(report)
-                    take.append(k)
-            if out:
-                yield _rows(target, out, take, batch)
+            rows = meshes(batch)
+            for start in range(0, batch.num_rows, step):
+                found = watertighten_whole(list(islice(rows, step)), config)
+                given = [(x, start + k) for k, (own, report) in enumerate(found) for x in (own if pieces else [report])]
+                yield _rows(target, [x for x, _ in given], [k for _, k in given], batch)
 
     spread = max(4 * packed.sparkSession.sparkContext.defaultParallelism, int(packed.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # the cost lies in the cells
     return packed.repartition(spread, F.xxhash64("mesh_id")).mapInArrow(run, schema)  # by mesh_id itself, the joins before it would do instead, in few tasks
