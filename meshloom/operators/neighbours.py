@@ -162,8 +162,8 @@ def sample_surface(corners_with_area: DataFrame, n: int, seed: int = 0) -> DataF
     order = Window.partitionBy("mesh_id").orderBy("fid")
     total = F.sum("area").over(Window.partitionBy("mesh_id"))
     upto = F.sum("area").over(order)
-    faces = corners_with_area.withColumns({"_hi": upto / total * n, "_lo": (upto - F.col("area")) / total * n})
-    # the last face ends at n exactly, whatever the rounding
+    # a face begins where the one before ends, to the bit: a place worked out twice may round to either side of a step
+    faces = corners_with_area.withColumn("_hi", upto / total * n).withColumn("_lo", F.coalesce(F.lag("_hi").over(order), F.lit(0.0)))
     first, last = F.ceil(F.col("_lo") - 0.5), F.ceil(F.col("_hi") - 0.5) - 1
     points = faces.where("area > 0").withColumn("pid", F.explode(F.when(last >= first, F.sequence(first.cast("long"), last.cast("long"))).otherwise(F.array().cast("array<bigint>"))))
     draw = lambda k: F.pmod(F.xxhash64(F.lit(seed), F.lit(k), "mesh_id", "pid"), F.lit(1 << 53)) / float(1 << 53)

@@ -265,3 +265,16 @@ def test_shell_is_decided_in_double_precision():
     d = voxels.single(np.array([at, 1 / 16, 0.01, 3 / 16, np.nextafter(3 / 16, 0)]), 1 / 16, 3 / 16)
     assert (d < np.float32(1 / 16)).tolist() == [True, False, True, False, False] and (d < np.float32(3 / 16)).tolist() == [True, True, True, False, True]
     assert (voxels.single(np.array([np.nextafter(0.1, 0), 0.1]), 0.1) < np.float32(0.1)).tolist() == [True, False]
+
+
+def test_every_step_through_a_mesh_falls_on_one_face(spark):
+    """A step on the edge of two faces, up to rounding, was given to both."""
+    from pyspark.sql import functions as F
+
+    from meshloom.operators import neighbours, topology
+    from meshloom.sources import boxes
+
+    parts = spark.createDataFrame([(k, 27, 945.0) for k in (14450, 54450, 234450, 54451, 54452)], "p_partkey long, p_size int, p_retailprice double")
+    at = topology.with_normals(topology.corners(boxes.box_vertices(parts), boxes.box_faces(parts)))
+    pids = {r.mesh_id: sorted(r.p) for r in neighbours.sample_surface(at, 100).groupBy("mesh_id").agg(F.collect_list("pid").alias("p")).collect()}
+    assert len(pids) == 5 and all(p == list(range(100)) for p in pids.values())
