@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobs import job1_curate_meshes as job1
-from meshloom.operators import bricks, neighbours, packed, render, topology
-from meshloom.plans import kernel_queries
+from meshloom.config import PipelineConfig
+from meshloom.operators import bricks, neighbours, packed, rays, render, topology
+from meshloom.plans import kernel_queries, pipeline
 from meshloom.plans.catalog import QUERIES
 from meshloom.sources import boxes
 
@@ -165,3 +166,25 @@ def test_the_largest_component_of_small_meshes_takes_one_step(spark, cuts):
     assert len(want) > 99 and [r[1:] for r in want if r[0] == 99] == [(5, 5, 4, 3)] and sum(r[0] == 98 for r in want) == 13  # strips of 13 and 12 faces
     for together in (1 << 14, 9):  # all at once, and with the larger ones in rounds
         assert sorted(map(tuple, topology.largest_faces(f, together).collect())) == want
+
+
+def test_rays_of_small_meshes_need_no_rows_of_points(spark, monkeypatch):
+    """Each point stood in a row for every grid of its mesh, and these were shuffled for either axis."""
+    text = plan(QUERIES["geometry_stage"](spark, SF))
+    assert "_level" not in text and "unit" not in text and not re.findall(r"Exchange hashpartitioning\([^)]*pid", text)
+    rng = np.random.default_rng(6)
+    some = {k: (rng.normal(size=(8, 3)) * (k % 3 > 0), rng.integers(-1, 9, (k % 11, 3))) for k in range(30)}
+    some |= {30: (np.zeros((0, 3)), np.zeros((0, 3))), 31: (np.array([[0, 0, 0], [np.inf, 0, 0], [0, 1, 0], [1, 1, 1]]), np.array([[0, 1, 2], [0, 2, 3]])), 32: (rng.normal(size=(40, 3)), rng.integers(0, 40, (90, 3)))}
+    cube = np.array([[x, y, z] for x in (0, 1) for y in (0, 1) for z in (0, 1)], float)
+    some |= {40 + k: (cube * [1, 2, k], np.array(boxes.TRIANGLES)[k:]) for k in range(4)}
+    rows = [(k, [tuple(map(float, p)) for p in v], [tuple(map(int, t)) for t in f]) for k, (v, f) in some.items()]
+    meshes = spark.createDataFrame(rows, f"mesh_id long, vertices {packed.VERTEX}, faces {packed.FACE}").repartition(3)
+    config = PipelineConfig(ray_samples=37)
+    want = pipeline._agreement(meshes, config, lambda points, at: rays.parity_inside(points, at))
+    got = {r.mesh_id: r for r in pipeline._agreement(meshes, config, rays.parity_inside).collect()}
+    few = {r.mesh_id for r in meshes.where(rays.has_few()).collect()}
+    assert few == set(some) - {31, 32} and set(got) == set(some) - {30}
+    monkeypatch.setattr(rays, "AT_ONCE", 100)
+    again = {r.mesh_id: r for r in rays.box_agreement(meshes.where(rays.has_few()), 37).collect()}
+    for r in want.collect():
+        assert got[r.mesh_id] == r and again.get(r.mesh_id, r) == r, r
