@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobs import job1_curate_meshes as job1
 from meshloom.config import PipelineConfig
-from meshloom.operators import bricks, neighbours, packed, rays, render, topology
+from meshloom.operators import bricks, neighbours, packed, rays, render, topology, voxels
 from meshloom.plans import kernel_queries, pipeline
 from meshloom.plans.catalog import QUERIES
 from meshloom.sources import boxes
@@ -188,3 +188,49 @@ def test_rays_of_small_meshes_need_no_rows_of_points(spark, monkeypatch):
     again = {r.mesh_id: r for r in rays.box_agreement(meshes.where(rays.has_few()), 37).collect()}
     for r in want.collect():
         assert got[r.mesh_id] == r and again.get(r.mesh_id, r) == r, r
+
+
+def test_small_grids_are_made_watertight_at_once(spark, monkeypatch):
+    """Each mesh went alone through hundreds of short calls, and its surface left as an object for each vertex and face."""
+    seen, real = {}, voxels.map_meshes
+    monkeypatch.setattr(voxels, "map_meshes", lambda _, kernel, schema, **how: seen.update(how, kernel=kernel))
+    voxels.watertighten(None, voxels.WatertightConfig(res=12, close_iters=1, chamfer_samples=40))
+    monkeypatch.setattr(voxels, "map_meshes", real)
+    rng = np.random.default_rng(2)
+    cube = np.array([[x, y, z] for x in (0, 1) for y in (0, 1) for z in (0, 1)], float)
+    some = [packed.Mesh(np.concatenate([cube * [1 + k, 2, 3] + [9.0 * c, 0, 0] for c in range(1 + k % 3)]), np.concatenate([np.array(boxes.TRIANGLES)[k % 4 :] + 8 * c for c in range(1 + k % 3)])) for k in range(8)]
+    some += [packed.Mesh(rng.normal(size=(20, 3)), rng.integers(0, 20, (k, 3))) for k in range(1, 6)]
+    plain = lambda r: {k: x.tolist() if isinstance(x, np.ndarray) else x for k, x in r.items() if k != "stage_timings"}
+    assert list(map(plain, seen["together"](some))) == [plain(seen["kernel"](m)) for m in some]
+    assert seen["share"](some[0]) < 0.1 and {seen["share"](packed.Mesh(v, f)) for v, f in ((cube, np.array([[0, 1, 8]])), (cube * 0, np.array([[0, 1, 2]])), (cube, np.zeros((0, 3), int)))} == {1.0}
+    rows = [(k, [tuple(map(float, p)) for p in m.vertices], [tuple(map(int, t)) for t in m.faces]) for k, m in enumerate([*some, packed.Mesh(cube, np.zeros((0, 3), int)), packed.Mesh(cube * 0, some[0].faces), packed.Mesh(cube, np.array([[0, 1, 9]]))])]
+    got = {r.mesh_id: r for r in voxels.watertighten(spark.createDataFrame(rows, f"mesh_id long, vertices {packed.VERTEX}, faces {packed.FACE}").coalesce(1), voxels.WatertightConfig(res=12, close_iters=1, chamfer_samples=40)).collect()}
+    assert [got[k].error.split(":")[0] for k in (13, 14, 15)] == ["ValueError", "ValueError", "IndexError"] and got[13].vertices is None
+    for k, m in enumerate(some):
+        mesh, report = voxels.watertighten_mesh(m, voxels.WatertightConfig(res=12, close_iters=1, chamfer_samples=40))
+        assert [tuple(p) for p in got[k].vertices] == [tuple(p) for p in mesh.vertices.tolist()] and [tuple(t) for t in got[k].faces] == [tuple(t) for t in mesh.faces.tolist()] and got[k].shell_voxels == report["shell_voxels"]
+
+
+def test_stacked_floods_equal_single_ones():
+    rng = np.random.default_rng(9)
+    stack = rng.random((20, 9, 9, 9)) < np.linspace(0, 1, 20)[:, None, None, None]
+    maze = np.ones((2, 13, 13, 13), bool)
+    for k in range(1, 12, 2):  # one way from the border through all of a layer
+        maze[0, 1:12, k, 6] = False
+        maze[0, 11 if k % 4 == 1 else 1, k : k + 2, 6] = False
+    maze[0, 0, 1, 6] = False
+    for s in (stack, maze, maze[:1], stack[:0]):
+        assert (voxels.flood_stack(s) == np.array([voxels.flood_outside(x) for x in s]).reshape(s.shape)).all()
+
+
+def test_edges_of_grids_and_labels_of_large_numbers(monkeypatch):
+    rng = np.random.default_rng(1)
+    values = rng.normal(size=(3, 7, 6, 5))
+    marked = voxels.cut_edges(values)
+    monkeypatch.setattr(voxels, "DENSE", 0)
+    assert all((a == b).all() for a, b in zip(marked, voxels.cut_edges(values), strict=True))
+    faces = rng.integers(0, 30, (80, 3))
+    assert (topology.face_labels(faces) == topology.face_labels(faces * 10**14)).all() and (topology.face_labels(faces) == topology.face_labels(faces - 50)).all()
+    p, q = rng.normal(size=(70, 3)), rng.normal(size=(90, 3))
+    both = (voxels.nearest_distances(p, q).mean() + voxels.nearest_distances(q, p).mean()) / 2
+    assert voxels.mean_distance(p, q) == both and voxels.mean_distance(p, q, 100) == both
