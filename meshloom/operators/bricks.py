@@ -8,7 +8,8 @@ reaches. The surface is cut brick by brick; a vertex is named by the cells of it
 grid, so equal vertices of two bricks have one name, and the largest component is found in two levels too.
 
 Spark deals the bricks of all meshes over tasks, so one mesh of 1,024 cells a side uses the whole cluster, and a
-task holds one brick. Only a mesh's label ties meet in one task: a few for each brick of its surface.
+task holds one brick. Only a mesh's label ties meet in one task: a few for each brick of its surface. Small grids
+whose bricks share a task need no labels: the bricks' closed cells are put together and flooded at once.
 """
 
 from __future__ import annotations
@@ -122,8 +123,8 @@ class Brick:
             Brick.finish([self], config, thick)
 
     @staticmethod
-    def finish(some: list[Brick], config: BrickConfig, thick: int) -> None:
-        """Shell, closing and labels of bricks of one shape at once."""
+    def finish(some: list[Brick], config: BrickConfig, thick: int, labelled: bool = True) -> None:
+        """Shell, closing and, if they are asked for, labels of bricks of one shape at once."""
         by = defaultdict(list)
         for b in some:
             by[b.near.shape, tuple(b.end - b.first)].append(b)
@@ -132,9 +133,12 @@ class Brick:
             shell = near < np.float32(1 / config.res)
             closed = voxels.close_grid(shell, config.close_iters)
             solid = voxels.dilate_grid(closed, thick) if thick else closed
-            tower = np.zeros((len(alike), x + 1, y, z), bool)  # a full layer keeps bricks apart
             for k, b in enumerate(alike):
                 b.near, b.shell, b.solid = near[k][b.rim], shell[k][b.rim], solid[k][b.rim]
+            if not labelled:
+                continue
+            tower = np.zeros((len(alike), x + 1, y, z), bool)  # a full layer keeps bricks apart
+            for k, b in enumerate(alike):
                 tower[k, :x] = ~b.solid
             labels = cell_labels(tower.reshape(-1, y, z))[0].reshape(tower.shape)[:, :x]
             top = np.maximum.accumulate(labels.reshape(len(alike), -1).max(1))
@@ -349,56 +353,52 @@ def _surface(bricks: DataFrame, outside: DataFrame, config: BrickConfig, thick:
 def _brick_surfaces(some: list[Brick], occupied: list[np.ndarray], config: BrickConfig) -> list[tuple | None]:
     """Of each brick names, x, y, z, faces, part, border (names, parts), sizes and open edges (p, q, n, forward, part) as arrays, or None without a surface."""
     res = config.res
-    values, low = [None] * len(some), np.array([np.where(b.low == 0, -1, b.low) for b in some])  # a layer of empty cells lies around the grid
-    by = defaultdict(list)
+    low, high = np.array([np.where(b.low == 0, -1, b.low) for b in some]), np.array([b.high + 1 for b in some])  # a layer of empty cells lies around the grid
+    sizes, by = high - low, defaultdict(list)
+    stack = np.full((len(some), *sizes.max(0)), np.float32(1 / res))
     for k, b in enumerate(some):
         by[b.near.shape].append(k)
     for alike in by.values():
         for k, x in zip(alike, voxels.side_values(np.stack([some[k].near for k in alike]), np.stack([occupied[k] for k in alike]), res), strict=True):
-            b = some[k]
-            box = tuple(slice(max(i, 0), j) for i, j in zip(low[k] - b.first, np.minimum(b.high + 1, res) - b.first, strict=True))
-            values[k] = np.pad(x[box], [(int(i == 0), int(j == res)) for i, j in zip(b.low, b.high, strict=True)], constant_values=np.float32(1 / res))
-    sizes = np.array([x.shape for x in values])
-    stack = np.full((len(some), *sizes.max(0)), np.float32(1 / res))
-    for own, x in zip(stack, values, strict=True):
-        own[tuple(map(slice, x.shape))] = x
+            first, end = np.maximum(low[k], 0), np.minimum(high[k], res)
+            stack[k][tuple(map(slice, first - low[k], end - low[k]))] = x[tuple(map(slice, first - some[k].first, end - some[k].first))]
     p, q, places, faces = voxels.cut_edges(stack, sizes)
     if not len(faces):
         return [None] * len(some)
-    brick = lambda cell: cell // stack[0].size
-    faces = faces[np.argsort(brick(p[faces[:, 0]]), kind="stable")]
-    at, of_face, wide = brick(p), brick(p[faces[:, 0]]), res + 2
-    cells = [np.stack(np.unravel_index(x, stack.shape)[1:], 1) for x in (p, q)]
+    at, (_, long, wide, deep) = p // stack[0].size, stack.shape  # the brick of each vertex
+    faces = faces[np.argsort(at[faces[:, 0]], kind="stable")]
+    of_face = at[faces[:, 0]]
+    cells = [np.stack([x // (wide * deep) % long, x // deep % wide, x % deep], 1) for x in (p, q)]
     step = ((cells[1] - cells[0] + 1) * [9, 3, 1]).sum(1)
     c = cells[0] + low[at] + 1  # in a grid that starts at the layer around
-    names = ((c[:, 0] * wide + c[:, 1]) * wide + c[:, 2]).astype(np.int64) * 27 + step
+    names = ((c[:, 0] * (res + 2) + c[:, 1]) * (res + 2) + c[:, 2]) * 27 + step  # within a brick they rise with the vertices' numbers
     xyz = (places + low[at] + 0.5) / res
-    kinds, part = np.unique(voxels.face_labels(faces), return_inverse=True)
+    half = order, head = topology.half_edges(faces)
+    labels = voxels.face_labels(faces, half)
+    kinds = np.flatnonzero(labels == np.arange(len(faces)))  # a component is named by its least face
+    part = np.searchsorted(kinds, labels)
     at_rim = np.zeros(len(names), bool)
     for axis in range(3):
         for plane in (0, sizes[at, axis] - 1):
             at_rim |= (cells[0][:, axis] == plane) & (cells[1][:, axis] == plane)
-    of = np.zeros(len(names), np.int64)
+    of, used = np.zeros(len(names), np.int64), np.zeros(len(names), bool)
     of[faces.ravel()] = np.repeat(part, 3)
-    used = np.unique(faces)
-    border = used[at_rim[used]]
-    half = np.concatenate([faces[:, [0, 1]], faces[:, [1, 2]], faces[:, [2, 0]]])
-    ends = np.sort(names[half], axis=1)
-    forward = names[half[:, 0]] == ends[:, 0]
-    inside = np.tile(of_face, 3)
-    order = np.lexsort((ends[:, 1], ends[:, 0], inside))
-    ends, forward, inside, owner = ends[order], forward[order], inside[order], np.tile(part, 3)[order]
-    head = np.flatnonzero(np.append(True, (ends[1:] != ends[:-1]).any(1) | (inside[1:] != inside[:-1])))
-    n, ahead = np.diff(np.append(head, len(ends))), np.add.reduceat(forward.astype(np.int64), head)
+    used[faces] = True
+    border = np.flatnonzero(used & at_rim)
+    n = np.diff(np.append(head, len(order)))
+    ahead = np.add.reduceat((faces < np.roll(faces, -1, axis=1)).T.ravel()[order].astype(np.int64), head)
     odd = np.flatnonzero((n != 2) | (ahead != 1))
-    of_odd, every = inside[head[odd]], np.arange(len(some) + 1)
+    one = np.minimum.reduceat(order, head)[odd]  # the first of the edge's half-edges
+    u, w = faces.T.ravel()[one], np.roll(faces, -1, axis=1).T.ravel()[one]
+    ends, owner, n, ahead = np.sort(np.stack([names[u], names[w]], 1), axis=1), part[one % len(faces)], n[odd], ahead[odd]
+    of_odd, every = of_face[one % len(faces)], np.arange(len(some) + 1)
     v, f, e, o = (np.searchsorted(x, every) for x in (at, of_face, at[border], of_odd))
-    first = np.searchsorted(kinds, f)  # a component is named by its least face
+    first = np.searchsorted(kinds, f)
     found = np.bincount(part, minlength=len(kinds))
     out = []
     for k in range(len(some)):
-        vs, fs, rim, opened, start = slice(v[k], v[k + 1]), slice(f[k], f[k + 1]), border[e[k] : e[k + 1]], odd[o[k] : o[k + 1]], first[k]
-        edges = [ends[head[opened], 0], ends[head[opened], 1], n[opened], ahead[opened], owner[head[opened]] - start + 1]
+        vs, fs, rim, opened, start = slice(v[k], v[k + 1]), slice(f[k], f[k + 1]), border[e[k] : e[k + 1]], slice(o[k], o[k + 1]), first[k]
+        edges = [ends[opened, 0], ends[opened, 1], n[opened], ahead[opened], owner[opened] - start + 1]
         out.append((names[vs], *[xyz[vs, d] for d in range(3)], (faces[fs] - v[k]).ravel().astype(np.int32), (part[fs] - start + 1).astype(np.int32), (names[rim], of[rim] - start + 1), found[start : first[k + 1]], edges) if f[k] < f[k + 1] else None)
     return out
 
@@ -493,33 +493,19 @@ def _escape(bricks: DataFrame, labels: DataFrame, outside: DataFrame, packed: Da
 WHOLE = 1 << 18
 
 
-def _flooded(wholes: list[np.ndarray], config: BrickConfig, thick: int) -> list[tuple[list[Brick], list[np.ndarray]]]:
-    """Of each grid its bricks, and for each of them which of its labels empty cells join to the grid's border (entry 0: no label)."""
+def _flooded(wholes: list[np.ndarray], config: BrickConfig, thick: int) -> list[tuple[list[Brick], np.ndarray, np.ndarray]]:
+    """Of each grid its bricks, the solid cells that they put together, and the empty ones joined to the grid's border. Labels of bricks, tied where they share a cell, would give the same: neighbours of a cell lie in its brick or the rim."""
     made = [[Brick(at, None, config, thick, whole) for at in product(range(config.across), repeat=3)] for whole in wholes]
-    Brick.finish([b for every in made for b in every], config, thick)
-    return [(every, _outside(every, config)) for every in made]
-
-
-def _outside(every: list[Brick], config: BrickConfig) -> list[np.ndarray]:
-    first = np.cumsum([0, *[b.count for b in every]])
-    named = [np.where(b.labels > 0, b.labels + (n - 1), -1) for b, n in zip(every, first, strict=False)]
-    own = np.full((config.res,) * 3, -1, np.int64)
-    for b, labels in zip(every, named, strict=True):
-        own[tuple(map(slice, b.low, b.high))] = labels[b.own]
-    here, there = (np.concatenate(x) for x in zip(*[(labels.ravel(), own[tuple(map(slice, b.first, b.end))].ravel()) for b, labels in zip(every, named, strict=True)], strict=True))
-    both = (here >= 0) & (there >= 0) & (here != there)
-    a, b = np.divmod(np.unique(here[both] * first[-1] + there[both]), max(first[-1], 1))
-    border = np.zeros(first[-1], bool)
-    for axis in range(3):
-        for layer in (0, -1):
-            labels = np.take(own, layer, axis)
-            border[labels[labels >= 0]] = True
-    outside = _reached(join_labels(len(border), a, b), border)
-    return [np.append(False, outside[x:y]) for x, y in zip(first, first[1:], strict=False)]
+    Brick.finish([b for every in made for b in every], config, thick, labelled=False)
+    solid = np.zeros((len(wholes), *[config.res] * 3), bool)
+    for own, every in zip(solid, made, strict=True):
+        for b in every:
+            own[tuple(map(slice, b.low, b.high))] = b.solid[b.own]
+    return list(zip(made, solid, voxels.flood_stack(solid), strict=True))
 
 
-def _joined_surface(made: list[tuple | None], config: BrickConfig) -> tuple[list[tuple], tuple[int, bool, bool]]:
-    """What surfaces() gives of one mesh, from the surfaces of its bricks: its pieces and flags."""
+def _joined_surface(made: list[tuple | None], config: BrickConfig, told: bool) -> tuple[list[tuple], tuple[int, bool, bool]]:
+    """What surfaces() gives of one mesh, from the surfaces of its bricks: its pieces, if they are told, and flags."""
     made = [(at, found) for at, found in zip(product(range(config.across), repeat=3), made, strict=True) if found]
     if not made:
         return [], (0, False, False)
@@ -532,10 +518,10 @@ def _joined_surface(made: list[tuple | None], config: BrickConfig) -> tuple[list
     pieces, faces, edges = [], 0, []
     for (at, (names, x, y, z, triples, own, _, _, opened)), n in zip(made, first, strict=False):
         own = kept[n + own - 1]
-        if own.any():
+        if told and own.any():
             used, triples = np.unique(triples.reshape(-1, 3)[own], return_inverse=True)
             pieces.append((*at, names[used], x[used], y[used], z[used], triples.ravel().astype(np.int32)))
-            faces += int(own.sum())
+        faces += int(own.sum())
         edges.append(np.stack(opened[:4])[:, kept[n + opened[4] - 1]])
     p, q, n, ahead = np.concatenate(edges, axis=1)
     order = np.lexsort((q, p))
@@ -545,27 +531,24 @@ def _joined_surface(made: list[tuple | None], config: BrickConfig) -> tuple[list
     return pieces, (faces, bool((n == 2).all()), bool(((n != 2) | (ahead == 1)).all()))
 
 
-def watertighten_whole(some: list[Mesh], config: BrickConfig) -> list[tuple[list[tuple], tuple]]:
-    """Stage 1 of meshes of the unit cube, brick by brick: the pieces and the report that watertighten_bricks gives of each, in the columns of _PIECES and _WHOLE."""
+def watertighten_whole(some: list[Mesh], config: BrickConfig, told: bool = True) -> list[tuple[list[tuple], tuple]]:
+    """Stage 1 of meshes of the unit cube, brick by brick: the pieces, if they are told, and the report that watertighten_bricks gives of each, in the columns of _PIECES and _WHOLE."""
     res, most = config.res, config.escape_samples
     some = [Mesh(m.vertices, m.faces[((m.faces >= 0) & (m.faces < len(m.vertices))).all(1)]) for m in some]  # a face of no vertex is nowhere
-    wholes = [voxels.narrow_band(m.vertices, m.faces, res, BAND) for m in some]
+    wholes = voxels.narrow_bands(some, res, BAND)
     flooded, reports = _flooded(wholes, config, 0), []
-    count = lambda every, name: sum(int(getattr(b, name)[b.own].sum()) for b in every)
-    for mesh, whole, (every, outside) in zip(some, wholes, flooded, strict=True):
-        inside = np.zeros(whole.shape, bool)
-        for b, out in zip(every, outside, strict=True):
-            inside[tuple(map(slice, b.low, b.high))] = ((b.labels > 0) & ~out[b.labels])[b.own]
-        share, escape = float(inside.sum()) / float(res) ** 3, None
+    for mesh, whole, (_, solid, outside) in zip(some, wholes, flooded, strict=True):
+        inside, shell, escape = ~(solid | outside), whole < np.float32(1 / res), None
+        share = float(inside.sum()) / float(res) ** 3
         if share < config.open_share:
-            code = np.flatnonzero(inside if inside.any() else whole < np.float32(1 / res))
+            code = np.flatnonzero(inside if inside.any() else shell)
             escape = _escaping(mesh, code[np.lexsort((code, _drawn(code)))[:most]], res, most) if len(code) else None
-        reports.append([count(every, "shell"), count(every, "solid"), share, escape is not None and escape > config.escape_share, escape])
+        reports.append([int(shell.sum()), int(solid.sum()), share, escape is not None and escape > config.escape_share, escape])
     again = [k for k, r in enumerate(reports) if r[3] and config.auto_thicken]
     for k, thicker in zip(again, _flooded([wholes[k] for k in again], config, 1), strict=True):
-        flooded[k], reports[k][1] = thicker, count(thicker[0], "solid")
-    made = iter(_brick_surfaces(*zip(*[(b, ~out[b.labels]) for own in flooded for b, out in zip(*own, strict=True)], strict=True), config))
-    joined = [_joined_surface([next(made) for _ in every], config) for every, _ in flooded]
+        flooded[k], reports[k][1] = thicker, int(thicker[1].sum())
+    made = iter(_brick_surfaces(*zip(*[(b, ~outside[tuple(map(slice, b.first, b.end))]) for every, _, outside in flooded for b in every], strict=True), config))
+    joined = [_joined_surface([next(made) for _ in every], config, told) for every, *_ in flooded]
     return [(pieces, (*r, *flags)) for (pieces, flags), r in zip(joined, reports, strict=True)]
 
 
@@ -582,7 +565,7 @@ def _together(packed: DataFrame, config: BrickConfig, pieces: bool) -> DataFrame
         for batch in batches:
             rows = meshes(batch)
             for start in range(0, batch.num_rows, step):
-                found = watertighten_whole(list(islice(rows, step)), config)
+                found = watertighten_whole(list(islice(rows, step)), config, pieces)
                 given = [(x, start + k) for k, (own, report) in enumerate(found) for x in (own if pieces else [report])]
                 yield _rows(target, [x for x, _ in given], [k for _, k in given], batch)
 
@@ -599,7 +582,7 @@ def watertighten_bricks(vertices: DataFrame, faces: DataFrame, config: BrickConf
     before. A mesh without extent has neither; one whose occupancy is empty has a report only, with no faces.
 
     With config.together, grids of at most WHOLE cells of meshes that aren't larger aren't dealt: their bricks meet in
-    one task, which ties labels in its memory. Pieces and report then are worked out when they are asked for, each by itself.
+    one task, which floods the grid that they make. Pieces and report then are worked out when they are asked for, each by itself.
     """
     fit = topology.fit_unit_cube(vertices, config.pad).where("scale IS NOT NULL")
     undo = fit.groupBy("mesh_id").agg(*[F.min(c).alias(c) for c in ("cx", "cy", "cz", "scale")])

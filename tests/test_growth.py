@@ -234,3 +234,36 @@ def test_edges_of_grids_and_labels_of_large_numbers(monkeypatch):
     p, q = rng.normal(size=(70, 3)), rng.normal(size=(90, 3))
     both = (voxels.nearest_distances(p, q).mean() + voxels.nearest_distances(q, p).mean()) / 2
     assert voxels.mean_distance(p, q) == both and voxels.mean_distance(p, q, 100) == both
+
+
+def test_bricks_of_small_grids_are_flooded_at_once_and_tell_pieces_only_if_asked(monkeypatch):
+    """A task labelled every brick, tied the labels in arrays of all rims, and made pieces that the report has no use for."""
+    rng = np.random.default_rng(11)
+    config = bricks.BrickConfig(res=14, side=5, close_iters=1, together=1000)  # bricks of two sizes
+    cube = np.array([[x, y, z] for x in (0, 1) for y in (0, 1) for z in (0, 1)], float) * 0.7 + 0.15
+    some = [packed.Mesh(cube * [1, 1, 0.2 + 0.1 * k], np.array(boxes.TRIANGLES)[k:]) for k in range(5)]
+    some += [packed.Mesh(rng.random((12, 3)) * 0.9 + 0.05, rng.integers(0, 12, (4 + 3 * k, 3))) for k in range(10)]
+    wholes = voxels.narrow_bands(some, 14, bricks.BAND)
+    for thick in (0, 1):
+        for whole, (_, solid, outside) in zip(wholes, bricks._flooded(wholes, config, thick), strict=True):
+            assert (voxels.flood_outside(solid) == outside).all()
+            every = [bricks.Brick(at, None, config, thick, whole) for at in np.ndindex(3, 3, 3)]
+            bricks.Brick.finish(every, config, thick)
+            first = np.cumsum([0, *[b.count for b in every]])
+            ties, border = [], np.zeros(first[-1] + 1, bool)
+            names = [np.where(b.labels > 0, b.labels + n, 0) for b, n in zip(every, first, strict=False)]
+            for b, own in zip(every, names, strict=True):
+                border[[n + first[every.index(b)] for n in b.border_labels(b.labels, 14)]] = True
+                for c, other in zip(every, names, strict=True):
+                    low, high = np.maximum(b.first, c.first), np.minimum(b.end, c.end)
+                    if (low < high).all():
+                        x, y = (n[tuple(map(slice, low - k.first, high - k.first))].ravel() for k, n in ((b, own), (c, other)))
+                        assert ((x > 0) == (y > 0)).all()  # the rims make neighbours agree
+                        ties.append(np.stack([x[x > 0], y[x > 0]]))
+            known = bricks._reached(bricks.join_labels(len(border), *np.concatenate(ties, axis=1)), border)
+            for b, own in zip(every, names, strict=True):
+                assert (known[own] & (own > 0) == outside[tuple(map(slice, b.first, b.end))]).all()
+    full = bricks.watertighten_whole(some, config)
+    monkeypatch.setattr(bricks, "cell_labels", None)
+    plain = bricks.watertighten_whole(some, config, told=False)
+    assert [r for _, r in plain] == [r for _, r in full] and not any(p for p, _ in plain) and sum(len(p) for p, _ in full) > 100
